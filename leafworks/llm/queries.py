@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafworks.llm import bpe, exact_dedup, quality, token_counts
+from leafworks.llm import bpe, chat, exact_dedup, quality, token_counts, warc
 
 TOKEN_LIMIT = 2048
 
@@ -31,15 +31,29 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    turns = turns.unionByName(spark.createDataFrame(tricky, "conv_id long, turn long, role string, text string"))
+    return chat.read_back(chat.format_chats(turns))
+
+
 def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.with_originals(warc.read_archives(manifest))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_chat_format": op7_chat_format,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op10_warc": op10_warc,
 }
 ORACLE_SQL: dict[str, str] = {}
