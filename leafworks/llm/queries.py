@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafworks.llm import bpe, chat, exact_dedup, quality, token_counts, warc
+from leafworks.llm import bpe, chat, exact_dedup, line_dedup, quality, token_counts, warc
 
 TOKEN_LIMIT = 2048
 
@@ -22,6 +22,11 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_line_dedup": op2_line_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_chat_format": op7_chat_format,
