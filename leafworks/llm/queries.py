@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafworks.llm import bpe, chat, exact_dedup, line_dedup, quality, token_counts, warc
+from leafworks.llm import bpe, chat, exact_dedup, line_dedup, near_dedup, quality, token_counts, warc
 
 TOKEN_LIMIT = 2048
 
@@ -27,6 +27,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_line_dedup": op2_line_dedup,
+    "op3_near_dedup": op3_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_chat_format": op7_chat_format,
