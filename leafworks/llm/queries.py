@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafworks.llm import bpe, chat, exact_dedup, line_dedup, near_dedup, quality, token_counts, warc
+from leafworks.llm import bpe, chat, exact_dedup, line_dedup, near_dedup, packing, quality, token_counts, warc
 
 TOKEN_LIMIT = 2048
 
@@ -31,6 +31,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.pack(table(spark, sf_dir, "documents"), *paths, public_tokenizers.PATTERN)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_line_dedup": op2_line_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_chat_format": op7_chat_format,
