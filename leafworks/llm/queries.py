@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafworks.llm import bpe, chat, exact_dedup, line_dedup, near_dedup, packing, quality, token_counts, warc
+from leafworks.llm import bpe, chat, exact_dedup, line_dedup, near_dedup, packing, quality, token_counts, toxicity, warc
 
 TOKEN_LIMIT = 2048
 
@@ -57,6 +57,17 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def training_fold(key: str = "doc_id") -> Column:
+    """The rows of labels that toxicity may learn from."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 5 != 0
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    found = toxicity.scores(docs, labels, training_fold())
+    return found.select("doc_id", (~training_fold()).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.with_originals(warc.read_archives(manifest))
@@ -71,6 +82,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_chat_format": op7_chat_format,
     "op8_bpe_round_trip": op8_bpe_round_trip,
+    "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
 }
 ORACLE_SQL: dict[str, str] = {}
