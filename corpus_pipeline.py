@@ -1,8 +1,73 @@
-"""The corpus pipeline: toxicity, quality rules, line dedup, near dedup, packing."""
+"""The corpus pipeline: toxicity, quality rules, line dedup, near dedup, packing.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last return the columns of documents.
+Rows with a null doc_id pass the filters by the same rules as others; rows that repeat a doc_id share its fate in
+the toxicity and near-dedup stages. Empty tables pass through every stage.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from leafworks.llm import line_dedup, near_dedup, packing, quality, toxicity
+from leafworks.llm.queries import training_fold
+from leafworks.llm.shared import written
+
+TOXIC_FROM = 0.5
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs but for the rows whose doc_id is in ids."""
+    return docs.join(ids.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a score of TOXIC_FROM or more go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    found = toxicity.scores(docs, labels, training_fold())
+    return without(docs, found.where(F.col("score") >= TOXIC_FROM))
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that a quality rule rejects go."""
+    return quality.accepted(docs)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines leave the texts; n_chars follows. Documents stay, also when no line is left."""
+    found = line_dedup.line_dedup(docs)
+    return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the smallest doc_id stays."""
+    return without(docs, near_dedup.near_duplicates(docs).where(~F.col("kept")))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of each piece of each document in the packed sequences."""
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return packing.pack(docs, *paths, public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("quality_rules", drop_low_quality),
+    ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("packing", pack_sequences),
+]
+#: SQL can't express the classifier's nearest examples or the packing; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages applied to the documents of sf_dir, each result written before the next stage reads it."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = written(docs)
+    return docs
