@@ -21,12 +21,21 @@ WINDOW = 8
 SYMBOLS = "[#*$%&|<>]"
 
 
+def settled(array: Column) -> Column:
+    """The same array, marked so that the optimizer computes it once and in its place.
+
+    An array that a lambda looks into must not be put into that lambda in place of its name, as happens when a
+    filter on a later column is pushed down: it would be computed again for each element.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, array)
+
+
 def with_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """Adds _text (null: empty), _words and _lines (those with a word)."""
     out = docs.withColumn("_text", text_or_empty(text))
     words = F.array_remove(F.split("_text", f"{BLANK}+"), "")
     lines = F.filter(F.split("_text", "\n"), lambda x: x.rlike(NON_BLANK))
-    return out.withColumns({"_words": words, "_lines": lines})
+    return out.withColumns({"_words": settled(words), "_lines": settled(lines)})
 
 
 def n_words() -> Column:
@@ -49,10 +58,10 @@ def with_windows(df: DataFrame) -> DataFrame:
     """Adds _windows, the hashes of all windows of eight words, and _sorted, those of texts that repeat one with their places."""
     last = F.size("_words") - (WINDOW - 1)
     hashes = F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice("_words", i, WINDOW)))
-    df = df.withColumn("_windows", F.when(last >= 1, hashes).otherwise(F.array().cast("array<bigint>")))
+    df = df.withColumn("_windows", settled(F.when(last >= 1, hashes).otherwise(F.array().cast("array<bigint>"))))
     placed = F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
-    return df.withColumn("_sorted", F.when(repeats, placed).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
+    return df.withColumn("_sorted", settled(F.when(repeats, placed).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))))
 
 
 def with_repeats(df: DataFrame) -> DataFrame:
@@ -60,9 +69,9 @@ def with_repeats(df: DataFrame) -> DataFrame:
     df = with_windows(df)
     here = F.col("_sorted")
     same = lambda x, k: (F.get(here, k - 1)["h"].eqNullSafe(x["h"])) | (F.get(here, k + 1)["h"].eqNullSafe(x["h"]))
-    df = df.withColumn("_at", F.sort_array(F.transform(F.filter(here, same), lambda x: x["i"])))
+    df = df.withColumn("_at", settled(F.sort_array(F.transform(F.filter(here, same), lambda x: x["i"]))))
     step = F.transform("_at", lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col("_at"), k + 1) - x, F.lit(WINDOW))).cast("long"))
-    return df.withColumn("_repeat_words", F.aggregate(step, F.lit(0).cast("long"), lambda a, b: a + b)).drop("_windows", "_sorted", "_at")
+    return df.withColumn("_repeat_words", settled(F.aggregate(step, F.lit(0).cast("long"), lambda a, b: a + b))).drop("_windows", "_sorted", "_at")
 
 
 def base_failed(words: Column, repeats: Column) -> Column:
