@@ -1,10 +1,390 @@
-"""The registered queries of the library and their SQL."""
+"""The registered queries of the library: each applies operators to whole tables; sql.py holds their SQL."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from leafworks.functions import patterns as P
+from leafworks.functions import text as T
+from leafworks.operators import audit, boilerplate, chunks, entities, registry, sequences, tables, vectors
+from leafworks.operators import blocks as B
+from leafworks.plans.sql import ORACLE_SQL  # noqa: F401
+from leafworks.sources import files, html
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.blocks(read(spark, sf_dir, "documents"))
+
+
+def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines(spark, sf_dir).withColumn("type", B.block_type())
+
+
+def ascii_only(c):
+    return F.regexp_replace(c, r"[^\x00-\x7F]", "")
+
+
+def lined_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.from_lines(lines(spark, sf_dir))
+
+
+@query
+def block_summary(spark, sf_dir):
+    return B.summary(lines(spark, sf_dir))
+
+
+@query
+def page_stats(spark, sf_dir):
+    return B.page_stats(lines(spark, sf_dir))
+
+
+@query
+def blob_pages(spark, sf_dir):
+    return B.blob_pages(lines(spark, sf_dir))
+
+
+@query
+def type_counts(spark, sf_dir):
+    return typed(spark, sf_dir).groupBy("file_id", "type").agg(F.count("*").alias("n"))
+
+
+@query
+def repeating_lines(spark, sf_dir):
+    return B.repeating(lines(spark, sf_dir))
+
+
+@query
+def contamination(spark, sf_dir):
+    return B.contamination(lines(spark, sf_dir))
+
+
+@query
+def coverage(spark, sf_dir):
+    return B.coverage(lines(spark, sf_dir))
+
+
+@query
+def missing_pages(spark, sf_dir):
+    return B.missing_pages(lines(spark, sf_dir))
+
+
+@query
+def noise_filter(spark, sf_dir):
+    return B.noise_free(lines(spark, sf_dir)).select("doc_id", "seq", "text")
+
+
+@query
+def boilerplate_tag(spark, sf_dir):
+    return boilerplate.tag(B.with_box(lines(spark, sf_dir))).select("doc_id", "seq", "boilerplate_type", "is_boilerplate")
+
+
+@query
+def boilerplate_counts(spark, sf_dir):
+    found = boilerplate.tag(B.with_box(lines(spark, sf_dir)))
+    return found.groupBy("boilerplate_type").agg(F.count("*").alias("n"), F.count_if("is_boilerplate").alias("boilerplate"))
+
+
+@query
+def heading_rescue(spark, sf_dir):
+    return boilerplate.rescued_headings(boilerplate.tag(B.with_box(lines(spark, sf_dir)))).groupBy("file_id", "type", "was_corrected").agg(F.count("*").alias("n"))
+
+
+@query
+def pyq_rescue(spark, sf_dir):
+    return boilerplate.rescued_questions(boilerplate.tag(B.with_box(lines(spark, sf_dir)))).groupBy("file_id", "type", "is_boilerplate").agg(F.count("*").alias("n"))
+
+
+@query
+def mojibake(spark, sf_dir):
+    return lines(spark, sf_dir).where(boilerplate.mojibake(F.col("text"))).select("doc_id", "seq")
+
+
+@query
+def toc_pages(spark, sf_dir):
+    return boilerplate.toc_pages(lines(spark, sf_dir))
+
+
+@query
+def stylized_headings(spark, sf_dir):
+    fixed = T.replaced(F.concat(F.col("text"), F.lit(" Let's recal l Let's d o")), P.STYLIZED_HEADINGS)
+    return lines(spark, sf_dir).select("doc_id", "seq", fixed.alias("text"))
+
+
+@query
+def split_collapsed(spark, sf_dir):
+    return B.split_collapsed(read(spark, sf_dir, "documents"))
+
+
+@query
+def label_types(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    label = F.element_at(F.array(*(F.lit(x) for x in ("section_header", "list_item", "caption", "footnote", "page_header", "page_footer", "text"))), (F.col("doc_id") % 7 + 1).cast("int"))
+    return docs.select("doc_id", B.label_type(label).alias("type"))
+
+
+@query
+def highlight_colors(spark, sf_dir):
+    r, g, b = (F.col("doc_id") * k % 256 for k in (37, 91, 53))
+    return read(spark, sf_dir, "documents").select("doc_id", B.highlight(r, g, b).alias("highlight"))
+
+
+@query
+def reading_order(spark, sf_dir):
+    return sequences.reading_order(B.with_box(lines(spark, sf_dir))).select("doc_id", "seq", "position")
+
+
+@query
+def column_midpoint(spark, sf_dir):
+    return sequences.column_midpoint(B.with_box(lines(spark, sf_dir)))
+
+
+@query
+def page_reorder(spark, sf_dir):
+    return sequences.page_reorder(B.with_box(lines(spark, sf_dir))).select("doc_id", "seq", "position")
+
+
+@query
+def block_ids(spark, sf_dir):
+    return sequences.reindexed(lines(spark, sf_dir)).select("doc_id", "seq", "block_id")
+
+
+@query
+def consecutive_dedup(spark, sf_dir):
+    return sequences.consecutive_dedup(lines(spark, sf_dir)).select("doc_id", "seq", "text")
+
+
+@query
+def heading_dedup(spark, sf_dir):
+    return sequences.consecutive_dedup(typed(spark, sf_dir).where("type = 'heading'")).select("doc_id", "seq", "text")
+
+
+@query
+def caption_join(spark, sf_dir):
+    captioned = lines(spark, sf_dir).withColumn("type", F.when(F.length("text") % 3 != 0, "caption").otherwise("paragraph"))
+    return sequences.captions_joined(captioned).select("doc_id", "seq", "type", "text")
+
+
+@query
+def cross_page_merge(spark, sf_dir):
+    ends = lines(spark, sf_dir).withColumn("type", F.lit("paragraph")).where(B.content()).withColumn("text", F.lower(F.regexp_replace("text", r"[.]$", "")))
+    return sequences.sentences_merged(ends).select("doc_id", "seq", "text", "was_corrected")
+
+
+@query
+def unmerged_splits(spark, sf_dir):
+    return sequences.unmerged_splits(lines(spark, sf_dir))
+
+
+@query
+def callout_runs(spark, sf_dir):
+    colour = F.when(F.length("text") % 4 == 0, "pink_callout").when(F.length("text") % 4 == 1, "blue_callout")
+    return sequences.colour_runs(lines(spark, sf_dir), colour).select("doc_id", "seq", "highlight_type", "box_id")
+
+
+@query
+def blank_markers(spark, sf_dir):
+    return sequences.blank_markers(typed(spark, sf_dir).withColumn("type", F.when(F.length("text") < 60, "header").otherwise(F.col("type"))))
+
+
+@query
+def page_dedup(spark, sf_dir):
+    pages = read(spark, sf_dir, "documents").select(F.concat_ws("/", "lang", F.floor(F.col("doc_id") / 1000).cast("string")).alias("file_id"), F.col("doc_id").alias("page_num"), F.coalesce("text", F.lit("")).alias("text"))
+    return sequences.page_dedup(pages, P.SAME_TOPIC_WORDS).select("file_id", "page_num")
+
+
+@query
+def covered_blocks(spark, sf_dir):
+    boxed = B.with_box(lines(spark, sf_dir))
+    rects = boxed.where("seq % 5 = 0").select("file_id", "page_num", F.col("x0").alias("rx0"), (F.col("y0") - 20).alias("ry0"), (F.col("x0") + 200).alias("rx1"), (F.col("y1") - 5).alias("ry1"))
+    return sequences.covered(boxed, rects).select("doc_id", "seq")
+
+
+@query
+def normalize_text(spark, sf_dir):
+    return lines(spark, sf_dir).select("doc_id", "seq", T.normalized(F.col("text")).alias("text"))
+
+
+@query
+def correct_text_basic(spark, sf_dir):
+    return read(spark, sf_dir, "documents").select("doc_id", T.basic_correction(ascii_only(F.coalesce("text", F.lit("")))).alias("text"))
+
+
+@query
+def correct_text(spark, sf_dir):
+    docs = lines(spark, sf_dir)
+    fixed = T.correction(F.col("text"))
+    return docs.select("doc_id", "seq", fixed.alias("text"), (fixed != T.strip(F.col("text"))).alias("was_corrected"))
+
+
+@query
+def chunk_fold(spark, sf_dir):
+    return chunks.chunks(lines(spark, sf_dir)).select("doc_id", "chunk_id", "text", "character_count", F.concat_ws(",", F.transform("block_ids", lambda x: x.cast("string"))).alias("block_ids"))
+
+
+@query
+def chunk_stats(spark, sf_dir):
+    return chunks.stats(chunks.chunks(lines(spark, sf_dir)))
+
+
+@query
+def chunk_totals(spark, sf_dir):
+    return chunks.totals(chunks.chunks(lines(spark, sf_dir)))
+
+
+@query
+def point_ids(spark, sf_dir):
+    return chunks.chunks(lines(spark, sf_dir)).select("doc_id", "chunk_id", T.uuid5(F.concat_ws(":", F.col("doc_id").cast("string"), "chunk_id")).alias("point_id"))
+
+
+@query
+def upsert(spark, sf_dir):
+    old = read(spark, sf_dir, "documents").select("doc_id", F.lit("old").alias("version"))
+    new = old.where("doc_id % 3 = 0").withColumn("version", F.lit("new")).unionByName(old.where("doc_id % 10 = 1").select((-F.col("doc_id") - 1).alias("doc_id"), F.lit("new").alias("version")))
+    return registry.upserted(old, new, "doc_id")
+
+
+@query
+def latest_status(spark, sf_dir):
+    events = read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("value"))
+    return registry.latest(events, "user_id", "event_id", ["event_type", "value"])
+
+
+@query
+def status_funnel(spark, sf_dir):
+    states = F.array(*(F.lit(s) for s in ("registered", "extracting", "extracted", "preprocessing", "preprocessed", "embedding", "ingested", "failed")))
+    return read(spark, sf_dir, "documents").groupBy(F.element_at(states, (F.col("doc_id") % 8 + 1).cast("int")).alias("status")).agg(F.count("*").alias("n"))
+
+
+@query
+def knn_top10(spark, sf_dir):
+    v = read(spark, sf_dir, "embeddings")
+    return vectors.nearest(v.where("vec_id % 50 = 0"), v.where("vec_id % 50 != 0")).select("query_id", "vec_id", "score", "rank")
+
+
+@query
+def recall_mrr_ndcg(spark, sf_dir):
+    v = read(spark, sf_dir, "embeddings")
+    queries = v.where("vec_id % 50 = 0")
+    return vectors.measures(vectors.first_hits(vectors.nearest(queries, v.where("vec_id % 50 != 0")), queries))
+
+
+@query
+def hashed_embedding(spark, sf_dir):
+    found = vectors.embedded(read(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select("item_id", F.size("vector").alias("dims"), F.round(vectors.dot(F.col("vector"), F.col("vector")), 4).alias("norm"))
+
+
+@query
+def query_synthesis(spark, sf_dir):
+    text = F.col("text")
+    has = lambda w: F.lower(text).contains(w[1:]) if w[0] == "~" else text.contains(w)
+    q = F.when(F.lit(False), "")
+    for (how, words), found in P.QUERY_RULES:
+        hits = [has(w) for w in words]
+        q = q.when(hits[0] & hits[1] if how == "all" else T.has_any(text, [w for w in words if w[0] != "~"]) | (hits[-1]), found)
+    return chunks.chunks(lines(spark, sf_dir)).select(q.alias("query"), F.format_string("%012d/%s", "doc_id", "chunk_id").alias("c")).where("query is not null").groupBy("query").agg(F.min("c").alias("expected"))
+
+
+@query
+def ner_counts(spark, sf_dir):
+    return entities.label_counts(read(spark, sf_dir, "documents").select(F.concat(F.lower(ascii_only(F.coalesce("text", F.lit("")))), F.lit(" article 21a of the finance act, 1994 and rbi in 1857 ")).alias("text")))
+
+
+@query
+def ner_spans(spark, sf_dir):
+    return entities.with_entities(lines(spark, sf_dir)).select("doc_id", "seq", F.size("entities").alias("n"), F.to_json("entities").alias("entities")).where("n > 0")
+
+
+@query
+def table_filter(spark, sf_dir):
+    return lined_tables(spark, sf_dir).select("doc_id", F.size("rows").alias("row_count"), F.size("headers").alias("column_count"), tables.toc_like(F.col("rows")).alias("toc_like"))
+
+
+@query
+def degenerate_tables(spark, sf_dir):
+    return lined_tables(spark, sf_dir).select("doc_id", tables.degenerate(F.col("headers"), F.col("rows")).alias("reason"))
+
+
+@query
+def table_headers(spark, sf_dir):
+    digits = F.transform("headers", lambda h: F.when(F.col("doc_id") % 2 == 0, F.length(h).cast("string")).otherwise(F.concat(F.lit("<!--"), h)))
+    return lined_tables(spark, sf_dir).select("doc_id", F.array_join(tables.clean_headers(digits), "|").alias("headers"))
+
+
+@query
+def table_repair(spark, sf_dir):
+    t = lined_tables(spark, sf_dir).withColumn("rows", F.concat("rows", F.array(F.array(F.lit("(Adapted from Unit 3)"), F.lit("")))))
+    t = tables.without_phantom(tables.citations_moved(t))
+    return t.select("doc_id", "caption", F.size("rows").alias("row_count"), F.size("headers").alias("column_count"))
+
+
+@query
+def table_row_rescue(spark, sf_dir):
+    return tables.rescued_rows(lined_tables(spark, sf_dir), lines(spark, sf_dir))
+
+
+@query
+def qa_rules(spark, sf_dir):
+    df = typed(spark, sf_dir).withColumns({"is_boilerplate": F.when(F.col("doc_id") % 11 != 0, F.lit(False)), "entities": F.when(F.col("doc_id") % 13 != 0, F.array())})
+    return audit.rules(df)
+
+
+@query
+def confidence(spark, sf_dir):
+    return audit.evaluated(lines(spark, sf_dir)).select("doc_id", "score", "rating")
+
+
+@query
+def rating_rollup(spark, sf_dir):
+    return audit.ratings(audit.evaluated(lines(spark, sf_dir)))
+
+
+@query
+def scan_type(spark, sf_dir):
+    d = read(spark, sf_dir, "documents")
+    pages = d.groupBy(F.col("source").alias("file_id"), (F.floor(F.col("doc_id") / 20) + 1).cast("int").alias("page_num")).agg(F.min(F.substring(F.coalesce("text", F.lit("")), 1, 300)).alias("text"))
+    return files.scanned(pages, below=290.0)
+
+
+@query
+def file_match(spark, sf_dir):
+    d = read(spark, sf_dir, "documents").select(F.concat_ws("/", "source", F.format_string("%d.pdf", "doc_id")).alias("path"))
+    stem = F.regexp_replace("path", r"\.pdf$", "")
+    labels = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id").select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("stem"))
+    return registry.matched(d.select(stem.alias("stem")), labels, "stem")
+
+
+@query
+def html_blocks(spark, sf_dir):
+    return html.html_blocks(read(spark, sf_dir, "pages"))
+
+
+@query
+def json_blocks(spark, sf_dir):
+    block = lambda kind, text: F.struct(F.lit(kind).cast("string").alias("type"), text.alias("text"))
+    several = F.to_json(F.array(block(None, F.substring("text", 1, 20)), block("heading", F.lit(" "))))
+    one = F.to_json(block("list_item", F.substring("text", 1, 10)))
+    d = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, several).otherwise(one).alias("raw"))
+    return files.normalized_blocks(d, "raw")
+
+
+@query
+def document_json(spark, sf_dir):
+    df = typed(spark, sf_dir)
+    ordered = F.array_sort(F.collect_list(F.struct("seq", "type", F.length("text").alias("n"))))
+    return df.groupBy("doc_id").agg(F.to_json(F.struct(F.count("*").alias("total_blocks"), F.transform(ordered, lambda x: x["type"]).alias("types"))).alias("json"))
