@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 
 from leafworks.llm import line_dedup, near_dedup, packing, quality, toxicity
 from leafworks.llm.queries import training_fold
-from leafworks.llm.shared import written
+from leafworks.llm.shared import free, written
 
 TOXIC_FROM = 0.5
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """docs but for the rows whose doc_id is in ids."""
-    return docs.join(ids.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    own = free("_id", docs)
+    return docs.join(ids.select(F.col("doc_id").alias(own)), F.col("doc_id").eqNullSafe(F.col(own)), "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafworks.llm.shared import BLANK_CHARS, small_batches, text_or_empty, written
+from leafworks.llm.shared import BLANK_CHARS, free, small_batches, text_or_empty, written
 
 FILTER_BITS = 1 << 27
 SEGMENT_BITS = 1 << 21
@@ -171,11 +171,12 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_cha
 
     found = written(docs.select(F.col(key).alias("id"), text_or_empty(text).alias("t")).mapInArrow(suspects, f"id {kind}, line binary"))
     repeated = found.groupBy("line").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs).select("line", "keeper")
-    lost = found.join(repeated, "line").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id").agg(F.collect_set("line").alias("_lost"))
-    lost = lost.withColumnRenamed("id", "_id")
-    joined = docs.join(lost, F.col(key).eqNullSafe(F.col("_id")), "left").drop("_id")
+    lost = found.join(repeated, "line").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id").agg(F.collect_set("line").alias("lines"))
+    own_id, own_lines = free("_id", docs), free("_lines", docs)
+    lost = lost.withColumnsRenamed({"id": own_id, "lines": own_lines})
+    joined = docs.join(lost, F.col(key).eqNullSafe(F.col(own_id)), "left").drop(own_id)
     at = joined.columns.index(text)
-    schema = joined.drop("_lost").select("*", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")).schema
+    schema = docs.select("*", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")).schema
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -31,8 +31,8 @@ def settled(array: Column) -> Column:
 
 
 def with_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Adds _text (null: empty), _words and _lines (those with a word)."""
-    out = docs.withColumn("_text", text_or_empty(text))
+    """row (all columns of docs, out of the way of other names), _text (null: empty), _words and _lines (with a word)."""
+    out = docs.select(F.struct("*").alias("row"), text_or_empty(text).alias("_text"))
     words = F.array_remove(F.split("_text", f"{BLANK}+"), "")
     lines = F.filter(F.split("_text", "\n"), lambda x: x.rlike(NON_BLANK))
     return out.withColumns({"_words": settled(words), "_lines": settled(lines)})
@@ -132,16 +132,17 @@ def measured(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS
     but the order of the rules.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "rejected_by", "kept"]
-    df = with_repeats(with_words(docs.drop(*names), text))
+    rest = docs.drop(*names)
+    df = with_repeats(with_words(rest, text))
     verdict = cascade(docs, text, sample_rows)
     df = df.withColumns({"n_words": n_words(), "word_chars": word_chars(), "n_symbols": n_symbols(), "n_dup_lines": n_dup_lines(), "n_repeat_words": F.col("_repeat_words")})
     df = df.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
     df = df.withColumn("rejected_by", F.when(F.col("base_failed"), "base").otherwise(verdict))
-    return df.withColumn("kept", F.col("rejected_by").isNull()).drop("_text", "_words", "_lines", "_repeat_words")
+    return df.withColumn("kept", F.col("rejected_by").isNull()).select("row.*", *names)
 
 
 def accepted(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of docs that no rule rejects, with docs' columns; cheap rules run before the repeated windows."""
     checked = with_words(docs, text).withColumn("_rejected_by", cascade(docs, text, sample_rows))
     checked = with_repeats(checked.where(F.col("_rejected_by").isNull() & (F.size("_words") >= 20)))
-    return checked.where(~base_failed(n_words(), F.col("_repeat_words"))).select(*docs.columns)
+    return checked.where(~base_failed(n_words(), F.col("_repeat_words"))).select("row.*")

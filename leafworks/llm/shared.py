@@ -27,6 +27,14 @@ def without_blanks(text: Column) -> Column:
     return text
 
 
+def free(name: str, df: DataFrame) -> str:
+    """name, or one like it that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bounds the rows that go to a Python worker at once, whatever the length of the texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
