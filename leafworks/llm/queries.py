@@ -70,7 +70,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(table(spark, sf_dir, "pages"))
-    return warc.with_originals(warc.read_archives(manifest))
+    return warc.with_originals(warc.read_archives(manifest, payloads=False))
 
 
 QUERIES = {

@@ -143,9 +143,10 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, key: str = "page_id", h
     return written(resolved(pages, min_bytes, key, html).mapInArrow(run, MANIFEST))
 
 
-def read_archives(manifest: DataFrame) -> DataFrame:
+def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
     """The records of the manifest's files: RECORDS. payload and payload_bytes are null for revisits; digests are
-    computed from the payload for responses and taken from the header for revisits."""
+    computed from the payload for responses and taken from the header for revisits. Without payloads, these are
+    read and measured but not handed on."""
     spark = manifest.sparkSession
     kinds = spark.createDataFrame([], RECORDS).schema
 
@@ -168,11 +169,11 @@ def read_archives(manifest: DataFrame) -> DataFrame:
                         target = head.get(b"WARC-Target-URI")
                         rows.append((
                             head[b"WARC-Record-ID"].decode(), head[b"WARC-Type"].decode(), int(page) if page else None, from_line(target) if target is not None else None,
-                            None if revisit else body, None if revisit else len(body), head[b"WARC-Payload-Digest"][5:].decode() if revisit else digest(body),
+                            body if payloads and not revisit else None, None if revisit else len(body), head[b"WARC-Payload-Digest"][5:].decode() if revisit else digest(body),
                             head[b"WARC-Refers-To"].decode() if revisit else None,
                         ))
                         held += len(body)
-                        if held > 8 << 20 or len(rows) >= 1024:
+                        if (payloads and held > 2 << 20) or len(rows) >= 1024:
                             yield batch(rows)
                             rows, held = [], 0
                 if rows:
