@@ -6,24 +6,34 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafworks.functions import patterns as P
 
 #: What a text must hold before a label's pattern is tried on it: saves its long walks back over texts without a match.
 GUARDS = {"ACT_POLICY": r"(?i)(act|policy),?\s+\d{4}|code\s+of\s"}
+#: Marks that no match of a guarded pattern can span, nor take as part of a word: it is tried on what lies between.
+MARKS = r"[.;:!?\"()\[\]{}/]"
+BETWEEN = re.compile(r"[^.;:!?\"()\[\]{}/]+")
 SPANS = "array<struct<text:string,label:string,start:int,end:int>>"
 
 
+def found_in(text: str, label: str, pattern: re.Pattern) -> Iterator[re.Match]:
+    if label not in GUARDS:
+        yield from pattern.finditer(text)
+    elif re.search(GUARDS[label], text):
+        for part in BETWEEN.finditer(text):
+            if re.search(GUARDS[label], part.group()):
+                yield from pattern.finditer(text, *part.span())
+
+
 def spans(text: str, compiled: list[tuple[str, re.Pattern]]) -> list[dict]:
     """The matches of all labels in the order of their start; one that overlaps an accepted one is dropped."""
     taken: list[tuple[int, int]] = []
     found = []
     for label, pattern in compiled:
-        if label in GUARDS and not re.search(GUARDS[label], text):
-            continue
-        for m in pattern.finditer(text):
+        for m in found_in(text, label, pattern):
             if all(m.end() <= a or m.start() >= b for a, b in taken):
                 taken.append(m.span())
                 found.append({"text": m.group().strip(), "label": label, "start": m.start(), "end": m.end()})
@@ -45,6 +55,12 @@ def with_entities(df: DataFrame, text: str = "text") -> DataFrame:
 
 def label_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """(label, mentions) by each label's pattern alone, inside the JVM."""
-    count = lambda label, p: F.when(F.col(text).rlike(GUARDS.get(label, "")), F.regexp_count(text, F.lit(p))).otherwise(0)
+
+    def count(label: str, p: str) -> Column:
+        if label not in GUARDS:
+            return F.regexp_count(text, F.lit(p))
+        parts = F.filter(F.split(text, MARKS), lambda x: x.rlike(GUARDS[label]))
+        return F.aggregate(parts, F.lit(0), lambda n, x: n + F.regexp_count(x, F.lit(p)))
+
     counts = F.explode(F.array(*(F.struct(F.lit(label).alias("label"), count(label, p).alias("n")) for label, p in P.ENTITIES))).alias("x")
     return df.select(counts).where("x.n > 0").groupBy("x.label").agg(F.sum("x.n").cast("long").alias("mentions"))

@@ -302,7 +302,8 @@ def query_synthesis(spark, sf_dir):
 
 @query
 def ner_counts(spark, sf_dir):
-    return entities.label_counts(read(spark, sf_dir, "documents").select(F.concat(F.lower(ascii_only(F.coalesce("text", F.lit("")))), F.lit(" article 21a of the finance act, 1994 and rbi in 1857 ")).alias("text")))
+    extra = F.when(F.col("seq") % 7 == 0, F.lit(" article 21a of the finance act, 1994 and rbi in 1857 ")).otherwise("")
+    return entities.label_counts(lines(spark, sf_dir).select(F.concat(F.lower(ascii_only(F.col("text"))), extra).alias("text")))
 
 
 @query
