@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafworks.functions import patterns as P
@@ -29,9 +29,27 @@ def matches(c: Column, found: list[str]) -> Column:
     return c.rlike(P.any_of(found))
 
 
-def replaced(c: Column, pairs: list[tuple[str, str]]) -> Column:
-    """Each pattern replaced in turn."""
-    return reduce(lambda a, p: F.regexp_replace(a, p[0], p[1]), pairs, c)
+def literal(pattern: str) -> str:
+    """The plain characters that a pattern starts with (a match holds them all), empty if it has none."""
+    head = re.match(r"(?:\\b)?((?:[^\\\[\](){}?*+.|^$]|\\[.{])*)(.?)", pattern)
+    plain = head[1][:-1] if head[2] and head[2] in "?*{" else head[1]
+    return plain.replace("\\", "")
+
+
+def replaced(c: Column, pairs: list[tuple[str, str]], together: int = 12) -> Column:
+    """Each pattern replaced in turn. Patterns go in groups, tried only on texts that hold the plain characters of one of
+    them; each group's lambda gives the text so far a name, so that it is computed once."""
+
+    def group(few: list[tuple[str, str]]) -> Column:
+        plain = [literal(p) for p, _ in few]
+        chain = lambda x: reduce(lambda a, p: F.regexp_replace(a, p[0], p[1]), few, x)
+        if not all(plain):
+            return chain(c)
+        return F.transform(F.array(c), lambda x: F.when(has_any(x, plain), chain(x)).otherwise(x))[0]
+
+    for k in range(0, len(pairs), together):
+        c = group(pairs[k : k + together])
+    return c
 
 
 def characters(c: Column) -> Column:
@@ -78,13 +96,16 @@ def emphasized(c: Column) -> Column:
     return reduce(lambda a, t: F.regexp_replace(a, rf"(?<![*])\b({re.escape(t)})\b(?![*])", "*$1*"), P.FOREIGN_TERMS, c)
 
 
-def correction(c: Column) -> Column:
-    """All rules of text correction; repeated words and web addresses included."""
-    c = joined_breaks(characters(c))
+def corrected(df: DataFrame, name: str = "text", into: str = "corrected") -> DataFrame:
+    """Adds the text after all rules of correction: the basic ones, repeated words, web addresses, running headers and
+    emphasis. Rules that few texts need are tried only on those that hold one of their words."""
+    c = joined_breaks(characters(F.col(name)))
     c = replaced(c, [*P.DOMAIN_TERMS, *P.CONFUSIONS, *P.SPLIT_WORDS])
-    c = F.regexp_replace(c, r"(?i)\b([a-zA-Z]{3,})\s+\1\b", "$1")
-    c = urls(spaces(c))
-    return strip(emphasized(without_inline_headers(without_header_tail(c))))
+    df = df.withColumn(into, spaces(F.regexp_replace(c, r"(?i)\b([a-zA-Z]{3,})\s+\1\b", "$1")))
+    c = F.col(into)
+    df = df.withColumn(into, F.when(c.contains("://"), urls(c)).otherwise(c))
+    df = df.withColumn(into, F.when(has_any(c, P.RUNNING_HEADERS), without_inline_headers(without_header_tail(c))).otherwise(c))
+    return df.withColumn(into, strip(F.when(has_any(c, P.FOREIGN_TERMS), emphasized(c)).otherwise(c)))
 
 
 def uuid5(name: Column, namespace: str = "6ba7b8109dad11d180b400c04fd430c8") -> Column:

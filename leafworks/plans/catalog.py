@@ -226,9 +226,8 @@ def correct_text_basic(spark, sf_dir):
 
 @query
 def correct_text(spark, sf_dir):
-    docs = lines(spark, sf_dir)
-    fixed = T.correction(F.col("text"))
-    return docs.select("doc_id", "seq", fixed.alias("text"), (fixed != T.strip(F.col("text"))).alias("was_corrected"))
+    found = T.corrected(lines(spark, sf_dir))
+    return found.select("doc_id", "seq", F.col("corrected").alias("text"), (F.col("corrected") != T.strip(F.col("text"))).alias("was_corrected"))
 
 
 @query
@@ -302,7 +301,7 @@ def query_synthesis(spark, sf_dir):
 
 @query
 def ner_counts(spark, sf_dir):
-    extra = F.when(F.col("seq") % 7 == 0, F.lit(" article 21a of the finance act, 1994 and rbi in 1857 ")).otherwise("")
+    extra = F.when(F.col("seq") % 7 == 0, F.lit(". article 21a of the finance act, 1994 and rbi in 1857 ")).otherwise("")
     return entities.label_counts(lines(spark, sf_dir).select(F.concat(F.lower(ascii_only(F.col("text"))), extra).alias("text")))
 
 

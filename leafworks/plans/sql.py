@@ -185,7 +185,7 @@ ORACLE_SQL |= {
       SELECT count(*) AS queries, round(avg(CASE WHEN rank > 0 THEN 1 / rank ELSE 0 END), 6) AS mrr, round(avg(CASE WHEN rank BETWEEN 1 AND 5 THEN 1 / log2(rank + 1) ELSE 0 END), 6) AS ndcg5,
       round(avg(CAST(rank BETWEEN 1 AND 5 AS INTEGER)), 6) AS recall5, round(avg(CAST(rank BETWEEN 1 AND 10 AS INTEGER)), 6) AS recall10 FROM r""",
     "hashed_embedding": "SELECT item_id, 64 AS dims, 1.0::DOUBLE AS norm FROM benchmark",
-    "ner_counts": f"WITH {LINES}, t AS (SELECT lower({ASCII}) || CASE WHEN seq % 7 = 0 THEN ' article 21a of the finance act, 1994 and rbi in 1857 ' ELSE '' END AS t FROM lines) "
+    "ner_counts": f"WITH {LINES}, t AS (SELECT lower({ASCII}) || CASE WHEN seq % 7 = 0 THEN '. article 21a of the finance act, 1994 and rbi in 1857 ' ELSE '' END AS t FROM lines) "
     + " UNION ALL ".join(f"SELECT {q(label)} AS label, CAST(sum(len(regexp_extract_all(t, {q(p)}))) AS BIGINT) AS mentions FROM t HAVING sum(len(regexp_extract_all(t, {q(p)}))) > 0" for label, p in P.ENTITIES),
     "table_filter": f"WITH {TABLES} SELECT doc_id, CAST(len(rows) AS INTEGER) AS row_count, CAST(len(headers) AS INTEGER) AS column_count, {TOC_LIKE} AS toc_like FROM tab",
     "degenerate_tables": f"WITH {TABLES} SELECT doc_id, {DEGENERATE} AS reason FROM tab",
