@@ -40,6 +40,13 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def opened(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path as Spark writes it (`file:/a`, `/a` or a full URI), and the path there."""
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = uri[len("file:") :]
+    return pafs.FileSystem.from_uri(uri)
+
+
 def record_id(page_id: int | None) -> bytes:
     return b"<urn:uuid:%s>" % str(uuid.uuid5(uuid.NAMESPACE_URL, f"page:{page_id}")).encode()
 
@@ -114,31 +121,28 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, key: str = "page_id", h
     spark = pages.sparkSession
     small_batches(spark)
     folder = f"{scratch(spark)}-warc"
-    if "://" not in folder and not folder.startswith("file:"):
-        folder = f"file://{folder}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = pafs.FileSystem.from_uri(folder.replace("file:/", "file:///", 1) if folder.startswith("file:/") and "://" not in folder else folder)
-        out, path, n, size, done = None, "", 0, 0, []
+        fs, base = opened(folder)
+        out, name, n, size, done = None, "", 0, 0, []
         for b in batches:
             for page_id, uri, text, refers_to, revisit in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if out is None:
                     fs.create_dir(base, recursive=True)
-                    path, n, size = f"{base}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = fs.open_output_stream(path, compression=None)
+                    name, n, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
+                    out = fs.open_output_stream(f"{base}/{name}", compression=None)
                 data = gzip.compress(record(page_id, uri, text.encode(), refers_to, revisit), level, mtime=0)
                 out.write(data)
                 n, size = n + 1, size + len(data)
                 if size >= FILE_BYTES:
                     out.close()
-                    done.append((path, n, size))
+                    done.append((f"{folder}/{name}", n, size))
                     out = None
         if out is not None:
             out.close()
-            done.append((path, n, size))
-        uri_of = folder[: len(folder) - len(base)] if folder.endswith(base) else "file://"
-        paths = [uri_of + p for p, _, _ in done]
-        yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array([x[1] for x in done], pa.int64()), pa.array([x[2] for x in done], pa.int64())], names=["path", "records", "bytes"])
+            done.append((f"{folder}/{name}", n, size))
+        columns = zip(("path", "records", "bytes"), (pa.string(), pa.int64(), pa.int64()), strict=True)
+        yield pa.RecordBatch.from_pydict({c: pa.array([x[k] for x in done], kind) for k, (c, kind) in enumerate(columns)})
 
     return written(resolved(pages, min_bytes, key, html).mapInArrow(run, MANIFEST))
 
@@ -160,7 +164,7 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
 
         for b in batches:
             for uri in b.column(0).to_pylist():
-                fs, path = pafs.FileSystem.from_uri(uri)
+                fs, path = opened(uri)
                 rows, held = [], 0
                 with fs.open_input_stream(path, compression=None) as raw, gzip.GzipFile(fileobj=raw) as stream:
                     for head, body in parsed(io.BufferedReader(stream, 1 << 20)):
