@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from leafworks.functions import text as T
 
-STATE = "struct<done:array<struct<text:string,ids:array<int>>>,cur:string,ids:array<int>>"
-
 
 def chunks(df: DataFrame, size: int = 1000, overlap: int = 200) -> DataFrame:
     """(file_id, doc_id, chunk_no, chunk_id, text, character_count, block_ids) from blocks (file_id, doc_id, seq, text).
@@ -19,7 +17,6 @@ def chunks(df: DataFrame, size: int = 1000, overlap: int = 200) -> DataFrame:
     """
     text = T.strip(F.col("text"))
     rows = df.withColumn("text", text).where("text != ''").groupBy("file_id", "doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("blocks"))
-    start = F.lit(None).cast(STATE)
     start = F.struct(F.array().cast("array<struct<text:string,ids:array<int>>>").alias("done"), F.lit("").alias("cur"), F.array().cast("array<int>").alias("ids"))
 
     def step(s, b):
