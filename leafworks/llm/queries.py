@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafworks.llm import bpe, chat, exact_dedup, line_dedup, near_dedup, packing, quality, token_counts, toxicity, warc
+from leafworks.llm.sql import ORACLE_SQL  # noqa: F401
 
 TOKEN_LIMIT = 2048
 
@@ -85,4 +86,3 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
 }
-ORACLE_SQL: dict[str, str] = {}
