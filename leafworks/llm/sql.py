@@ -36,8 +36,8 @@ NEAR_DEDUP = """WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate
   n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
   shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
   links AS (SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
-  both AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
-  reached AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reached.doc_id, both.y FROM reached JOIN both ON both.x = reached.r),
+  ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+  reached AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reached.doc_id, ways.y FROM reached JOIN ways ON ways.x = reached.r),
   c AS (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY 1)
   SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)"""
 
