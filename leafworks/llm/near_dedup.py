@@ -10,10 +10,13 @@
    with the documents, not with the square of a bucket. Pairs whose set sizes alone rule out a link are left out.
 4. Round one confirms one pair a document, with the hub that shares the most buckets, on the full shingle sets.
    Round two confirms all other star pairs whose ends are still in different components.
-5. Components come from alternating large-star and small-star steps on tables, never on the driver.
+5. Buckets that still hold several components are open. Each gets one more hub, the member that shares the most
+   open buckets with others; then all pairs of an open bucket's members in different components are tested on the
+   full sets, in blocks of BLOCK members, so that a hot bucket becomes many small tasks. No pair of a bucket is left out.
+6. Components come from alternating large-star and small-star steps on tables, never on the driver.
 
 A link is missed only if no band catches it, at a similarity of 0.75 with probability (1 - 0.75**ROWS)**BANDS =
-5e-6, or if in all its buckets the hubs fail to connect its ends though they are linked themselves.
+5e-6.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ from leafworks.llm.shared import small_batches, text_or_empty, written
 WORDS, PERCENT = 5, 75
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
+#: Members of an open bucket that are compared with one another, or with as many others, at a time.
+BLOCK = 64
 #: Odd multiplier of the rolling sums, its inverse, and multipliers that mix hashes (fixed values).
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -218,6 +223,79 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> D
     return with_both.select("hub", "member", "ht", "mt").mapInArrow(run, "hub long, member long")
 
 
+def open_buckets(reps: DataFrame, joined: DataFrame) -> DataFrame:
+    """(band, bucket, n, id, component) of the n members of each bucket that holds several components, written; of
+    buckets with the same members the one of the smallest band stays."""
+    own = F.coalesce("component", "id").alias("component")
+    rows = reps.join(joined, "id", "left").select("id", "digest", own, F.posexplode("bands").alias("band", "bucket"))
+    sums = [F.bit_xor(F.xxhash64("id", "digest", F.lit(k))).alias(f"x{k}") for k in range(2)]
+    found = rows.groupBy("band", "bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), *sums).where("low < high")
+    found = found.groupBy("n", "x0", "x1").agg(F.min(F.struct("band", "bucket")).alias("b")).select("b.band", "b.bucket", "n")
+    return written(rows.join(found, ["band", "bucket"]).select("band", "bucket", "n", "id", "component"))
+
+
+def central_pairs(rows: DataFrame) -> DataFrame:
+    """(hub, member) of the pairs of each open bucket's most central member with those of other components."""
+    central = rows.groupBy("id").agg(F.sum("n").alias("near"))
+    hubs = rows.join(central, "id").groupBy("band", "bucket").agg(F.max_by(F.struct("id", "component"), F.struct("near", -F.col("id"))).alias("h"))
+    pairs = rows.join(hubs, ["band", "bucket"]).where("component != h.component")
+    return pairs.select(F.least("id", "h.id").alias("hub"), F.greatest("id", "h.id").alias("member")).distinct()
+
+
+def bucket_links(rows: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
+    """(hub, member) of similar members of an open bucket that are in different components; a pair is tested in the
+    first band that it shares, and not once its ends are known to be connected."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sets = [s.tobytes() for s in shingle_sets([t.encode() for t in b.column(1).to_pylist()], words)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["id", "s"])
+
+    def compared(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
+        band, _, low, high = key
+        ids, group, own = (np.array([r[k] for r in held], np.int64) for k in range(3))
+        keys, sets = np.array([r[3] for r in held], np.int64), [np.frombuffer(r[4], np.uint64) for r in held]
+        n, out = np.array([len(s) for s in sets]), []
+        for i in range(len(held) - 1):
+            fits = (group[i + 1 :] != group[i]) & (100 * n[i + 1 :] >= percent * n[i]) & (100 * n[i] >= percent * n[i + 1 :]) & (n[i + 1 :] > 0)
+            if low != high:
+                fits &= own[i + 1 :] != own[i]
+            at = np.flatnonzero(fits) + i + 1
+            at = at[(keys[at] == keys[i]).argmax(axis=1) == band]
+            if len(at) and n[i]:
+                both = np.concatenate([sets[j] for j in at])
+                place = np.minimum(np.searchsorted(sets[i], both), n[i] - 1)
+                shared = np.add.reduceat((sets[i][place] == both).astype(np.int64), np.concatenate([[0], np.cumsum(n[at])[:-1]]))
+                for j in at[100 * shared >= percent * (n[i] + n[at] - shared)].tolist():
+                    if group[j] != group[i]:
+                        out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                        group[group == group[j]] = group[i]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["hub", "member"])
+
+        last, held = None, []
+        for b in batches:
+            found = []
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if row[:4] != last:
+                    found += compared(last, held) if held else []
+                    last, held = row[:4], []
+                held.append(row[4:])
+            yield made(found)
+        yield made(compared(last, held) if held else [])
+
+    members = written(rows.select("id").distinct().join(texts, "id").select("id", "t").mapInArrow(hashed, "id long, s binary"))
+    blocks = F.ceil(F.col("n") / BLOCK)
+    dealt = rows.withColumn("own", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    key = ["band", "bucket", "low", "high"]
+    dealt = dealt.select("band", "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "component", "own")
+    dealt = dealt.join(reps.select("id", "bands"), "id").join(members, "id").select(*key, "id", "component", "own", "bands", "s")
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "hub long, member long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of each end of an edge, component the smallest id reachable.
 
@@ -262,10 +340,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     rest = pairs.join(best, ["hub", "member"], "left_anti")
     rest = rest.join(joined.select(F.col("id").alias("hub"), F.col("component").alias("hc")), "hub", "left").join(joined.select(F.col("id").alias("member"), F.col("component").alias("mc")), "member", "left")
     rest = written(rest.where(F.coalesce("hc", "hub") != F.coalesce("mc", "member")).select("hub", "member"))
-    more = confirmed(rest, texts, percent, words)
+    links = written(links.unionByName(confirmed(rest, texts, percent, words)))
+    rows = open_buckets(reps, components(links))
+    if rows.limit(1).count():
+        links = written(links.unionByName(confirmed(central_pairs(rows), texts, percent, words)))
+        rows = open_buckets(reps, components(links))
+        links = written(links.unionByName(bucket_links(rows, reps, texts, percent, words)))
     # Links of equal sets: each document to the smallest of its set; rows that repeat a key link their sets.
     copies = with_set.join(reps.select("digest", F.col("id").alias("rep")), "digest").where("id != rep").select(F.col("rep").alias("hub"), F.col("id").alias("member"))
-    near = components(links.unionByName(more).unionByName(copies))
+    near = components(links.unionByName(copies))
     found = sketched.join(near, "id", "left")
     component = F.coalesce("component", "id")
     return found.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))

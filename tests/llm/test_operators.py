@@ -169,6 +169,53 @@ def test_near_dedup_chains(spark):
     assert sum(found[i] != want[i] for i in want) == 0
 
 
+def dense_components(texts):
+    """components(), by one product of matrices."""
+    import numpy as np
+
+    ids, sets = [i for i, _ in texts], [shingles(t) for _, t in texts]
+    number = {x: k for k, x in enumerate(sorted(set().union(*sets)))}
+    held = np.zeros((len(sets), len(number)), np.float32)
+    for row, s in zip(held, sets, strict=True):
+        row[[number[x] for x in s]] = 1
+    both, n = held @ held.T, held.sum(axis=1)
+    near, group = 100 * both >= 75 * (n[:, None] + n - both), np.array(ids)
+    while (low := np.where(near, group, max(ids)).min(axis=1)).tolist() != group.tolist():
+        group = low
+    return dict(zip(ids, group.tolist(), strict=True))
+
+
+def test_near_dedup_joins_variants_by_their_original(spark):
+    r = random.Random(11)
+    original = sentences(400, 200).split()
+    texts = [(500, " ".join(original))]
+    for k in range(1001):
+        words = list(original)
+        for at in r.sample(range(8, 192, 8), 5):
+            words[at] = f"w{r.random()}"
+        texts += [(k, " ".join(words))] if k != 500 else []
+    want, df = dense_components(texts), spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    assert set(want.values()) == {0} and len(set(dense_components(texts[1:]).values())) > 900
+    assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df).collect()} == want
+
+
+def test_open_buckets_are_compared_in_full(spark):
+    r = random.Random(12)
+    texts = []
+    for g in range(3):
+        original = sentences(410 + g, 200).split()
+        for _ in range(150):
+            words = list(original)
+            for at in r.sample(range(15, 190, 12), 4):
+                words[at] = f"w{r.randrange(3)}"
+            texts.append((len(texts), " ".join(words)))
+    want, df = dense_components(texts), spark.createDataFrame(texts, "id long, t string")
+    reps = near_dedup.sketches(df, "id", "t").groupBy("digest").agg(F.min("id").alias("id"), F.max("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    links = near_dedup.bucket_links(near_dedup.open_buckets(reps, spark.createDataFrame([], "id long, component long")), reps, df, 75, 5)
+    found, ids = {r.id: r.component for r in near_dedup.components(links).collect()}, [r.id for r in reps.collect()]
+    assert {i: found.get(i, i) for i in ids} == {i: want[i] for i in ids} and len(set(want.values())) < len(ids)
+
+
 def test_long_texts_have_the_same_shingles(monkeypatch):
     text = sentences(9, 3000).encode()
     whole = near_dedup.shingle_sets([text])[0]
