@@ -130,6 +130,7 @@ RUNNING_HEADERS = [
 FOREIGN_TERMS = ["schwerpunkt", "auftragstaktik", "blitzkrieg", "levee en masse", "volk", "volksgemeinschaft", "jihad", "jehad", "ghazi", "Kesselschlacht", "kesselschlacht"]
 HYPHEN_BREAK = r"(\b[a-zA-Z]{2,})-\s*\n\s*([a-zA-Z]{2,}\b)"
 URL_SPACE = r"(https?://\S*?)\s+(\S*(?:\.[a-zA-Z]{2,}|/)\S*)"
+DIACRITICS = "ṇṣśñṭḍṛḷṃḥĀāĪīŪūṚṜṝḶḸḹṂḤÑṬḌṆŚṢ"
 
 # Block clean-up.
 GARBAGE_TOKENS = ["headright", "boxshadowdwn", "boxshadow"]

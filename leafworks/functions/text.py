@@ -73,9 +73,18 @@ def basic_correction(c: Column) -> Column:
     return strip(spaces(replaced(c, [*P.DOMAIN_TERMS, *P.CONFUSIONS, *P.SPLIT_WORDS])))
 
 
-def urls(c: Column, rounds: int = 8) -> Column:
-    """Spaces inside web addresses removed, up to as many times as rounds says."""
-    return reduce(lambda a, _: F.regexp_replace(a, P.URL_SPACE, "$1$2"), range(rounds), c)
+def urls(c: Column) -> Column:
+    """Spaces inside web addresses removed until none is left: a round removes one at least, so white space bounds them."""
+    rounds = F.sequence(F.lit(0), F.regexp_count(c, F.lit(r"\s")))
+    start = F.struct(F.lit(None).cast("string").alias("before"), c.alias("text"))
+    step = lambda s: F.struct(s["text"].alias("before"), F.regexp_replace(s["text"], P.URL_SPACE, "$1$2").alias("text"))
+    return F.aggregate(rounds, start, lambda s, _: F.when(s["before"].eqNullSafe(s["text"]), s).otherwise(step(s)))["text"]
+
+
+def diacritics(c: Column) -> Column:
+    """Transliteration letters split off their words rejoined: those between two parts of a word, then those after one."""
+    word, space, mark = r"([\p{L}\p{N}_])", r"[\s\x0B\x1C-\x1F\x85\p{Z}]", f"([{P.DIACRITICS}])"
+    return F.regexp_replace(F.regexp_replace(c, f"{word}{space}+{mark}{space}*{word}", "$1$2$3"), f"{word}{space}+{mark}", "$1$2")
 
 
 def without_header_tail(c: Column) -> Column:
@@ -97,12 +106,13 @@ def emphasized(c: Column) -> Column:
 
 
 def corrected(df: DataFrame, name: str = "text", into: str = "corrected") -> DataFrame:
-    """Adds the text after all rules of correction: the basic ones, repeated words, web addresses, running headers and
-    emphasis. Rules that few texts need are tried only on those that hold one of their words."""
+    """Adds the text after all rules of correction: the basic ones, repeated words, split diacritics, web addresses, running
+    headers and emphasis. Rules that few texts need are tried only on those that hold one of their words."""
     c = joined_breaks(characters(F.col(name)))
     c = replaced(c, [*P.DOMAIN_TERMS, *P.CONFUSIONS, *P.SPLIT_WORDS])
-    df = df.withColumn(into, spaces(F.regexp_replace(c, r"(?i)\b([a-zA-Z]{3,})\s+\1\b", "$1")))
+    df = df.withColumn(into, F.regexp_replace(c, r"(?i)\b([a-zA-Z]{3,})\s+\1\b", "$1"))
     c = F.col(into)
+    df = df.withColumn(into, spaces(F.when(c.rlike(f"[{P.DIACRITICS}]"), diacritics(c)).otherwise(c)))
     df = df.withColumn(into, F.when(c.contains("://"), urls(c)).otherwise(c))
     df = df.withColumn(into, F.when(has_any(c, P.RUNNING_HEADERS), without_inline_headers(without_header_tail(c))).otherwise(c))
     return df.withColumn(into, strip(F.when(has_any(c, P.FOREIGN_TERMS), emphasized(c)).otherwise(c)))

@@ -150,3 +150,11 @@ def test_stream_upserts_by_key(spark, tmp_path):
         stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).json(f"file://{tmp_path}/s")
         ingest.upsert_stream(stream, lambda d: d, path, "id", f"file://{tmp_path}/ck").awaitTermination()
     assert {tuple(r) for r in spark.read.schema(shape).parquet(f"{path}/version=1").collect()} == {(1, "a"), (2, "c")}
+
+
+def test_correction_rejoins_diacritics_and_long_addresses(spark):
+    split = "http://a.in/" + " ".join(f"p{k}/" for k in range(20))
+    rows = [(0, "Hir ṇ ayak ṣ a"), (1, "Pur ā"), (2, f"see {split} end"), (3, "a ṇ"), (4, "plain text")]
+    found = T.corrected(spark.createDataFrame(rows, "k int, text string"))
+    want = ["Hirṇayakṣa", "Purā", "see " + split.replace(" ", "") + " end", "aṇ", "plain text"]
+    assert [r.corrected for r in found.orderBy("k").collect()] == want
