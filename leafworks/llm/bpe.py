@@ -1,9 +1,10 @@
 """Byte-level BPE encoding and decoding with the tiktoken library and a local rank file.
 
-Long texts are cut at safe boundaries before they are encoded: between a character that isn't white space
-and a single space that a character other than white space follows. The pattern starts a new match at every
-such space, so the ids of the parts are the ids of the whole. Decoding joins the tokens' raw bytes, so ids
-that cut a character in two still give back the exact bytes.
+Long texts are cut at safe boundaries before they are encoded: where white space follows another character. The
+pattern starts a new match there, so the ids of the parts are the ids of the whole. Long runs of white space,
+which the library's matcher can't go through (it keeps a state for each character), are matched by another
+engine, and each match is given to the encoder as one piece. Decoding joins the tokens' raw bytes, so ids that
+cut a character in two still give back the exact bytes.
 """
 
 from __future__ import annotations
@@ -15,13 +16,19 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
 from leafworks.llm.shared import small_batches
 
 #: Characters after which the next safe boundary is taken.
 PART_CHARS = 50_000
-SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: Runs of white space of this length go to the other engine.
+RUN_CHARS = 1000
+#: Unicode's white space, as the pattern's `\s` has it.
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SAFE = re.compile(f"(?<=[^{SPACES}])(?=[{SPACES}])")
+RUN = re.compile(f"[{SPACES}]{{{RUN_CHARS},}}")
 
 
 @lru_cache(maxsize=4)
@@ -33,6 +40,11 @@ def encoding(path: str, pattern: str):
     return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=4)
+def matcher(pattern: str) -> regex.Pattern:
+    return regex.compile(pattern)
+
+
 def parts(text: str) -> Iterator[str]:
     """The text in parts that can be encoded one by one."""
     start = 0
@@ -46,10 +58,27 @@ def parts(text: str) -> Iterator[str]:
 
 
 def encode(text: str, path: str, pattern: str) -> list[int]:
+    """The ids of a whole text, of any length and with runs of any length.
+
+    pattern: one in which white space after another character begins a match.
+    """
     enc = encoding(path, pattern)
-    if len(text) <= PART_CHARS:
+    if len(text) < RUN_CHARS:
         return enc.encode_ordinary(text)
-    return [i for part in parts(text) for i in enc.encode_ordinary(part)]
+    ids, start = [], 0
+    for run in RUN.finditer(text):
+        for part in parts(text[start : run.start()]):
+            ids += enc.encode_ordinary(part)
+        start, size = run.end(), run.end() - run.start()
+        # With the character after the run: a match that goes beyond the run begins the rest of the text.
+        for match in matcher(pattern).finditer(text[run.start() : run.end() + 1]):
+            if match.end() > size:
+                start = run.start() + match.start()
+                break
+            ids += enc._encode_single_piece(match.group())
+    for part in parts(text[start:]):
+        ids += enc.encode_ordinary(part)
+    return ids
 
 
 def decode(ids: list[int], path: str, pattern: str) -> bytes:
