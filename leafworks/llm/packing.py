@@ -2,8 +2,9 @@
 
 1. One pass tokenises the texts and cuts documents longer than a sequence into pieces: whole sequences, and one
    shorter first piece. Pieces are written once, as narrow rows.
-2. Pieces are dealt over islands of about ISLAND_PIECES each. An island's chromosome is a set of bins; a bin is
-   the multiset of its pieces' lengths, so pieces of one length stand for each other.
+2. A piece that fills a sequence is one by itself and goes no further. The others are dealt in turn, from another
+   beginning in each task, over islands of about ISLAND_PIECES each. An island's chromosome is a set of bins; a bin is the multiset
+   of its pieces' lengths, so pieces of one length stand for each other.
 3. Each island breeds: a crossover injects whole well-filled bins of another parent, removes bins that hold pieces
    which are used up by that (the duplicates), and puts the displaced pieces back by best fit. Mutation empties
    badly filled bins. Fitness is fewer bins, then fuller bins. An island rests once it meets the lower bound.
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafworks.llm.bpe import encoding
+from leafworks.llm.bpe import encode
 from leafworks.llm.shared import small_batches, written
 
 CAPACITY = 1024
@@ -55,12 +56,12 @@ class TokenIds:
         self.library.no_truncation()
         self.library.no_padding()
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.ranks = encoding(rank_path, pattern)
+        self.rank_path, self.pattern = rank_path, pattern
         self.parts: dict[str, bytes | None] = {}
 
     def whole(self, text: str) -> bytes:
         if text and max(text) < COMMON:
-            return array("I", self.ranks.encode_ordinary(text)).tobytes()
+            return array("I", encode(text, self.rank_path, self.pattern)).tobytes()
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
     def part(self, part: str) -> bytes | None:
@@ -102,21 +103,24 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, json_path: str, rank_path: str, pattern: str, key: str, text: str, capacity: int = CAPACITY) -> DataFrame:
-    """PIECES, written: a row for each piece of each row of docs. deal tells rows apart, whatever they hold."""
+    """PIECES, written: a row for each piece of each row of docs. deal numbers a task's short pieces, and apart from
+    them its whole ones, above the task's number times 2**33."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         ids_of, end = token_ids(json_path, rank_path, pattern), array("I", [END_ID]).tobytes()
-        deal = TaskContext.get().partitionId() << 33
+        task = TaskContext.get().partitionId() << 33
+        deal = [task, task]
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "deal"]
         for b in batches:
             rows = []
             for doc, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ids = (ids_of(t) if t else b"") + end
                 for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                    rows.append((doc, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), deal))
-                    deal += 1
+                    full = length == capacity
+                    rows.append((doc, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), deal[full]))
+                    deal[full] += 1
             columns = zip(*rows, strict=True) if rows else [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int32() if n == "piece" else pa.int64()) for c, n in zip(columns, names, strict=True)], names=names)
 
@@ -231,9 +235,10 @@ class Island:
 
 def packed(found: DataFrame, capacity: int = CAPACITY, island_pieces: int = ISLAND_PIECES, generations: int = GENERATIONS) -> DataFrame:
     """Rows of PIECES without deal, with sequence_id and offset."""
-    short = found.where(F.col("length") < capacity).count()
-    islands = max(1, -(-short // island_pieces))
-    dealt = found.withColumn("island", F.pmod("deal", F.lit(islands)).cast("int"))
+    short = found.where(F.col("length") < capacity)
+    islands = max(1, -(-short.count() // island_pieces))
+    turn = F.col("deal").bitwiseAND((1 << 33) - 1) + F.pmod(F.xxhash64(F.shiftright("deal", 33)), F.lit(islands))
+    dealt = short.withColumn("island", F.pmod(turn, F.lit(islands)).cast("int"))
 
     def first_epoch(frame: pd.DataFrame) -> pd.DataFrame:
         k = int(frame["island"].iloc[0])
@@ -249,21 +254,16 @@ def packed(found: DataFrame, capacity: int = CAPACITY, island_pieces: int = ISLA
         k = int(frame["island"].iloc[0])
         frame = frame.sort_values(["length", "deal"], ignore_index=True)
         lengths = [int(w) for w in frame["length"]]
-        best: list[list[int]] = []
-        loose = [w for w in lengths if w < capacity]
-        if loose:
-            island = Island(loose, capacity, -k - 1)
-            as_lists = lambda rows: [[int(w) for w in b] for b in rows]
-            own = as_lists(bins.loc[bins["own"], "lengths"])
-            island.packings = sorted([island.inject(own, []), *island.packings], key=island.fitness)
-            island.breed(as_lists(bins.loc[~bins["own"], "lengths"]), generations)
-            best = island.packings[0]
+        island = Island(lengths, capacity, -k - 1)
+        as_lists = lambda rows: [[int(w) for w in b] for b in rows]
+        own = as_lists(bins.loc[bins["own"], "lengths"])
+        island.packings = sorted([island.inject(own, []), *island.packings], key=island.fitness)
+        island.breed(as_lists(bins.loc[~bins["own"], "lengths"]), generations)
         waiting: dict[int, list[int]] = {}
         for row, w in enumerate(lengths):
             waiting.setdefault(w, []).append(row)
         bins_of, offsets = [0] * len(lengths), [0] * len(lengths)
-        best = best + [[capacity]] * len(waiting.get(capacity, []))
-        for number, b in enumerate(best):
+        for number, b in enumerate(island.packings[0]):
             at = 0
             for w in b:
                 row = waiting[w].pop()
@@ -273,10 +273,12 @@ def packed(found: DataFrame, capacity: int = CAPACITY, island_pieces: int = ISLA
         frame["offset"] = offsets
         return frame.drop(columns=["deal", "island"])
 
-    small = dealt.where(F.col("length") < capacity).select("island", "length")
-    bins = written(small.groupBy("island").applyInPandas(first_epoch, "island int, own boolean, lengths array<int>"))
+    bins = dealt.select("island", "length").groupBy("island").applyInPandas(first_epoch, "island int, own boolean, lengths array<int>")
     out = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return dealt.groupBy("island").cogroup(bins.groupBy("island")).applyInPandas(second_epoch, out)
+    placed = dealt.groupBy("island").cogroup(written(bins).groupBy("island")).applyInPandas(second_epoch, out)
+    # Sequences of islands have numbers from 0, those of whole pieces have negative ones.
+    whole = found.where(F.col("length") >= capacity).withColumns({"sequence_id": -1 - F.col("deal"), "offset": F.lit(0).cast("long")})
+    return placed.unionByName(whole.drop("deal"))
 
 
 def pack(docs: DataFrame, json_path: str, rank_path: str, pattern: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
