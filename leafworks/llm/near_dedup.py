@@ -3,16 +3,19 @@
 1. One pass over the texts gives each document its sketch: shingles are hashed once (rolling sums over the bytes,
    in numpy), the hash's top bits name one of BINS bins, and each bin keeps its minimum. An empty bin borrows from
    another bin, tried in an order that depends only on the bin and the attempt (optimal densification).
-2. Documents with the same shingle set are linked by the set's 128-bit digest, and only the smallest of them goes
-   on. So thousands of copies make one row.
-3. ROWS bins make a band's key; BANDS keys a document. In each bucket two hubs are taken (the smallest id, and the
+2. Documents with the same shingle set are linked by the set's 128-bit digest, and only the smallest of them, a
+   node of the graph, goes on. So thousands of copies make one row.
+3. ROWS bins make a band's key; BANDS keys a document. In each bucket two hubs are taken (the smallest node, and the
    smallest by a hash that differs from band to band), and each member is paired with the hubs alone: pairs grow
    with the documents, not with the square of a bucket. Pairs whose set sizes alone rule out a link are left out.
-4. Round one confirms one pair a document, with the hub that shares the most buckets, on the full shingle sets.
+4. Round one confirms one pair a node, with the hub that shares the most buckets, on the full shingle sets.
    Round two confirms all other star pairs whose ends are still in different components.
-5. Buckets that still hold several components are open. Each gets one more hub, the member that shares the most
-   open buckets with others; then all pairs of an open bucket's members in different components are tested on the
-   full sets, in blocks of BLOCK members, so that a hot bucket becomes many small tasks. No pair of a bucket is left out.
+5. A bucket whose members besides the hubs still lie in several components is open: pairs of them were never looked
+   at. All members of open buckets go through an exact similarity join: a node's shingles are ordered from rare to
+   frequent (those that only one component holds first), and two nodes that are similar enough share one of the
+   first few of them (a quarter of the larger set, a seventh of the smaller one); such pairs are confirmed on the
+   full sets. Nothing is lost, and text that many documents share comes last in the order, so it makes no pairs
+   unless it is nearly all that both documents have.
 6. Components come from alternating large-star and small-star steps on tables, never on the driver.
 
 A link is missed only if no band catches it, at a similarity of 0.75 with probability (1 - 0.75**ROWS)**BANDS =
@@ -35,8 +38,6 @@ from leafworks.llm.shared import small_batches, text_or_empty, written
 WORDS, PERCENT = 5, 75
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
-#: Members of an open bucket that are compared with one another, or with as many others, at a time.
-BLOCK = 64
 #: Odd multiplier of the rolling sums, its inverse, and multipliers that mix hashes (fixed values).
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -172,132 +173,126 @@ def bands(sign: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
 
-def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, n_shingles, digest, bands) of each row; digest and bands are null without shingles."""
+def sketches(docs: DataFrame, key: str, text: str, words: int = WORDS) -> DataFrame:
+    """(row, id, t, n_shingles, digest, bands) of each row, written; row is unique, digest and bands are null
+    without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        row = TaskContext.get().partitionId() << 33
         for b in batches:
             n, digests, keys = [], [], []
-            for s in shingle_sets([t.encode() for t in b.column(1).to_pylist()]):
+            for s in shingle_sets([t.encode() for t in b.column(1).to_pylist()], words):
                 n.append(len(s))
                 digests.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 keys.append(bands(signature(s)) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "n_shingles", "digest", "bands"])
-
-    return docs.select(F.col(key).cast("long").alias("id"), text_or_empty(text).alias("t")).mapInArrow(run, "id long, n_shingles long, digest binary, bands array<long>")
-
-
-def star_pairs(reps: DataFrame, percent: int) -> DataFrame:
+            columns = {
+                "row": pa.array(np.arange(row, row + len(n))), "id": b.column(0), "t": b.column(1), "n_shingles": pa.array(n, pa.int64()),
+                "digest": pa.array(digests, pa.binary()), "bands": pa.array(keys, pa.list_(pa.int64())),
+            }
+            row += len(n)
+            yield pa.RecordBatch.from_pydict(columns)
+
+    rows = docs.select(F.col(key).cast("long").alias("id"), text_or_empty(text).alias("t"))
+    return written(rows.mapInArrow(run, "row long, id long, t string, n_shingles long, digest binary, bands array<long>"))
+
+
+def bucket_members(reps: DataFrame) -> DataFrame:
+    """(band, bucket, node, size, n, low, low_size, drawn, drawn_size) of each member of a bucket of n > 1 nodes,
+    written; low and drawn are the bucket's hubs."""
+    rows = reps.select("node", F.col("n_shingles").alias("size"), F.posexplode("bands").alias("band", "bucket"))
+    mask = F.xxhash64("band")  # the smallest node after this mask is another member in each band
+    drawn = F.min(F.col("node").bitwiseXOR(mask))
+    found = rows.groupBy("band", "bucket").agg(F.count("*").alias("n"), F.min("node").alias("low"), drawn.alias("drawn")).where("n > 1")
+    found = found.withColumn("drawn", F.col("drawn").bitwiseXOR(mask))
+    for hub in ("low", "drawn"):
+        found = found.join(reps.select(F.col("node").alias(hub), F.col("n_shingles").alias(f"{hub}_size")), hub)
+    return written(rows.join(found, ["band", "bucket"]))
+
+
+def star_pairs(members: DataFrame, percent: int) -> DataFrame:
     """(hub, member, shared) of each pair of a bucket's hub and another member: hub < member, buckets shared."""
-    rows = reps.select("id", F.posexplode("bands").alias("band", "bucket"))
-    mask = F.xxhash64("band")  # the smallest id after this mask is another member in each band
-    hubs = rows.groupBy("band", "bucket").agg(F.min("id").alias("low"), F.min(F.col("id").bitwiseXOR(mask)).alias("drawn"), F.count("*").alias("n")).where("n > 1")
-    hubs = hubs.select("band", "bucket", F.explode(F.array("low", F.col("drawn").bitwiseXOR(mask))).alias("h"))
-    pairs = rows.join(hubs, ["band", "bucket"]).where("id != h")
-    pairs = pairs.groupBy(F.least("id", "h").alias("hub"), F.greatest("id", "h").alias("member")).agg(F.count("*").alias("shared"))
-    sizes = reps.groupBy("id").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
-    for end in ("hub", "member"):
-        pairs = pairs.join(sizes.select(F.col("id").alias(end), F.col("least").alias(f"{end}_least"), F.col("most").alias(f"{end}_most")), end)
-    fits = (100 * F.col("hub_most") >= percent * F.col("member_least")) & (100 * F.col("member_most") >= percent * F.col("hub_least"))
-    return pairs.where(fits).select("hub", "member", "shared")
+    hubs = F.array(*(F.struct(F.col(h).alias("h"), F.col(f"{h}_size").alias("h_size")) for h in ("low", "drawn")))
+    pairs = members.select("node", "size", F.inline(hubs)).where(f"node != h AND 100 * size >= {percent} * h_size AND 100 * h_size >= {percent} * size")
+    return pairs.groupBy(F.least("node", "h").alias("hub"), F.greatest("node", "h").alias("member")).agg(F.count("*").alias("shared"))
+
 
+def confirmed(pairs: DataFrame, held: DataFrame, percent: int, words: int) -> DataFrame:
+    """(hub, member) of the pairs whose full sets are similar enough. held: (node, v), one row a node; v is a text,
+    or the sorted array of its shingles."""
+    texts = held.schema["v"].dataType.simpleString() == "string"
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
-    """(hub, member) of the pairs whose full shingle sets are similar enough. texts: (id, t), one row an id."""
+    def sets_of(column: pa.Array) -> list[np.ndarray]:
+        if texts:
+            return shingle_sets([t.encode() for t in column.to_pylist()], words)
+        return [v.values.to_numpy() for v in column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             hubs, members = b.column(0).to_numpy(), b.column(1).to_numpy()
-            left, right = b.column(2).to_pylist(), b.column(3).to_pylist()
             keep, last, one = np.zeros(len(hubs), bool), None, None
-            sets = shingle_sets([t.encode() for t in right], words)
-            for i, (h, t) in enumerate(zip(hubs, left, strict=True)):
+            for i, (h, other) in enumerate(zip(hubs, sets_of(b.column(3)), strict=True)):
                 if h != last:
-                    last, one = h, shingle_sets([t.encode()], words)[0]
-                both = np.intersect1d(one, sets[i], assume_unique=True).size
-                keep[i] = 100 * both >= percent * (len(one) + len(sets[i]) - both)
+                    last, one = h, sets_of(b.column(2).slice(i, 1))[0]
+                both = np.intersect1d(one, other, assume_unique=True).size
+                keep[i] = 100 * both >= percent * (len(one) + len(other) - both)
             yield pa.RecordBatch.from_arrays([pa.array(hubs[keep]), pa.array(members[keep])], names=["hub", "member"])
 
-    with_member = pairs.join(texts.select(F.col("id").alias("member"), F.col("t").alias("mt")), "member")
-    with_both = with_member.join(texts.select(F.col("id").alias("hub"), F.col("t").alias("ht")), "hub")
-    return with_both.select("hub", "member", "ht", "mt").mapInArrow(run, "hub long, member long")
-
-
-def open_buckets(reps: DataFrame, joined: DataFrame) -> DataFrame:
-    """(band, bucket, n, id, component) of the n members of each bucket that holds several components, written; of
-    buckets with the same members the one of the smallest band stays."""
-    own = F.coalesce("component", "id").alias("component")
-    rows = reps.join(joined, "id", "left").select("id", "digest", own, F.posexplode("bands").alias("band", "bucket"))
-    sums = [F.bit_xor(F.xxhash64("id", "digest", F.lit(k))).alias(f"x{k}") for k in range(2)]
-    found = rows.groupBy("band", "bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"), *sums).where("low < high")
-    found = found.groupBy("n", "x0", "x1").agg(F.min(F.struct("band", "bucket")).alias("b")).select("b.band", "b.bucket", "n")
-    return written(rows.join(found, ["band", "bucket"]).select("band", "bucket", "n", "id", "component"))
+    with_member = pairs.select("hub", "member").join(held.select(F.col("node").alias("member"), F.col("v").alias("mv")), "member")
+    with_both = with_member.join(held.select(F.col("node").alias("hub"), F.col("v").alias("hv")), "hub")
+    return with_both.select("hub", "member", "hv", "mv").mapInArrow(run, "hub long, member long")
 
 
-def central_pairs(rows: DataFrame) -> DataFrame:
-    """(hub, member) of the pairs of each open bucket's most central member with those of other components."""
-    central = rows.groupBy("id").agg(F.sum("n").alias("near"))
-    hubs = rows.join(central, "id").groupBy("band", "bucket").agg(F.max_by(F.struct("id", "component"), F.struct("near", -F.col("id"))).alias("h"))
-    pairs = rows.join(hubs, ["band", "bucket"]).where("component != h.component")
-    return pairs.select(F.least("id", "h.id").alias("hub"), F.greatest("id", "h.id").alias("member")).distinct()
+def open_nodes(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """(node, component) of each member of an open bucket that isn't its hub, written. joined: (node, component)."""
+    own = F.coalesce("component", "node").alias("component")
+    rest = members.where("n > 2 AND node != low AND node != drawn").select("band", "bucket", "node")
+    rest = rest.join(joined, "node", "left").select("band", "bucket", "node", own)
+    found = rest.groupBy("band", "bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    return written(rest.join(found.select("band", "bucket"), ["band", "bucket"]).select("node", "component").distinct())
 
 
-def bucket_links(rows: DataFrame, reps: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
-    """(hub, member) of similar members of an open bucket that are in different components; a pair is tested in the
-    first band that it shares, and not once its ends are known to be connected."""
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [s.tobytes() for s in shingle_sets([t.encode() for t in b.column(1).to_pylist()], words)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["id", "s"])
-
-    def compared(key: tuple, held: list[tuple]) -> list[tuple[int, int]]:
-        band, _, low, high = key
-        ids, group, own = (np.array([r[k] for r in held], np.int64) for k in range(3))
-        keys, sets = np.array([r[3] for r in held], np.int64), [np.frombuffer(r[4], np.uint64) for r in held]
-        n, out = np.array([len(s) for s in sets]), []
-        for i in range(len(held) - 1):
-            fits = (group[i + 1 :] != group[i]) & (100 * n[i + 1 :] >= percent * n[i]) & (100 * n[i] >= percent * n[i + 1 :]) & (n[i + 1 :] > 0)
-            if low != high:
-                fits &= own[i + 1 :] != own[i]
-            at = np.flatnonzero(fits) + i + 1
-            at = at[(keys[at] == keys[i]).argmax(axis=1) == band]
-            if len(at) and n[i]:
-                both = np.concatenate([sets[j] for j in at])
-                place = np.minimum(np.searchsorted(sets[i], both), n[i] - 1)
-                shared = np.add.reduceat((sets[i][place] == both).astype(np.int64), np.concatenate([[0], np.cumsum(n[at])[:-1]]))
-                for j in at[100 * shared >= percent * (n[i] + n[at] - shared)].tolist():
-                    if group[j] != group[i]:
-                        out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
-                        group[group == group[j]] = group[i]
-        return out
+def full_sets(nodes: DataFrame, held: DataFrame, words: int) -> DataFrame:
+    """(node, component, v) with the sorted shingles of each node's text, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def made(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["hub", "member"])
-
-        last, held = None, []
         for b in batches:
-            found = []
-            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if row[:4] != last:
-                    found += compared(last, held) if held else []
-                    last, held = row[:4], []
-                held.append(row[4:])
-            yield made(found)
-        yield made(compared(last, held) if held else [])
-
-    members = written(rows.select("id").distinct().join(texts, "id").select("id", "t").mapInArrow(hashed, "id long, s binary"))
-    blocks = F.ceil(F.col("n") / BLOCK)
-    dealt = rows.withColumn("own", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    key = ["band", "bucket", "low", "high"]
-    dealt = dealt.select("band", "bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "id", "component", "own")
-    dealt = dealt.join(reps.select("id", "bands"), "id").join(members, "id").select(*key, "id", "component", "own", "bands", "s")
-    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "hub long, member long")
+            sets = pa.array([s.view(np.int64) for s in shingle_sets([t.encode() for t in b.column(2).to_pylist()], words)], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), sets], names=["node", "component", "v"])
+
+    return written(nodes.join(held, "node").select("node", "component", "v").mapInArrow(run, "node long, component long, v array<long>"))
+
+
+def rare_first(sets: DataFrame, percent: int) -> DataFrame:
+    """(token, node, component, n, place, first) of the shingles that nodes of several components hold, from those
+    at the beginning of each node's order; first where the smaller node of a pair must have one."""
+    rows = sets.select("node", "component", F.size("v").cast("long").alias("n"), F.explode("v").alias("token"))
+    across = rows.groupBy("token").agg(F.count("*").alias("f"), F.min("component").alias("least"), F.max("component").alias("most"))
+    rows = rows.join(across.where("least < most").select("token", "f"), "token")
+    order = F.sort_array(F.collect_list(F.struct("f", "token")))
+    nodes = rows.groupBy("node", "component", "n").agg(order.alias("o")).withColumn("own", F.col("n") - F.size("o"))
+    # A link shares at least percent of the larger set, and 2 * percent / (100 + percent) of the smaller one.
+    larger = F.expr(f"n - ({percent} * n + 99) DIV 100")
+    smaller = F.expr(f"n - ({2 * percent} * n + {99 + percent}) DIV {100 + percent}")
+    front = F.slice("o", 1, F.greatest(larger + 1 - F.col("own"), F.lit(0)).cast("int"))
+    found = nodes.select("node", "component", "n", "own", F.posexplode(front).alias("k", "x"))
+    place = F.col("own") + F.col("k")
+    return written(found.select("x.token", "node", "component", "n", place.alias("place"), (place <= smaller).alias("first")))
+
+
+def rare_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """(hub, member) of nodes of different components that share a rare shingle and may still be similar enough."""
+    small = entries.where("first").select("token", *(F.col(c).alias(f"s_{c}") for c in ("node", "component", "n", "place")))
+    pairs = small.join(entries, "token").where(
+        f"s_component != component AND (s_n < n OR s_n = n AND s_node < node) AND 100 * s_n >= {percent} * n"
+        f" AND {100 + percent} * least(s_n - s_place, n - place) >= {percent} * (s_n + n)"
+    )
+    return pairs.select(F.least("s_node", "node").alias("hub"), F.greatest("s_node", "node").alias("member")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, component) of each end of an edge, component the smallest id reachable.
+    """(node, component) of each end of an edge, component the smallest node reachable.
 
     Alternating stars: each step hangs all larger neighbours, then all smaller ones, on the smallest neighbour.
     It ends when every edge leads to a root, after a number of steps that grows with the logarithm of the longest
@@ -310,13 +305,36 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u != v").distinct()
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low, "v").where("u != m").select(F.col("u").alias("v"), F.col("m").alias("u"))
-        step = written(small.unionByName(low.select("v", F.col("m").alias("u"))).distinct())
-        # Done when no end is at once below another: all edges hang on roots, one a node.
-        open_ends = step.join(step.select(F.col("v").alias("u")), "u", "left_semi").limit(1).count() or step.groupBy("v").count().where("count > 1").limit(1).count()
-        now = step
-        if not open_ends:
-            roots = now.select("u").distinct()
-            return now.select(F.col("v").alias("id"), F.col("u").alias("component")).unionByName(roots.select(F.col("u").alias("id"), F.col("u").alias("component")))
+        now = written(small.unionByName(low.select("v", F.col("m").alias("u"))).distinct())
+        # Done when no node is at once above and below another, or below two: all edges hang on roots, one a node.
+        ends = now.select(F.col("v").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above"))
+        ends = ends.unionByName(now.select(F.col("u").alias("x"), F.lit(0).alias("below"), F.lit(1).alias("above")))
+        ends = ends.groupBy("x").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+        if ends.where("below > 1 OR below = 1 AND above = 1").isEmpty():
+            roots = now.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct()
+            return now.select(F.col("v").alias("node"), F.col("u").alias("component")).unionByName(roots)
+
+
+def linked(reps: DataFrame, sketched: DataFrame, percent: int, words: int) -> DataFrame:
+    """(hub, member) of links of nodes that connect all that links connect."""
+    members = bucket_members(reps)
+    pairs = written(star_pairs(members, percent))
+    ends = members.select("node").distinct().join(reps.select("node", "row"), "node")
+    held = written(sketched.select("row", F.col("t").alias("v")).join(ends, "row").select("node", "v"))
+    best = pairs.groupBy("member").agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("hub")).select("hub", "member")
+    links = written(confirmed(best, held, percent, words))
+    joined = written(components(links))
+    rest = pairs.join(best, ["hub", "member"], "left_anti")
+    for end in ("hub", "member"):
+        rest = rest.join(joined.select(F.col("node").alias(end), F.col("component").alias(f"{end}_of")), end, "left")
+    rest = written(rest.where(F.coalesce("hub_of", "hub") != F.coalesce("member_of", "member")).select("hub", "member"))
+    links = written(links.unionByName(confirmed(rest, held, percent, words)))
+    nodes = open_nodes(members, components(links))
+    if nodes.isEmpty():
+        return links
+    sets = full_sets(nodes, held, words)
+    pairs = written(rare_pairs(rare_first(sets, percent), percent))
+    return links.unionByName(confirmed(pairs, sets, percent, words))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -329,26 +347,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     an empty table; other columns are not looked at.
     """
     small_batches(docs.sparkSession)
-    sketched = written(sketches(docs, key, text))
+    sketched = sketches(docs, key, text, words)
     with_set = sketched.where("n_shingles > 0 AND id IS NOT NULL")
-    reps = written(with_set.groupBy("digest").agg(F.min("id").alias("id"), F.max("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")))
-    pairs = written(star_pairs(reps, percent))
-    texts = docs.select(F.col(key).cast("long").alias("id"), text_or_empty(text).alias("t")).where("id IS NOT NULL")
-    best = pairs.groupBy("member").agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("hub")).select("hub", "member")
-    links = written(confirmed(best, texts, percent, words))
-    joined = components(links)
-    rest = pairs.join(best, ["hub", "member"], "left_anti")
-    rest = rest.join(joined.select(F.col("id").alias("hub"), F.col("component").alias("hc")), "hub", "left").join(joined.select(F.col("id").alias("member"), F.col("component").alias("mc")), "member", "left")
-    rest = written(rest.where(F.coalesce("hc", "hub") != F.coalesce("mc", "member")).select("hub", "member"))
-    links = written(links.unionByName(confirmed(rest, texts, percent, words)))
-    rows = open_buckets(reps, components(links))
-    if rows.limit(1).count():
-        links = written(links.unionByName(confirmed(central_pairs(rows), texts, percent, words)))
-        rows = open_buckets(reps, components(links))
-        links = written(links.unionByName(bucket_links(rows, reps, texts, percent, words)))
-    # Links of equal sets: each document to the smallest of its set; rows that repeat a key link their sets.
-    copies = with_set.join(reps.select("digest", F.col("id").alias("rep")), "digest").where("id != rep").select(F.col("rep").alias("hub"), F.col("id").alias("member"))
-    near = components(links.unionByName(copies))
-    found = sketched.join(near, "id", "left")
-    component = F.coalesce("component", "id")
+    one = F.min(F.struct("id", "row")).alias("one")
+    reps = with_set.groupBy("digest").agg(one, F.max("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    reps = written(reps.select(F.col("one.row").alias("node"), "one.*", "n_shingles", "digest", "bands"))
+    # Rows that repeat a key: the sets of one key are linked, the others to the smallest.
+    keyed = with_set.select("id", "digest").distinct().join(reps.select("digest", "node"), "digest").select("id", "node")
+    first = keyed.groupBy("id").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    same_key = keyed.join(first, "id").where("hub != node").select("hub", F.col("node").alias("member"))
+    near = reps.join(components(linked(reps, sketched, percent, words).unionByName(same_key)), "node").select("digest", "id", "component")
+    near = written(near)
+    lowest = near.groupBy("component").agg(F.min("id").alias("component_id"))
+    near = near.join(lowest, "component").select("digest", "component_id")
+    # A set without links: its copies belong to its smallest key.
+    alone = reps.select("digest", F.col("id").alias("own_id"))
+    found = sketched.select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("digest")).alias("digest"))
+    found = found.join(alone.join(near, "digest", "left").select("digest", F.coalesce("component_id", "own_id").alias("of_set")), "digest", "left")
+    component = F.coalesce("of_set", "id")
     return found.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
