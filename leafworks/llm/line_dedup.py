@@ -1,16 +1,19 @@
 """Line de-duplication with two Bloom filters.
 
-1. Each task puts the hashes of its documents' line keys (each once a document) into two filters of fixed size:
-   seen once, and seen twice. Filters of two tasks merge exactly like a carry: twice = twice | twice' |
+1. Each task notes the hashes of its documents' line keys (each once a document) in two filters: seen once, and
+   seen twice. A task holds only the set positions of its own keys, so its memory and what it sends grow with its
+   rows, not with the filters. Filters of two tasks merge exactly like a carry: twice = twice | twice' |
    (once & once'), once = once | once'. A key of two documents has all its bits in both once-filters, so it can't
    be missed; a key of one document gets through only by chance. Filters travel in segments of sparse positions,
-   merged by segment number, so no task and no driver gathers more than one filter.
+   merged by segment number, so no task gathers more than one segment.
 2. Only suspected repeats (keys in the merged twice-filter) are shuffled: as 128-bit hashes with their document,
-   counted exactly and given the document that keeps them. Counting combines in each task first.
+   counted exactly and given the document that keeps them. Counting combines in each task first. Lines of very
+   many rows, of which there can only be a few, are joined apart from the others.
 3. The lines to drop are gathered by document and joined to the documents, which are rewritten.
 
-The filters have FILTER_BITS bits whatever the input, so their size as a broadcast is known. Fuller filters let
-more lines through to the exact count; they never change the result.
+The filters are sized by the number of lines, BITS_PER_LINE bits each, so that few keys of one document get
+through; MAX_BITS bounds what is broadcast (128 MB). Beyond about 60 million lines they fill up and let more lines
+through to the exact count; they never change the result.
 """
 
 from __future__ import annotations
@@ -27,9 +30,13 @@ from pyspark.sql import functions as F
 
 from leafworks.llm.shared import BLANK_CHARS, free, small_batches, text_or_empty, written
 
-FILTER_BITS = 1 << 27
+MIN_BITS, MAX_BITS, BITS_PER_LINE = 1 << 21, 1 << 30, 16
 SEGMENT_BITS = 1 << 21
-PROBES = 3
+PROBES = 2
+#: Keys after which a task sends its filters on and begins new ones.
+CHUNK_KEYS = 1 << 21
+#: A line of this share of the suspects' rows, or more, is joined apart; so there are 1 / HOT_SHARE such lines at most.
+HOT_SHARE = 1e-4
 #: A-Z to a-z, for keys.
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -43,52 +50,51 @@ def line_keys(text: str, min_chars: int) -> list[bytes | None]:
     return out
 
 
-def positions(keys: np.ndarray) -> np.ndarray:
-    """Bit positions (PROBES a key) of an array of keys as pairs of unsigned 64-bit numbers."""
+def positions(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Bit positions (PROBES a key) of an array of keys as pairs of unsigned 64-bit numbers; bits: a power of two."""
     a, b = keys[:, 0], keys[:, 1] | np.uint64(1)
     with np.errstate(over="ignore"):
-        return ((a[:, None] + b[:, None] * np.arange(PROBES, dtype=np.uint64)) >> np.uint64(20)) & np.uint64(FILTER_BITS - 1)
+        return ((a[:, None] + b[:, None] * np.arange(PROBES, dtype=np.uint64)) >> np.uint64(20)) & np.uint64(bits - 1)
 
 
 def as_pairs(keys: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(keys), np.uint64).reshape(-1, 2)
 
 
-class Filters:
-    """The once- and the twice-filter of one task, a bit per bit."""
+def filter_bits(docs: DataFrame, text: str) -> int:
+    """The filters' size: a power of two, by the number of lines."""
+    breaks = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    lines = docs.agg(F.sum(F.coalesce(breaks, F.lit(0)) + 1).alias("n")).first()["n"] or 0
+    return min(MAX_BITS, max(MIN_BITS, 1 << (BITS_PER_LINE * lines - 1).bit_length()))
 
-    def __init__(self) -> None:
-        self.once, self.twice = np.zeros(FILTER_BITS // 8, np.uint8), np.zeros(FILTER_BITS // 8, np.uint8)
 
-    def add(self, keys: np.ndarray) -> None:
-        """keys: of whole documents, repeats in one document left out."""
-        keys, counts = np.unique(keys, axis=0, return_counts=True) if len(keys) else (keys, np.zeros(0, int))
-        at = positions(keys)
-        seen = has(self.once, at) | (counts > 1)
-        self.put(self.once, at[counts >= 1].ravel())
-        self.put(self.twice, at[seen].ravel())
-
-    @staticmethod
-    def put(bits: np.ndarray, at: np.ndarray) -> None:
-        np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), np.left_shift(np.uint8(1), (at & np.uint64(7)).astype(np.uint8)))
-
-    def segments(self) -> Iterator[tuple[int, bytes, bytes]]:
-        size = SEGMENT_BITS // 8
-        for k in range(0, len(self.once), size):
-            if self.once[k : k + size].any():
-                yield k // size, packed(self.once[k : k + size]), packed(self.twice[k : k + size])
+def segments(keys: list[bytes], bits: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(segment, once, twice) of the filters of some documents' keys, repeats in one document left out."""
+    pairs = as_pairs(sorted(keys))
+    new = np.ones(len(pairs), bool)
+    new[1:] = (pairs[1:] != pairs[:-1]).any(axis=1)
+    once = np.unique(positions(pairs[new], bits))
+    twice = np.unique(positions(pairs[~new], bits))
+    edges = np.arange(0, bits + 1, SEGMENT_BITS, dtype=np.uint64)
+    a, b = np.searchsorted(once, edges), np.searchsorted(twice, edges)
+    for k in np.flatnonzero(np.diff(a)).tolist():
+        yield k, sparse(once[a[k] : a[k + 1]] - edges[k]), sparse(twice[b[k] : b[k + 1]] - edges[k])
 
 
 def has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
     return ((bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
 
 
+def sparse(at: np.ndarray) -> bytes:
+    """Rising positions as compressed differences."""
+    steps = np.diff(at.astype(np.uint32), prepend=np.uint32(0)).astype("<u4")
+    return b"s" + zlib.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
 def packed(segment: np.ndarray) -> bytes:
-    """A segment's set bits as compressed differences where there are few of them, else its compressed bytes."""
-    at = np.flatnonzero(np.unpackbits(segment, bitorder="little")).astype(np.uint32)
-    if len(at) < SEGMENT_BITS // 64:
-        return b"s" + zlib.compress(np.diff(at, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
-    return b"d" + zlib.compress(segment.tobytes(), 1)
+    """A segment's set bits as sparse positions where there are few of them, else its compressed bytes."""
+    at = np.flatnonzero(np.unpackbits(segment, bitorder="little"))
+    return sparse(at) if len(at) < SEGMENT_BITS // 64 else b"d" + zlib.compress(segment.tobytes(), 1)
 
 
 def unpacked(data: bytes) -> np.ndarray:
@@ -118,30 +124,42 @@ def merged(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"segment": [number], "once": [packed(once)], "twice": [packed(twice)]})
 
 
-def twice_filter(docs: DataFrame, text: str, min_chars: int) -> np.ndarray:
-    """The merged twice-filter over all documents."""
+def twice_filter(docs: DataFrame, text: str, min_chars: int, bits: int) -> dict[int, bytes]:
+    """The merged twice-filter over all documents: its segments, packed."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters, held = Filters(), []
+        def made(held: list[bytes]) -> Iterator[pa.RecordBatch]:
+            for s, once, twice in segments(held, bits):
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([once]), pa.array([twice])], names=["segment", "once", "twice"])
+
+        held = []
         for b in batches:
             for t in b.column(0).to_pylist():
                 held += set(line_keys(t, min_chars)) - {None}
-            if len(held) > 100_000:
-                filters.add(as_pairs(held))
-                held = []
-        filters.add(as_pairs(held))
-        for s, once, twice in filters.segments():
-            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([once]), pa.array([twice])], names=["segment", "once", "twice"])
+                if len(held) > CHUNK_KEYS:
+                    yield from made(held)
+                    held = []
+        yield from made(held)
 
     shape = "segment int, once binary, twice binary"
     parts = docs.select(text_or_empty(text).alias("t")).mapInArrow(build, shape)
-    n = FILTER_BITS // SEGMENT_BITS
-    whole = parts.repartition(n, "segment").sortWithinPartitions("segment").mapInPandas(merged, shape)
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-    size = SEGMENT_BITS // 8
-    for r in whole.select("segment", "twice").collect():  # FILTER_BITS / 8 bytes at most
-        bits[r.segment * size : (r.segment + 1) * size] = unpacked(bytes(r.twice))
-    return bits
+    whole = parts.repartition(max(1, bits // SEGMENT_BITS), "segment").sortWithinPartitions("segment").mapInPandas(merged, shape)
+    return {r.segment: bytes(r.twice) for r in whole.select("segment", "twice").collect()}  # MAX_BITS / 8 bytes at most
+
+
+def whole_filter(found: dict[int, bytes], bits: int) -> np.ndarray:
+    out, size = np.zeros(bits // 8, np.uint8), SEGMENT_BITS // 8
+    for k, part in found.items():
+        out[k * size : (k + 1) * size] = unpacked(part)
+    return out
+
+
+def hot_apart(found: DataFrame, repeated: DataFrame, total: int) -> DataFrame:
+    """found joined with repeated by line: the few lines of very many rows against a broadcast list."""
+    hot = repeated.where(F.col("n") >= max(1000, int(total * HOT_SHARE)))
+    cold = repeated.where(F.col("n") < max(1000, int(total * HOT_SHARE)))
+    rest = found.join(F.broadcast(hot.select("line")), "line", "left_anti")
+    return found.join(F.broadcast(hot), "line").unionByName(rest.join(cold, "line"))
 
 
 def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_chars: int = 20, min_docs: int = 3) -> DataFrame:
@@ -157,24 +175,30 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_cha
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.drop("n_lines", "n_dropped")
-    bits = spark.sparkContext.broadcast(twice_filter(docs, text, min_chars).tobytes())
+    bits = filter_bits(docs, text)
+    shared = spark.sparkContext.broadcast(twice_filter(docs, text, min_chars, bits))
     kind = docs.schema[key].dataType.simpleString()
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        twice = np.frombuffer(bits.value, np.uint8)
+        twice = whole_filter(shared.value, bits)
         for b in batches:
-            keys = [[*(set(line_keys(t, min_chars)) - {None})] for t in b.column(1).to_pylist()]
+            keys = [[*(set(line_keys(t, min_chars)) - {None})] for t in b.column(2).to_pylist()]
             flat = [k for ks in keys for k in ks]
             row = np.repeat(np.arange(len(keys)), [len(ks) for ks in keys])
-            hit = np.flatnonzero(has(twice, positions(as_pairs(flat)))) if flat else np.zeros(0, int)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row[hit])), pa.array([flat[i] for i in hit], pa.binary())], names=["id", "line"])
-
-    found = written(docs.select(F.col(key).alias("id"), text_or_empty(text).alias("t")).mapInArrow(suspects, f"id {kind}, line binary"))
-    repeated = found.groupBy("line").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs).select("line", "keeper")
-    lost = found.join(repeated, "line").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy("id").agg(F.collect_set("line").alias("lines"))
-    own_id, own_lines = free("_id", docs), free("_lines", docs)
-    lost = lost.withColumnsRenamed({"id": own_id, "lines": own_lines})
-    joined = docs.join(lost, F.col(key).eqNullSafe(F.col(own_id)), "left").drop(own_id)
+            hit = np.flatnonzero(has(twice, positions(as_pairs(flat), bits))) if flat else np.zeros(0, int)
+            own = [c.take(pa.array(row[hit])) for c in b.columns[:2]]
+            yield pa.RecordBatch.from_arrays([*own, pa.array([flat[i] for i in hit], pa.binary())], names=["id", "h", "line"])
+
+    # With a hash of the text: rows that repeat a key, or have none, then keep their lines apart.
+    texts = docs.select(F.col(key).alias("id"), F.xxhash64(text_or_empty(text)).alias("h"), text_or_empty(text).alias("t"))
+    found = written(texts.mapInArrow(suspects, f"id {kind}, h long, line binary"))
+    repeated = found.groupBy("line").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
+    lost = hot_apart(found, repeated, found.count()).where(~F.col("id").eqNullSafe(F.col("keeper")))
+    lost = lost.groupBy("id", "h").agg(F.collect_set("line").alias("lines"))
+    own_id, own_hash, own_lines = free("_id", docs), free("_h", docs), free("_lines", docs)
+    lost = lost.withColumnsRenamed({"id": own_id, "h": own_hash, "lines": own_lines})
+    same = F.col(key).eqNullSafe(F.col(own_id)) & (F.xxhash64(text_or_empty(text)) == F.col(own_hash))
+    joined = docs.join(lost, same, "left").drop(own_id, own_hash)
     at = joined.columns.index(text)
     schema = docs.select("*", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")).schema
 
