@@ -1,15 +1,14 @@
 """Exact de-duplication over an extendible-hash index, in DataFrame operations only.
 
-1. Every row's entry (key, 64-bit hash, SHA-256 and bytes of the normalised text, length of the original) is
-   written once to the shared folder: the index. Later steps read only the columns they need from it.
-2. The directory: the hash's first bits name a slot; one counter a slot (at most 2**MAX_DEPTH of them, whatever
-   the input) says how many bytes of distinct text lie there. Starting from one bucket, a bucket that is over
-   its capacity is split by doubling the directory, until it fits or the directory is at its greatest depth.
-3. Owners: consecutive buckets are given to owner tasks, so each owner holds a range of hashes. Entries go to
-   their owner by its number; there, entries of one hash form a chain and are told apart by comparing bytes
-   (the grouping key is the text itself, not its digest).
-4. Chains longer than HOT_ROWS rows don't fit one owner. Their rows are combined before they are shuffled, by
-   a partial aggregation in each task, so a text that a third of all rows share moves once a task.
+1. Every row's entry (key, 64-bit hash, SHA-256 and size of the normalised text, length of the original) is
+   written once to the shared folder: the index. Texts stay where they are.
+2. The directory: the hash's first bits name a slot; one counter a slot says how many bytes of distinct text lie
+   there. Starting from one bucket, a bucket that is over its capacity is split by doubling the directory, until it
+   fits. The directory doubles as far as the texts need, to 2**MAX_DEPTH slots at most (100 MB a slot at 100 TB).
+3. Rows are combined by hash and bytes in each task before they move, so a text that a third of all rows share
+   moves once a task. Consecutive buckets are given to owner tasks, so each owner holds a range of hashes; there,
+   entries of one hash form a chain and are told apart by comparing bytes (the grouping key is the text itself,
+   not its digest).
 """
 
 from __future__ import annotations
@@ -19,20 +18,21 @@ from pyspark.sql import functions as F
 
 from leafworks.llm.shared import text_or_empty, without_blanks, written
 
-MAX_DEPTH = 16
+MAX_DEPTH = 20
 BUCKET_BYTES = 32 << 20
-HOT_ROWS = 1000
-#: Chains hold a HOT_SHARE of all rows at least to be treated as hot: so there are 1 / HOT_SHARE of them at most.
-HOT_SHARE = 1e-5
 TWO_63, TWO_64 = "9223372036854775808BD", "18446744073709551616BD"
 
 
-def index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The index's entries, written to the shared folder."""
+def normalised(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(id, n_cp, norm, h) of each row."""
     original = text_or_empty(text)
-    entries = docs.select(F.col(key).cast("long").alias("id"), F.length(original).cast("long").alias("n_cp"), without_blanks(original).alias("norm"))
-    entries = entries.select("id", "n_cp", "norm", F.xxhash64("norm").alias("h"), F.unhex(F.sha2("norm", 256)).alias("sha"), F.octet_length("norm").cast("long").alias("n_bytes"))
-    return written(entries)
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.length(original).cast("long").alias("n_cp"), without_blanks(original).alias("norm"))
+    return rows.select("*", F.xxhash64("norm").alias("h"))
+
+
+def index(rows: DataFrame) -> DataFrame:
+    """The index's entries (id, h, sha, n_bytes), written to the shared folder. rows: as from normalised()."""
+    return written(rows.select("id", "h", F.unhex(F.sha2("norm", 256)).alias("sha"), F.octet_length("norm").cast("long").alias("n_bytes")))
 
 
 def split(loads: dict[int, int], capacity: int, max_depth: int = MAX_DEPTH) -> dict[int, tuple[int, int]]:
@@ -49,12 +49,14 @@ def split(loads: dict[int, int], capacity: int, max_depth: int = MAX_DEPTH) -> d
     return done
 
 
-def directory(entries: DataFrame, capacity: int = BUCKET_BYTES) -> tuple[DataFrame, int]:
-    """(slot, owner) of each slot in use, and the number of owners. At most 2**MAX_DEPTH rows."""
-    slot = F.shiftrightunsigned("h", 64 - MAX_DEPTH).alias("slot")
-    chains = entries.groupBy("h").agg(F.max("n_bytes").alias("n_bytes"))
-    loads = {r.slot: r.load + 1 for r in chains.groupBy(slot).agg(F.sum("n_bytes").alias("load")).collect()}
-    found = split(loads, capacity)
+def directory(entries: DataFrame, capacity: int = BUCKET_BYTES) -> tuple[DataFrame, int, int]:
+    """(slot, owner) of each slot in use, the bits of a slot's number, and the number of owners."""
+    chains = entries.groupBy("h", "sha").agg(F.max("n_bytes").alias("n_bytes"))
+    chains = written(chains.groupBy(F.shiftrightunsigned("h", 64 - MAX_DEPTH).alias("slot")).agg((F.sum("n_bytes") + 1).alias("load")))
+    total = chains.agg(F.sum("load")).first()[0] or 0
+    depth = min(MAX_DEPTH, (16 * total // capacity).bit_length())
+    loads = {r.slot: r.load for r in chains.groupBy(F.shiftright("slot", MAX_DEPTH - depth).alias("slot")).agg(F.sum("load").alias("load")).collect()}
+    found = split(loads, capacity, depth)
     sums: dict[tuple[int, int], int] = {}
     for s, bucket in found.items():
         sums[bucket] = sums.get(bucket, 0) + loads[s]
@@ -66,26 +68,22 @@ def directory(entries: DataFrame, capacity: int = BUCKET_BYTES) -> tuple[DataFra
                 owners, held = owners + 1, 0
             held += sums[last]
         rows.append((s, owners))
-    spark = entries.sparkSession
-    return spark.createDataFrame(rows, "slot long, owner int"), owners + 1
+    return entries.sparkSession.createDataFrame(rows, "slot long, owner int"), depth, owners + 1
 
 
-def groups(entries: DataFrame, capacity: int = BUCKET_BYTES) -> DataFrame:
+def groups(rows: DataFrame, entries: DataFrame, capacity: int = BUCKET_BYTES) -> DataFrame:
     """One row for each distinct normalised text: h, sha, group_size, keep_id."""
-    total = entries.count()
-    hot = entries.groupBy("h").count().where(F.col("count") >= max(HOT_ROWS, int(total * HOT_SHARE))).select("h")
     # The largest number first: more code points, then the smaller id (null: after all others).
     order = F.col("n_cp").cast("decimal(18,0)") * F.expr(TWO_64) - F.coalesce("id", F.lit(2**63 - 1)).cast("decimal(38,0)")
-    best = [F.count("*").alias("group_size"), F.max("rank").alias("rank")]
-    ranked = entries.select("h", "norm", order.cast("decimal(38,0)").alias("rank"))
-    chained = ranked.join(F.broadcast(hot), "h", "left_semi").groupBy("h", "norm").agg(*best)
-    slots, owners = directory(entries, capacity)
-    cold = ranked.join(F.broadcast(hot), "h", "left_anti").withColumn("slot", F.shiftrightunsigned("h", 64 - MAX_DEPTH))
-    owned = cold.join(F.broadcast(slots), "slot").repartitionById(max(owners, 1), "owner").groupBy("owner", "h", "norm").agg(*best)
-    both = owned.drop("owner").unionByName(chained)
+    ranked = rows.select("h", "norm", order.cast("decimal(38,0)").alias("rank"))
+    chains = ranked.groupBy("h", "norm").agg(F.count("*").alias("n"), F.max("rank").alias("rank"))
+    slots, depth, owners = directory(entries, capacity)
+    slot = F.when(F.lit(depth > 0), F.shiftrightunsigned("h", 64 - max(depth, 1))).otherwise(F.lit(0).cast("long"))
+    owned = chains.withColumn("slot", slot).join(F.broadcast(slots), "slot").repartitionById(max(owners, 1), "owner")
+    found = owned.groupBy("owner", "h", "norm").agg(F.sum("n").alias("group_size"), F.max("rank").alias("rank"))
     low = F.pmod("rank", F.expr(TWO_64))  # 2**64 - id for id > 0, -id for others
     keep = (F.when(low > F.expr(TWO_63), F.expr(TWO_64) - low).otherwise(-low)).cast("long")
-    return both.select("h", F.unhex(F.sha2("norm", 256)).alias("sha"), "group_size", F.when(keep < 2**63 - 1, keep).alias("keep_id"))
+    return found.select("h", F.unhex(F.sha2("norm", 256)).alias("sha"), "group_size", F.when(keep < 2**63 - 1, keep).alias("keep_id"))
 
 
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = BUCKET_BYTES) -> DataFrame:
@@ -96,9 +94,10 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", capaci
     equal to each other. A null key comes after all others. Rows that repeat the staying row's key all stay.
     An empty table gives an empty table; columns other than key and text are not looked at.
     """
-    entries = index(docs, key, text)
+    rows = normalised(docs, key, text)
+    entries = index(rows)
     narrow = entries.select("id", "h", "sha")
     # Null-safe: a plain equality would be inferred as a filter below the aggregation and hash every row again.
-    found = groups(entries, capacity).withColumnsRenamed({"h": "_h", "sha": "_sha"})
+    found = groups(rows, entries, capacity).withColumnsRenamed({"h": "_h", "sha": "_sha"})
     found = narrow.join(found, (F.col("h") == F.col("_h")) & F.col("sha").eqNullSafe(F.col("_sha")))
     return found.select(F.col("id").alias(key), "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
