@@ -66,7 +66,7 @@ def training_fold(key: str = "doc_id") -> Column:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     found = toxicity.scores(docs, labels, training_fold())
-    return found.select("doc_id", (~training_fold()).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return found.select("doc_id", (~training_fold()).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

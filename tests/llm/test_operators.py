@@ -87,6 +87,39 @@ def test_bpe_round_trip(docs, empty):
     assert [i for p in bpe.parts(long) for i in enc.encode_ordinary(p)] == enc.encode_ordinary(long) and len([*bpe.parts(long)]) > 3
 
 
+BLANK_RUNS = [" ", "\n", "\t", "\r\n", "\x0b", "\u3000", "\xa0", "\x85", "\x1c"]
+
+
+def test_runs_of_white_space_have_the_library_s_ids():
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    json_path, r = public_tokenizers.path("byte_bpe_50k.json"), random.Random(1)
+    ids_of, library = packing.token_ids(json_path, public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern), Tokenizer.from_file(json_path)
+    words, counter = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), token_counts.counter(public_tokenizers.path("word_bpe_49k.json"))
+    for _ in range(200):
+        t = "".join(r.choice([r.choice(BLANK_RUNS) * r.choice([1, 2, 999, 1000, 3000]), "ab", "12", "!?", "é", "漢", "'s"]) for _ in range(r.randint(1, 9)))
+        assert bpe.encode(t, path, pattern) == bpe.encoding(path, pattern).encode_ordinary(t)
+        assert array.array("I", ids_of(t)).tolist() == library.encode(t, add_special_tokens=False).ids
+        assert counter.count(t) == len(words.encode(t, add_special_tokens=False).ids)
+
+
+VERY_LONG = [" " * 2_000_000, "a" + " " * 2_000_000 + "b", "\n" * 2_000_000, "x\t" + "\t" * 2_000_000 + "y", "x" * 2_000_000, "漢" * 700_000]
+
+
+def test_very_long_texts(spark):
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    library, words = Tokenizer.from_file(paths[0]), Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    df = spark.createDataFrame([*enumerate(VERY_LONG)], "doc_id long, text string").repartition(3)
+    back = {r.doc_id: r.decoded_sha256 for r in bpe.round_trip(df, path, pattern).collect()}
+    counted = {r.doc_id: r.n_tokens for r in token_counts.token_counts(df, public_tokenizers.path("word_bpe_49k.json")).collect()}
+    packed = packing.pack(df, *paths, pattern).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    n = {r.doc_id: r.n for r in packed}
+    for k, t in enumerate(VERY_LONG):
+        assert back[k] == hashlib.sha256(t.encode()).hexdigest()
+        assert counted[k] == len(words.encode(t, add_special_tokens=False).ids)
+        assert n[k] == len(library.encode(t, add_special_tokens=False).ids) + 1
+
+
 def test_line_dedup(docs, empty):
     key = lambda line: line.strip(BLANKS).translate(LOWER)
     holders, rank = defaultdict(list), lambda i: (i is not None, i or 0)
@@ -105,23 +138,36 @@ def test_line_dedup(docs, empty):
 
 
 def test_filters_merge():
-    parts = [line_dedup.Filters() for _ in range(2)]
-    keys = [hashlib.md5(bytes([k])).digest() for k in range(100)]
-    parts[0].add(line_dedup.as_pairs(keys[:60]))
-    parts[1].add(line_dedup.as_pairs(keys[40:]))
-    parts[1].add(line_dedup.as_pairs(keys[90:]))
+    import numpy as np
     import pandas as pd
 
-    rows = [(s, a, b) for p in parts for s, a, b in p.segments()]
+    keys, bits = [hashlib.md5(bytes([k])).digest() for k in range(100)], 1 << 27
+    parts = [keys[:60], keys[40:] + keys[90:]]
+    rows = [(s, a, b) for p in parts for s, a, b in line_dedup.segments(p, bits)]
     merged = pd.concat(line_dedup.merged(iter([pd.DataFrame(sorted(rows, key=lambda r: r[0]), columns=["segment", "once", "twice"])])))
-    size = line_dedup.SEGMENT_BITS // 8
-    bits = bytearray(line_dedup.FILTER_BITS // 8)
-    for s, t in zip(merged["segment"], merged["twice"], strict=True):
-        bits[s * size : (s + 1) * size] = line_dedup.unpacked(t).tobytes()
-    import numpy as np
-
-    hit = line_dedup.has(np.frombuffer(bits, np.uint8), line_dedup.positions(line_dedup.as_pairs(keys)))
+    whole = line_dedup.whole_filter(dict(zip(merged["segment"], merged["twice"], strict=True)), bits)
+    hit = line_dedup.has(whole, line_dedup.positions(line_dedup.as_pairs(keys), bits))
     assert [k for k in range(100) if hit[k]] == [*range(40, 60), *range(90, 100)]
+    assert np.unpackbits(whole).sum() == 30 * line_dedup.PROBES
+
+
+def test_filters_are_sized_by_the_lines(spark):
+    """Hardly any line of one document is suspected, with ten times the lines as with few."""
+    for n in (2_000, 200_000):
+        lines = F.concat_ws("\n", *(F.concat(F.lit(f"a line of one document {k} "), F.col("id")) for k in range(20)), F.lit("a line that all the documents have"))
+        df = spark.range(0, n // 20, 1, 4).select(F.col("id").alias("doc_id"), lines.alias("text"))
+        bits = line_dedup.filter_bits(df, "text")
+        whole = line_dedup.whole_filter(line_dedup.twice_filter(df, "text", 20, bits), bits)
+        keys = [k for k in line_dedup.line_keys("\n".join(f"a line of one document {k} {i}" for k in range(20) for i in range(n // 20)), 20)]
+        assert line_dedup.has(whole, line_dedup.positions(line_dedup.as_pairs(keys), bits)).mean() < 0.05
+        assert line_dedup.has(whole, line_dedup.positions(line_dedup.as_pairs(line_dedup.line_keys("a line that all the documents have", 20)), bits)).all()
+
+
+def test_line_dedup_of_a_line_that_most_documents_hold(spark):
+    texts = [(k if k % 3 else None, f"a line that most of the documents have\nown line of the document {k}\na pair's line, of two documents {k // 2}") for k in range(3000)]
+    found = line_dedup.line_dedup(spark.createDataFrame(texts, "doc_id long, text string").repartition(7))
+    want = Counter((i, t if i == 2999 else t.split("\n", 1)[1]) for i, t in texts)
+    assert by_rows(found, "doc_id", "text") == want
 
 
 def shingles(text):
@@ -199,21 +245,39 @@ def test_near_dedup_joins_variants_by_their_original(spark):
     assert {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df).collect()} == want
 
 
-def test_open_buckets_are_compared_in_full(spark):
+@pytest.mark.parametrize(("template", "shared"), [(169, 13), (174, 4)])
+def test_near_dedup_on_pages_of_one_template(spark, template, shared):
+    """3,000 pages in pairs: similarity 0.70 and 0.74 between pages, 0.80 and 0.77 within a pair."""
+    words = lambda tag, n: [f"{tag}w{k}" for k in range(n)]
+    texts = [(k, " ".join(words("t", template) + words(f"p{k // 2}", shared) + words(f"u{k}", 204 - template - shared))) for k in range(3000)]
+    similar = lambda x, y: len(x & y) / len(x | y)
+    a, b, c = (shingles(texts[k][1]) for k in (0, 1, 2))
+    assert similar(a, c) < 0.745 and 0.75 < similar(a, b)
+    random.Random(1).shuffle(texts)
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df).collect()}
+    assert found == {k: k // 2 * 2 for k in range(3000)}
+
+
+def test_rare_pairs_are_exact(spark):
     r = random.Random(12)
-    texts = []
-    for g in range(3):
-        original = sentences(410 + g, 200).split()
-        for _ in range(150):
-            words = list(original)
-            for at in r.sample(range(15, 190, 12), 4):
-                words[at] = f"w{r.randrange(3)}"
-            texts.append((len(texts), " ".join(words)))
-    want, df = dense_components(texts), spark.createDataFrame(texts, "id long, t string")
-    reps = near_dedup.sketches(df, "id", "t").groupBy("digest").agg(F.min("id").alias("id"), F.max("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
-    links = near_dedup.bucket_links(near_dedup.open_buckets(reps, spark.createDataFrame([], "id long, component long")), reps, df, 75, 5)
-    found, ids = {r.id: r.component for r in near_dedup.components(links).collect()}, [r.id for r in reps.collect()]
-    assert {i: found.get(i, i) for i in ids} == {i: want[i] for i in ids} and len(set(want.values())) < len(ids)
+    sets = [(k, k, sorted(r.sample(range(40), r.randint(4, 24)))) for k in range(150)]
+    for k in range(150, 400):
+        v = {*sets[r.randrange(150)][2]}
+        sets.append((k, k if k % 10 else 1, sorted(v - {*r.sample(sorted(v), 1)} | {*r.sample(range(5000), r.randint(0, 3))})))
+    df = spark.createDataFrame(sets, "node long, component long, v array<long>")
+    pairs = near_dedup.rare_pairs(near_dedup.rare_first(df, 75), 75)
+    found = {tuple(x) for x in near_dedup.confirmed(pairs, df.drop("component"), 75, 5).collect()}
+    held = [(k, c, {*v}) for k, c, v in sets]
+    want = {(x, y) for x, c, v in held for y, d, w in held if x < y and c != d and 100 * len(v & w) >= 75 * len(v | w)}
+    assert found == want and len(want) > 100
+
+
+def test_near_dedup_of_rows_that_repeat_a_key(spark):
+    texts = [(1, sentences(501, 60)), (1, sentences(502, 60)), (2, sentences(501, 60)), (3, sentences(502, 60)), (0, sentences(502, 60) + " more"), (7, ""), (8, sentences(503, 60))]
+    texts += [(9, sentences(510 + k, 20)) for k in range(30)]
+    found = near_dedup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert by_rows(found, "doc_id", "component_id") == Counter([(1, 0), (1, 0), (2, 0), (3, 0), (0, 0), (7, 7), (8, 8)] + [(9, 9)] * 30)
 
 
 def test_long_texts_have_the_same_shingles(monkeypatch):
@@ -256,6 +320,16 @@ def test_islands_improve_on_best_fit(spark):
     assert sorted(x.doc_id for x in found) == [*range(900)] and len({x.sequence_id for x in found}) <= island.bound * 1.05 + 5
 
 
+def test_islands_hold_as_many_pieces(spark):
+    """Short and whole pieces by turns, over partitions that all begin at a multiple of the number of islands."""
+    rows = spark.range(0, 64 * 100, 1, 64).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "IF(id % 2 = 0, 300L, 1024L) AS length", "0L AS ids_crc32", "(id DIV 100 << 33) + id % 100 DIV 2 AS deal")
+    found = packing.packed(rows, island_pieces=200, generations=1)
+    whole, short = found.where("length = 1024"), found.where("length < 1024")
+    assert whole.count() == whole.select("sequence_id").distinct().count() == 3200 and whole.where("sequence_id >= 0").count() == 0
+    islands = [r["count"] for r in short.groupBy(F.shiftright("sequence_id", 32)).count().collect()]
+    assert sum(islands) == 3200 and len(islands) == 16 and max(islands) < 300 and min(islands) > 100
+
+
 def test_exact_dedup(docs, empty):
     groups, strip = defaultdict(list), lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
     for i, t in TEXTS:
@@ -272,7 +346,7 @@ def test_exact_dedup(docs, empty):
 
 def test_directory_splits():
     loads = {k: 10 for k in range(0, 1 << 16, 64)}
-    found = exact_dedup.split(loads, 300)
+    found = exact_dedup.split(loads, 300, 16)
     sums = Counter()
     for s, bucket in found.items():
         assert s >> (16 - bucket[1]) == bucket[0]
@@ -280,11 +354,23 @@ def test_directory_splits():
     assert found.keys() == loads.keys() and max(sums.values()) <= 300 and len(sums) > 1
 
 
-def test_exact_dedup_of_hot_copies(spark, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "HOT_ROWS", 50)
+def test_exact_dedup_of_hot_copies(spark):
     df = spark.range(0, 400).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "same text").otherwise(F.concat(F.lit("t"), F.col("id"))).alias("text"))
-    found = exact_dedup.exact_dedup(df).where("group_size > 1").collect()
-    assert len(found) == 134 and {(r.keep_id, r.group_size) for r in found} == {(0, 134)} and sum(r.kept for r in found) == 1
+    for capacity in (1, 100, exact_dedup.BUCKET_BYTES):
+        found = exact_dedup.exact_dedup(df, capacity=capacity).where("group_size > 1").collect()
+        assert len(found) == 134 and {(r.keep_id, r.group_size) for r in found} == {(0, 134)} and sum(r.kept for r in found) == 1
+
+
+def test_owners_get_a_range_of_distinct_texts(spark):
+    """999 copies of a long text count once in the directory, and owners hold about a bucket each."""
+    long = F.when(F.col("id") < 999, F.repeat(F.lit("x"), 50_000)).otherwise(F.repeat(F.concat(F.lit("y"), F.col("id")), 100))
+    df = spark.range(0, 3000).select(F.col("id").alias("doc_id"), long.alias("text"))
+    entries = exact_dedup.index(exact_dedup.normalised(df, "doc_id", "text"))
+    slots, depth, owners = exact_dedup.directory(entries, 100_000)
+    total = 50_000 + sum(100 * len(f"y{k}") for k in range(999, 3000))
+    assert total / 100_000 <= owners <= 4 * total / 100_000 and 4 <= depth <= 10
+    rows = slots.orderBy("slot").collect()
+    assert [r.owner for r in rows] == sorted(r.owner for r in rows) and rows[-1].owner == owners - 1
 
 
 def base_measures(t):
@@ -379,20 +465,152 @@ def test_nearest_examples_are_exact(spark):
     import numpy as np
 
     r = random.Random(2)
-    rows = [(str(k), k % 2, sorted(r.sample(range(60), r.randint(0, 8)))) for k in range(700)]
+    rows = [(k, k, k % 2, f, [r.randint(1, 3) for _ in f]) for k in range(700) for f in [sorted(r.sample(range(60), r.randint(0, 8)))]]
+    rows += [(700 + k, k, k % 2, rows[k][3], rows[k][4]) for k in range(0, 700, 7)]
     idf = np.array([1 + r.random() for _ in range(60)])
     index = toxicity.Index(rows, idf)
-    by_name = {n: f for n, _, f in rows}
-    dense = np.zeros((700, 60))
-    for at, name in enumerate(index.names):
-        f = by_name[name]
-        dense[at, f] = idf[f] / np.sqrt((idf[f] ** 2).sum()) if f else 0
+    dense = np.zeros((len(rows), 60))
+    for at, (_, _, _, f, n) in enumerate(rows):
+        dense[at, f] = index.weights(f, n) if f else 0
     for _ in range(60):
         f = sorted(r.sample(range(60), r.randint(1, 7)))
         w = index.weights(f, [r.randint(1, 4) for _ in f])
-        sims = np.sort(dense[:, f] @ w)[::-1][: toxicity.NEIGHBOURS]
-        got = [s for s, _ in index.nearest(f, w)]
-        assert np.allclose(got, sims[sims > 0])
+        sims = np.sort((dense[:, f] @ w).round(12))[::-1]
+        sims = sims[(sims > 0) & (sims >= sims[toxicity.NEIGHBOURS - 1])]
+        got = [s for s, _, n in index.nearest(f, w) for _ in range(n)]
+        assert np.allclose(got, sims, atol=1e-9)
+        assert [s for _, s, _ in index.evidence(index.nearest(f, w))] == got[: toxicity.NEIGHBOURS]
+
+
+def plain_scores(texts, labels):
+    """Scores by dense vectors and plain loops: texts of all rows, labels {text: toxic} of the examples, one a text."""
+    import math
+
+    def counts(text):
+        out = Counter()
+        for word in (text or "").lower().split():
+            if word := word.strip(toxicity.EDGES):
+                out.update([word, *(word[:n] + "~" for n in (3, 4, 5, 6) if len(word) > n)])
+        return out
+
+    held = {t: counts(t) for t in {*texts, *labels}}
+    bad, good = sum(labels.values()) + 1.0, len(labels) - sum(labels.values()) + 1.0
+    in_bad, in_all = Counter(f for t, y in labels.items() if y for f in held[t]), Counter(f for t in labels for f in held[t])
+    scored = []
+    for f, n in in_all.items():
+        p, q = (in_bad[f] + 0.5) / bad, (n - in_bad[f] + 0.5) / good
+        if n >= 5 and abs(math.log(p / q)) >= math.log(25):
+            scored.append((-abs(p - q) * abs(math.log(p / q)), f))
+    kept = [f for _, f in sorted(scored)[:2000]]
+    df = Counter(f for t in texts for f in held[t])
+    idf = {f: math.log((1 + len(texts)) / (1 + df[f])) + 1 for f in kept}
+
+    def vector(t):
+        v = {f: (1 + math.log(held[t][f])) * idf[f] for f in kept if f in held[t]}
+        return {f: x / math.sqrt(sum(y * y for y in v.values())) for f, x in v.items()}
+
+    vectors = {t: vector(t) for t in held}
+    blank = [y for t, y in labels.items() if not vectors[t]]
+    prior = (sum(blank) + 0.5) / (len(blank) + 10)
+
+    def vote(t, without=None):
+        sims = sorted(((round(sum(x * vectors[e].get(f, 0) for f, x in vectors[t].items()), 12), y) for e, y in labels.items() if e != without), reverse=True)
+        sims = [x for x in sims if x[0] > 0 and x[0] >= sims[min(14, len(sims) - 1)][0]]
+        return (sum(s * s * y for s, y in sims) + 0.2 * prior) / (sum(s * s for s, _ in sims) + 0.2) if sims else prior
+
+    votes = sorted((vote(e, e), y) for e, y in labels.items() if vectors[e])
+    mean = lambda a, b: sum(y for _, y in votes[a : b + 1]) / (b + 1 - a)
+    fit = [max(min(mean(a, b) for b in range(i, len(votes))) for a in range(i + 1)) for i in range(len(votes))]
+    pools = {}
+    for f, (v, y) in zip(fit, votes, strict=True):
+        pools.setdefault(round(f, 12), []).append((v, y))
+    x = [sum(v for v, _ in p) / len(p) for p in pools.values()]
+    rates = [(sum(y for _, y in p) + 0.5 * prior) / (len(p) + 0.5) for p in pools.values()]
+    rates = [max(rates[: k + 1]) for k in range(len(rates))]
+    import numpy as np
+
+    return [float(np.interp(vote(t), [0.0, *x, 1.0], [rates[0], *rates, rates[-1]])) if vectors[t] else prior for t in texts]
+
+
+def training(i):
+    return zlib.crc32(str(i).encode()) % 5 != 0
+
+
+def test_toxicity_scores_against_dense_vectors(spark):
+    rows = [(r.doc_id, r.text, r.toxic) for r in toxic_table(spark).where("doc_id < 260").collect()]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = {t: y for i, t, y in rows if i % 2 == 0 and training(i)}
+    found = {r.doc_id: r.score for r in toxicity.scores(df, df.where("doc_id % 2 = 0").select("doc_id", "toxic"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0).collect()}
+    want = plain_scores([t for _, t, _ in rows], labels)
+    assert [round(found[i], 9) for i, _, _ in rows] == [round(x, 9) for x in want]
+    # Equal examples under other keys give the same scores.
+    moved = df.withColumn("doc_id", F.lit(10_000) - F.col("doc_id"))
+    again = {10_000 - r.doc_id: r.score for r in toxicity.scores(moved, moved.where("doc_id % 2 = 0").select("doc_id", "toxic"), F.crc32((10_000 - F.col("doc_id")).cast("string").cast("binary")) % 5 != 0).collect()}
+    assert again == found
+
+
+def plain_rules(t):
+    """Whether a quality rule rejects a text."""
+    n, chars, symbols, dup_lines, repeats = base_measures(t)
+    t, words = t or "", WORD.findall(t or "")
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    upper, lower = len(re.findall("[A-Z]", t)), len(re.findall("[a-z]", t))
+    return any([
+        n < 20 or 100 * repeats > 30 * n, 10 * symbols > n, upper > 20 and upper > lower, 5 * t.count("!") > n,
+        100 * sum(a == b for a, b in zip(words, words[1:])) > 30 * n, 100 * dup_lines > 75 * len(lines), n > 0 and not 2 * n <= chars <= 20 * n,
+    ])
+
+
+def test_pipeline_stages_against_plain_computations(spark, tmp_path):
+    toxic = [(r.doc_id, r.text, r.toxic) for r in toxic_table(spark).where("doc_id < 200").collect()]
+    rows = [(i, t) for i, t, _ in toxic] + [(i if i is None else i + 1000, t) for i, t in TEXTS if len(t or "") < 9000]
+    rows += [(2000 + k, f"{REPEATED} and in this one\n{sentences(600 + k, 40)}") for k in range(6)] + [(2100 + k, sentences(610, 80) + f" w{k}") for k in range(4)]
+    labels = [(i, y) for i, _, y in toxic if i % 2 == 0]
+    spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    columns, functions = frame.columns, dict(corpus_pipeline.STAGES)
+
+    def ran(name):
+        functions[name](spark, frame, str(tmp_path)).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    def check(name, want):
+        out = ran(name)
+        assert out.columns == columns and by_rows(out, "doc_id", "text", "n_chars") == want
+        return out
+
+    as_rows = lambda rs: Counter((i, t, len(t or "")) for i, t in rs)
+    scores = plain_scores([t for _, t in rows], {t: y for i, t, y in toxic if i % 2 == 0 and training(i)})
+    gone = {i for (i, _), s in zip(rows, scores, strict=True) if s >= 0.5}
+    assert 20 <= len(gone) <= 60
+    rows = [x for x in rows if x[0] not in gone]
+    frame = check("toxicity", as_rows(rows))
+    rows = [x for x in rows if not plain_rules(x[1])]
+    frame = check("quality_rules", as_rows(rows))
+    key, holders = (lambda line: line.strip(BLANKS).translate(LOWER)), defaultdict(list)
+    for i, t in rows:
+        for k in {key(x) for x in t.split("\n")}:
+            holders[k].append(i)
+    before = rows
+    rows = [(i, "\n".join(x for x in t.split("\n") if len(key(x)) < 20 or len(holders[key(x)]) < 3 or max(holders[key(x)], key=lambda j: (j is not None, j or 0)) == i)) for i, t in rows]
+    assert rows != before
+    frame = check("line_dedup", as_rows(rows))
+    groups = components(rows)
+    rows = [(i, t) for i, t in rows if i is None or groups[i] == i]
+    frame = check("near_dedup", as_rows(rows))
+    library, want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), Counter()
+    for i, t in rows:
+        ids = array.array("I", library.encode(t, add_special_tokens=False).ids + [2])
+        for k, (start, n) in enumerate(packing.cut(len(ids))):
+            want[i, k, start, n, zlib.crc32(ids[start : start + n].tobytes())] += 1
+    out = ran("packing")
+    assert by_rows(out, "doc_id", "piece", "start", "length", "ids_crc32") == want
+    places = defaultdict(list)
+    for r in out.collect():
+        places[r.sequence_id].append((r.offset, r.length))
+    for x in places.values():
+        ends = [0, *(a + n for a, n in sorted(x))]
+        assert ends[-1] <= 1024 and [a for a, _ in sorted(x)] == ends[:-1]
 
 
 def test_pipeline(spark, docs, empty, tmp_path):
