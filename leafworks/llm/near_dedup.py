@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafworks.llm.shared import small_batches, text_or_empty, written
+from leafworks.llm.shared import discard, small_batches, text_or_empty, written
 
 WORDS, PERCENT = 5, 75
 BANDS, ROWS = 32, 4
@@ -305,7 +305,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "v").where("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).where("u != v").distinct()
         low = large.groupBy("v").agg(F.min("u").alias("m"))
         small = large.join(low, "v").where("u != m").select(F.col("u").alias("v"), F.col("m").alias("u"))
-        now = written(small.unionByName(low.select("v", F.col("m").alias("u"))).distinct())
+        now, before = written(small.unionByName(low.select("v", F.col("m").alias("u"))).distinct()), now
+        discard(before)
         # Done when no node is at once above and below another, or below two: all edges hang on roots, one a node.
         ends = now.select(F.col("v").alias("x"), F.lit(1).alias("below"), F.lit(0).alias("above"))
         ends = ends.unionByName(now.select(F.col("u").alias("x"), F.lit(0).alias("below"), F.lit(1).alias("above")))
@@ -328,13 +329,18 @@ def linked(reps: DataFrame, sketched: DataFrame, percent: int, words: int) -> Da
     for end in ("hub", "member"):
         rest = rest.join(joined.select(F.col("node").alias(end), F.col("component").alias(f"{end}_of")), end, "left")
     rest = written(rest.where(F.coalesce("hub_of", "hub") != F.coalesce("member_of", "member")).select("hub", "member"))
-    links = written(links.unionByName(confirmed(rest, held, percent, words)))
-    nodes = open_nodes(members, components(links))
-    if nodes.isEmpty():
-        return links
+    discard(pairs, joined)
+    both = written(links.unionByName(confirmed(rest, held, percent, words)))
+    discard(links, rest)
+    nodes = open_nodes(members, components(both))
     sets = full_sets(nodes, held, words)
-    pairs = written(rare_pairs(rare_first(sets, percent), percent))
-    return links.unionByName(confirmed(pairs, sets, percent, words))
+    discard(members, held)
+    entries = rare_first(sets, percent)
+    pairs = written(rare_pairs(entries, percent))
+    discard(entries)
+    whole = written(both.unionByName(confirmed(pairs, sets, percent, words)))
+    discard(both, nodes, sets, pairs)
+    return whole
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ BLANK = r"[\x20\x09-\x0D]"
 NON_BLANK = r"[^\x20\x09-\x0D]"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
 #: Rows in an Arrow batch of the Python operators: texts of a few KB then make batches of a few MB.
-BATCH_ROWS = 512
+BATCH_ROWS, BATCH_BYTES = 512, 16 << 20
 
 
 def text_or_empty(name: str = "text") -> Column:
@@ -36,25 +37,43 @@ def free(name: str, df: DataFrame) -> str:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bounds the rows that go to a Python worker at once, whatever the length of the texts."""
+    """Bounds the rows, and where Spark can the bytes, that go to a Python worker at once, whatever the length of the
+    texts. The setting is read when a plan is made, so it stays for the session: frames are run after this returns."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below the cluster's shared checkpoint folder (set here only where the session has none)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder below the cluster's shared checkpoint folder. Only a local session without one gets its own."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="leafworks-")
-        spark.sparkContext.setCheckpointDir(base)
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="leafworks-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/leafworks-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame) -> DataFrame:
-    """Writes df to the shared folder and reads it back: cuts lineage, survives lost executors."""
+    """Writes df to the shared folder and reads it back: cuts lineage, survives lost executors. discard() deletes it."""
     spark = df.sparkSession
     path = scratch(spark)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _written[id(out)] = (weakref.ref(out), path)
+    return out
+
+
+#: The folders of written frames that are still there.
+_written: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the folders of written frames that nothing will read again, as a later one was written from them."""
+    for df in frames:
+        ref, path = _written.get(id(df), (None, ""))
+        if ref is not None and ref() is df:
+            del _written[id(df)]
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
