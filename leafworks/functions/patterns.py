@@ -160,6 +160,24 @@ QUESTION_OPENERS = r"(?i)^(Q[\.\t\s]|PREVIOUS YEAR QUESTION|With reference|Consi
 NUMBERED_HEADING = r"^\d+(\.\d+)*\s+[A-Z]"
 SAME_TOPIC_WORDS = ["cave architecture", "gandhara"]
 
+LINE_HEADINGS = [
+    r"(?i)^\s*chapter\s+\d+", r"(?i)^\s*exercises\s*$", r"(?i)^\s*things\s+to\s+know\b",
+    r"(?i)^\s*india['’]?s\s+struggle\s+for\s+independence\b", r"(?i)^\s*revolt\s+of\s+1857\b", r"(?i)^\s*non[- ]cooperation\b",
+    r"(?i)^\s*civil\s+disobedience\b", r"(?i)^\s*quit\s+india\b",
+]
+FONT_LIST_ITEM = r"^(z |\? |\([a-d]\)\s)"
+FONT_LIST_ITEM_MORE = r"^(z |\? |\([a-d]\)\s|\d+\.\s|[•\-➢]\s)"
+SENTENCE_END = "[.!?:’\"'”]$"
+SPLIT_END = r'[.!?:"]$'
+LINE_END = "[.!?:\"’]\\s*$"
+OCR_RESIDUE = r"\b[A-Z]\s+ol\b|\b[A-Z]\s+ork\b"
+OCR_WORD = "monotheistsant"
+SUMMARY_PHRASES = [
+    "based on the provided text", "here is a summary", "in summary", "to summarize", "summary of the main historical facts",
+    "summary of the provided text",
+]
+SUMMARY_BULLETS = r"(?m)\*\s{2,3}\*\*|^\s*-\s\*\*"
+
 # Tables.
 TABLE_BOILERPLATE = [r"(?i)india:\s*6\s*th\s*century\s*bce\s*to\s*200\s*bce", r"(?i)^\s*page\s+nos?\.\s*$", r"(?i)^\s*bhic-101\s*$"]
 CITATION_ROW = r"(?i)^\s*\(.*?(?:Kumar|MHI|Block|Unit|p\.\s*\d+|Press|Edition|ISBN|Source|Adapted).*?\)\s*$"

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +44,7 @@ def replaced(c: Column, pairs: list[tuple[str, str]], together: int = 12) -> Col
 
     def group(few: list[tuple[str, str]]) -> Column:
         plain = [literal(p) for p, _ in few]
-        chain = lambda x: reduce(lambda a, p: F.regexp_replace(a, p[0], p[1]), few, x)
+        chain = lambda x: reduce(lambda a, p: F.regexp_replace(a, f"(?U){p[0]}", p[1]), few, x)
         if not all(plain):
             return chain(c)
         return F.transform(F.array(c), lambda x: F.when(has_any(x, plain), chain(x)).otherwise(x))[0]
@@ -60,7 +62,7 @@ def characters(c: Column) -> Column:
 
 
 def joined_breaks(c: Column) -> Column:
-    return F.regexp_replace(c, P.HYPHEN_BREAK, "$1$2")
+    return F.regexp_replace(c, f"(?U){P.HYPHEN_BREAK}", "$1$2")
 
 
 def spaces(c: Column) -> Column:
@@ -75,9 +77,9 @@ def basic_correction(c: Column) -> Column:
 
 def urls(c: Column) -> Column:
     """Spaces inside web addresses removed until none is left: a round removes one at least, so white space bounds them."""
-    rounds = F.sequence(F.lit(0), F.regexp_count(c, F.lit(r"\s")))
+    rounds = F.sequence(F.lit(0), F.regexp_count(c, F.lit(r"(?U)\s")))
     start = F.struct(F.lit(None).cast("string").alias("before"), c.alias("text"))
-    step = lambda s: F.struct(s["text"].alias("before"), F.regexp_replace(s["text"], P.URL_SPACE, "$1$2").alias("text"))
+    step = lambda s: F.struct(s["text"].alias("before"), F.regexp_replace(s["text"], f"(?U){P.URL_SPACE}", "$1$2").alias("text"))
     return F.aggregate(rounds, start, lambda s, _: F.when(s["before"].eqNullSafe(s["text"]), s).otherwise(step(s)))["text"]
 
 
@@ -91,18 +93,18 @@ def without_header_tail(c: Column) -> Column:
     """The first running header, in the list's order, that ends the text is removed."""
     out = F.when(F.lit(False), c)
     for phrase in P.RUNNING_HEADERS:
-        tail = rf"\s+{re.escape(phrase)}\s*$"
-        out = out.when(c.rlike(tail), F.regexp_replace(F.regexp_replace(c, tail, ""), r"\s+$", ""))
+        tail = rf"(?U)\s*{re.escape(phrase)}\s*$"
+        out = out.when(c.rlike(tail), F.regexp_replace(F.regexp_replace(c, tail, ""), r"(?U)\s+$", ""))
     return out.otherwise(c)
 
 
 def without_inline_headers(c: Column) -> Column:
     """The first place between words of each running header is removed."""
-    return reduce(lambda a, h: F.regexp_replace(a, rf"(?s)^(.*?\w)\s+{re.escape(h)}\s+(?=\w)", "$1 "), P.RUNNING_HEADERS, c)
+    return reduce(lambda a, h: F.regexp_replace(a, rf"(?sU)^(.*?\w)\s+{re.escape(h)}\s+(?=\w)", "$1 "), P.RUNNING_HEADERS, c)
 
 
 def emphasized(c: Column) -> Column:
-    return reduce(lambda a, t: F.regexp_replace(a, rf"(?<![*])\b({re.escape(t)})\b(?![*])", "*$1*"), P.FOREIGN_TERMS, c)
+    return reduce(lambda a, t: F.regexp_replace(a, rf"(?U)(?<![*])\b({re.escape(t)})\b(?![*])", "*$1*"), P.FOREIGN_TERMS, c)
 
 
 def corrected(df: DataFrame, name: str = "text", into: str = "corrected") -> DataFrame:
@@ -110,7 +112,7 @@ def corrected(df: DataFrame, name: str = "text", into: str = "corrected") -> Dat
     headers and emphasis. Rules that few texts need are tried only on those that hold one of their words."""
     c = joined_breaks(characters(F.col(name)))
     c = replaced(c, [*P.DOMAIN_TERMS, *P.CONFUSIONS, *P.SPLIT_WORDS])
-    df = df.withColumn(into, F.regexp_replace(c, r"(?i)\b([a-zA-Z]{3,})\s+\1\b", "$1"))
+    df = df.withColumn(into, F.regexp_replace(c, r"(?iU)\b([a-zA-Z]{3,})\s+\1\b", "$1"))
     c = F.col(into)
     df = df.withColumn(into, spaces(F.when(c.rlike(f"[{P.DIACRITICS}]"), diacritics(c)).otherwise(c)))
     df = df.withColumn(into, F.when(c.contains("://"), urls(c)).otherwise(c))
@@ -118,6 +120,46 @@ def corrected(df: DataFrame, name: str = "text", into: str = "corrected") -> Dat
     return df.withColumn(into, strip(F.when(has_any(c, P.FOREIGN_TERMS), emphasized(c)).otherwise(c)))
 
 
+def corrected_blocks(df: DataFrame) -> DataFrame:
+    """Blocks with corrected texts: where one changed, raw_text keeps the former and was_corrected is true; all others
+    have no raw_text and was_corrected is false, whatever it was."""
+    out = corrected(df, "text", "_corrected")
+    changed = F.col("_corrected") != strip(F.col("text"))
+    new = {"raw_text": F.when(changed, F.col("text")), "text": F.when(changed, F.col("_corrected")).otherwise(F.col("text")), "was_corrected": changed}
+    return out.withColumns(new).drop("_corrected")
+
+
+def with_fingerprint(df: DataFrame, name: str = "text", into: str = "fingerprint", chars: int = 120) -> DataFrame:
+    """Adds the first code points of the text in compatibility form, with single spaces, in lower case. Spark has no
+    such form; texts of ASCII are in it already, and only the others go through Arrow."""
+
+    @F.arrow_udf("string")
+    def composed(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
+
+    c = F.col(name)
+    whole = F.coalesce(composed(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+    return df.withColumn(into, F.left(normalized(whole), F.lit(chars)))
+
+
+def without_fences(c: Column) -> Column:
+    """Without the first line if it begins with three backticks, and without three backticks at the end and what
+    follows; blanks at the ends go too."""
+    c = strip(c)
+    c = F.when(c.startswith("```"), F.when(c.contains("\n"), F.regexp_replace(c, r"(?s)^[^\n]*\n", "")).otherwise(c)).otherwise(c)
+    return strip(F.when(c.endswith("```"), F.left(c, F.length(c) - 3)).otherwise(c))
+
+
+def half_even(c: Column, digits: int) -> Column:
+    """Rounded, ties to the even digit, as a double."""
+    return F.bround(c.cast("decimal(20,8)"), digits).cast("double")
+
+
+def uuid4() -> Column:
+    """A random version-4 UUID, another one in each row and each run."""
+    return F.uuid()
+
+
 def uuid5(name: Column, namespace: str = "6ba7b8109dad11d180b400c04fd430c8") -> Column:
     """The version-5 UUID of a name, by default in the DNS namespace."""
     h = F.substring(F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(name, "utf-8"))), 1, 32)

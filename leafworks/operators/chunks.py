@@ -9,30 +9,52 @@ from leafworks.functions import text as T
 
 
 def chunks(df: DataFrame, size: int = 1000, overlap: int = 200) -> DataFrame:
-    """(file_id, doc_id, chunk_no, chunk_id, text, character_count, block_ids) from blocks (file_id, doc_id, seq, text).
+    """(file_id, doc_id, chunk_no, chunk_id, text, character_count, block_ids, pages) from blocks (file_id, page_num,
+    doc_id, seq, text); pages are the chunk's distinct page numbers in rising order.
 
     Blocks are appended until the next one would pass `size` code points (the joining space isn't counted; a longer
     block stays whole). The next chunk starts with the last `overlap` code points of the one before, if that was
     longer. Blank blocks don't count; a document without others has no chunk.
     """
     text = T.strip(F.col("text"))
-    rows = df.withColumn("text", text).where("text != ''").groupBy("file_id", "doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("blocks"))
-    start = F.struct(F.array().cast("array<struct<text:string,ids:array<int>>>").alias("done"), F.lit("").alias("cur"), F.array().cast("array<int>").alias("ids"))
+    block = F.struct("seq", "text", "page_num") if "page_num" in df.columns else F.struct("seq", "text", F.lit(None).cast("int").alias("page_num"))
+    rows = df.withColumn("text", text).where("text != ''").groupBy("file_id", "doc_id").agg(F.array_sort(F.collect_list(block)).alias("blocks"))
+    ints = F.array().cast("array<int>")
+    none = F.array().cast("array<struct<text:string,ids:array<int>,pages:array<int>>>")
+    start = F.struct(none.alias("done"), F.lit("").alias("cur"), ints.alias("ids"), ints.alias("pages"))
+    made = lambda s: F.struct(T.strip(s["cur"]).alias("text"), s["ids"].alias("ids"), F.array_sort(F.array_distinct(s["pages"])).alias("pages"))
 
     def step(s, b):
         full = (s["cur"] != "") & (F.length(s["cur"]) + F.length(b["text"]) > size)
         tail = F.when(F.length(s["cur"]) > overlap, F.right(s["cur"], F.lit(overlap))).otherwise("")
         flushed = F.struct(
-            F.array_append(s["done"], F.struct(T.strip(s["cur"]).alias("text"), s["ids"].alias("ids"))).alias("done"),
-            F.concat(tail, F.lit(" "), b["text"]).alias("cur"), F.array(b["seq"]).alias("ids"),
+            F.array_append(s["done"], made(s)).alias("done"), F.concat(tail, F.lit(" "), b["text"]).alias("cur"),
+            F.array(b["seq"]).alias("ids"), F.array(b["page_num"]).alias("pages"),
+        )
+        grown = F.struct(
+            s["done"].alias("done"), T.strip(F.concat(s["cur"], F.lit(" "), b["text"])).alias("cur"),
+            F.array_append(s["ids"], b["seq"]).alias("ids"), F.array_append(s["pages"], b["page_num"]).alias("pages"),
         )
-        grown = F.struct(s["done"].alias("done"), T.strip(F.concat(s["cur"], F.lit(" "), b["text"])).alias("cur"), F.array_append(s["ids"], b["seq"]).alias("ids"))
         return F.when(full, flushed).otherwise(grown)
 
-    last = lambda s: F.array_append(s["done"], F.struct(T.strip(s["cur"]).alias("text"), s["ids"].alias("ids")))
+    last = lambda s: F.array_append(s["done"], made(s))
     found = rows.select("file_id", "doc_id", F.posexplode(F.aggregate("blocks", start, step, last)).alias("pos", "chunk"))
     number = F.col("pos") + 1
-    return found.select("file_id", "doc_id", number.alias("chunk_no"), F.format_string("chk_%04d", number).alias("chunk_id"), "chunk.text", F.length("chunk.text").alias("character_count"), F.col("chunk.ids").alias("block_ids"))
+    return found.select(
+        "file_id", "doc_id", number.alias("chunk_no"), F.format_string("chk_%04d", number).alias("chunk_id"), "chunk.text",
+        F.length("chunk.text").alias("character_count"), F.col("chunk.ids").alias("block_ids"), F.col("chunk.pages").alias("pages"),
+    )
+
+
+def documents(found: DataFrame) -> DataFrame:
+    """(file_id, document): the chunk document of each file's document as JSON: its name, the number of chunks, and the
+    chunks with their metadata, in order."""
+    name = F.concat_ws("/", "file_id", F.col("doc_id").cast("string"))
+    meta = F.struct(name.alias("file_name"), F.col("pages").alias("page_numbers"), F.transform("block_ids", lambda x: F.format_string("blk_%04d", x + 1)).alias("source_block_ids"))
+    chunk = F.struct("chunk_no", F.struct("chunk_id", "text", "character_count", meta.alias("metadata")).alias("c"))
+    ordered = F.transform(F.array_sort(F.collect_list(chunk), lambda a, b: a["chunk_no"] - b["chunk_no"]), lambda x: x["c"])
+    whole = found.groupBy("file_id", "doc_id").agg(F.count("*").alias("chunk_count"), ordered.alias("chunks"))
+    return whole.select(name.alias("file_id"), F.to_json(F.struct(name.alias("file_name"), "chunk_count", "chunks")).alias("document"))
 
 
 def stats(found: DataFrame) -> DataFrame:

@@ -53,6 +53,11 @@ def with_entities(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("entities", extract(F.col(text)))
 
 
+def totals(df: DataFrame) -> DataFrame:
+    """(file_id, entities): the mentions of each file."""
+    return df.groupBy("file_id").agg(F.sum(F.size("entities")).alias("entities"))
+
+
 def label_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """(label, mentions) by each label's pattern alone, inside the JVM."""
 
