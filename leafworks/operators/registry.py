@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -12,10 +12,85 @@ def latest(changes: DataFrame, key: str, at: str, values: list[str]) -> DataFram
 
 
 def upserted(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """old with the rows of new put in by key."""
-    return old.join(new.select(key), key, "left_anti").unionByName(new)
+    """old with the rows of new put in by key; of rows of new that repeat a key one stays."""
+    return old.join(new.select(key), key, "left_anti").unionByName(new.dropDuplicates([key]))
+
+
+def changed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """old with the values of new that aren't null put in by key; keys that old doesn't have are left out."""
+    values = [c for c in old.columns if c != key]
+    found = old.join(new.select(F.col(key), *(F.col(c).alias(f"_{c}") for c in values if c in new.columns)), key, "left")
+    return found.select(*(F.coalesce(f"_{c}", c).alias(c) if c in values and c in new.columns else F.col(c) for c in old.columns))
 
 
 def matched(files: DataFrame, outputs: DataFrame, key: str) -> DataFrame:
     """(key, found): files with an output, and those without."""
     return files.join(outputs.select(key).distinct().withColumn("found", F.lit(True)), key, "left").select(key, F.coalesce("found", F.lit(False)).alias("found"))
+
+
+def upload_path(folder: str, classification: Column, file_id: Column) -> Column:
+    """Where an accepted upload lies: a folder for each class, in lower case."""
+    return F.concat_ws("/", F.lit(folder), F.lower(classification), F.concat(file_id, F.lit(".pdf")))
+
+
+def intake(found: DataFrame, allowed: list[str]) -> DataFrame:
+    """Adds error: why an upload (file_name, classification) isn't taken in, null if it is."""
+    wrong_class = ~F.coalesce(F.col("classification").isin(allowed), F.lit(False))
+    wrong_name = ~F.coalesce(F.lower("file_name").endswith(".pdf"), F.lit(False))
+    return found.withColumn("error", F.when(wrong_class, "classification").when(wrong_name, "extension"))
+
+
+def engine(scanned: Column, forced: Column) -> Column:
+    """The engine for a file: the forced one, or by whether it is scanned; an unknown forced one means native text."""
+    name = F.lower(forced)
+    return F.when(name == "vlm", "vlm").when(name.isNotNull(), "layout").when(F.coalesce(scanned, F.lit(True)), "vlm").otherwise("layout")
+
+
+def collection(classification: Column, names: dict[str, str]) -> Column:
+    """The collection of a class, null for one that has none."""
+    out = F.when(F.lit(False), F.lit(None).cast("string"))
+    for k, v in names.items():
+        out = out.when(classification == k, v)
+    return out
+
+
+def response(found: DataFrame) -> DataFrame:
+    """Registry rows as they are shown: the id under its own name, times in ISO form."""
+    times = [F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c) for c in ("created_at", "updated_at") if c in found.columns]
+    rest = [c for c in found.columns if c not in ("id", "created_at", "updated_at")]
+    return found.select(F.col("id").alias("document_id"), *rest, *times)
+
+
+def ingest_stats(files: DataFrame, chunks: DataFrame, dry_run: bool = False) -> DataFrame:
+    """(file_id, chunks, vectors, status, error) of a batch: files without chunks are errors; a dry run counts alone."""
+    counts = chunks.groupBy("file_id").agg(F.count("*").alias("chunks"))
+    n = F.coalesce("chunks", F.lit(0).cast("long"))
+    out = files.select("file_id").join(counts, "file_id", "left").withColumn("chunks", n)
+    none = F.col("chunks") == 0
+    status = F.when(none, "error").otherwise("dry_run" if dry_run else "ok")
+    vectors = F.when(none | F.lit(dry_run), 0).otherwise(F.col("chunks")).cast("long")
+    return out.select("file_id", "chunks", vectors.alias("vectors"), status.alias("status"), F.when(none, "No chunks in preprocessed JSON").alias("error"))
+
+
+def progress(found: DataFrame, order: str = "path") -> DataFrame:
+    """Adds label: [place/number of rows], by order. The rows are a batch's files."""
+    w = Window.orderBy(order)
+    return found.withColumn("label", F.format_string("[%d/%d]", F.row_number().over(w), F.count(F.lit(1)).over(Window.partitionBy())))
+
+
+def collections(spark: SparkSession) -> set[str]:
+    """The names of the tables that stand for vector collections."""
+    return {t.name for t in spark.catalog.listTables()}
+
+
+def ensure_collection(spark: SparkSession, name: str, columns: str, reset: bool = False) -> None:
+    """Creates a collection's table if there is none; with reset an existing one is dropped first."""
+    if reset:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+
+
+def drop_collections(spark: SparkSession, names: set[str] | None = None) -> None:
+    """Drops the named collections, or all."""
+    for name in collections(spark) if names is None else names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Queries that meet the candidates of a task at a time, and candidates that meet them.
+QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -15,31 +22,86 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def embedded(df: DataFrame, text: str = "text", dims: int = 64) -> DataFrame:
-    """Adds vector: the L2-normalised hashed bag of words, an offline stand-in for a text model."""
-    slots = F.transform(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+"), lambda w: F.pmod(F.xxhash64(w), F.lit(dims)).cast("int"))
-    df = df.withColumn("_slots", F.array_sort(slots))
-    raw = F.transform(F.sequence(F.lit(0), F.lit(dims - 1)), lambda k: F.size(F.filter(F.col("_slots"), lambda s: s == k)).cast("double"))
-    df = df.withColumn("_raw", raw)
-    norm = F.sqrt(dot(F.col("_raw"), F.col("_raw")))
-    return df.withColumn("vector", F.transform("_raw", lambda x: (x / F.greatest(norm, F.lit(1e-12))).cast("float"))).drop("_slots", "_raw")
+    """Adds vector: the L2-normalised hashed bag of words, an offline stand-in for a text model; all zeros for a text
+    without words. A word's place is the first 32 bits of its MD5 digest, modulo dims."""
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    slot = lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % dims).cast("int")
+    counts = F.aggregate(
+        F.transform(words, slot), F.array_repeat(F.lit(0), dims),
+        lambda a, k: F.concat(F.slice(a, 1, k), F.array(F.get(a, k) + 1), F.slice(a, k + 2, dims)),
+    )
+    df = df.withColumn("_raw", counts)
+    norm = F.sqrt(F.aggregate("_raw", F.lit(0).cast("long"), lambda s, x: s + x * x).cast("double"))
+    return df.withColumn("vector", F.transform("_raw", lambda x: F.when(norm > 0, x / norm).otherwise(0.0))).drop("_raw")
+
 
+def misfits(df: DataFrame, dims: int, vector: str = "vector") -> DataFrame:
+    """The rows whose vector isn't one of `dims` numbers: the check before a collection takes them."""
+    return df.where(F.coalesce(F.size(vector) != dims, F.lit(True)))
 
-def nearest(queries: DataFrame, candidates: DataFrame, k: int = 10, blocks: int = 16) -> DataFrame:
-    """(query_id, vec_id, score, rank): the k best of all candidates for each query.
 
-    A stated query set against all rows, in blocks: queries are dealt over blocks and each candidate meets a block
-    of queries at a time. Each task keeps its k best per query before anything is shuffled to the final ranking.
+def nearest(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
+    """(query_id, query_label, vec_id, label, score, rank): the k best of all candidates for each query but itself.
+
+    A stated query set against all rows, in blocks: queries are dealt over blocks of QUERY_BLOCK on average, and each
+    task multiplies its candidates with one block of queries after the other as matrices, keeping k a query. What is
+    shuffled after that is k rows a task and query. Both: vec_id, label, embedding.
     """
-    q = queries.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), F.col("label").alias("query_label")).withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-    bundles = q.groupBy("block").agg(F.collect_list(F.struct("query_id", "q", "query_label")).alias("qs"))
-    c = candidates.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    scored = c.join(bundles, "block").select("vec_id", "label", F.explode("qs").alias("x"), "embedding")
-    scored = scored.select(F.col("x.query_id").alias("query_id"), F.col("x.query_label").alias("query_label"), "vec_id", "label", F.round(cosine(F.col("x.q"), F.col("embedding")), 6).alias("score"))
-    # Candidates' parts first, so the last ranking reads k rows a part and query.
-    part = F.pmod(F.xxhash64("vec_id"), F.lit(64))
-    first = Window.partitionBy("query_id", "part").orderBy(F.desc("score"), "vec_id")
-    few = scored.withColumn("part", part).withColumn("r", F.row_number().over(first)).where(F.col("r") <= k).drop("r", "part")
-    return few.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
+    sides = [
+        queries.select(block.alias("block"), F.lit(0).alias("side"), "vec_id", "label", "embedding"),
+        candidates.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("side"), "vec_id", "label", "embedding"),
+    ]
+    # Each slice of the candidates gets the queries of its block.
+    slices = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = sides[0].withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    right = sides[1].withColumn("slice", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(slices)).cast("int"))
+    dealt = left.unionByName(right).repartition("block", "slice").sortWithinPartitions("block", "slice", "side")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def unit(rows: list[tuple]) -> np.ndarray:
+            m = np.array([r[4] for r in rows], np.float64)
+            return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
+
+        def best(found: list[tuple]) -> list[tuple]:
+            found.sort(key=lambda x: (x[0], -x[4], x[2]))
+            out, last, n = [], None, 0
+            for x in found:
+                n = n + 1 if x[0] == last else 1
+                last = x[0]
+                if n <= k:
+                    out.append(x)
+            return out
+
+        def scored(q: list[tuple], m: np.ndarray, c: list[tuple]) -> list[tuple]:
+            scores = np.round(m @ unit(c).T, 6)
+            ids = np.array([r[2] for r in c])
+            top = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, : k + 1]
+            return [(q[i][2], q[i][3], c[j][2], c[j][3], float(scores[i, j])) for i in range(len(q)) for j in top[i] if c[j][2] != q[i][2]]
+
+        def batch(found: list[tuple]) -> pa.RecordBatch:
+            names, kinds = ["query_id", "query_label", "vec_id", "label", "score"], [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64()]
+            return pa.RecordBatch.from_arrays([pa.array([x[n] for x in found], t) for n, t in enumerate(kinds)], names=names)
+
+        group, q, c, found = None, [], [], []  # a group's queries come before its candidates
+        for b in batches:
+            for row in zip(*(b.column(n).to_pylist() for n in ("block", "side", "vec_id", "label", "embedding", "slice")), strict=True):
+                if (row[0], row[5]) != group:
+                    if q and c:
+                        found = best(found + scored(q, unit(q), c))
+                    yield batch(found)
+                    group, q, c, found = (row[0], row[5]), [], [], []
+                (c if row[1] else q).append(row)
+                if len(c) == CANDIDATE_BLOCK:
+                    found, c = best(found + scored(q, unit(q), c)) if q else [], []
+        if q and c:
+            found = best(found + scored(q, unit(q), c))
+        yield batch(found)
+
+    few = dealt.mapInArrow(run, "query_id long, query_label int, vec_id long, label int, score double")
+    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+    return ranked.where(F.col("rank") <= k)
 
 
 def first_hits(found: DataFrame, queries: DataFrame) -> DataFrame:
@@ -55,3 +117,13 @@ def measures(ranks: DataFrame) -> DataFrame:
         F.count("*").alias("queries"), mean(F.when(r > 0, 1 / r).otherwise(0.0), "mrr"), mean(F.when(r.between(1, 5), 1 / F.log2(r + 1)).otherwise(0.0), "ndcg5"),
         mean(r.between(1, 5).cast("double"), "recall5"), mean(r.between(1, 10).cast("double"), "recall10"),
     )
+
+
+def evaluation(found: DataFrame, queries: DataFrame) -> DataFrame:
+    """The measures of nearest()'s lists, the first neighbour of a query's label being the hit."""
+    return measures(first_hits(found, queries))
+
+
+def corpus(chunks: DataFrame, fallback: DataFrame) -> DataFrame:
+    """chunks, or the fallback rows where there are none."""
+    return fallback if chunks.isEmpty() else chunks

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from leafworks.functions import text as T
+
 DOCUMENT = """document_metadata struct<file_name:string,file_path:string,file_size_mb:double,page_count:int,extracted_at:string,extractor_engine:string>,
 extraction_summary struct<total_blocks:int,content_blocks:int,boilerplate_blocks:int,corrected_blocks:int,table_count:int,image_count:int,total_ner_entities:int>,
 text_blocks array<struct<block_id:string,page_num:int,type:string,text:string,bbox:array<double>,is_boilerplate:boolean,boilerplate_type:string,was_corrected:boolean,raw_text:string,entities:array<struct<text:string,label:string,start:int,end:int>>>>,
@@ -12,26 +17,68 @@ tables array<struct<table_id:string,page_num:int,caption:string,headers:array<st
 
 
 def files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
-    """path, modificationTime, length, content of all files below the folder."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
+    """path, modificationTime, length, content of all files below the folder that have bytes, in the order of path."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder).orderBy("path")
+
+
+def listed(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, length) of all files below the folder, those without bytes too, from the file system's listing; an empty
+    frame if there is none, or no folder."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs, rows = path.getFileSystem(conf), []
+    if fs.exists(path):
+        found = fs.listFiles(path, True)
+        while found.hasNext():
+            f = found.next()
+            rows.append((f.getPath().toString(), f.getLen()))
+    return spark.createDataFrame(rows, "path string, length long").orderBy("path")
+
+
+def with_heads(found: DataFrame, chars: int = 5) -> DataFrame:
+    """Adds head: each file's first bytes (null where it can't be read), the only ones that are read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.fs as pafs
+
+        for b in batches:
+            heads = []
+            for path in b.column(0).to_pylist():
+                uri = path[len("file:") :] if path.startswith("file:/") and not path.startswith("file://") else path
+                try:
+                    fs, at = pafs.FileSystem.from_uri(uri)
+                    with fs.open_input_stream(at, compression=None) as f:
+                        heads.append(f.read(chars))
+                except OSError:
+                    heads.append(None)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(heads, pa.binary())], names=["path", "length", "head"])
+
+    return found.select("path", "length").mapInArrow(run, "path string, length long, head binary")
 
 
 def validated(found: DataFrame, max_mb: int = 100) -> DataFrame:
-    """(path, size_mb, errors): what is wrong with each file; an empty list for a valid one. Only heads are looked at."""
-    empty = F.col("length") == 0
-    errors = F.array(
-        F.when(empty, "empty"), F.when(~F.lower("path").endswith(".pdf"), "extension"), F.when(F.col("length") > max_mb * 1024 * 1024, "size"),
-        F.when(~empty & (F.substring("content", 1, 5) != F.lit(b"%PDF-")), "header"),
-    )
-    return found.select("path", F.round(F.col("length") / 1048576, 2).alias("size_mb"), F.filter(errors, lambda e: e.isNotNull()).alias("errors"))
+    """(path, size_mb, errors): what is wrong with each file; an empty list for a valid one. found: path, length, and
+    head (the first bytes) and, where known, page_count. A file without bytes has no other error, nor has one whose
+    head can't be read any after that."""
+    size_mb = F.round(F.col("length") / 1048576, 2)
+    pages = F.col("page_count") if "page_count" in found.columns else F.lit(None).cast("int")
+    errors = F.filter(F.array(
+        F.when(~F.lower("path").endswith(".pdf"), "extension"), F.when(size_mb > max_mb, "size"),
+        F.when(F.col("head").isNull(), "unreadable").when(F.substring("head", 1, 5) != F.lit(b"%PDF-"), "header"),
+        F.when(F.col("head").isNotNull() & (pages < 1), "no_pages"),
+    ), lambda e: e.isNotNull())
+    return found.select("path", size_mb.alias("size_mb"), F.when(F.col("length") == 0, F.array(F.lit("empty"))).otherwise(errors).alias("errors"))
 
 
 def scanned(pages: DataFrame, sample: int = 8, below: float = 150.0) -> DataFrame:
-    """(file_id, scanned): whether evenly spread pages have few characters on average. pages: file_id, page_num, text."""
+    """(file_id, scanned): whether evenly spread pages have few characters on average. pages: file_id, page_num, text;
+    a file whose pages can't be read (null text) counts as scanned, one without pages is left out."""
     n = pages.groupBy("file_id").agg(F.max("page_num").alias("n"))
     step = F.greatest(F.floor(F.col("n") / sample), F.lit(1))
-    picked = pages.join(n, "file_id").withColumn("step", step).where(((F.col("page_num") - 1 - F.floor(F.col("step") / 2)) % F.col("step") == 0) & (F.floor((F.col("page_num") - 1) / F.col("step")) < sample))
-    return picked.groupBy("file_id").agg((F.avg(F.length(F.trim("text"))) < below).alias("scanned"))
+    turn = (F.col("page_num") - 1 - F.floor(F.col("step") / 2)) % F.col("step") == 0
+    first = F.floor((F.col("page_num") - 1) / F.col("step")) < sample
+    picked = pages.join(n, "file_id").withColumn("step", step).where(turn & first)
+    return picked.groupBy("file_id").agg((F.coalesce(F.avg(F.length(F.trim("text"))), F.lit(0.0)) < below).alias("scanned"))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -42,9 +89,58 @@ def write_documents(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def assembled(df: DataFrame, files: DataFrame) -> DataFrame:
+    """(file_id, document): each file's nested document with its metadata, summary and blocks in order. df: file_id,
+    page_num, doc_id, seq, type, text, is_boilerplate, was_corrected; files: file_id, file_name, extracted_at."""
+    bad = F.coalesce("is_boilerplate", F.lit(False))
+    block = F.struct("page_num", "doc_id", "seq", "type", "text", "is_boilerplate", "was_corrected")
+    parts = df.groupBy("file_id").agg(
+        F.struct(
+            F.count("*").alias("total_blocks"), F.count_if(~bad).alias("content_blocks"), F.count_if(bad).alias("boilerplate_blocks"),
+            F.count_if(F.coalesce("was_corrected", F.lit(False))).alias("corrected_blocks"),
+        ).alias("extraction_summary"),
+        F.array_sort(F.collect_list(block)).alias("text_blocks"),
+    )
+    meta = files.select("file_id", F.struct("file_name", "extracted_at").alias("document_metadata"))
+    return parts.join(meta, "file_id").select("file_id", F.to_json(F.struct("document_metadata", "extraction_summary", "text_blocks")).alias("document"))
+
+
+def write_chunks(found: DataFrame, path: str) -> None:
+    """Chunk documents (file_id, document) as JSON lines, a folder a file."""
+    found.write.mode("overwrite").partitionBy("file_id").text(path)
+
+
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """(file_id, chunk_id, text, character_count, page_numbers, block_ids) of the chunk documents below path."""
+    raw = spark.read.schema("document string, file_id string").text(path).withColumnRenamed("value", "document")
+    return exploded_chunks(raw)
+
+
+CHUNK_DOCUMENT = """file_name string, chunk_count int, chunks array<struct<chunk_id:string,text:string,character_count:int,
+metadata:struct<file_name:string,page_numbers:array<int>,source_block_ids:array<string>>>>"""
+
+
+def exploded_chunks(found: DataFrame) -> DataFrame:
+    """A row per chunk of chunk documents (file_id, document)."""
+    parsed = found.select("file_id", F.explode(F.from_json("document", CHUNK_DOCUMENT)["chunks"]).alias("c"))
+    return parsed.select(
+        "file_id", "c.chunk_id", "c.text", "c.character_count", F.col("c.metadata.page_numbers").alias("page_numbers"),
+        F.col("c.metadata.source_block_ids").alias("block_ids"),
+    )
+
+
 def normalized_blocks(df: DataFrame, raw: str) -> DataFrame:
-    """(doc_id, block_no, type, text) from a JSON array, or one object, of blocks with gaps."""
-    shape = "array<struct<type:string,text:string>>"
-    text = F.when(F.trim(raw).startswith("["), F.col(raw)).otherwise(F.concat(F.lit("["), F.col(raw), F.lit("]")))
-    rows = df.select("doc_id", F.posexplode(F.from_json(text, shape)).alias("block_no", "b"))
-    return rows.where(F.col("b.text").isNotNull() & (F.trim("b.text") != "")).select("doc_id", "block_no", F.coalesce("b.type", F.lit("paragraph")).alias("type"), "b.text")
+    """(doc_id, block_no, block_id, type, text, is_boilerplate, boilerplate_type) from a model's answer: a JSON array of
+    blocks, or one block, perhaps between code fences. Elements that are no objects, or have no text, are left out;
+    numbers are those of the answer."""
+    c = T.without_fences(F.col(raw))
+    text = F.when(c.startswith("["), c).otherwise(F.concat(F.lit("["), c, F.lit("]")))
+    parts = df.select("doc_id", F.posexplode(F.from_json(text, "array<string>")).alias("block_no", "part"))
+    rows = parts.withColumn("b", F.from_json("part", "type string, text string, is_boilerplate boolean"))
+    rows = rows.where(T.strip(F.col("b.text")) != "")
+    bad = F.coalesce("b.is_boilerplate", F.lit(False))
+    return rows.select(
+        "doc_id", "block_no", F.format_string("blk_p%04d_%03d", F.col("doc_id"), F.col("block_no") + 1).alias("block_id"),
+        F.coalesce("b.type", F.lit("paragraph")).alias("type"), T.strip(F.col("b.text")).alias("text"),
+        bad.alias("is_boilerplate"), F.when(bad, F.col("b.type")).alias("boilerplate_type"),
+    )
