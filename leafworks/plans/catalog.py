@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from leafworks.functions import patterns as P
 from leafworks.functions import text as T
 from leafworks.operators import audit, boilerplate, chunks, entities, registry, sequences, tables, vectors
 from leafworks.operators import blocks as B
+from leafworks.plans import planted as plants
 from leafworks.plans.sql import ORACLE_SQL  # noqa: F401
 from leafworks.sources import files, html
 
@@ -35,27 +38,54 @@ def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines(spark, sf_dir).withColumn("type", B.block_type())
 
 
-def ascii_only(c):
-    return F.regexp_replace(c, r"[^\x00-\x7F]", "")
+def planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed and boxed blocks of the documents with planted lines."""
+    df = B.with_box(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
+    return df.withColumns({"type": plants.layout_type(B.block_type()), "y0": plants.layout_top(F.col("y0"))})
+
+
+def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planted blocks after the passes of boilerplate and the rescues of headings and questions."""
+    return boilerplate.rescued_questions(boilerplate.rescued_headings(boilerplate.processed(planted(spark, sf_dir))))
 
 
 def lined_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.from_lines(lines(spark, sf_dir))
 
 
+def expected_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file_id, expected): the files' page counts, one page more than they have blocks for in every third file."""
+    n = F.max("page_num") + F.when(plants.part(F.max("file_id"), 3) == 0, 1).otherwise(0)
+    return lines(spark, sf_dir).groupBy("file_id").agg(n.cast("int").alias("expected"))
+
+
+def gappy(df: DataFrame) -> DataFrame:
+    """Blocks of an extraction that lost a page in seven: what the coverage queries are asked about."""
+    return df.where("page_num % 7 <> 3")
+
+
+def few_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.numbered(lined_tables(spark, sf_dir))
+
+
 @query
 def block_summary(spark, sf_dir):
-    return B.summary(lines(spark, sf_dir))
+    return B.summary(processed(spark, sf_dir), lined_tables(spark, sf_dir))
 
 
 @query
 def page_stats(spark, sf_dir):
-    return B.page_stats(lines(spark, sf_dir))
+    return B.page_stats(processed(spark, sf_dir))
 
 
 @query
 def blob_pages(spark, sf_dir):
-    return B.blob_pages(lines(spark, sf_dir))
+    return B.blob_pages(processed(spark, sf_dir))
+
+
+@query
+def content_blocks(spark, sf_dir):
+    return processed(spark, sf_dir).where(B.content()).select("doc_id", "seq", "type", T.strip(F.col("text")).alias("text"))
 
 
 @query
@@ -75,87 +105,183 @@ def contamination(spark, sf_dir):
 
 @query
 def coverage(spark, sf_dir):
-    return B.coverage(lines(spark, sf_dir))
+    return B.coverage(gappy(lines(spark, sf_dir)), lined_tables(spark, sf_dir), expected_pages(spark, sf_dir))
 
 
 @query
 def missing_pages(spark, sf_dir):
-    return B.missing_pages(lines(spark, sf_dir))
+    return B.missing_pages(gappy(lines(spark, sf_dir)), lined_tables(spark, sf_dir), expected_pages(spark, sf_dir))
+
+
+@query
+def recovery_pages(spark, sf_dir):
+    return B.pages_to_recover(gappy(processed(spark, sf_dir)), expected_pages(spark, sf_dir))
+
+
+@query
+def replaced_pages(spark, sf_dir):
+    whole = read(spark, sf_dir, "documents").select("source", "doc_id", F.regexp_replace(F.coalesce("text", F.lit("")), "\\n", " ").alias("text"))
+    flat = B.blocks(whole).withColumn("origin", F.lit("flat"))
+    found = B.pages_replaced(flat, lines(spark, sf_dir).withColumn("origin", F.lit("recovered")))
+    return found.groupBy("file_id", "page_num", "origin").agg(F.count("*").alias("n"), F.sum(F.length("text")).cast("long").alias("chars"))
+
+
+@query
+def page_paragraphs(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").where("text IS NOT NULL")
+    broken = docs.withColumn("text", F.when(F.col("doc_id") % 9 == 0, F.lit(" \n")).otherwise(F.regexp_replace("text", r"[.]\n", ".\n\n")))
+    whole = B.blocks(broken.withColumn("text", F.lit(""))).drop("text", "seq").join(broken.select("doc_id", "text"), "doc_id")
+    return B.paragraphs(whole).select("doc_id", "part", "block_id", "text")
 
 
 @query
 def noise_filter(spark, sf_dir):
-    return B.noise_free(lines(spark, sf_dir)).select("doc_id", "seq", "text")
+    return B.noise_free(planted(spark, sf_dir)).select("doc_id", "seq", "type", "text")
 
 
 @query
 def boilerplate_tag(spark, sf_dir):
-    return boilerplate.tag(B.with_box(lines(spark, sf_dir))).select("doc_id", "seq", "boilerplate_type", "is_boilerplate")
+    return boilerplate.processed(planted(spark, sf_dir)).select("doc_id", "seq", "type", "boilerplate_type", "is_boilerplate")
 
 
 @query
 def boilerplate_counts(spark, sf_dir):
-    found = boilerplate.tag(B.with_box(lines(spark, sf_dir)))
-    return found.groupBy("boilerplate_type").agg(F.count("*").alias("n"), F.count_if("is_boilerplate").alias("boilerplate"))
+    found = boilerplate.processed(planted(spark, sf_dir))
+    return found.groupBy("boilerplate_type", "type").agg(F.count("*").alias("n"), F.count_if("is_boilerplate").alias("boilerplate"))
 
 
 @query
 def heading_rescue(spark, sf_dir):
-    return boilerplate.rescued_headings(boilerplate.tag(B.with_box(lines(spark, sf_dir)))).groupBy("file_id", "type", "was_corrected").agg(F.count("*").alias("n"))
+    found = boilerplate.rescued_headings(boilerplate.processed(planted(spark, sf_dir)))
+    return found.groupBy("file_id", "type", "was_corrected").agg(F.count("*").alias("n"))
 
 
 @query
 def pyq_rescue(spark, sf_dir):
-    return boilerplate.rescued_questions(boilerplate.tag(B.with_box(lines(spark, sf_dir)))).groupBy("file_id", "type", "is_boilerplate").agg(F.count("*").alias("n"))
+    found = boilerplate.rescued_questions(boilerplate.processed(planted(spark, sf_dir)))
+    return found.groupBy("file_id", "type", "is_boilerplate", "boilerplate_type", "was_corrected").agg(F.count("*").alias("n"))
 
 
 @query
 def mojibake(spark, sf_dir):
-    return lines(spark, sf_dir).where(boilerplate.mojibake(F.col("text"))).select("doc_id", "seq")
+    found = boilerplate.with_encoding_errors(boilerplate.processed(planted(spark, sf_dir)))
+    return found.where("encoding_error IS NOT NULL").select("doc_id", "seq", "encoding_error")
 
 
 @query
 def toc_pages(spark, sf_dir):
-    return boilerplate.toc_pages(lines(spark, sf_dir))
+    return boilerplate.toc_pages(boilerplate.with_types(boilerplate.with_repeats(boilerplate.tag(planted(spark, sf_dir)))))
 
 
 @query
 def stylized_headings(spark, sf_dir):
-    fixed = T.replaced(F.concat(F.col("text"), F.lit(" Let's recal l Let's d o")), P.STYLIZED_HEADINGS)
-    return lines(spark, sf_dir).select("doc_id", "seq", fixed.alias("text"))
+    return B.stylized(planted(spark, sf_dir).withColumn("type", F.lit("paragraph"))).select("doc_id", "seq", "type", "text")
 
 
 @query
 def split_collapsed(spark, sf_dir):
-    return B.split_collapsed(read(spark, sf_dir, "documents"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 11 == 0, "caption").otherwise("paragraph").alias("type"), "text")
+    return B.split_collapsed(docs)
 
 
 @query
 def label_types(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    label = F.element_at(F.array(*(F.lit(x) for x in ("section_header", "list_item", "caption", "footnote", "page_header", "page_footer", "text"))), (F.col("doc_id") % 7 + 1).cast("int"))
+    labels = ("section_header", "list_item", "caption", "footnote", "page_header", "page_footer", "text")
+    label = F.element_at(F.array(*(F.lit(x) for x in labels)), (F.col("doc_id") % 7 + 1).cast("int"))
     return docs.select("doc_id", B.label_type(label).alias("type"))
 
 
+@query
+def font_types(spark, sf_dir):
+    df = planted(spark, sf_dir)
+    y0, size = 842 - F.col("y0"), F.when(F.length("text") % 3 == 0, 12.0).otherwise(10.0)
+    first = B.font_type(F.col("text"), y0, size)
+    return df.select("doc_id", "seq", first.alias("first"), B.font_type(F.col("text"), y0, size, margins=(0.07, 0.93), below=120).alias("second"))
+
+
 @query
 def highlight_colors(spark, sf_dir):
-    r, g, b = (F.col("doc_id") * k % 256 for k in (37, 91, 53))
+    r, g, b = (F.floor(F.col("doc_id") / d) % 10 * 28 + 3 for d in (1, 10, 100))
     return read(spark, sf_dir, "documents").select("doc_id", B.highlight(r, g, b).alias("highlight"))
 
 
+@query
+def block_background(spark, sf_dir):
+    """Three pixels left of each block's middle, of the colours that its text gives, on images of two pixels a point."""
+    df = B.with_box(lines(spark, sf_dir)).where("seq < 42")
+    sizes = df.select("file_id", "page_num").distinct().selectExpr("*", "612 AS width", "842 AS height", "1224 AS image_width", "1684 AS image_height")
+    px = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")
+    spots = df.select("file_id", "page_num", "x0", "y0", F.length("text").alias("n"), px)
+    colour = lambda f: ((F.col("n") * f + F.col("k") * 40) % 256).cast("int")
+    pixels = spots.select("file_id", "page_num", (F.col("x0") * 2 - 5 - F.col("k")).alias("x"), (1684 - (F.col("y0") + 6) * 2).alias("y"), colour(7).alias("r"), colour(11).alias("g"), colour(13).alias("b"))
+    found = B.background(df, pixels, sizes)
+    return found.withColumn("highlight", B.highlight(F.col("r"), F.col("g"), F.col("b")))
+
+
+@query
+def placeholder_boxes(spark, sf_dir):
+    df = B.with_box(lines(spark, sf_dir))
+    whole = F.length("text") % 10 == 0
+    box = [F.when(whole, v).otherwise(F.col(c).cast("double")) for c, v in zip(("x0", "y0", "x1", "y1"), P.FULL_PAGE_BOXES[0], strict=True)]
+    return df.select("file_id", B.placeholder_box(*box).alias("p")).groupBy("file_id").agg(F.count_if("p").alias("placeholders"), F.count("*").alias("blocks"))
+
+
+@query
+def llm_summaries(spark, sf_dir):
+    pages = B.blocks(plants.planted(read(spark, sf_dir, "documents"))).groupBy("file_id", "page_num").agg(F.collect_list("text").alias("texts"))
+    return pages.where(B.summary_like(F.col("texts"))).select("file_id", "page_num")
+
+
+@query
+def blank_page_check(spark, sf_dir):
+    marked = lines(spark, sf_dir).groupBy("file_id", "page_num").agg(F.min("doc_id").alias("doc_id"))
+    df = marked.select("file_id", "page_num", "doc_id", F.when(F.col("page_num") % 2 == 0, "blank_page").otherwise("paragraph").alias("type"))
+    return B.without_tabled_blanks(df, lined_tables(spark, sf_dir)).select("file_id", "page_num", "type")
+
+
+@query
+def page_range(spark, sf_dir):
+    return B.page_range(lines(spark, sf_dir), 2, 3).groupBy("file_id", "page_num").agg(F.count("*").alias("n"))
+
+
+@query
+def patched_order(spark, sf_dir):
+    return B.page_order(sequences.reindexed(lines(spark, sf_dir))).select("doc_id", "seq", "position")
+
+
+@query
+def page_texts(spark, sf_dir):
+    return B.page_texts(processed(spark, sf_dir))
+
+
 @query
 def reading_order(spark, sf_dir):
-    return sequences.reading_order(B.with_box(lines(spark, sf_dir))).select("doc_id", "seq", "position")
+    df = planted(spark, sf_dir)
+    lost = F.length("text") % 17 == 3
+    boxless = df.withColumns({c: F.when(~lost, F.col(c)) for c in ("x0", "y0", "x1", "y1")})
+    return sequences.reading_order(boxless).select("doc_id", "seq", "position")
+
+
+@query
+def page_extents(spark, sf_dir):
+    return sequences.page_extents(B.with_box(lines(spark, sf_dir)))
+
+
+def widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known widths of the pages with even numbers."""
+    pages = lines(spark, sf_dir).select("file_id", "page_num").distinct().where("page_num % 2 = 0")
+    return pages.withColumn("page_width", F.lit(595.0) + F.col("page_num") % 5)
 
 
 @query
 def column_midpoint(spark, sf_dir):
-    return sequences.column_midpoint(B.with_box(lines(spark, sf_dir)))
+    return sequences.column_midpoint(B.with_box(lines(spark, sf_dir)), widths(spark, sf_dir))
 
 
 @query
 def page_reorder(spark, sf_dir):
-    return sequences.page_reorder(B.with_box(lines(spark, sf_dir))).select("doc_id", "seq", "position")
+    return sequences.page_reorder(B.with_box(lines(spark, sf_dir)), widths(spark, sf_dir)).select("doc_id", "seq", "position")
 
 
 @query
@@ -165,29 +291,27 @@ def block_ids(spark, sf_dir):
 
 @query
 def consecutive_dedup(spark, sf_dir):
-    return sequences.consecutive_dedup(lines(spark, sf_dir)).select("doc_id", "seq", "text")
+    return sequences.consecutive_dedup(planted(spark, sf_dir)).select("doc_id", "seq", "text")
 
 
 @query
 def heading_dedup(spark, sf_dir):
-    return sequences.consecutive_dedup(typed(spark, sf_dir).where("type = 'heading'")).select("doc_id", "seq", "text")
+    return sequences.headings_deduped(planted(spark, sf_dir)).select("doc_id", "seq", "text")
 
 
 @query
 def caption_join(spark, sf_dir):
-    captioned = lines(spark, sf_dir).withColumn("type", F.when(F.length("text") % 3 != 0, "caption").otherwise("paragraph"))
-    return sequences.captions_joined(captioned).select("doc_id", "seq", "type", "text")
+    return sequences.captions_joined(planted(spark, sf_dir)).select("doc_id", "seq", "type", "text")
 
 
 @query
 def cross_page_merge(spark, sf_dir):
-    ends = lines(spark, sf_dir).withColumn("type", F.lit("paragraph")).where(B.content()).withColumn("text", F.lower(F.regexp_replace("text", r"[.]$", "")))
-    return sequences.sentences_merged(ends).select("doc_id", "seq", "text", "was_corrected")
+    return sequences.sentences_merged(processed(spark, sf_dir)).select("doc_id", "seq", "text", "was_corrected")
 
 
 @query
 def unmerged_splits(spark, sf_dir):
-    return sequences.unmerged_splits(lines(spark, sf_dir))
+    return sequences.unmerged_splits(processed(spark, sf_dir))
 
 
 @query
@@ -198,20 +322,50 @@ def callout_runs(spark, sf_dir):
 
 @query
 def blank_markers(spark, sf_dir):
-    return sequences.blank_markers(typed(spark, sf_dir).withColumn("type", F.when(F.length("text") < 60, "header").otherwise(F.col("type"))))
+    short = F.col("is_boilerplate") | (F.length("text") < 60)
+    return sequences.blank_markers(processed(spark, sf_dir).withColumn("is_boilerplate", short))
+
+
+def recognised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents' lines as recognised lines with places on a page of 1000 x 1400 pixels."""
+    df = B.blocks(plants.planted(read(spark, sf_dir, "documents")))
+    return df.select(
+        "file_id", "page_num", F.col("seq").alias("line_no"), T.strip(F.col("text")).alias("text"), F.when(F.col("seq") % 2 == 0, 250.0).otherwise(750.0).alias("xc"),
+        (F.lit(60.0) + (F.col("seq") * 37) % 1300).alias("yc"), F.lit(1000.0).alias("width"), F.lit(1400.0).alias("height"),
+    )
+
+
+@query
+def line_zones(spark, sf_dir):
+    return sequences.zoned_blocks(recognised(spark, sf_dir))
+
+
+@query
+def paragraph_breaks(spark, sf_dir):
+    df = recognised(spark, sf_dir).where("text <> ''")
+    y, x = F.col("line_no") * 30.0, F.when(F.length("text") % 7 == 0, 60.0).otherwise(40.0)
+    high = 18.0 - F.length("text") % 3 * 6
+    shaped = df.select("file_id", "page_num", F.lit(1).alias("column"), "line_no", "text", x.alias("min_x"), y.alias("min_y"), (y + high).alias("max_y"))
+    return sequences.column_blocks(shaped)
 
 
 @query
 def page_dedup(spark, sf_dir):
-    pages = read(spark, sf_dir, "documents").select(F.concat_ws("/", "lang", F.floor(F.col("doc_id") / 1000).cast("string")).alias("file_id"), F.col("doc_id").alias("page_num"), F.coalesce("text", F.lit("")).alias("text"))
+    part = F.concat_ws("/", "lang", F.floor(F.col("doc_id") / 1000).cast("string"))
+    pages = read(spark, sf_dir, "documents").select(part.alias("file_id"), F.col("doc_id").alias("page_num"), F.coalesce("text", F.lit("")).alias("text"))
     return sequences.page_dedup(pages, P.SAME_TOPIC_WORDS).select("file_id", "page_num")
 
 
 @query
 def covered_blocks(spark, sf_dir):
     boxed = B.with_box(lines(spark, sf_dir))
-    rects = boxed.where("seq % 5 = 0").select("file_id", "page_num", F.col("x0").alias("rx0"), (F.col("y0") - 20).alias("ry0"), (F.col("x0") + 200).alias("rx1"), (F.col("y1") - 5).alias("ry1"))
-    return sequences.covered(boxed, rects).select("doc_id", "seq")
+    drawn = boxed.where("seq % 5 = 0").select(
+        "file_id", "page_num", F.col("x0").alias("rx0"), (F.col("y0") - 20).alias("ry0"),
+        (F.col("x0") + F.when(F.col("seq") % 15 == 0, 600).otherwise(200)).alias("rx1"), (F.col("y1") + F.when(F.col("seq") % 15 == 0, 60).otherwise(-5)).alias("ry1"),
+        *(F.when(F.col("seq") % 10 == 0, 0.95).otherwise(0.9).alias(c) for c in "rgb"),
+    )
+    sizes = boxed.select("file_id", "page_num").distinct().where("page_num % 2 = 0").selectExpr("*", "595.0D AS width", "842.0D AS height")
+    return sequences.covered(boxed, sequences.white_rects(drawn, sizes)).select("doc_id", "seq")
 
 
 @query
@@ -221,18 +375,33 @@ def normalize_text(spark, sf_dir):
 
 @query
 def correct_text_basic(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", T.basic_correction(ascii_only(F.coalesce("text", F.lit("")))).alias("text"))
+    return plants.planted(read(spark, sf_dir, "documents")).select("doc_id", T.basic_correction(F.col("text")).alias("text"))
 
 
 @query
 def correct_text(spark, sf_dir):
-    found = T.corrected(lines(spark, sf_dir))
-    return found.select("doc_id", "seq", F.col("corrected").alias("text"), (F.col("corrected") != T.strip(F.col("text"))).alias("was_corrected"))
+    found = T.corrected_blocks(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
+    return found.select("doc_id", "seq", "text", "raw_text", "was_corrected")
+
+
+@query
+def fenced_answers(spark, sf_dir):
+    fenced = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("```json\n"), F.coalesce("text", F.lit("")), F.lit("\n```"))).otherwise(F.coalesce("text", F.lit("")))
+    return read(spark, sf_dir, "documents").select("doc_id", T.without_fences(fenced).alias("text"))
 
 
 @query
 def chunk_fold(spark, sf_dir):
-    return chunks.chunks(lines(spark, sf_dir)).select("doc_id", "chunk_id", "text", "character_count", F.concat_ws(",", F.transform("block_ids", lambda x: x.cast("string"))).alias("block_ids"))
+    listed = lambda c: F.concat_ws(",", F.transform(c, lambda x: x.cast("string")))
+    return chunks.chunks(lines(spark, sf_dir)).select("doc_id", "chunk_id", "text", "character_count", listed("block_ids").alias("block_ids"), listed("pages").alias("pages"))
+
+
+@query
+def chunk_documents(spark, sf_dir):
+    """Chunk documents written as JSON and read back."""
+    found = files.exploded_chunks(chunks.documents(chunks.chunks(lines(spark, sf_dir))))
+    listed = lambda c: F.concat_ws(",", F.transform(c, lambda x: x.cast("string")))
+    return found.select("file_id", "chunk_id", "text", "character_count", listed("page_numbers").alias("pages"), F.concat_ws(",", "block_ids").alias("block_ids"))
 
 
 @query
@@ -252,9 +421,17 @@ def point_ids(spark, sf_dir):
 
 @query
 def upsert(spark, sf_dir):
-    old = read(spark, sf_dir, "documents").select("doc_id", F.lit("old").alias("version"))
-    new = old.where("doc_id % 3 = 0").withColumn("version", F.lit("new")).unionByName(old.where("doc_id % 10 = 1").select((-F.col("doc_id") - 1).alias("doc_id"), F.lit("new").alias("version")))
-    return registry.upserted(old, new, "doc_id")
+    old = read(spark, sf_dir, "documents").select("doc_id", "lang", F.lit("old").alias("version"))
+    new = read(spark, sf_dir, "labels").where("doc_id % 2 = 0").select("doc_id", F.lit("x").alias("lang"), F.lit("new").alias("version"))
+    return registry.upserted(old, new.unionByName(new.withColumn("doc_id", -F.col("doc_id") - 1)), "doc_id")
+
+
+@query
+def status_update(spark, sf_dir):
+    old = read(spark, sf_dir, "documents").select("doc_id", F.lit("registered").alias("status"), F.lit(None).cast("string").alias("error"))
+    failed = F.col("quality") == 0
+    new = read(spark, sf_dir, "labels").select("doc_id", F.when(failed, "failed").alias("status"), F.when(failed, "low quality").alias("error"))
+    return registry.changed(old, new, "doc_id")
 
 
 @query
@@ -263,51 +440,119 @@ def latest_status(spark, sf_dir):
     return registry.latest(events, "user_id", "event_id", ["event_type", "value"])
 
 
+def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uploads with their class and name, some of which are not allowed."""
+    name = F.concat(F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 7 == 0, ".txt").when(F.col("doc_id") % 2 == 0, ".PDF").otherwise(".pdf"))
+    kind = F.when(F.col("lang") == "en", "History").when(F.col("lang") == "de", "Anthropology").otherwise(F.col("lang"))
+    return read(spark, sf_dir, "documents").select("doc_id", name.alias("file_name"), kind.alias("classification"), F.length("text").alias("n"))
+
+
+@query
+def upload_intake(spark, sf_dir):
+    found = registry.intake(uploads(spark, sf_dir), ["History", "Anthropology"])
+    path = registry.upload_path("uploads", F.col("classification"), F.col("doc_id").cast("string"))
+    place = registry.collection(F.col("classification"), {"History": "history_chunks", "Anthropology": "anthropology_chunks"})
+    return found.select("doc_id", "error", F.when(F.col("error").isNull(), path).alias("path"), place.alias("collection"))
+
+
+@query
+def engine_route(spark, sf_dir):
+    """Files dealt to the engines by whether they are scanned, some with a forced engine."""
+    found = scan_type(spark, sf_dir)
+    forced = F.when(plants.part("file_id", 5) == 0, "VLM").when(plants.part("file_id", 5) == 1, "layout")
+    return found.select("file_id", registry.engine(F.col("scanned"), forced).alias("engine"))
+
+
+@query
+def ingest_stats(spark, sf_dir):
+    found = chunks.chunks(lines(spark, sf_dir).where("doc_id % 5 <> 0")).withColumn("file_id", F.col("doc_id").cast("string"))
+    files_ = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("file_id"))
+    wet = registry.ingest_stats(files_, found).withColumn("run", F.lit("run"))
+    return wet.unionByName(registry.ingest_stats(files_, found, dry_run=True).withColumn("run", F.lit("dry")))
+
+
+@query
+def failed_files(spark, sf_dir):
+    return ingest_stats(spark, sf_dir).where("status = 'error'").select("run", "file_id", "error")
+
+
+@query
+def batch_progress(spark, sf_dir):
+    return registry.progress(lines(spark, sf_dir).select(F.col("file_id").alias("path")).distinct())
+
+
+@query
+def registry_response(spark, sf_dir):
+    events = read(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("status"), F.col("ts").alias("created_at"), F.col("ts").alias("updated_at"))
+    return registry.response(events)
+
+
 @query
 def status_funnel(spark, sf_dir):
-    states = F.array(*(F.lit(s) for s in ("registered", "extracting", "extracted", "preprocessing", "preprocessed", "embedding", "ingested", "failed")))
-    return read(spark, sf_dir, "documents").groupBy(F.element_at(states, (F.col("doc_id") % 8 + 1).cast("int")).alias("status")).agg(F.count("*").alias("n"))
+    """Documents by the last status that they reached."""
+    labels = read(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    status = F.when(F.col("quality").isNull(), "registered").when(F.col("quality") == 0, "failed").when(F.col("toxic") == 1, "extracted").otherwise("ingested")
+    return read(spark, sf_dir, "documents").join(labels, "doc_id", "left").groupBy(status.alias("status")).agg(F.count("*").alias("n"))
 
 
 @query
 def knn_top10(spark, sf_dir):
     v = read(spark, sf_dir, "embeddings")
-    return vectors.nearest(v.where("vec_id % 50 = 0"), v.where("vec_id % 50 != 0")).select("query_id", "vec_id", "score", "rank")
+    return vectors.nearest(v.where("vec_id % 50 = 0"), v).select("query_id", "vec_id", "score", "rank")
 
 
 @query
 def recall_mrr_ndcg(spark, sf_dir):
     v = read(spark, sf_dir, "embeddings")
     queries = v.where("vec_id % 50 = 0")
-    return vectors.measures(vectors.first_hits(vectors.nearest(queries, v.where("vec_id % 50 != 0")), queries))
+    return vectors.evaluation(vectors.nearest(queries, v), queries)
 
 
 @query
 def hashed_embedding(spark, sf_dir):
-    found = vectors.embedded(read(spark, sf_dir, "benchmark").select("item_id", "text"))
-    return found.select("item_id", F.size("vector").alias("dims"), F.round(vectors.dot(F.col("vector"), F.col("vector")), 4).alias("norm"))
+    found = vectors.embedded(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.posexplode(F.transform("vector", lambda x: F.round(x, 6))).alias("place", "value")).where("value > 0")
 
 
 @query
-def query_synthesis(spark, sf_dir):
-    text = F.col("text")
+def embedding_misfits(spark, sf_dir):
+    v = read(spark, sf_dir, "embeddings")
+    cut = v.withColumn("embedding", F.slice("embedding", 1, (64 - F.col("vec_id") % 3).cast("int")))
+    return vectors.misfits(cut, 64, "embedding").select("vec_id")
+
+
+def synthesized(text):
+    """The retrieval query that a chunk's words stand for, null for none; the first rule that applies."""
     has = lambda w: F.lower(text).contains(w[1:]) if w[0] == "~" else text.contains(w)
     q = F.when(F.lit(False), "")
     for (how, words), found in P.QUERY_RULES:
         hits = [has(w) for w in words]
-        q = q.when(hits[0] & hits[1] if how == "all" else T.has_any(text, [w for w in words if w[0] != "~"]) | (hits[-1]), found)
-    return chunks.chunks(lines(spark, sf_dir)).select(q.alias("query"), F.format_string("%012d/%s", "doc_id", "chunk_id").alias("c")).where("query is not null").groupBy("query").agg(F.min("c").alias("expected"))
+        q = q.when(reduce(and_ if how == "all" else or_, hits), found)
+    return q
+
+
+@query
+def query_synthesis(spark, sf_dir):
+    found = chunks.chunks(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
+    place = F.format_string("%012d/%s", "doc_id", "chunk_id").alias("c")
+    return found.select(synthesized(F.col("text")).alias("query"), place).where("query is not null").groupBy("query").agg(F.min("c").alias("expected"))
 
 
 @query
 def ner_counts(spark, sf_dir):
-    extra = F.when(F.col("seq") % 7 == 0, F.lit(". article 21a of the finance act, 1994 and rbi in 1857 ")).otherwise("")
-    return entities.label_counts(lines(spark, sf_dir).select(F.concat(F.lower(ascii_only(F.col("text"))), extra).alias("text")))
+    return entities.label_counts(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
 
 
 @query
 def ner_spans(spark, sf_dir):
-    return entities.with_entities(lines(spark, sf_dir)).select("doc_id", "seq", F.size("entities").alias("n"), F.to_json("entities").alias("entities")).where("n > 0")
+    found = entities.with_entities(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
+    return found.select("doc_id", "seq", F.size("entities").alias("n"), F.to_json("entities").alias("entities")).where("n > 0")
+
+
+@query
+def ner_totals(spark, sf_dir):
+    found = entities.with_entities(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
+    return entities.totals(found)
 
 
 @query
@@ -322,50 +567,108 @@ def degenerate_tables(spark, sf_dir):
 
 @query
 def table_headers(spark, sf_dir):
-    digits = F.transform("headers", lambda h: F.when(F.col("doc_id") % 2 == 0, F.length(h).cast("string")).otherwise(F.concat(F.lit("<!--"), h)))
+    digits = F.transform("headers", lambda h: F.when(F.col("doc_id") % 2 == 0, F.length(h).cast("string")).otherwise(h))
     return lined_tables(spark, sf_dir).select("doc_id", F.array_join(tables.clean_headers(digits), "|").alias("headers"))
 
 
+def damaged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables with a citation as last row, a phantom column in every third, and placeholders in every second."""
+    cited = F.array(F.array(F.lit("(Adapted from Unit 3)"), F.lit("")), F.array(F.lit("(Source: p. 7)")))
+    phantom = F.col("doc_id") % 3 == 0
+    marked = lambda c: F.when((F.col("doc_id") % 2 == 0) & (F.length(c) % 4 == 0), F.concat(c, F.lit("<!-- image -->"))).otherwise(c)
+    rows = F.transform("rows", lambda r: F.concat(F.when(phantom, F.array(F.lit("Page Nos."))).otherwise(F.array().cast("array<string>")), F.transform(r, marked)))
+    headers = F.concat(F.when(phantom, F.array(F.lit("BHIC-101"))).otherwise(F.array().cast("array<string>")), F.transform("headers", marked))
+    caption = F.when(F.col("doc_id") % 4 == 0, "A caption").otherwise("")
+    last = F.when(phantom, F.array().cast("array<array<string>>")).otherwise(cited)
+    return lined_tables(spark, sf_dir).withColumns({"rows": F.concat(rows, last), "headers": headers, "caption": caption})
+
+
 @query
 def table_repair(spark, sf_dir):
-    t = lined_tables(spark, sf_dir).withColumn("rows", F.concat("rows", F.array(F.array(F.lit("(Adapted from Unit 3)"), F.lit("")))))
-    t = tables.without_phantom(tables.citations_moved(t))
-    return t.select("doc_id", "caption", F.size("rows").alias("row_count"), F.size("headers").alias("column_count"))
+    t = tables.numbered(tables.repaired(damaged_tables(spark, sf_dir)))
+    cells = F.array_join(F.transform("rows", lambda r: F.array_join(r, "|")), "/")
+    return t.select("doc_id", "table_id", "caption", "row_count", "column_count", F.array_join("headers", "|").alias("headers"), cells.alias("cells"))
+
+
+def doubtful_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables of which some have dot leaders and others are cut to one cell."""
+    t = lined_tables(spark, sf_dir)
+    dots = F.transform("rows", lambda r: F.transform(r, lambda c: F.concat(c, F.lit(" ....... 7"))))
+    one = F.array(F.array(F.concat(F.lit("only cell "), F.col("doc_id").cast("string"))))
+    rows = F.when(F.col("doc_id") % 3 == 0, dots).when(F.col("doc_id") % 3 == 1, one).otherwise(F.col("rows"))
+    return t.withColumns({"rows": rows, "headers": F.when(F.col("doc_id") % 3 == 1, F.slice("headers", 1, 1)).otherwise(F.col("headers"))})
+
+
+@query
+def table_review(spark, sf_dir):
+    return tables.kept(doubtful_tables(spark, sf_dir)).select("doc_id", "needs_review", F.size("rows").alias("row_count"))
 
 
 @query
 def table_row_rescue(spark, sf_dir):
-    return tables.rescued_rows(lined_tables(spark, sf_dir), lines(spark, sf_dir))
+    return tables.rescued_rows(doubtful_tables(spark, sf_dir), lines(spark, sf_dir))
+
+
+def audited(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(files, blocks, tables) of an audit: files that are lost, broken or unnamed, blocks without tags, entities or
+    with whole-page boxes, tables without rows."""
+    df = gappy(processed(spark, sf_dir))
+    mark = plants.part("file_id", 1 << 32)
+    found = expected_pages(spark, sf_dir).withColumns({
+        "there": mark % 11 != 0, "corrupt": mark % 13 == 0, "file_name": F.when(mark % 7 != 0, F.col("file_id")), "extracted_at": F.lit("2024-01-01T00:00:00+00:00"),
+        "chunked": mark % 6 != 0,
+    })
+    whole = F.length("text") % 50 == 7
+    box = {c: F.when(whole, v).otherwise(F.col(c).cast("double")) for c, v in zip(("x0", "y0", "x1", "y1"), P.FULL_PAGE_BOXES[0], strict=True)}
+    some = F.when(F.col("text").rlike(r"\d{4}"), F.array(F.lit("year"))).otherwise(F.array().cast("array<string>"))
+    df = df.withColumns(box | {"is_boilerplate": F.when(mark % 8 != 0, F.col("is_boilerplate")), "entities": F.when(mark % 9 != 0, some)})
+    t = few_tables(spark, sf_dir).withColumn("rows", F.when(F.col("doc_id") % 10 != 0, F.col("rows")))
+    return found, df, t
 
 
 @query
 def qa_rules(spark, sf_dir):
-    df = typed(spark, sf_dir).withColumns({"is_boilerplate": F.when(F.col("doc_id") % 11 != 0, F.lit(False)), "entities": F.when(F.col("doc_id") % 13 != 0, F.array())})
-    return audit.rules(df)
+    found, df, t = audited(spark, sf_dir)
+    return audit.rules(found, df, t)
 
 
 @query
-def confidence(spark, sf_dir):
-    return audit.evaluated(lines(spark, sf_dir)).select("doc_id", "score", "rating")
+def evaluation(spark, sf_dir):
+    return audit.evaluated(*audited(spark, sf_dir))
 
 
 @query
 def rating_rollup(spark, sf_dir):
-    return audit.ratings(audit.evaluated(lines(spark, sf_dir)))
+    return audit.ratings(audit.evaluated(*audited(spark, sf_dir)), F.left("file_id", F.lit(4)))
+
+
+@query
+def audit_report(spark, sf_dir):
+    return audit.report(audit.evaluated(*audited(spark, sf_dir)))
+
+
+@query
+def batch_checks(spark, sf_dir):
+    found, df, _ = audited(spark, sf_dir)
+    counts = chunks.chunks(lines(spark, sf_dir)).groupBy("file_id").agg(F.count("*").alias("chunk_count")).where(plants.part("file_id", 4) != 0)
+    return audit.batch_checks(found, df, counts)
 
 
 @query
 def scan_type(spark, sf_dir):
-    d = read(spark, sf_dir, "documents")
-    pages = d.groupBy(F.col("source").alias("file_id"), (F.floor(F.col("doc_id") / 20) + 1).cast("int").alias("page_num")).agg(F.min(F.substring(F.coalesce("text", F.lit("")), 1, 300)).alias("text"))
-    return files.scanned(pages, below=290.0)
+    """Pages of whole documents; in every third file the pages hold a watermark alone."""
+    place = B.blocks(read(spark, sf_dir, "documents").withColumn("text", F.lit("")))
+    d = place.drop("text", "seq").join(read(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
+    text = F.when(plants.part("file_id", 3) == 0, F.col("lang")).otherwise(F.coalesce("text", F.lit("")))
+    return files.scanned(d.groupBy("file_id", "page_num").agg(F.array_join(F.array_sort(F.collect_list(text)), " ").alias("text")))
 
 
 @query
 def file_match(spark, sf_dir):
     d = read(spark, sf_dir, "documents").select(F.concat_ws("/", "source", F.format_string("%d.pdf", "doc_id")).alias("path"))
     stem = F.regexp_replace("path", r"\.pdf$", "")
-    labels = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id").select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("stem"))
+    source = read(spark, sf_dir, "documents").select("doc_id", "source")
+    labels = read(spark, sf_dir, "labels").join(source, "doc_id").select(F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("stem"))
     return registry.matched(d.select(stem.alias("stem")), labels, "stem")
 
 
@@ -376,15 +679,21 @@ def html_blocks(spark, sf_dir):
 
 @query
 def json_blocks(spark, sf_dir):
-    block = lambda kind, text: F.struct(F.lit(kind).cast("string").alias("type"), text.alias("text"))
-    several = F.to_json(F.array(block(None, F.substring("text", 1, 20)), block("heading", F.lit(" "))))
-    one = F.to_json(block("list_item", F.substring("text", 1, 10)))
-    d = read(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 2 == 0, several).otherwise(one).alias("raw"))
-    return files.normalized_blocks(d, "raw")
+    """Whole documents as a model's answers: an array of their lines, or one object for a document of one line."""
+    kind = F.when(F.col("seq") % 3 != 0, F.when(F.col("seq") % 5 == 0, "footer").otherwise("list_item"))
+    block = F.struct("seq", F.struct(kind.alias("type"), "text", (F.col("seq") % 5 == 0).alias("is_boilerplate")).alias("b"))
+    d = lines(spark, sf_dir).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(block), lambda a, b: a["seq"] - b["seq"]), lambda x: x["b"]).alias("bs"))
+    raw = F.when(F.size("bs") == 1, F.to_json(F.get("bs", F.lit(0)))).otherwise(F.concat(F.lit("```json\n"), F.to_json("bs"), F.lit("\n```")))
+    return files.normalized_blocks(d.select("doc_id", raw.alias("raw")), "raw")
 
 
 @query
 def document_json(spark, sf_dir):
-    df = typed(spark, sf_dir)
-    ordered = F.array_sort(F.collect_list(F.struct("seq", "type", F.length("text").alias("n"))))
-    return df.groupBy("doc_id").agg(F.to_json(F.struct(F.count("*").alias("total_blocks"), F.transform(ordered, lambda x: x["type"]).alias("types"))).alias("json"))
+    """Files' nested documents, written as JSON and read back."""
+    df = processed(spark, sf_dir)
+    named = df.select("file_id").distinct().select("file_id", F.concat("file_id", F.lit(".pdf")).alias("file_name"), F.lit("2024-01-01").alias("extracted_at"))
+    shape = """document_metadata struct<file_name:string>, extraction_summary struct<content_blocks:long>,
+      text_blocks array<struct<doc_id:long,seq:int,type:string,text:string,is_boilerplate:boolean>>"""
+    read_back = files.assembled(df, named).select("file_id", F.from_json("document", shape).alias("d"))
+    rows = read_back.select("d.document_metadata.file_name", "d.extraction_summary.content_blocks", F.explode("d.text_blocks").alias("b"))
+    return rows.select("file_name", "content_blocks", "b.*")
