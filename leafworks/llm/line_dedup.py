@@ -12,7 +12,7 @@
 3. The lines to drop are gathered by document and joined to the documents, which are rewritten.
 
 The filters are sized by the number of lines, BITS_PER_LINE bits each, so that few keys of one document get
-through; MAX_BITS bounds what is broadcast (128 MB). Beyond about 60 million lines they fill up and let more lines
+through; MAX_BITS bounds what is broadcast (128 MB). Beyond about 60 million lines (some 40 GB of text) they fill up and let more lines
 through to the exact count; they never change the result.
 """
 

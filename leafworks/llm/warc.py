@@ -96,18 +96,19 @@ def parsed(stream: io.BufferedIOBase) -> Iterator[tuple[dict[bytes, bytes], byte
 
 
 def resolved(pages: DataFrame, min_bytes: int = 0, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(key, uri, html, refers_to, revisit) of each page: which one is a response and which revisits it."""
-    pages = pages.select(F.col(key).cast("long").alias("page_id"), "url", F.coalesce(F.col(html), F.lit("")).alias("html"))
+    """(page_id, uri, html, refers_to, revisit) of each page: which one is a response and which revisits it."""
+    uri = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
+    pages = pages.select(F.col(key).cast("long").alias("page_id"), uri.alias("uri"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     size = F.octet_length("html")
-    headers = pages.where(size >= min_bytes).select("page_id", F.unhex(F.sha1("html")).alias("sha1"), size.alias("size"))
+    keyed = pages.withColumn("sha1", F.when(size >= min_bytes, F.unhex(F.sha1("html"))))
+    headers = keyed.where(size >= min_bytes).select("page_id", "sha1", size.alias("size"))
     # A null id comes after all others.
     first = headers.groupBy("sha1", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    revisits = headers.join(first, ["sha1", "size"]).where(~F.col("page_id").eqNullSafe(F.col("first"))).groupBy("page_id", "sha1").agg(F.first("first").alias("first"))
+    revisits = headers.join(first, ["sha1", "size"]).where(~F.col("page_id").eqNullSafe(F.col("first")))
+    revisits = revisits.groupBy("page_id", "sha1").agg(F.first("first").alias("first")).withColumnsRenamed({"page_id": "_id", "sha1": "_sha1"})
     # By id and digest: rows that repeat an id with another payload are told apart.
-    html_key = F.when(size >= min_bytes, F.unhex(F.sha1("html")))
-    keyed = pages.withColumn("sha1", html_key)
-    joined = keyed.join(revisits.withColumnsRenamed({"page_id": "_id", "sha1": "_sha1"}), F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("sha1") == F.col("_sha1")), "left")
-    return joined.select("page_id", F.col("url").alias("uri"), "html", F.col("first").alias("refers_to"), F.col("_sha1").isNotNull().alias("revisit"))
+    joined = keyed.join(revisits, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("sha1") == F.col("_sha1")), "left")
+    return joined.select("page_id", "uri", "html", F.col("first").alias("refers_to"), F.col("_sha1").isNotNull().alias("revisit"))
 
 
 def write_archives(pages: DataFrame, min_bytes: int = 0, key: str = "page_id", html: str = "html", level: int = 3) -> DataFrame:
@@ -115,7 +116,7 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, key: str = "page_id", h
 
     Equal payloads of at least min_bytes bytes: the one with the smallest key is the response, others revisit it;
     smaller ones are all responses. A null html is an empty payload; a null key comes after all others and is
-    left out of the header; a null url too. Rows that repeat the response's key and payload are responses too.
+    left out of the header; a null url too, or a table without that column. Rows that repeat the response's key and payload are responses too.
     An empty table writes no file. Other columns aren't written.
     """
     spark = pages.sparkSession
@@ -187,11 +188,12 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
 
 
 def with_originals(records: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to): revisits joined to their originals."""
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to): revisits joined to their originals; a revisit
+    whose original isn't among the records has neither bytes nor a page that it refers to."""
     small = records.select("record_id", "record_type", "page_id", "payload_bytes", "payload_digest", "refers_to_id")
     small = written(small)
     originals = small.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id"), "payload_digest").agg(F.min("page_id").alias("refers_to"), F.max("payload_bytes").alias("original_bytes"))
-    revisits = small.where("record_type = 'revisit'").join(originals, ["refers_to_id", "payload_digest"])
+    revisits = small.where("record_type = 'revisit'").join(originals, ["refers_to_id", "payload_digest"], "left")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     found = revisits.select("page_id", F.col("original_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
     return small.where("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("long")).select(*columns).unionByName(found)
