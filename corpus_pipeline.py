@@ -1,8 +1,9 @@
 """The corpus pipeline: toxicity, quality rules, line dedup, near dedup, packing.
 
-Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last return the columns of documents.
-Rows with a null doc_id pass the filters by the same rules as others; rows that repeat a doc_id share its fate in
-the toxicity and near-dedup stages. Empty tables pass through every stage.
+Each stage takes (spark, docs, sf_dir) and returns a frame; all but the last return the columns of documents. A
+stage judges its own input, which is all that its predecessor kept, whole. Rows with a null doc_id pass through
+every stage like others; other columns are handed on and never looked at, whatever their names. Empty tables pass
+through every stage.
 """
 
 from __future__ import annotations
@@ -25,30 +26,52 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score of TOXIC_FROM or more go."""
+    """Documents with a score of TOXIC_FROM or more go.
+
+    Null and empty texts, and texts without a feature, score the rate of toxic examples among such texts. A score
+    that is just TOXIC_FROM goes. Rows that repeat a doc_id go together if one of them is toxic; rows without a
+    doc_id likewise. Texts of any length are scored whole. Without labels nothing goes.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     found = toxicity.scores(docs, labels, training_fold())
     return without(docs, found.where(F.col("score") >= TOXIC_FROM))
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a quality rule rejects go."""
+    """Documents that a quality rule rejects go, row by row.
+
+    Null and empty texts go: they have fewer than 20 words. Each row is judged by its own text, so rows that repeat a
+    doc_id may part, and repeated rows share their fate. A share that is just a rule's limit stays. Texts of any
+    length are looked at whole, in one row.
+    """
     return quality.accepted(docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines leave the texts; n_chars follows. Documents stay, also when no line is left."""
+    """Repeated lines leave the texts; n_chars follows. Documents stay, also when no line is left.
+
+    A null text becomes an empty one. Of the documents that hold a line the largest doc_id keeps it; rows that repeat
+    that doc_id all do, and a null doc_id comes before all others. Texts of any length are read whole.
+    """
     found = line_dedup.line_dedup(docs)
     return found.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the smallest doc_id stays."""
+    """Of each group of near duplicates the smallest doc_id stays.
+
+    Null, empty and blank texts are in no group and stay. Rows that repeat a doc_id share its group and its fate, so
+    repeated rows of the smallest doc_id all stay; rows without a doc_id stay. Texts of any length count whole.
+    """
     return without(docs, near_dedup.near_duplicates(docs).where(~F.col("kept")))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of each piece of each document in the packed sequences."""
+    """The place of each piece of each document in the packed sequences.
+
+    A null or empty text is the end id alone. Rows that repeat a doc_id, or have none, are packed like any other.
+    Pieces of one length may change places. Longer texts are cut, into whole sequences but for the first piece.
+    """
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
     return packing.pack(docs, *paths, public_tokenizers.PATTERN)
 
@@ -60,7 +83,8 @@ STAGES = [
     ("near_dedup", drop_near_duplicates),
     ("packing", pack_sequences),
 ]
-#: SQL can't express the classifier's nearest examples or the packing; tests hold the stages against brute force.
+#: SQL can't express the classifier's nearest examples or the packing; test_pipeline_stages_against_plain_computations
+#: holds every stage against a plain computation on its own input.
 ORACLE_SQL = None
 
 
