@@ -261,3 +261,10 @@ def page_order(df: DataFrame) -> DataFrame:
     from pyspark.sql import Window
 
     return df.withColumn("position", F.row_number().over(Window.partitionBy("file_id").orderBy("page_num", "block_id", "doc_id", "seq")))
+
+
+def figures(images: DataFrame, least_px: int = 60, least_bytes: int = 3000) -> DataFrame:
+    """Embedded images that are worth keeping: not the small pieces that maps are cut into. A side of 0 or null isn't
+    known and doesn't count. images: width, height, bytes."""
+    small = lambda c: F.coalesce((F.col(c) > 0) & (F.col(c) < least_px), F.lit(False))
+    return images.where(~small("width") & ~small("height") & (F.col("bytes") >= least_bytes))

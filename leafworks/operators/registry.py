@@ -94,3 +94,9 @@ def drop_collections(spark: SparkSession, names: set[str] | None = None) -> None
     """Drops the named collections, or all."""
     for name in collections(spark) if names is None else names:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def stamped(df: DataFrame, into: str = "extracted_at") -> DataFrame:
+    """Adds the time of the run in ISO form, in UTC, the same in all rows."""
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return df.withColumn(into, F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"))

@@ -227,6 +227,14 @@ def placeholder_boxes(spark, sf_dir):
     return df.select("file_id", B.placeholder_box(*box).alias("p")).groupBy("file_id").agg(F.count_if("p").alias("placeholders"), F.count("*").alias("blocks"))
 
 
+@query
+def page_figures(spark, sf_dir):
+    """Images as wide as a text is long modulo 150, with its length in bytes times ten."""
+    n = F.length(F.coalesce("text", F.lit("")))
+    images = read(spark, sf_dir, "documents").select("doc_id", (n % 150).alias("width"), (n % 97).alias("height"), (n * 10).alias("bytes"))
+    return B.figures(images)
+
+
 @query
 def llm_summaries(spark, sf_dir):
     pages = B.blocks(plants.planted(read(spark, sf_dir, "documents"))).groupBy("file_id", "page_num").agg(F.collect_list("text").alias("texts"))

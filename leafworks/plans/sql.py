@@ -165,6 +165,8 @@ ORACLE_SQL |= {
       SELECT *, CASE WHEN r >= 230 AND g >= 230 AND b >= 230 THEN NULL WHEN r > 200 AND b > 150 AND r - g > 20 AND b - g > 10 THEN 'pink_callout'
       WHEN r > 200 AND g > 180 AND b < 150 AND r - b > 60 THEN 'yellow_callout' WHEN b > 180 AND b - r > 30 AND b - g > 20 THEN 'blue_callout' END AS highlight FROM c""",
     "placeholder_boxes": f"WITH {LINES} SELECT file_id, count(*) FILTER (length(text) % 10 = 0) AS placeholders, count(*) AS blocks FROM lines GROUP BY 1",
+    "page_figures": """WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS n FROM documents), i AS (SELECT doc_id, CAST(n % 150 AS INTEGER) AS width, CAST(n % 97 AS INTEGER) AS height, CAST(n * 10 AS INTEGER) AS bytes FROM n)
+      SELECT * FROM i WHERE NOT (width > 0 AND width < 60) AND NOT (height > 0 AND height < 60) AND bytes >= 3000""",
     "llm_summaries": f"""WITH {lines(PLANTED)} SELECT file_id, page_num FROM lines GROUP BY 1, 2
       HAVING bool_or({' OR '.join(f"contains(lower(text), {q(w)})" for w in P.SUMMARY_PHRASES)}) OR (count(*) <= 2 AND bool_or(regexp_matches(text, {q(P.SUMMARY_BULLETS)})))""",
     "blank_page_check": f"""WITH {TAB} SELECT DISTINCT file_id, page_num, CASE WHEN page_num % 2 = 0 THEN 'blank_page' ELSE 'paragraph' END AS type FROM plain p

@@ -6,6 +6,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from leafworks import settings
 from leafworks.functions import patterns as P
 from leafworks.functions import text as T
 from leafworks.operators import audit, blocks, boilerplate, chunks, entities, registry, sequences, tables, vectors
@@ -422,6 +423,21 @@ def test_uploads_and_engines(spark):
     assert [r[0] for r in e.select(registry.engine(F.col("scanned"), F.col("forced"))).collect()] == [c[2] for c in cases]
 
 
+def test_settings(monkeypatch):
+    monkeypatch.setenv("LEAFWORKS_CHUNK_SIZE", "500")
+    monkeypatch.setenv("LEAFWORKS_CLASSES", "A, B")
+    found = settings.from_environment()
+    assert (found.chunk_size, found.chunk_overlap, found.classes) == (500, 200, ("A", "B"))
+
+
+def test_stamps_and_figures(spark):
+    row = registry.stamped(spark.range(1)).first()
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00", row.extracted_at)
+    sizes = [(59, 100, 5000), (60, 60, 3000), (100, 100, 2999), (0, 0, 3000), (None, 61, 9000)]
+    df = spark.createDataFrame([(k, *s) for k, s in enumerate(sizes)], "k int, width int, height int, bytes long")
+    assert {r.k for r in blocks.figures(df).collect()} == {1, 3, 4}
+
+
 def test_collections(spark):
     registry.ensure_collection(spark, "history_chunks", "id string, vector array<float>")
     spark.sql("INSERT INTO history_chunks VALUES ('a', array(1.0f))")
@@ -468,7 +484,9 @@ def test_stream_upserts_by_key(spark, tmp_path):
         write(name, rows)
         stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).json(f"file://{tmp_path}/s")
         ingest.upsert_stream(stream, lambda d: d, path, "id", f"file://{tmp_path}/ck").awaitTermination()
-    assert {tuple(r) for r in spark.read.schema(shape).parquet(f"{path}/version=1").collect()} == {(1, "a"), (2, "c")}
+    assert {tuple(r) for r in ingest.current(spark, path, shape, "id").collect()} == {(1, "a"), (2, "c")}
+    ingest.compacted(spark, path, shape, "id", f"file://{tmp_path}/new")
+    assert {tuple(r) for r in ingest.current(spark, f"file://{tmp_path}/new", shape, "id").collect()} == {(1, "a"), (2, "c")}
 
 
 def test_correction_rejoins_diacritics_and_long_addresses(spark):
