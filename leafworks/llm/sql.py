@@ -18,21 +18,31 @@ EXACT_DEDUP = f"""WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS c, {DE
   SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM n JOIN g USING (norm)"""
 
 QUALITY = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-  lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dup FROM (SELECT doc_id, unnest(a) AS line FROM ({LINE_LISTS})) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY 1),
+  lines AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS dup FROM (SELECT doc_id, unnest(a) AS line FROM ({LINE_LISTS}))
+      WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY 1),
   words AS (SELECT doc_id, generate_subscripts(w, 1) AS i, unnest(w) AS word FROM d),
-  stutters AS (SELECT doc_id, count(*) AS stutter FROM (SELECT doc_id, word, lag(word) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM words) WHERE word = before GROUP BY 1),
-  windows AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
+  stutters AS (SELECT doc_id, count(*) AS stutter FROM (SELECT doc_id, word, lag(word) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM words)
+      WHERE word = before GROUP BY 1),
+  windows AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i
+      FROM d)),
   twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS n FROM windows) WHERE n > 1),
-  repeats AS (SELECT doc_id, sum(least(8, coalesce(after - i, 8))) AS r FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS after FROM twice) GROUP BY 1),
-  m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, length({DELETED.format('t')}) AS word_chars, CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
-    CAST(coalesce(r, 0) AS BIGINT) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(stutter, 0) AS stutter, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS capitals, length(regexp_replace(t, '[^a-z]', '', 'g')) AS small, length(regexp_replace(t, '[^!]', '', 'g')) AS shouts
+  repeats AS (SELECT doc_id, sum(least(8, coalesce(after - i, 8))) AS r FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS after
+      FROM twice) GROUP BY 1),
+  m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, length({DELETED.format('t')}) AS word_chars, CAST(length(regexp_replace(t, '[^#*$%&|<>]',
+      '', 'g')) AS BIGINT) AS n_symbols, coalesce(dup, 0) AS n_dup_lines,
+    CAST(coalesce(r, 0) AS BIGINT) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(stutter, 0) AS stutter, length(regexp_replace(t,
+      '[^A-Z]', '', 'g')) AS capitals, length(regexp_replace(t, '[^a-z]', '', 'g')) AS small, length(regexp_replace(t, '[^!]', '', 'g')) AS shouts
     FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN stutters USING (doc_id) LEFT JOIN repeats USING (doc_id)),
   b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
-  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR 10 * n_symbols > n_words OR (capitals > 20 AND capitals > small) OR 5 * shouts > n_words
-    OR 100 * stutter > 30 * n_words OR 100 * n_dup_lines > 75 * n_lines OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words))) AS kept FROM b"""
+  SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR 10 * n_symbols > n_words
+      OR (capitals > 20 AND capitals > small) OR 5 * shouts > n_words
+    OR 100 * stutter > 30 * n_words OR 100 * n_dup_lines > 75 * n_lines OR (n_words > 0 AND (word_chars < 2 * n_words
+      OR word_chars > 20 * n_words))) AS kept FROM b"""
 
-NEAR_DEDUP = """WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-  s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS shingle FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, CASE WHEN len(w) > 0 THEN 1 ELSE 0 END) + 1)) AS i FROM d)),
+NEAR_DEDUP = """WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+  s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS shingle FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4,
+      CASE WHEN len(w) > 0 THEN 1 ELSE 0 END) + 1)) AS i FROM d)),
   n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
   shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
   links AS (SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 75 * (nx.n + ny.n - c)),
@@ -44,7 +54,8 @@ NEAR_DEDUP = """WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate
 ESCAPED = "length(regexp_replace({}, '<(\\\\*)\\|', '<\\1\\\\|', 'g'))"
 CHAT = f"""WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
     UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
-  c AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole, coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+  c AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS whole,
+      coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
     CAST(sum(23 + {ESCAPED.format('role')} + {ESCAPED.format('text')}) AS BIGINT) AS formatted_chars FROM turns GROUP BY 1)
   SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM c"""
 
@@ -53,7 +64,8 @@ GROUP = " || ".join(f"substr({DIGITS}, CAST((v >> {s}) & 31 AS INTEGER) + 1, 1)"
 WARC = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS lead FROM pages),
   parts AS (SELECT page_id, j, CAST('0x' || substr(sha1(html), 5 * j + 1, 5) AS BIGINT) AS v FROM p, range(0, 8) r(j)),
   digests AS (SELECT page_id, string_agg({GROUP}, '' ORDER BY j) AS payload_digest FROM parts GROUP BY 1)
-  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN page_id = lead THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> lead THEN lead END AS refers_to FROM p JOIN digests USING (page_id)"""
+  SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN page_id = lead THEN 'response'
+      ELSE 'revisit' END AS record_type, CASE WHEN page_id <> lead THEN lead END AS refers_to FROM p JOIN digests USING (page_id)"""
 
 ORACLE_SQL = {
     "op2_line_dedup": LINE_DEDUP,
