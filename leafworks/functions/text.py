@@ -164,4 +164,5 @@ def uuid5(name: Column, namespace: str = "6ba7b8109dad11d180b400c04fd430c8") ->
     """The version-5 UUID of a name, by default in the DNS namespace."""
     h = F.substring(F.sha1(F.concat(F.unhex(F.lit(namespace)), F.encode(name, "utf-8"))), 1, 32)
     variant = F.lower(F.hex((F.conv(F.substring(h, 17, 1), 16, 10).cast("int").bitwiseAND(3)).bitwiseOR(8)))
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+    third, fourth = F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3))
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), third, fourth, F.substring(h, 21, 12))

@@ -214,7 +214,8 @@ def block_background(spark, sf_dir):
     px = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")
     spots = df.select("file_id", "page_num", "x0", "y0", F.length("text").alias("n"), px)
     colour = lambda f: ((F.col("n") * f + F.col("k") * 40) % 256).cast("int")
-    pixels = spots.select("file_id", "page_num", (F.col("x0") * 2 - 5 - F.col("k")).alias("x"), (1684 - (F.col("y0") + 6) * 2).alias("y"), colour(7).alias("r"), colour(11).alias("g"), colour(13).alias("b"))
+    x, y = F.col("x0") * 2 - 5 - F.col("k"), 1684 - (F.col("y0") + 6) * 2
+    pixels = spots.select("file_id", "page_num", x.alias("x"), y.alias("y"), colour(7).alias("r"), colour(11).alias("g"), colour(13).alias("b"))
     found = B.background(df, pixels, sizes)
     return found.withColumn("highlight", B.highlight(F.col("r"), F.col("g"), F.col("b")))
 
@@ -491,8 +492,8 @@ def batch_progress(spark, sf_dir):
 
 @query
 def registry_response(spark, sf_dir):
-    events = read(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("status"), F.col("ts").alias("created_at"), F.col("ts").alias("updated_at"))
-    return registry.response(events)
+    times = [F.col("ts").alias(c) for c in ("created_at", "updated_at")]
+    return registry.response(read(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("event_type").alias("status"), *times))
 
 
 @query
@@ -565,7 +566,8 @@ def ner_totals(spark, sf_dir):
 
 @query
 def table_filter(spark, sf_dir):
-    return lined_tables(spark, sf_dir).select("doc_id", F.size("rows").alias("row_count"), F.size("headers").alias("column_count"), tables.toc_like(F.col("rows")).alias("toc_like"))
+    t = tables.numbered(lined_tables(spark, sf_dir))
+    return t.select("doc_id", "row_count", "column_count", tables.toc_like(F.col("rows")).alias("toc_like"))
 
 
 @query

@@ -126,6 +126,8 @@ def islands(by: str, place: str, broken: str) -> str:
 _C = "OVER (PARTITION BY file_id, page_num, \"column\" ORDER BY line_no)"
 _HIGH = f"greatest(lag(max_y) {_C} - lag(min_y) {_C}, 10)"
 _GAP = f"(min_y - lag(max_y) {_C})"
+_ENDS = f"regexp_matches(lag(text) {_C}, {q(P.LINE_END)}) AND regexp_matches(text, {q('^[A-Z\"’]')})"
+_BROKEN = f"{_GAP} > 1.35 * {_HIGH} OR min_x > lag(min_x) {_C} + 14 OR ({_ENDS} AND {_GAP} > 0.5 * {_HIGH})"
 
 ORACLE_SQL |= {
     "block_summary": f"""WITH {PASSES}, {TAB} SELECT d.*, coalesce(t.n, 0) AS table_count FROM (SELECT file_id, count(*) AS total_blocks,
@@ -270,7 +272,7 @@ ORACLE_SQL |= {
     "paragraph_breaks": f"""WITH {RECOGNISED}, kinds AS (SELECT file_id, page_num, 1 AS "column", line_no, text, CASE
       WHEN length(text) % 7 = 0 THEN 60 ELSE 40 END AS min_x, line_no * 30.0 AS min_y, line_no * 30.0 + 18 - length(text) % 3 * 6 AS max_y,
         CASE WHEN {rx('text', P.HEADINGS)} THEN 'heading' WHEN regexp_matches(text, {q(P.LIST_ITEM)}) THEN 'list_item' END AS kind FROM seen),
-      {islands('file_id, page_num, "column"', 'line_no', f"{_GAP} > 1.35 * {_HIGH} OR min_x > lag(min_x) {_C} + 14 OR (regexp_matches(lag(text) {_C}, {q(P.LINE_END)}) AND regexp_matches(text, {q('^[A-Z\"’]')}) AND {_GAP} > 0.5 * {_HIGH})")}""",
+      {islands('file_id, page_num, "column"', 'line_no', _BROKEN)}""",
     "upsert": """WITH n AS (SELECT doc_id FROM labels WHERE doc_id % 2 = 0), m AS (SELECT DISTINCT doc_id FROM (SELECT doc_id FROM n UNION ALL
       SELECT -doc_id - 1 FROM n))
       SELECT doc_id, lang, 'old' AS version FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM m) UNION ALL SELECT doc_id, 'x', 'new' FROM m""",
@@ -395,9 +397,12 @@ CHUNKS = chunked()
 UUID = """(SELECT doc_id, chunk_id, sha1(unhex('6ba7b8109dad11d180b400c04fd430c8') || encode(CAST(doc_id AS VARCHAR) || ':' || chunk_id)) AS h
       FROM chunks)"""
 RULES = " ".join(
-    "WHEN " + ((" AND " if how == "all" else " OR ").join(f"contains(lower(text), {q(w[1:])})" if w[0] == "~" else f"contains(text, {q(w)})" for w in words)) + f" THEN {q(found)}" for (how, words), found in P.QUERY_RULES
+    f"WHEN {(' AND ' if how == 'all' else ' OR ').join(f'contains(lower(text), {q(w[1:])})' if w[0] == '~' else f'contains(text, {q(w)})' for w in words)}"
+    f" THEN {q(found)}"
+    for (how, words), found in P.QUERY_RULES
 )
-COSINE = "round(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) / (sqrt(list_dot_product(CAST(a.embedding AS DOUBLE[]), CAST(a.embedding AS DOUBLE[]))) * sqrt(list_dot_product(CAST(b.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])))), 6)"
+DOT = lambda x, y: f"list_dot_product(CAST({x}.embedding AS DOUBLE[]), CAST({y}.embedding AS DOUBLE[]))"
+COSINE = f"round({DOT('a', 'b')} / (sqrt({DOT('a', 'a')}) * sqrt({DOT('b', 'b')})), 6)"
 KNN = f"""knn AS (SELECT a.vec_id AS query_id, a.label AS query_label, b.vec_id, b.label, {COSINE} AS score FROM embeddings a, embeddings b
       WHERE a.vec_id % 50 = 0 AND b.vec_id <> a.vec_id),
   top AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM knn QUALIFY rank <= 10)"""
@@ -417,7 +422,9 @@ _HEADER = "CASE WHEN doc_id % 2 = 0 AND length(h) % 4 = 0 THEN 'Col_' || (i + CA
 _DIGITS = "len(headers) > 0 AND len(list_filter(headers, lambda h: NOT regexp_matches(h, '^[0-9]+$'))) = 0"
 CLEAN_HEADERS = f"""CASE WHEN {_DIGITS} AND len(headers) = 2 THEN ['Section / Unit', 'Page Number'] WHEN {_DIGITS} THEN list_transform(headers,
       lambda h: 'Column_' || (TRY_CAST(h AS HUGEINT) + 1)) ELSE headers END"""
-_PHANTOM = f"(len(rows) > 0 AND len(headers) > 0 AND len(list_filter(rows, lambda r: NOT ({strip("coalesce(r[1], '')")} = '' OR regexp_matches({strip("coalesce(r[1], '')")}, {q(P.any_of(P.TABLE_BOILERPLATE))})))) = 0)"
+_FIRST = strip("coalesce(r[1], '')")
+_PHANTOM = f"""(len(rows) > 0 AND len(headers) > 0
+  AND len(list_filter(rows, lambda r: NOT ({_FIRST} = '' OR regexp_matches({_FIRST}, {q(P.any_of(P.TABLE_BOILERPLATE))})))) = 0)"""
 #: Tables as the query damages them, then placeholders, headers, phantom columns and citations put right.
 REPAIRED = f"""{TAB}, damaged AS (SELECT file_id, page_num, doc_id, CASE WHEN doc_id % 4 = 0 THEN 'A caption' ELSE '' END AS caption,
     CASE WHEN doc_id % 3 = 0 THEN ['BHIC-101'] ELSE [] END || list_transform(headers, lambda h, i: {_HEADER}) AS headers,
@@ -433,6 +440,11 @@ REPAIRED = f"""{TAB}, damaged AS (SELECT file_id, page_num, doc_id, CASE WHEN do
       '')
     ELSE caption || array_to_string(list_transform(cites, lambda x: ' (' || x || ')'), '') END AS caption) FROM cited)"""
 MARK = PART("file_id", 1 << 32)
+COUNTS = [
+    "total_blocks", "content_blocks", "boilerplate_blocks", "corrected_blocks", "entity_count", "table_count", "ocr_errors", "placeholder_boxes",
+    "duplicates", "unmerged",
+]
+RULES_9 = ["valid_json", "has_metadata", "has_blocks", "pages_valid", "types_valid", "texts_filled", "tagged", "tables_valid", "has_entities"]
 #: The audit's files, blocks and tables, as the queries take them apart.
 AUDITED = f"""{PASSES}, {TAB}, {EXPECTED}, files AS (SELECT *, {MARK} % 11 <> 0 AS there, {MARK} % 13 = 0 AS corrupt, {MARK} % 7 <> 0 AS named,
       {MARK} % 6 <> 0 AS chunked FROM expected),
@@ -448,7 +460,7 @@ AUDITED = f"""{PASSES}, {TAB}, {EXPECTED}, files AS (SELECT *, {MARK} % 11 <> 0
       AND coalesce(tagged, false) AS tagged,
     NOT corrupt AND coalesce(has_blocks, false) AND coalesce(ok, true) AS tables_valid, NOT corrupt AND coalesce(has_entities, false) AS has_entities
     FROM files f LEFT JOIN held USING (file_id) LEFT JOIN shaped USING (file_id)),
-  rules AS (SELECT *, {' + '.join(f'CAST({n} AS INTEGER)' for n in ('valid_json', 'has_metadata', 'has_blocks', 'pages_valid', 'types_valid', 'texts_filled', 'tagged', 'tables_valid', 'has_entities'))} AS passed
+  rules AS (SELECT *, {' + '.join(f'CAST({n} AS INTEGER)' for n in RULES_9)} AS passed
       FROM ruled)"""
 EVALUATED = f"""{AUDITED}, {COVERED.replace('FRAME', 'kept')}, counts AS (SELECT file_id, count(*) AS total_blocks,
       count(*) FILTER (NOT coalesce(is_boilerplate, false)) AS content_blocks, count(*) FILTER (is_boilerplate) AS boilerplate_blocks,
@@ -457,7 +469,7 @@ EVALUATED = f"""{AUDITED}, {COVERED.replace('FRAME', 'kept')}, counts AS (SELECT
       count(*) FILTER (placeholder) AS placeholder_boxes FROM kept GROUP BY 1),
   kept2 AS (SELECT * REPLACE (coalesce(is_boilerplate, false) AS is_boilerplate) FROM kept),
   merged AS (SELECT f.file_id, f.expected, missing_pages, coverage_pct, passed,
-      {', '.join(f'coalesce({n}, 0) AS {n}' for n in ('total_blocks', 'content_blocks', 'boilerplate_blocks', 'corrected_blocks', 'entity_count', 'table_count', 'ocr_errors', 'placeholder_boxes', 'duplicates', 'unmerged'))}
+      {', '.join(f'coalesce({n}, 0) AS {n}' for n in COUNTS)}
     FROM files f LEFT JOIN counts USING (file_id) LEFT JOIN (SELECT file_id, count(*) AS table_count FROM tab GROUP BY 1) USING (file_id) LEFT
       JOIN rules USING (file_id) LEFT JOIN (SELECT file_id, missing_pages, coverage_pct FROM covered) USING (file_id)
     LEFT JOIN ({CONTAMINATED.replace('FRAME', 'kept')}) USING (file_id) LEFT JOIN {UNMERGED.replace('FRAME', 'kept2')} USING (file_id) WHERE f.there),
@@ -468,7 +480,7 @@ EVALUATED = f"""{AUDITED}, {COVERED.replace('FRAME', 'kept')}, counts AS (SELECT
       CAST(round_even(CAST(100 - 0.3::DOUBLE * (100 - coverage_pct) - 2.2::DOUBLE * (9 - passed) - 15 * high - 5 * medium - 2 * low AS DECIMAL(20,
       8)), 1) AS DOUBLE))) AS score FROM issues
     UNION ALL BY NAME SELECT file_id, 0.0::DOUBLE AS coverage_pct, 0 AS passed,
-      {', '.join(f'0 AS {n}' for n in ('total_blocks', 'content_blocks', 'boilerplate_blocks', 'corrected_blocks', 'entity_count', 'table_count', 'ocr_errors', 'placeholder_boxes', 'duplicates', 'unmerged'))},
+      {', '.join(f'0 AS {n}' for n in COUNTS)},
     1 AS high, 0 AS medium, 0 AS low, 0.0::DOUBLE AS score FROM files WHERE NOT there),
   rated AS (SELECT *, rating IN ('Excellent', 'Good') AS ready FROM (SELECT *, CASE WHEN score >= 90 THEN 'Excellent' WHEN score >= 75 THEN 'Good'
       WHEN score >= 55 THEN 'Fair' ELSE 'Poor' END AS rating FROM scored))"""
@@ -513,7 +525,10 @@ ORACLE_SQL |= {
       6) AS value FROM c""",
     "embedding_misfits": "SELECT vec_id FROM embeddings WHERE vec_id % 3 <> 0",
     "ner_counts": f"WITH {lines(PLANTED)} "
-    + " UNION ALL ".join(f"SELECT {q(label)} AS label, CAST(sum(len(regexp_extract_all(text, {q(p)}))) AS BIGINT) AS mentions FROM lines HAVING sum(len(regexp_extract_all(text, {q(p)}))) > 0" for label, p in P.ENTITIES),
+    + " UNION ALL ".join(
+        f"SELECT * FROM (SELECT {q(label)} AS label, CAST(sum(len(regexp_extract_all(text, {q(p)}))) AS BIGINT) AS mentions FROM lines) WHERE mentions > 0"
+        for label, p in P.ENTITIES
+    ),
     "table_filter": f"""WITH {TAB} SELECT doc_id, CAST(len(rows) AS INTEGER) AS row_count, CAST(len(headers) AS INTEGER) AS column_count,
       {TOC_LIKE} AS toc_like FROM tab""",
     "degenerate_tables": f"WITH {TAB} SELECT doc_id, {DEGENERATE} AS reason FROM tab",

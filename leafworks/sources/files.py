@@ -12,7 +12,8 @@ from leafworks.functions import text as T
 
 DOCUMENT = """document_metadata struct<file_name:string,file_path:string,file_size_mb:double,page_count:int,extracted_at:string,extractor_engine:string>,
 extraction_summary struct<total_blocks:int,content_blocks:int,boilerplate_blocks:int,corrected_blocks:int,table_count:int,image_count:int,total_ner_entities:int>,
-text_blocks array<struct<block_id:string,page_num:int,type:string,text:string,bbox:array<double>,is_boilerplate:boolean,boilerplate_type:string,was_corrected:boolean,raw_text:string,entities:array<struct<text:string,label:string,start:int,end:int>>>>,
+text_blocks array<struct<block_id:string,page_num:int,type:string,text:string,bbox:array<double>,
+is_boilerplate:boolean,boilerplate_type:string,was_corrected:boolean,raw_text:string,entities:array<struct<text:string,label:string,start:int,end:int>>>>,
 tables array<struct<table_id:string,page_num:int,caption:string,headers:array<string>,rows:array<array<string>>,row_count:int,column_count:int>>"""
 
 
