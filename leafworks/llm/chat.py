@@ -57,7 +57,11 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[pa.Buffer, np.ndarray]:
     pool = np.concatenate([*marks, role_bytes, text_bytes])
     base = np.cumsum([0, *(len(m) for m in marks), len(role_bytes)])
     source, length = np.empty((n, 5), np.int64), np.empty((n, 5), np.int64)
-    for column, (at, size) in enumerate([(base[0], len(marks[0])), (base[3] + role_at[:-1], np.diff(role_at)), (base[1], len(marks[1])), (base[4] + text_at[:-1], np.diff(text_at)), (base[2], len(marks[2]))]):
+    segments = [
+        (base[0], len(marks[0])), (base[3] + role_at[:-1], np.diff(role_at)), (base[1], len(marks[1])),
+        (base[4] + text_at[:-1], np.diff(text_at)), (base[2], len(marks[2])),
+    ]
+    for column, (at, size) in enumerate(segments):
         source[:, column], length[:, column] = at, size
     ends = np.cumsum(length.ravel())
     starts = ends - length.ravel()

@@ -192,7 +192,8 @@ def with_originals(records: DataFrame) -> DataFrame:
     whose original isn't among the records has neither bytes nor a page that it refers to."""
     small = records.select("record_id", "record_type", "page_id", "payload_bytes", "payload_digest", "refers_to_id")
     small = written(small)
-    originals = small.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id"), "payload_digest").agg(F.min("page_id").alias("refers_to"), F.max("payload_bytes").alias("original_bytes"))
+    responses = small.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id"), "payload_digest")
+    originals = responses.agg(F.min("page_id").alias("refers_to"), F.max("payload_bytes").alias("original_bytes"))
     revisits = small.where("record_type = 'revisit'").join(originals, ["refers_to_id", "payload_digest"], "left")
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     found = revisits.select("page_id", F.col("original_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
