@@ -14,7 +14,13 @@ from leafworks.functions import patterns as P
 
 
 def strip(c: Column) -> Column:
-    """Without white space of any kind at both ends."""
+    """Without white space of any kind at both ends; only texts that have some there go through the pattern."""
+    ends = F.concat(F.left(c, F.lit(1)), F.right(c, F.lit(1)))
+    return F.when(ends.rlike(r"(?U)\s"), F.regexp_replace(c, r"(?U)^\s+|\s+$", "")).otherwise(c)
+
+
+def strip_result(c: Column) -> Column:
+    """The same for a text that is costly to compute: it is named once."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
@@ -28,7 +34,12 @@ def has_any(c: Column, words: list[str]) -> Column:
 
 
 def matches(c: Column, found: list[str]) -> Column:
-    return c.rlike(P.any_of(found))
+    """Whether one of the patterns is found. Those that begin at the start of the text share one start, so the engine
+    tries them there alone and not at each character."""
+    start = re.compile(r"^(\(\?i\))?\^")
+    fixed, free = [start.sub(r"\1", p) for p in found if start.match(p)], [p for p in found if not start.match(p)]
+    parts = [c.rlike(f"^(?:{P.any_of(fixed)})")] if fixed else []
+    return reduce(lambda a, b: a | b, [*parts, c.rlike(P.any_of(free))] if free else parts)
 
 
 def literal(pattern: str) -> str:
@@ -39,15 +50,16 @@ def literal(pattern: str) -> str:
 
 
 def replaced(c: Column, pairs: list[tuple[str, str]], together: int = 12) -> Column:
-    """Each pattern replaced in turn. Patterns go in groups, tried only on texts that hold the plain characters of one of
-    them; each group's lambda gives the text so far a name, so that it is computed once."""
+    """Each pattern replaced in turn. Patterns go in groups, tried one by one only on texts that hold the plain characters
+    of one of them and in which one of them is found at all; each group's lambda gives the text so far a name, so that
+    it is computed once."""
 
     def group(few: list[tuple[str, str]]) -> Column:
         plain = [literal(p) for p, _ in few]
         chain = lambda x: reduce(lambda a, p: F.regexp_replace(a, f"(?U){p[0]}", p[1]), few, x)
-        if not all(plain):
-            return chain(c)
-        return F.transform(F.array(c), lambda x: F.when(has_any(x, plain), chain(x)).otherwise(x))[0]
+        found = f"(?U){P.any_of([p for p, _ in few])}"
+        held = lambda x: has_any(x, plain) & x.rlike(found) if all(plain) else x.rlike(found)
+        return F.transform(F.array(c), lambda x: F.when(held(x), chain(x)).otherwise(x))[0]
 
     for k in range(0, len(pairs), together):
         c = group(pairs[k : k + together])
@@ -72,7 +84,7 @@ def spaces(c: Column) -> Column:
 def basic_correction(c: Column) -> Column:
     """Characters, line breaks in words, abbreviations, confused and split words, spaces; in this order."""
     c = joined_breaks(characters(c))
-    return strip(spaces(replaced(c, [*P.DOMAIN_TERMS, *P.CONFUSIONS, *P.SPLIT_WORDS])))
+    return strip_result(spaces(replaced(c, [*P.DOMAIN_TERMS, *P.CONFUSIONS, *P.SPLIT_WORDS])))
 
 
 def urls(c: Column) -> Column:
@@ -117,7 +129,7 @@ def corrected(df: DataFrame, name: str = "text", into: str = "corrected") -> Dat
     df = df.withColumn(into, spaces(F.when(c.rlike(f"[{P.DIACRITICS}]"), diacritics(c)).otherwise(c)))
     df = df.withColumn(into, F.when(c.contains("://"), urls(c)).otherwise(c))
     df = df.withColumn(into, F.when(has_any(c, P.RUNNING_HEADERS), without_inline_headers(without_header_tail(c))).otherwise(c))
-    return df.withColumn(into, strip(F.when(has_any(c, P.FOREIGN_TERMS), emphasized(c)).otherwise(c)))
+    return df.withColumn(into, strip_result(F.when(has_any(c, P.FOREIGN_TERMS), emphasized(c)).otherwise(c)))
 
 
 def corrected_blocks(df: DataFrame) -> DataFrame:
@@ -145,9 +157,9 @@ def with_fingerprint(df: DataFrame, name: str = "text", into: str = "fingerprint
 def without_fences(c: Column) -> Column:
     """Without the first line if it begins with three backticks, and without three backticks at the end and what
     follows; blanks at the ends go too."""
-    c = strip(c)
+    c = strip_result(c)
     c = F.when(c.startswith("```"), F.when(c.contains("\n"), F.regexp_replace(c, r"(?s)^[^\n]*\n", "")).otherwise(c)).otherwise(c)
-    return strip(F.when(c.endswith("```"), F.left(c, F.length(c) - 3)).otherwise(c))
+    return strip_result(F.when(c.endswith("```"), F.left(c, F.length(c) - 3)).otherwise(c))
 
 
 def half_even(c: Column, digits: int) -> Column:

@@ -547,6 +547,21 @@ def query_synthesis(spark, sf_dir):
     return found.select(synthesized(F.col("text")).alias("query"), place).where("query is not null").groupBy("query").agg(F.min("c").alias("expected"))
 
 
+@query
+def retrieval_report(spark, sf_dir):
+    """(query, rank): the place of each synthesized query's chunk among the ten nearest chunks, 0 if it isn't there."""
+    found = chunks.chunks(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
+    number = (F.col("doc_id") * 100_000 + F.col("chunk_no")).cast("long")
+    own = vectors.embedded(found.select(number.alias("vec_id"), F.lit(0).alias("label"), "text"))
+    asked = query_synthesis(spark, sf_dir).withColumn("vec_id", -1 - plants.part("query", 1 << 31))
+    parts = F.split("expected", "/chk_")
+    asked = asked.withColumn("target", parts[0].cast("long") * 100_000 + parts[1].cast("long"))
+    queries = vectors.embedded(asked.withColumn("label", F.lit(0)), "query")
+    columns = ["vec_id", "label", F.col("vector").alias("embedding")]
+    near = vectors.nearest(queries.select(*columns), own.select(*columns)).select(F.col("query_id").alias("vec_id"), F.col("vec_id").alias("target"), "rank")
+    return asked.join(near, ["vec_id", "target"], "left").select("query", F.coalesce("rank", F.lit(0)).alias("rank"))
+
+
 @query
 def ner_counts(spark, sf_dir):
     return entities.label_counts(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))

@@ -513,6 +513,16 @@ ORACLE_SQL |= {
       CAST(instr('0123456789abcdef', h[17:17]) - 1 AS INTEGER) % 4 + 1, 1) || h[18:20] || '-' || h[21:32] AS point_id FROM {UUID}""",
     "query_synthesis": f"""WITH {chunked(PLANTED)} SELECT query, min(c) AS expected FROM (SELECT CASE {RULES} END AS query, format('{{:012d}}/{{}}',
       doc_id, chunk_id) AS c FROM chunks) WHERE query IS NOT NULL GROUP BY 1""",
+    "retrieval_report": f"""WITH {chunked(PLANTED)},
+      own AS (SELECT doc_id * 100000 + CAST(substr(chunk_id, 5) AS BIGINT) AS vec_id, format('{{:012d}}/{{}}', doc_id, chunk_id) AS c, text FROM chunks),
+      asked AS (SELECT query, min(c) AS c FROM (SELECT CASE {RULES} END AS query, c FROM own) WHERE query IS NOT NULL GROUP BY 1),
+      bags AS (SELECT k, place, count(*) AS n FROM (SELECT k, {PART('w', 64)} AS place FROM (SELECT k, unnest(string_split_regex(lower(t), '[\\x20\\x09-\\x0D]+')) AS w
+        FROM (SELECT c AS k, text AS t FROM own UNION ALL SELECT query, query FROM asked)) WHERE w <> '') GROUP BY 1, 2),
+      norms AS (SELECT k, sqrt(sum(n * n)) AS norm FROM bags GROUP BY 1),
+      sims AS (SELECT a.query, o.vec_id, o.c, round(sum(x.n * y.n) / (max(p.norm) * max(r.norm)), 6) AS score FROM asked a JOIN bags x ON x.k = a.query JOIN norms p ON p.k = a.query
+        JOIN bags y ON y.place = x.place JOIN own o ON o.c = y.k JOIN norms r ON r.k = o.c GROUP BY 1, 2, 3),
+      ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM sims)
+      SELECT a.query, coalesce(r.rank, 0) AS rank FROM asked a LEFT JOIN ranked r ON r.query = a.query AND r.c = a.c AND r.rank <= 10""",
     "knn_top10": f"WITH {KNN} SELECT query_id, vec_id, score, rank FROM top",
     "recall_mrr_ndcg": f"""WITH {KNN}, hit AS (SELECT query_id, min(rank) AS rank FROM top WHERE label = query_label GROUP BY 1), r AS
       (SELECT coalesce(h.rank, 0) AS rank FROM embeddings e LEFT JOIN hit h ON h.query_id = e.vec_id WHERE e.vec_id % 50 = 0)
