@@ -1,6 +1,7 @@
 """Token counts by the whole-token shortcut.
 
-A vocabulary string that the merges turn into exactly one token is proved so once, before any row is read.
+A vocabulary string that the merges turn into exactly one token is proved so once, on the driver, before any row
+is read; the proved set, no larger than the vocabulary, is broadcast.
 Pre-tokens found in that proved set count one each; only the rest runs the merges, and the result of a
 pre-token is kept in a bounded cache. Counts equal those of the tokenizer library for whole texts.
 
@@ -37,7 +38,8 @@ def byte_letters() -> dict[int, str]:
 class TokenCounter:
     """Counts tokens without begin, end or added special tokens, truncation or padding."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, proved: frozenset[str] | None = None) -> None:
+        self.proved = proved
         if path.endswith(".model"):
             import sentencepiece
 
@@ -62,7 +64,8 @@ class TokenCounter:
         self.normal = self.library.normalizer.normalize_str
         self.letters = {chr(b): c for b, c in byte_letters().items()}
         self.merge = self.library.model.tokenize
-        self.proved = self.prove(spec["model"])
+        if proved is None:
+            self.proved = self.prove(spec["model"])
         self.pieces: dict[str, int] = {}
         self.chunks: dict[str, int] = {}
 
@@ -114,8 +117,8 @@ class TokenCounter:
 
 
 @lru_cache(maxsize=2)
-def counter(path: str) -> TokenCounter:
-    return TokenCounter(path)
+def counter(path: str, proved: frozenset[str] | None = None) -> TokenCounter:
+    return TokenCounter(path, proved)
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, text: str = "text", into: str = "n_tokens") -> DataFrame:
@@ -123,15 +126,17 @@ def token_counts(docs: DataFrame, tokenizer_path: str, text: str = "text", into:
 
     A null or empty text has none. Rows stay as they are, repeated rows and rows with null keys included;
     an empty table gives an empty table. A column that already has the new name is replaced.
-    tokenizer_path: a .json of the tokenizers library or a .model of sentencepiece, readable on each executor.
+    tokenizer_path: a .json of the tokenizers library or a .model of sentencepiece, readable on the driver and on each
+    executor.
     """
     small_batches(docs.sparkSession)
     rest = docs.drop(into)
     schema = rest.select("*", F.lit(0).cast("long").alias(into)).schema
     at = rest.columns.index(text)
+    shared = docs.sparkSession.sparkContext.broadcast(counter(tokenizer_path).proved)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(tokenizer_path).count
+        count = counter(tokenizer_path, shared.value).count
         for b in batches:
             n = pa.array([count(t) if t else 0 for t in b.column(at).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*b.columns, n], [*b.schema.names, into])
