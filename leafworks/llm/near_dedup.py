@@ -13,9 +13,10 @@
 5. A bucket whose members besides the hubs still lie in several components is open: pairs of them were never looked
    at. All members of open buckets go through an exact similarity join: a node's shingles are ordered from rare to
    frequent (those that only one component holds first), and two nodes that are similar enough share one of the
-   first few of them (a quarter of the larger set, a seventh of the smaller one); such pairs are confirmed on the
-   full sets. Nothing is lost, and text that many documents share comes last in the order, so it makes no pairs
-   unless it is nearly all that both documents have.
+   first few of them (a quarter of the larger set, a seventh of the smaller one). Their places there bound how much
+   two sets can share, and so do PARITY_WORDS words of parity bits: sets whose bits differ in d places differ in d
+   shingles at least. What these bounds leave is confirmed on the full sets. Nothing is lost, and text that many
+   documents share comes last in the order, so it makes no pairs unless it is nearly all that both documents have.
 6. Components come from alternating large-star and small-star steps on tables, never on the driver.
 
 A link is missed only if no band catches it, at a similarity of 0.75 with probability (1 - 0.75**ROWS)**BANDS =
@@ -38,6 +39,8 @@ from leafworks.llm.shared import discard, small_batches, text_or_empty, written
 WORDS, PERCENT = 5, 75
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
+#: 64-bit words of parity bits that a set gets for the exact join.
+PARITY_WORDS = 16
 #: Odd multiplier of the rolling sums, its inverse, and multipliers that mix hashes (fixed values).
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -253,15 +256,29 @@ def open_nodes(members: DataFrame, joined: DataFrame) -> DataFrame:
     return written(rest.join(found.select("band", "bucket"), ["band", "bucket"]).select("node", "component").distinct())
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """For each of the bits, whether an odd number of shingles falls on it; as PARITY_WORDS signed words."""
+    bits = 64 * PARITY_WORDS
+    odd = np.bincount(((shingles >> np.uint64(7)) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+PARITY = [f"w{k}" for k in range(PARITY_WORDS)]
+
+
 def full_sets(nodes: DataFrame, held: DataFrame, words: int) -> DataFrame:
-    """(node, component, v) with the sorted shingles of each node's text, written."""
+    """(node, component, v, w0, w1, ...) with the sorted shingles of each node's text and their parity, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sets = pa.array([s.view(np.int64) for s in shingle_sets([t.encode() for t in b.column(2).to_pylist()], words)], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), sets], names=["node", "component", "v"])
+            found = shingle_sets([t.encode() for t in b.column(2).to_pylist()], words)
+            sets = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
+            odd = np.array([parity(s) for s in found], np.int64).reshape(-1, PARITY_WORDS)
+            columns = [b.column(0), b.column(1), sets, *(pa.array(odd[:, k]) for k in range(PARITY_WORDS))]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "component", "v", *PARITY])
 
-    return written(nodes.join(held, "node").select("node", "component", "v").mapInArrow(run, "node long, component long, v array<long>"))
+    shape = f"node long, component long, v array<long>, {', '.join(f'{w} long' for w in PARITY)}"
+    return written(nodes.join(held, "node").select("node", "component", "v").mapInArrow(run, shape))
 
 
 def rare_first(sets: DataFrame, percent: int) -> DataFrame:
@@ -281,13 +298,16 @@ def rare_first(sets: DataFrame, percent: int) -> DataFrame:
     return written(found.select("x.token", "node", "component", "n", place.alias("place"), (place <= smaller).alias("first")))
 
 
-def rare_pairs(entries: DataFrame, percent: int) -> DataFrame:
+def rare_pairs(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(hub, member) of nodes of different components that share a rare shingle and may still be similar enough."""
-    small = entries.where("first").select("token", *(F.col(c).alias(f"s_{c}") for c in ("node", "component", "n", "place")))
+    entries = entries.join(sets.select("node", *PARITY), "node")
+    small = entries.where("first").select("token", *(F.col(c).alias(f"s_{c}") for c in ("node", "component", "n", "place", *PARITY)))
+    differ = sum(F.bit_count(F.col(w).bitwiseXOR(F.col(f"s_{w}"))) for w in PARITY)
     pairs = small.join(entries, "token").where(
         f"s_component != component AND (s_n < n OR s_n = n AND s_node < node) AND 100 * s_n >= {percent} * n"
         f" AND {100 + percent} * least(s_n - s_place, n - place) >= {percent} * (s_n + n)"
     )
+    pairs = pairs.where((100 - percent) * (F.col("s_n") + F.col("n")) >= (100 + percent) * differ)
     return pairs.select(F.least("s_node", "node").alias("hub"), F.greatest("s_node", "node").alias("member")).distinct()
 
 
@@ -336,7 +356,7 @@ def linked(reps: DataFrame, sketched: DataFrame, percent: int, words: int) -> Da
     sets = full_sets(nodes, held, words)
     discard(members, held)
     entries = rare_first(sets, percent)
-    pairs = written(rare_pairs(entries, percent))
+    pairs = written(rare_pairs(entries, sets, percent))
     discard(entries)
     whole = written(both.unionByName(confirmed(pairs, sets, percent, words)))
     discard(both, nodes, sets, pairs)

@@ -261,14 +261,18 @@ def test_near_dedup_on_pages_of_one_template(spark):
 
 
 def test_rare_pairs_are_exact(spark):
+    import numpy as np
+
     r = random.Random(12)
     sets = [(k, k, sorted(r.sample(range(40), r.randint(4, 24)))) for k in range(150)]
     for k in range(150, 400):
         v = {*sets[r.randrange(150)][2]}
         sets.append((k, k if k % 10 else 1, sorted(v - {*r.sample(sorted(v), 1)} | {*r.sample(range(5000), r.randint(0, 3))})))
-    df = spark.createDataFrame(sets, "node long, component long, v array<long>")
-    pairs = near_dedup.rare_pairs(near_dedup.rare_first(df, 75), 75)
-    found = {tuple(x) for x in near_dedup.confirmed(pairs, df.drop("component"), 75, 5).collect()}
+    odd = [near_dedup.parity(np.array(v, np.uint64) << np.uint64(7)).tolist() for _, _, v in sets]
+    shape = "node long, component long, v array<long>, " + ", ".join(f"{w} long" for w in near_dedup.PARITY)
+    df = spark.createDataFrame([(*s, *w) for s, w in zip(sets, odd, strict=True)], shape)
+    pairs = near_dedup.rare_pairs(near_dedup.rare_first(df, 75), df, 75)
+    found = {tuple(x) for x in near_dedup.confirmed(pairs, df.select("node", "v"), 75, 5).collect()}
     held = [(k, c, {*v}) for k, c, v in sets]
     want = {(x, y) for x, c, v in held for y, d, w in held if x < y and c != d and 100 * len(v & w) >= 75 * len(v | w)}
     assert found == want and len(want) > 100
