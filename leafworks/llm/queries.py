@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafworks.llm import bpe, chat, exact_dedup, line_dedup, near_dedup, packing, quality, token_counts, toxicity, warc
+from leafworks.llm import bpe, chat, exact_dedup, line_dedup, near_dedup, packing, periodic_runs, prefix_bpe, quality, source_audit, token_counts, toxicity, warc
 from leafworks.llm.sql import ORACLE_SQL  # noqa: F401
 
 TOKEN_LIMIT = 2048
@@ -74,6 +74,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.with_originals(warc.read_archives(manifest, payloads=False))
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.source_audit(table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic_runs.run_digests(docs.select("doc_id", periodic_runs.repeating_tail(F.col("doc_id")).alias("text")))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_line_dedup": op2_line_dedup,
@@ -85,4 +98,7 @@ QUERIES = {
     "op8_bpe_round_trip": op8_bpe_round_trip,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
+    "op11_source_audit": op11_source_audit,
+    "op12_prefix_bpe": op12_prefix_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }

@@ -67,6 +67,28 @@ WARC = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html, min(page_id) O
   SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN page_id = lead THEN 'response'
       ELSE 'revisit' END AS record_type, CASE WHEN page_id <> lead THEN lead END AS refers_to FROM p JOIN digests USING (page_id)"""
 
+SHARE = "1 + (1000000000 * CAST({n} + 2 AS HUGEINT)) // CAST({total} + 2 * v AS HUGEINT)"
+APART = "CAST(({p} - {q}) * ({p} - {q}) // ({p} + {q}) AS BIGINT)"
+SOURCE_AUDIT = f"""WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+  w AS (SELECT row, lang, source, unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+  k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY 1, 2 HAVING count(DISTINCT row) >= 10),
+  langs AS (SELECT lang, count(k.term) AS v, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang FROM d) LEFT JOIN k USING (lang) GROUP BY 1),
+  c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+  g AS (SELECT lang, source, coalesce(sum(n), 0) AS total, any_value(v) AS v FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source)
+      JOIN (SELECT lang, v FROM langs) USING (lang) GROUP BY 1, 2),
+  p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {SHARE.format(n="coalesce(c.n, 0)", total="g.total")} AS p FROM g JOIN k USING (lang)
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+  far AS (SELECT a.lang, a.source, b.source AS item, sum({APART.format(p="a.p", q="b.p")}) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term
+      AND a.source <> b.source GROUP BY 1, 2, 3),
+  pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM g a JOIN g b
+      ON a.lang = b.lang AND a.source <> b.source LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source),
+  q AS (SELECT k.lang, k.term, {SHARE.format(n="k.n", total="langs.total")} AS q FROM k JOIN langs USING (lang)),
+  terms AS (SELECT lang, source, 'term' AS part, term AS item, {APART.format(p="p", q="q")} AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+  ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+      FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+  SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10"""
+
 ORACLE_SQL = {
     "op2_line_dedup": LINE_DEDUP,
     "op3_near_dedup": NEAR_DEDUP,
@@ -74,4 +96,5 @@ ORACLE_SQL = {
     "op6_quality_rules": QUALITY,
     "op7_chat_format": CHAT,
     "op10_warc": WARC,
+    "op11_source_audit": SOURCE_AUDIT,
 }
