@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame
 from leafworks.llm.bpe import SPACES
 from leafworks.llm.shared import small_batches
 
-#: Words and pairs that a worker remembers at most; longer chunks are not remembered.
-CACHE_ENTRIES, CACHE_CHARS = 300_000, 64
+#: Chunks and words, and pairs of tokens, that a worker remembers at most; longer chunks are not remembered.
+CACHE_ENTRIES, CACHE_PAIRS, CACHE_CHARS = 500_000, 1_000_000, 64
 #: Added to a letter: the same letter at a word's end, as one symbol.
 END = 0x1000
 #: The shape of the tokenizers that this module reads.
@@ -69,12 +69,15 @@ class PrefixEncoder:
             if max(self.born[ids[a]], self.born[ids[b]]) >= k or joined in self.parts:
                 raise ValueError(f"merge {k} comes before its parts, or makes a token again")
             self.born[joined], self.parts[joined] = k, (ids[a], ids[b])
-        self.automaton = ahocorasick.Automaton()
+        self.never, self.own, self.pairs, self.chunks = len(ranks), {}, {}, {}
+        #: Strings that the merges don't make one token are never a last token, so the automaton doesn't name them.
+        self.automaton, self.sizes = ahocorasick.Automaton(), [0] * (max(ids.values()) + 1)
         for t, i in ids.items():
             symbols = t[: -len(end) - 1] + chr(ord(t[-len(end) - 1]) + END) if t.endswith(end) and len(t) > len(end) else t
-            self.automaton.add_word(symbols, (i, len(symbols)))
+            self.sizes[i] = len(symbols)
+            if self.is_own(i):
+                self.automaton.add_word(symbols, i)
         self.automaton.make_automaton()
-        self.never, self.own, self.pairs, self.chunks = len(ranks), {}, {}, {}
         self.ascii_words = re.compile(ASCII_CUT).findall
         self.printable = re.compile(r"[!-~]+").fullmatch
 
@@ -115,32 +118,49 @@ class PrefixEncoder:
         return found
 
     def compatible(self, a: int, b: int) -> bool:
-        found = self.pairs.get((a, b))
-        if found is None:
-            if len(self.pairs) >= CACHE_ENTRIES:
-                self.pairs.clear()
-            found = self.pairs[a, b] = self.stay_apart(a, b, self.never)
+        """Whether token b can follow token a in an encoding."""
+        if len(self.pairs) >= CACHE_PAIRS:
+            self.pairs.clear()
+        found = self.pairs[a << 32 | b] = self.stay_apart(a, b, self.never)
         return found
 
+    def last_tokens(self, letters: str) -> list[int]:
+        """The last token of each prefix of a word, given as the letters of its bytes."""
+        last, sizes, known = [-1] * len(letters), self.sizes, self.pairs.get
+        for at, token in self.automaton.iter(letters[:-1] + chr(ord(letters[-1]) + END)):  # at each place the longest first
+            if last[at] < 0:
+                before = at - sizes[token]
+                if before < 0:
+                    last[at] = token
+                else:
+                    fits = known(last[before] << 32 | token)
+                    if fits or (fits is None and self.compatible(last[before], token)):
+                        last[at] = token
+        return last
+
     def word(self, letters: str) -> list[int]:
         """The ids of a word, given as the letters of its bytes."""
-        n = len(letters)
-        last, sizes = array("i", bytes(4 * (n + 1))), array("i", bytes(4 * (n + 1)))
-        for at, (token, size) in self.automaton.iter(letters[:-1] + chr(ord(letters[-1]) + END)):
-            at += 1
-            if not sizes[at] and self.is_own(token) and (size == at or self.compatible(last[at - size], token)):
-                last[at], sizes[at] = token, size
-        ids = []
-        while n:
-            ids.append(last[n])
-            n -= sizes[n]
+        last, sizes, at, ids = self.last_tokens(letters), self.sizes, len(letters) - 1, []
+        while at >= 0:
+            token = last[at]
+            ids.append(token)
+            at -= sizes[token]
         ids.reverse()
         return ids
 
     def chunk(self, text: str) -> list[int]:
         """The ids of a text without white space."""
-        pieces = self.ascii_words(text.lower()) if self.printable(text) else [p for p, _ in self.cut(self.normal(text))]
-        ids = [i for p in pieces for i in self.word(p)]
+        plain = self.printable(text)
+        pieces = self.ascii_words(text.lower()) if plain else [p for p, _ in self.cut(self.normal(text))]
+        if len(pieces) == 1 and (pieces[0] == text or not plain):
+            ids = self.word(pieces[0])
+        elif plain:  # words of ASCII are chunks themselves
+            ids = []
+            for p in pieces:
+                found = self.chunks.get(p)
+                ids += self.chunk(p) if found is None else found
+        else:
+            ids = [i for p in pieces for i in self.word(p)]
         if len(text) <= CACHE_CHARS:
             if len(self.chunks) >= CACHE_ENTRIES:
                 self.chunks.clear()

@@ -116,12 +116,13 @@ def test_each_prefix_has_one_last_token():
     own, r = prefix_bpe.encoder(PATH), random.Random(8)
     for _ in range(200):
         word = "".join(r.choice("aeinstrh") for _ in range(r.randint(1, 14)))
-        last, pieces = {}, own.word(word)
-        for at, (token, size) in own.automaton.iter(word[:-1] + chr(ord(word[-1]) + prefix_bpe.END)):
-            if own.is_own(token) and (size == at + 1 or own.compatible(last[at + 1 - size], token)):
-                assert at + 1 not in last
-                last[at + 1] = token
-        assert sorted(last) == [*range(1, len(word) + 1)] and last[len(word)] == pieces[-1]
+        last = {}
+        for at, token in own.automaton.iter(word[:-1] + chr(ord(word[-1]) + prefix_bpe.END)):
+            before = at - own.sizes[token]
+            if before < 0 or own.compatible(last[before], token):
+                assert at not in last
+                last[at] = token
+        assert sorted(last) == [*range(len(word))] and [last[k] for k in range(len(word))] == own.last_tokens(word) and last[len(word) - 1] == own.word(word)[-1]
 
 
 def test_prefix_bpe(spark, docs):
