@@ -1,8 +1,7 @@
 """Quality rules as a short-circuit cascade, in DataFrame operations only.
 
-Each rule is a boolean expression on the text: true rejects. A bounded sample tells each rule's selectivity
-(share of rows it rejects) and its cost (what it has to go through in these rows, in nanoseconds); the cascade
-evaluates the rules in the order of rejection per cost, and a row that one rule rejects never reaches the next
+Each rule is a boolean expression on the text: true rejects. A bounded sample from all over the table tells each
+rule's selectivity (share of rows it rejects) and its cost (nanoseconds that it takes on them); the cascade evaluates the rules in the order of rejection per cost, and a row that one rule rejects never reaches the next
 (CASE WHEN). The order changes only the work: the verdict is that of all rules together.
 """
 
@@ -13,7 +12,7 @@ from pyspark.sql import functions as F
 
 from leafworks.llm.shared import BLANK, NON_BLANK, text_or_empty, without_blanks
 
-SAMPLE_ROWS = 1000
+SAMPLE_ROWS, REPEATS = 1000, 3
 WINDOW = 8
 #: Characters that count as symbols.
 SYMBOLS = "[#*$%&|<>]"
@@ -91,35 +90,46 @@ def rules() -> dict[str, Column]:
     }
 
 
-#: Nanoseconds, measured once on one core: a character for a regular expression or for deleting blanks, a word
-#: that a lambda looks at, a line in a set.
-PER_CHAR, PER_CHAR_DELETED, PER_WORD, PER_LINE = 10, 6, 60, 100
+def drawn(docs: DataFrame, text: str, rows: int) -> DataFrame:
+    """The texts of some `rows` rows from all over docs, drawn by a hash of their place; four times as many at most."""
+    share = rows / max(docs.count(), rows)
+    place = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30))
+    return docs.select(F.col(text).alias("text")).where(place < int(share * (1 << 30)) + 1).limit(4 * rows)
 
 
-def costs() -> dict[str, Column]:
-    """What each rule costs in a row."""
-    chars = F.length("_text").cast("long")
-    return {
-        "symbols": PER_CHAR * chars,
-        "shouting": 2 * PER_CHAR * chars,
-        "exclamations": PER_CHAR * chars,
-        "stutter": PER_WORD * F.size("_words").cast("long"),
-        "repeated_lines": PER_LINE * F.size("_lines").cast("long"),
-        "word_length": PER_CHAR_DELETED * chars,
-    }
+def estimates(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> dict[str, tuple[float, float]]:
+    """Of each rule the share of sampled rows that it rejects, and its mean cost in nanoseconds.
+
+    One job over a drawn sample reads the clock before and after each rule on each row, in the task that evaluates it.
+    Words and lines, which rules share, are there before the first reading. Each row is looked at REPEATS times and
+    the fastest counts, so neither compilation nor pauses do. Flags and times reach the driver, texts don't.
+    """
+    clock = lambda: F.expr("reflect('java.lang.System', 'nanoTime')")
+    candidates = rules()
+    steps = [clock().alias("t0")]
+    for k, (name, rejects) in enumerate(candidates.items(), 1):
+        steps += [rejects.alias(name), clock().alias(f"t{k}")]
+    sample = with_words(drawn(docs, text, rows)).select(F.monotonically_increasing_id().alias("at"), "_text", "_words", "_lines", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))).alias("turn"))
+    flags, fastest = {n: {} for n in candidates}, {n: {} for n in candidates}
+    spark, setting = docs.sparkSession, "spark.sql.subexpressionElimination.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")  # else parts that occur twice are computed before the first reading
+    try:
+        timed = sample.select("at", F.struct(*steps).alias("x")).collect()
+    finally:
+        spark.conf.set(setting, before)
+    for r in timed:
+        for k, n in enumerate(candidates, 1):
+            flags[n][r.at] = bool(r.x[n])
+            fastest[n][r.at] = min(fastest[n].get(r.at, 1 << 62), int(r.x[f"t{k}"]) - int(r.x[f"t{k - 1}"]))
+    return {n: ((sum(flags[n].values()) + 0.5) / (len(flags[n]) + 1), (sum(fastest[n].values()) + 1) / (len(flags[n]) + 1)) for n in candidates}
 
 
 def ordered(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS) -> list[str]:
-    """The rules' names, the one with the most rejections per work first, as the first rows of docs tell.
-
-    Only as many partitions are read as hold these rows; flags and costs reach the driver, texts don't.
-    """
-    work = costs()
-    flags = [r.alias(n) for n, r in rules().items()]
-    sample = with_words(docs, text).select(*flags, *(c.alias(f"{n}_cost") for n, c in work.items())).take(rows)
-    share = {n: (sum(bool(r[n]) for r in sample) + 0.5) / (len(sample) + 1) for n in work}
-    cost = {n: sum(r[f"{n}_cost"] for r in sample) + 1 for n in work}
-    return sorted(work, key=lambda n: (-share[n] / cost[n], n))
+    """The rules' names, the one with the most rejections per cost first, as a sample tells. Two runs may differ in rules
+    that are about as good; the verdict is the same."""
+    found = estimates(docs, text, rows)
+    return sorted(found, key=lambda n: (-found[n][0] / found[n][1], n))
 
 
 def cascade(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Column:

@@ -366,16 +366,47 @@ def test_exact_dedup_of_hot_copies(spark):
         assert len(found) == 134 and {(r.keep_id, r.group_size) for r in found} == {(0, 134)} and sum(r.kept for r in found) == 1
 
 
-def test_owners_get_a_range_of_distinct_texts(spark):
-    """999 copies of a long text count once in the directory, and owners hold about a bucket each."""
-    long = F.when(F.col("id") < 999, F.repeat(F.lit("x"), 50_000)).otherwise(F.repeat(F.concat(F.lit("y"), F.col("id")), 100))
-    df = spark.range(0, 3000).select(F.col("id").alias("doc_id"), long.alias("text"))
-    entries = exact_dedup.index(exact_dedup.normalised(df, "doc_id", "text"))
-    slots, depth, owners = exact_dedup.directory(entries, 100_000)
-    total = 50_000 + sum(100 * len(f"y{k}") for k in range(999, 3000))
-    assert total / 100_000 <= owners <= 4 * total / 100_000 and 4 <= depth <= 10
-    rows = slots.orderBy("slot").collect()
-    assert [r.owner for r in rows] == sorted(r.owner for r in rows) and rows[-1].owner == owners - 1
+def test_owners_get_a_range_of_hashes(spark):
+    """Owners hold ranges of about a bucket each; the one bucket that copies of a long text fill is dealt over many."""
+    long = F.when(F.col("id") < 99, F.repeat(F.lit("x"), 50_000)).otherwise(F.repeat(F.concat(F.lit("y"), F.col("id")), 100))
+    df = spark.range(0, 3000, 1, 7).select(F.col("id").alias("doc_id"), long.alias("text"))
+    rows = exact_dedup.normalised(df, "doc_id", "text")
+    slots, depth, owners = exact_dedup.directory(exact_dedup.index(rows), 100_000)
+    total = 99 * 50_000 + sum(100 * len(f"y{k}") for k in range(99, 3000))
+    assert total / 100_000 <= owners <= 4 * total / 100_000 and 4 <= depth <= 20
+    listed = slots.orderBy("slot").collect()
+    assert [r.owner for r in listed] == sorted(r.owner for r in listed) and max(r.owner + r.shares for r in listed) == owners
+    assert sorted({r.shares for r in listed})[0] == 1 and max(r.shares for r in listed) >= 49
+    # The directory's ranges decide which task compares which chain.
+    of_slot = {r.slot: range(r.owner, r.owner + r.shares) for r in listed}
+    found = exact_dedup.owned(rows, slots, depth, owners).select("owner", F.spark_partition_id().alias("task"), "h", F.octet_length("norm").alias("n")).collect()
+    assert len(found) == 3000 and all(r.owner == r.task and r.owner in of_slot[(r.h % 2**64) >> (64 - depth)] for r in found)
+    sums = Counter()
+    for r in found:
+        sums[r.owner] += r.n
+    assert max(sums.values()) <= 600_000 and sum(r.n == 50_000 for r in found) == 99
+
+
+@pytest.mark.parametrize("capacity", [100, 1 << 25])
+def test_texts_of_one_hash_are_told_apart_by_their_bytes(spark, capacity):
+    """All texts in one chain, and texts of two hashes: by one owner, and dealt over many."""
+    texts = [(k, ("same text", "another", f"own {k}", None)[k % 4]) for k in range(200)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    want = by_rows(exact_dedup.exact_dedup(df), "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    for forced in (lambda c: F.lit(7), lambda c: F.when(F.col(c) == "another", -5).otherwise(7)):
+        found = exact_dedup.exact_dedup(df, capacity=capacity, hashed=forced)
+        assert by_rows(found, "doc_id", "keep_id", "group_size", "kept", "text_sha256") == want
+    assert sorted(n for _, _, n, _, _ in want.elements()) == [1] * 50 + [50] * 150
+
+
+def test_texts_move_to_their_owners_alone(spark):
+    """Nothing groups texts before the exchange by owner, which is the only one that holds them; no Python runs."""
+    df = spark.range(50).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id") % 7).alias("text"))
+    plan = exact_dedup.exact_dedup(df, capacity=10)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    steps = [x for x in plan.split("\n") if "Exchange" in x or "Aggregate" in x or "Python" in x or "Arrow" in x]
+    first = next(k for k, x in enumerate(steps) if "REPARTITION_BY_NUM" in x)  # from the top down: what follows comes before it
+    assert not any("norm" in x for x in steps[first + 1 :]) and not any("Python" in x or "Arrow" in x for x in steps)
+    assert [("norm" in x, "Exchange" in x) for x in steps[:first] if "norm" in x] == [(True, False)] * 2
 
 
 def base_measures(t):
@@ -403,6 +434,17 @@ def test_quality(docs, empty):
     assert quality.accepted(docs).columns == docs.columns and quality.accepted(empty).count() == quality.measured(empty).count() == 0
 
 
+def test_rules_are_ordered_by_what_a_sample_from_all_over_tells(spark):
+    """Only rows of the last partition break a rule; rules that go through more cost more."""
+    text = F.when(F.col("id") >= 1500, F.repeat(F.lit("# word "), 40)).otherwise(F.repeat(F.lit("some words of a text "), 40))
+    df = spark.range(0, 2000, 1, 8).select(F.col("id").alias("doc_id"), text.alias("text"))
+    assert 100 < quality.drawn(df, "text", 200).count() < 300 and quality.drawn(df, "text", 5000).count() == 2000
+    found = quality.estimates(df, rows=400)
+    assert found.keys() == quality.rules().keys() and 0.15 < found["symbols"][0] < 0.35 and found["shouting"][0] < 0.01
+    assert all(100 < cost < 10**8 for _, cost in found.values())
+    assert quality.ordered(df)[0] == "symbols" and spark.conf.get("spark.sql.subexpressionElimination.enabled") == "true"
+
+
 def test_chat(spark):
     turns = [(1, 0, "user", "a <|text|> b"), (1, 1, "assistant", "<\\|end|> é🙂 <|"), (1, 2, "assistant", None), (1, None, "system", "s"), (2, 0, None, "<|turn|>x\n"), (None, 3, "assistant", "n"), (None, 1, "user", ""), (3, 5, "assistant", "z" * 100_000), (3, 5, "assistant", "z" * 100_000), (4, 0, "as<|sistant", "<<<|||\\")]
     turns += [(9, k, "assistant" if k % 2 else "user", f"turn {k} <|") for k in range(1500)]
