@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from leafworks.operators.registry import last_by_key
 
-def upsert_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, key: str, checkpoint: str) -> StreamingQuery:
+
+def upsert_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, key: str, checkpoint: str, order: str | None = None) -> StreamingQuery:
     """Each micro-batch is transformed and written to its own folder below path, one row a key; current() gives the rows
-    that hold. So a batch costs what it brings, whatever is there already.
+    that hold. So a batch costs what it brings, whatever is there already. Of a batch's rows with one key the last by order
+    stays, as last_by_key() has it.
 
     A batch that is run again writes its own folder again: results don't double.
     """
 
     def put(batch: DataFrame, number: int) -> None:
-        transform(batch).dropDuplicates([key]).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        last_by_key(transform(batch), key, order).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
