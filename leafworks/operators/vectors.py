@@ -6,14 +6,19 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries that meet the candidates of a task at a time, and candidates that meet them.
-QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
+from leafworks.sources.store import written
+
+#: Queries that meet the candidates of a slice at a time, rows of a slice, pivots at most.
+QUERY_BLOCK, SLICE_ROWS, MAX_PIVOTS = 256, 8192, 4096
+#: What bounds leave for the rounding of scores to six places and of angles.
+SCORE_SLACK, ANGLE_SLACK = 5e-7 + 1e-9, 1e-6
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -55,70 +60,183 @@ def misfits(df: DataFrame, dims: int, vector: str = "vector") -> DataFrame:
     return df.where(F.coalesce(F.size(vector) != dims, F.lit(True)))
 
 
-def nearest(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
-    """(query_id, query_label, vec_id, label, score, rank): the k best of all candidates for each query but itself.
+@dataclass
+class Cells:
+    """The cells of a table of vectors: unit pivots, and of each cell the number of its rows and the least and greatest
+    angle to its pivot. Cell -1 holds the vectors of zeros."""
 
-    A stated query set against all rows, in blocks: queries are dealt over blocks of QUERY_BLOCK on average, and each
-    task multiplies its candidates with one block of queries after the other as matrices, keeping k a query. What is
-    shuffled after that is k rows a task and query. Both: vec_id, label, embedding. A vector of zeros is at 0 to all.
-    """
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    sides = [
-        queries.select(block.alias("block"), F.lit(0).alias("side"), "vec_id", "label", "embedding"),
-        candidates.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(1).alias("side"), "vec_id", "label", "embedding"),
-    ]
-    # Each slice of the candidates gets the queries of its block.
-    slices = int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = sides[0].withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    right = sides[1].withColumn("slice", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(slices)).cast("int"))
-    dealt = left.unionByName(right).repartition("block", "slice").sortWithinPartitions("block", "slice", "side")
+    pivots: np.ndarray
+    rows: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    zeros: int
+    slice_rows: int
+
+    def slices(self, cell: int) -> int:
+        return -(-(self.zeros if cell < 0 else int(self.rows[cell])) // self.slice_rows) or 1
+
+    def angles(self, units: np.ndarray) -> np.ndarray:
+        return np.arccos(np.clip(units @ self.pivots.T, -1, 1))
+
+    def first(self, angles: np.ndarray, k: int) -> list[np.ndarray]:
+        """For each row of angles the nearest cells that hold k other rows together."""
+        order = np.argsort(angles, axis=1, kind="stable")
+        held = np.cumsum(self.rows[order], axis=1)
+        return [o[: int(np.searchsorted(h, k + 1)) + 1] for o, h in zip(order, held, strict=True)]
+
+    def reach(self, angles: np.ndarray) -> np.ndarray:
+        """The greatest cosine that a member of each cell can have, by the triangle inequality of angles."""
+        least = np.maximum(0, np.maximum(angles - self.high, self.low - angles) - ANGLE_SLACK)
+        return np.where(self.rows > 0, np.cos(least), -2.0)
+
+
+def matrix(column: pa.ListArray, dims: int) -> np.ndarray:
+    """The vectors of an Arrow column as the rows of a matrix of unit length; nulls and zeros are rows of zeros."""
+    out = np.zeros((len(column), dims))
+    if len(column):
+        out[column.is_valid().to_numpy(zero_copy_only=False)] = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    return out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-300)
+
+
+def cells(candidates: DataFrame, dims: int) -> tuple[DataFrame, Cells]:
+    """The candidates, written with their cell and angle, and the cells. The pivots are rows drawn by a hash of their id:
+    twice the root of the number of rows, MAX_PIVOTS at most."""
+    count = candidates.count()
+    n = min(MAX_PIVOTS, int(2 * count**0.5))
+    drawn = candidates.select("embedding").orderBy(F.xxhash64("vec_id"), "vec_id").limit(n).toArrow()["embedding"].combine_chunks()
+    pivots = np.unique(matrix(drawn, dims).round(12), axis=0) if n else np.zeros((0, dims))
+    pivots = matrix(pa.array(list(pivots[(pivots != 0).any(axis=1)]), pa.list_(pa.float64())), dims)
+    shared = candidates.sparkSession.sparkContext.broadcast(pivots)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            units = matrix(b.column("embedding"), dims)
+            there = (units != 0).any(axis=1)
+            cosines = np.clip(units @ shared.value.T, -1, 1) if len(shared.value) else np.zeros((len(units), 1))
+            cell = np.where(there, cosines.argmax(axis=1), -1)
+            angle = np.where(there, np.arccos(cosines.max(axis=1)), 0.0)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell, pa.int32()), pa.array(angle)], names=[*b.schema.names, "cell", "angle"])
+
+    table = written(candidates.mapInArrow(assign, "vec_id long, label int, embedding array<double>, cell int, angle double"))
+    found = {r.cell: r for r in table.groupBy("cell").agg(F.count("*").alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high")).collect()}
+    own = [(found[c].n, found[c].low, found[c].high) if c in found else (0, 0.0, 0.0) for c in range(len(pivots))]
+    rows, low, high = (np.array([x[k] for x in own], float if k else int) for k in range(3))
+    return table, Cells(pivots, rows, low, high, found[-1].n if -1 in found else 0, SLICE_ROWS)
+
+
+def scored(visits: DataFrame, table: DataFrame, sizes: DataFrame, dims: int, k: int) -> DataFrame:
+    """(query_id, query_label, vec_id, label, score): of each visit (a query in a slice of a cell) the k best rows there.
+    A task holds one slice of candidates as a matrix and goes through the queries that visit it, batch by batch."""
+    slice_ = F.pmod(F.xxhash64("vec_id"), F.col("slices")).cast("int").alias("slice")
+    members = table.join(F.broadcast(sizes), "cell").select("cell", slice_, F.lit(0).alias("side"), "vec_id", "label", "embedding")
+    dealt = visits.select("cell", "slice", F.lit(1).alias("side"), "vec_id", "label", "embedding").unionByName(members)
+    dealt = dealt.repartition("cell", "slice").sortWithinPartitions("cell", "slice", "side")
+    names = ["query_id", "query_label", "vec_id", "label", "score"]
+
+    def best(q: pa.RecordBatch, ids: np.ndarray, labels: np.ndarray, units: np.ndarray) -> Iterator[pa.RecordBatch]:
+        own, own_label = (q.column(c).to_numpy(zero_copy_only=False) for c in ("vec_id", "label"))
+        asked = matrix(q.column("embedding"), dims)
+        for at in range(0, len(asked), QUERY_BLOCK):
+            part = slice(at, at + QUERY_BLOCK)
+            scores = np.round(asked[part] @ units.T, 6) + 0.0
+            scores[own[part, None] == ids[None, :]] = -2.0  # a row isn't its own neighbour
+            if k < scores.shape[1]:  # all that are as good as the k-th; of those, smaller ids first
+                least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+                i, j = np.nonzero((scores >= least) & (scores > -2.0))
+            else:
+                i, j = np.nonzero(scores > -2.0)
+            order = np.lexsort((ids[j], -scores[i, j], i))
+            i, j = i[order], j[order]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            i, j = i[place < k], j[place < k]
+            columns = own[part][i], own_label[part][i], ids[j], labels[j], scores[i, j]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64()], strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def unit(rows: list[tuple]) -> np.ndarray:
-            m = np.array([r[4] for r in rows], np.float64)
-            return m / np.maximum(np.sqrt((m * m).sum(axis=1, keepdims=True)), 1e-300)
-
-        def best(found: list[tuple]) -> list[tuple]:
-            found.sort(key=lambda x: (x[0], -x[4], x[2]))
-            out, last, n = [], None, 0
-            for x in found:
-                n = n + 1 if x[0] == last else 1
-                last = x[0]
-                if n <= k:
-                    out.append(x)
-            return out
-
-        def scored(q: list[tuple], m: np.ndarray, c: list[tuple]) -> list[tuple]:
-            scores = np.round(m @ unit(c).T, 6)
-            ids = np.array([r[2] for r in c])
-            top = np.lexsort((np.broadcast_to(ids, scores.shape), -scores), axis=1)[:, : k + 1]
-            return [(q[i][2], q[i][3], c[j][2], c[j][3], float(scores[i, j])) for i in range(len(q)) for j in top[i] if c[j][2] != q[i][2]]
-
-        def batch(found: list[tuple]) -> pa.RecordBatch:
-            names, kinds = ["query_id", "query_label", "vec_id", "label", "score"], [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64()]
-            return pa.RecordBatch.from_arrays([pa.array([x[n] for x in found], t) for n, t in enumerate(kinds)], names=names)
-
-        group, q, c, found = None, [], [], []  # a group's queries come before its candidates
+        at, ids, labels, units = None, [], [], []
         for b in batches:
-            for row in zip(*(b.column(n).to_pylist() for n in ("block", "side", "vec_id", "label", "embedding", "slice")), strict=True):
-                if (row[0], row[5]) != group:
-                    if q and c:
-                        found = best(found + scored(q, unit(q), c))
-                    yield batch(found)
-                    group, q, c, found = (row[0], row[5]), [], [], []
-                (c if row[1] else q).append(row)
-                if len(c) == CANDIDATE_BLOCK:
-                    found, c = best(found + scored(q, unit(q), c)) if q else [], []
-        if q and c:
-            found = best(found + scored(q, unit(q), c))
-        yield batch(found)
-
-    few = dealt.mapInArrow(run, "query_id long, query_label int, vec_id long, label int, score double")
-    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
+            keys = np.stack([b.column(c).to_numpy() for c in ("cell", "slice", "side")])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), len(b)]
+            for start, end in zip(cuts, cuts[1:]):
+                if start == end:
+                    continue
+                part, key = b.slice(start, end - start), tuple(keys[:2, start].tolist())
+                if key != at:
+                    at, ids, labels, units = key, [], [], []
+                if keys[2, start] == 0:
+                    ids.append(part.column("vec_id").to_numpy())
+                    labels.append(part.column("label").to_numpy(zero_copy_only=False))
+                    units.append(matrix(part.column("embedding"), dims))
+                elif ids:
+                    ids, labels, units = [np.concatenate(ids)], [np.concatenate(labels)], [np.concatenate(units)]
+                    yield from best(part, ids[0], labels[0], units[0])
+
+    return dealt.mapInArrow(run, "query_id long, query_label int, vec_id long, label int, score double")
+
+
+def top(found: DataFrame, k: int) -> DataFrame:
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k)
 
 
+def visits(queries: DataFrame, own: Cells, dims: int, k: int, first: bool) -> DataFrame:
+    """(vec_id, label, embedding, cell, slice): the slices of cells that each query has to look at. First: its nearest cells
+    that hold k rows. Then (queries with `least`, their k-th best score so far): those others that can hold a better row."""
+    shared = queries.sparkSession.sparkContext.broadcast(own)
+    columns = ["vec_id", "label", "embedding"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for b in batches:
+            units = matrix(b.column("embedding"), dims)
+            angles = own.angles(units)
+            near, reach = own.first(angles, k), None if first else own.reach(angles)
+            least = None if first else b.column("least").to_numpy(zero_copy_only=False)
+            at, cell, part = [], [], []
+            for i in range(len(b)):
+                if first:
+                    chosen = near[i].tolist()
+                else:
+                    chosen = np.setdiff1d(np.flatnonzero(reach[i] >= least[i] - SCORE_SLACK), near[i]).tolist()
+                    chosen += [-1] if own.zeros and least[i] - SCORE_SLACK <= 0 else []
+                for c in chosen:
+                    n = own.slices(c)
+                    at, cell, part = at + [i] * n, cell + [c] * n, part + list(range(n))
+            taken = b.select(columns).take(pa.array(at, pa.int32()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cell, pa.int32()), pa.array(part, pa.int32())], names=[*columns, "cell", "slice"])
+
+    return queries.mapInArrow(run, "vec_id long, label int, embedding array<double>, cell int, slice int")
+
+
+def nearest(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame:
+    """(query_id, query_label, vec_id, label, score, rank): the k best of all candidates for each query but itself, by
+    cosine to six places, then by id. Both: vec_id, label, embedding; nulls and vectors of zeros are at 0 to all.
+
+    Exact, with pruning: candidates lie in the cells of pivots, once. A query looks at its nearest cells first; then its
+    k-th best score and the triangle inequality of angles leave the cells that can still hold a neighbour, and only those
+    are visited. Large cells are cut in slices of SLICE_ROWS rows, so many equal vectors are no hot key. A query's vector
+    moves once a slice that it visits, a candidate twice, whatever the number of queries.
+    """
+    shaped = lambda df: df.select(F.col("vec_id").cast("long"), F.col("label").cast("int"), F.col("embedding").cast("array<double>"))
+    queries, candidates = shaped(queries), shaped(candidates)
+    sizes = (df.agg(F.max(F.size("embedding"))).first()[0] for df in (candidates, queries))
+    dims = next((n for n in sizes if n and n > 0), 1)
+    table, own = cells(candidates, dims)
+    zero = F.coalesce(F.forall("embedding", lambda x: x == 0), F.lit(True))
+    # Queries of zeros are at 0 to all: their neighbours are the smallest ids.
+    lead = [(r.vec_id, r.label) for r in candidates.orderBy("vec_id").limit(k + 1).collect()]
+    firsts = F.array(*(F.struct(F.lit(i).alias("vec_id"), F.lit(v).cast("int").alias("label")) for i, v in lead)).cast("array<struct<vec_id:long,label:int>>")
+    blank = queries.where(zero).select(F.col("vec_id").alias("query_id"), F.col("label").alias("query_label"), F.explode(firsts).alias("x"))
+    blank = blank.select("query_id", "query_label", "x.vec_id", "x.label", F.lit(0.0).alias("score")).where("vec_id <> query_id")
+    asked = queries.where(~zero)
+    sizes = queries.sparkSession.createDataFrame([(c, own.slices(c)) for c in range(-1, len(own.pivots))], "cell int, slices int")
+    one = written(top(scored(visits(asked, own, dims, k, True), table, sizes, dims, k), k).drop("rank"))
+    least = one.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(-1.0).alias("least"))
+    narrowed = asked.join(least, asked["vec_id"] == least["query_id"], "left").select("vec_id", "label", "embedding", F.coalesce("least", F.lit(-1.0)).alias("least"))
+    two = scored(visits(narrowed, own, dims, k, False), table, sizes, dims, k)
+    return top(one.unionByName(two).unionByName(blank), k)
+
+
 def first_hits(found: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, rank): the first neighbour with the query's label, 0 for none."""
     hits = found.where("label = query_label").groupBy("query_id").agg(F.min("rank").alias("rank"))
