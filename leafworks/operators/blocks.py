@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafworks.functions import patterns as P
@@ -226,7 +226,24 @@ def background(df: DataFrame, pixels: DataFrame, sizes: DataFrame, pad: int = 6)
     right = F.when(room, F.col("px") - 2).otherwise(F.least(F.col("px") + pad, F.col("image_width")))
     strips = boxes.select(*page, "doc_id", "seq", left.alias("from_x"), right.alias("to_x"), "top", "low")
     inside = strips.join(pixels, page).where("x >= from_x AND x < to_x AND y >= top AND y < low")
-    return inside.groupBy("doc_id", "seq").agg(*(F.floor(F.median(c)).cast("int").alias(c) for c in "rgb"))
+    return counted_medians(inside, ["doc_id", "seq"], ["r", "g", "b"])
+
+
+def counted_medians(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """(by, columns): the whole part of the median of each column of whole numbers from 0 to 255, nulls left out, by counting.
+
+    What a task holds and hands on is a counter for each value that occurs in a group and column, 256 at most, whatever
+    the number of rows; counters of tasks add up. The median is read off the running sums of a group's counters.
+    """
+    long = df.select(*by, F.explode(F.array(*(F.struct(F.lit(c).alias("c"), F.col(c).cast("int").alias("v")) for c in columns))).alias("x"))
+    counts = long.where("x.v IS NOT NULL").groupBy(*by, "x.c", "x.v").agg(F.count("*").alias("n"))
+    w = Window.partitionBy(*by, "c")
+    sums = counts.withColumns({"upto": F.sum("n").over(w.orderBy("v")), "all": F.sum("n").over(w)})
+    # The middle values: those at which the running sum first reaches half of all, and half of all and one more.
+    at = lambda place: F.min(F.when(F.col("upto") >= place, F.col("v")))
+    low, high = at(F.floor((F.col("all") + 1) / 2)), at(F.floor(F.col("all") / 2) + 1)
+    medians = sums.groupBy(*by, "c").agg(F.floor((low + high) / 2).cast("int").alias("m"))
+    return medians.groupBy(*by).agg(*(F.max(F.when(F.col("c") == c, F.col("m"))).alias(c) for c in columns))
 
 
 def placeholder_box(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
@@ -258,8 +275,6 @@ def page_range(df: DataFrame, first: int = 1, last: int | None = None) -> DataFr
 
 def page_order(df: DataFrame) -> DataFrame:
     """Adds position: blocks of a file in the order of page and block id."""
-    from pyspark.sql import Window
-
     return df.withColumn("position", F.row_number().over(Window.partitionBy("file_id").orderBy("page_num", "block_id", "doc_id", "seq")))
 
 

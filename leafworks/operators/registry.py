@@ -5,15 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from leafworks.sources.store import written
+
 
 def latest(changes: DataFrame, key: str, at: str, values: list[str]) -> DataFrame:
     """One row per key: of each value the latest that isn't null. A partial maximum in each task, no sort by key."""
     return changes.groupBy(key).agg(F.max(at).alias(at), *(F.max(F.when(F.col(v).isNotNull(), F.struct(at, v)))[v].alias(v) for v in values))
 
 
-def upserted(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """old with the rows of new put in by key; of rows of new that repeat a key one stays."""
-    return old.join(new.select(key), key, "left_anti").unionByName(new.dropDuplicates([key]))
+def last_by_key(df: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Of the rows of each key the one with the greatest order column, then with the greatest values, column by column."""
+    values = [c for c in df.columns if c != key]
+    if not values:
+        return df.distinct()
+    last = F.max_by(F.struct(*values), F.struct(*([order] if order else []), *values)).alias("_x")
+    return df.groupBy(key).agg(last).select(*(F.col(c) if c == key else F.col(f"_x.{c}") for c in df.columns))
+
+
+def upserted(old: DataFrame, new: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """old with the rows of new put in by key; of rows of new that repeat a key the last one, as last_by_key() has it."""
+    return old.join(new.select(key), key, "left_anti").unionByName(last_by_key(new, key, order))
 
 
 def changed(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -72,10 +83,28 @@ def ingest_stats(files: DataFrame, chunks: DataFrame, dry_run: bool = False) ->
     return out.select("file_id", "chunks", vectors.alias("vectors"), status.alias("status"), F.when(none, "No chunks in preprocessed JSON").alias("error"))
 
 
+def numbered(df: DataFrame, *order: str, into: str = "number") -> DataFrame:
+    """Adds the place of each row among all, from 1, by the order columns, which no two rows should share.
+
+    Rows are dealt by ranges of the order and written once with their range's number; the counts of the ranges, as many
+    as there are shuffle partitions, give each its offset. A task numbers its ranges, none holds all rows.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = written(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
+    offsets, at = [], 0
+    for r in sorted(dealt.groupBy("_range").count().collect(), key=lambda r: r["_range"]):
+        offsets.append((r["_range"], at))
+        at += r["count"]
+    starts = df.sparkSession.createDataFrame(offsets, "_range int, _start long")
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) + F.col("_start")
+    return dealt.join(F.broadcast(starts), "_range").withColumn(into, place).select(*df.columns, into)
+
+
 def progress(found: DataFrame, order: str = "path") -> DataFrame:
     """Adds label: [place/number of rows], by order. The rows are a batch's files."""
-    w = Window.orderBy(order)
-    return found.withColumn("label", F.format_string("[%d/%d]", F.row_number().over(w), F.count(F.lit(1)).over(Window.partitionBy())))
+    total = F.lit(found.count())
+    out = numbered(found, order, into="_place")
+    return out.withColumn("label", F.format_string("[%d/%d]", "_place", total)).drop("_place")
 
 
 def collections(spark: SparkSession) -> set[str]:

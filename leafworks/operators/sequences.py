@@ -195,14 +195,34 @@ def white_rects(rects: DataFrame, sizes: DataFrame, width: float = 612, height:
     return rects.join(sizes, ["file_id", "page_num"], "left").where(white & (area < 0.05 * page)).select(rects.columns)
 
 
-def covered(df: DataFrame, rects: DataFrame, share: float = 0.85) -> DataFrame:
+def gridded(df: DataFrame, box: tuple[str, str, str, str], cell: int) -> DataFrame:
+    """A row for each cell of a square grid that the box touches: adds _cx, _cy."""
+    at = lambda c: F.floor(F.col(c) / cell)
+    columns = df.withColumn("_cx", F.explode(F.sequence(at(box[0]), at(box[2]))))
+    return columns.withColumn("_cy", F.explode(F.sequence(at(box[1]), at(box[3]))))
+
+
+def overlaps(df: DataFrame, rects: DataFrame, key: list[str], cell: int = 72) -> DataFrame:
+    """(key, area, shared): for each block and rectangle of one page that overlap, the block's area and what they share.
+
+    The join's key is a cell of the page's grid, so that a page of many blocks and rectangles isn't one key. A pair that
+    meets in several cells counts in one: the one that holds the lower left corner of what they share.
+    """
+    page = ["file_id", "page_num"]
+    own = df.where("x1 > x0 AND y1 > y0").select(*page, *key, "x0", "y0", "x1", "y1")
+    other = rects.where("rx1 > rx0 AND ry1 > ry0").select(*page, "rx0", "ry0", "rx1", "ry1")
+    pairs = gridded(own, ("x0", "y0", "x1", "y1"), cell).join(gridded(other, ("rx0", "ry0", "rx1", "ry1"), cell), [*page, "_cx", "_cy"])
+    left, low = F.greatest("x0", "rx0"), F.greatest("y0", "ry0")
+    width, height = F.least("x1", "rx1") - left, F.least("y1", "ry1") - low
+    owner = (F.floor(left / cell) == F.col("_cx")) & (F.floor(low / cell) == F.col("_cy"))
+    return pairs.where((width > 0) & (height > 0) & owner).select(*key, ((F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))).alias("area"), (width * height).alias("shared"))
+
+
+def covered(df: DataFrame, rects: DataFrame, share: float = 0.85, key: tuple[str, ...] = ("doc_id", "seq")) -> DataFrame:
     """df without blocks that one rectangle of their page covers by more than the share of their area; blocks without
-    a box, or an area, stay."""
-    width = F.greatest(F.least("x1", "rx1") - F.greatest("x0", "rx0"), F.lit(0))
-    height = F.greatest(F.least("y1", "ry1") - F.greatest("y0", "ry0"), F.lit(0))
-    area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
-    over = (df["file_id"] == rects["file_id"]) & (df["page_num"] == rects["page_num"]) & (area > 0) & (width * height > share * area)
-    return df.join(rects, over, "left_anti")
+    a box, or an area, stay. key: what names a block."""
+    gone = overlaps(df, rects, [*key]).where(F.col("shared") > share * F.col("area")).select(*key).distinct()
+    return df.join(gone, [*key], "left_anti")
 
 
 def line_zones(lines: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leafworks.functions import text as T
+from leafworks.sources.packed import read_packed, write_packed
+from leafworks.sources.store import entries, opened
 
 DOCUMENT = """document_metadata struct<file_name:string,file_path:string,file_size_mb:double,page_count:int,extracted_at:string,extractor_engine:string>,
 extraction_summary struct<total_blocks:int,content_blocks:int,boilerplate_blocks:int,corrected_blocks:int,table_count:int,image_count:int,total_ner_entities:int>,
@@ -18,36 +20,47 @@ tables array<struct<table_id:string,page_num:int,caption:string,headers:array<st
 
 
 def files(spark: SparkSession, folder: str, pattern: str = "*.pdf") -> DataFrame:
-    """path, modificationTime, length, content of all files below the folder that have bytes, in the order of path."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder).orderBy("path")
+    """path, modificationTime, length, content of all files below the folder that have bytes. Contents aren't sorted: the
+    files' order is that of their path, which registry.progress() numbers."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(folder)
 
 
-def listed(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, length) of all files below the folder, those without bytes too, from the file system's listing; an empty
-    frame if there is none, or no folder."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs, rows = path.getFileSystem(conf), []
-    if fs.exists(path):
-        found = fs.listFiles(path, True)
-        while found.hasNext():
-            f = found.next()
-            rows.append((f.getPath().toString(), f.getLen()))
-    return spark.createDataFrame(rows, "path string, length long").orderBy("path")
+#: Folders that the driver lists at most, level by level, before tasks list what lies below.
+LISTED_FOLDERS = 1000
+
+
+def listed(spark: SparkSession, folder: str, least: int = 64) -> DataFrame:
+    """(path, length) of all files below the folder, those without bytes too; an empty frame if there is none, or no folder.
+
+    The driver goes down level by level until there are `least` folders or none below; it has listed LISTED_FOLDERS at
+    most by then. Tasks list those folders with all that lies below them, so what the driver holds is bounded by one
+    level's entries. The rest of the listing goes from folder to rows in the tasks.
+    """
+    todo, done = [(folder, True)], []
+    while todo and len(todo) < least and len(done) < LISTED_FOLDERS:
+        at, _ = todo.pop(0)
+        done.append((at, False))
+        todo += [(f, True) for f, is_folder, _ in entries(at) if is_folder]
+    parts = spark.createDataFrame(done + todo, "folder string, deep boolean").repartition(max(1, len(done + todo)), "folder")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at, deep in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                rows = [(path, size) for path, is_folder, size in entries(at, deep) if not is_folder]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], names=["path", "length"])
+
+    return parts.mapInArrow(run, "path string, length long")
 
 
 def with_heads(found: DataFrame, chars: int = 5) -> DataFrame:
     """Adds head: each file's first bytes (null where it can't be read), the only ones that are read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.fs as pafs
-
         for b in batches:
             heads = []
             for path in b.column(0).to_pylist():
-                uri = path[len("file:") :] if path.startswith("file:/") and not path.startswith("file://") else path
                 try:
-                    fs, at = pafs.FileSystem.from_uri(uri)
+                    fs, at = opened(path)
                     with fs.open_input_stream(at, compression=None) as f:
                         heads.append(f.read(chars))
                 except OSError:
@@ -79,7 +92,7 @@ def scanned(pages: DataFrame, sample: int = 8, below: float = 150.0) -> DataFram
     turn = (F.col("page_num") - 1 - F.floor(F.col("step") / 2)) % F.col("step") == 0
     first = F.floor((F.col("page_num") - 1) / F.col("step")) < sample
     picked = pages.join(n, "file_id").withColumn("step", step).where(turn & first)
-    return picked.groupBy("file_id").agg((F.coalesce(F.avg(F.length(F.trim("text"))), F.lit(0.0)) < below).alias("scanned"))
+    return picked.groupBy("file_id").agg((F.coalesce(F.avg(F.length(T.strip(F.col("text")))), F.lit(0.0)) < below).alias("scanned"))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -107,13 +120,14 @@ def assembled(df: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def write_chunks(found: DataFrame, path: str) -> None:
-    """Chunk documents (file_id, document) as JSON lines, a folder a file."""
-    found.write.mode("overwrite").partitionBy("file_id").text(path)
+    """Chunk documents (file_id, document), packed: see packed.write_packed()."""
+    write_packed(found.select(F.col("file_id").alias("name"), F.encode("document", "utf-8").alias("content")), path)
 
 
-def read_chunks(spark: SparkSession, path: str) -> DataFrame:
-    """(file_id, chunk_id, text, character_count, page_numbers, block_ids) of the chunk documents below path."""
-    raw = spark.read.schema("document string, file_id string").text(path).withColumnRenamed("value", "document")
+def read_chunks(spark: SparkSession, path: str, *file_ids: str) -> DataFrame:
+    """(file_id, chunk_id, text, character_count, page_numbers, block_ids) of the chunk documents at path, all or those
+    that are named."""
+    raw = read_packed(spark, path, *file_ids).select(F.col("name").alias("file_id"), F.decode("content", "utf-8").alias("document"))
     return exploded_chunks(raw)
 
 
