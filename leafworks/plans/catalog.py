@@ -15,10 +15,13 @@ from leafworks.operators import audit, boilerplate, chunks, entities, registry,
 from leafworks.operators import blocks as B
 from leafworks.plans import planted as plants
 from leafworks.plans.sql import ORACLE_SQL  # noqa: F401
-from leafworks.sources import files, html
+from leafworks.settings import from_environment
+from leafworks.sources import elements, files, html, store, upserts
+from leafworks.streaming import lifecycle
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+SETTINGS = from_environment()
 
 
 def query(f: Query) -> Query:
@@ -64,6 +67,11 @@ def gappy(df: DataFrame) -> DataFrame:
     return df.where("page_num % 7 <> 3")
 
 
+def chunked(df: DataFrame) -> DataFrame:
+    """Chunks by the settings' sizes."""
+    return chunks.chunks(df, SETTINGS.chunk_size, SETTINGS.chunk_overlap)
+
+
 def few_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.numbered(lined_tables(spark, sf_dir))
 
@@ -209,7 +217,7 @@ def highlight_colors(spark, sf_dir):
 @query
 def block_background(spark, sf_dir):
     """Three pixels left of each block's middle, of the colours that its text gives, on images of two pixels a point."""
-    df = B.with_box(lines(spark, sf_dir)).where("seq < 42")
+    df = B.with_box(lines(spark, sf_dir))
     sizes = df.select("file_id", "page_num").distinct().selectExpr("*", "612 AS width", "842 AS height", "1224 AS image_width", "1684 AS image_height")
     px = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("k")
     spots = df.select("file_id", "page_num", "x0", "y0", F.length("text").alias("n"), px)
@@ -367,10 +375,11 @@ def page_dedup(spark, sf_dir):
 
 @query
 def covered_blocks(spark, sf_dir):
+    """White rectangles over every tenth line: those of 200 points hide what is narrow enough, those of 600 are too large."""
     boxed = B.with_box(lines(spark, sf_dir))
     drawn = boxed.where("seq % 5 = 0").select(
         "file_id", "page_num", F.col("x0").alias("rx0"), (F.col("y0") - 20).alias("ry0"),
-        (F.col("x0") + F.when(F.col("seq") % 15 == 0, 600).otherwise(200)).alias("rx1"), (F.col("y1") + F.when(F.col("seq") % 15 == 0, 60).otherwise(-5)).alias("ry1"),
+        (F.col("x0") + F.when(F.col("seq") % 15 == 0, 600).otherwise(200)).alias("rx1"), (F.col("y1") + F.when(F.col("seq") % 15 == 0, 60).otherwise(1)).alias("ry1"),
         *(F.when(F.col("seq") % 10 == 0, 0.95).otherwise(0.9).alias(c) for c in "rgb"),
     )
     sizes = boxed.select("file_id", "page_num").distinct().where("page_num % 2 = 0").selectExpr("*", "595.0D AS width", "842.0D AS height")
@@ -402,30 +411,32 @@ def fenced_answers(spark, sf_dir):
 @query
 def chunk_fold(spark, sf_dir):
     listed = lambda c: F.concat_ws(",", F.transform(c, lambda x: x.cast("string")))
-    return chunks.chunks(lines(spark, sf_dir)).select("doc_id", "chunk_id", "text", "character_count", listed("block_ids").alias("block_ids"), listed("pages").alias("pages"))
+    return chunked(lines(spark, sf_dir)).select("doc_id", "chunk_id", "text", "character_count", listed("block_ids").alias("block_ids"), listed("pages").alias("pages"))
 
 
 @query
 def chunk_documents(spark, sf_dir):
-    """Chunk documents written as JSON and read back."""
-    found = files.exploded_chunks(chunks.documents(chunks.chunks(lines(spark, sf_dir))))
+    """Chunk documents written as JSON into container files and read back."""
+    path = store.shared_folder(spark)
+    files.write_chunks(chunks.documents(chunked(lines(spark, sf_dir))), path)
+    found = files.read_chunks(spark, path)
     listed = lambda c: F.concat_ws(",", F.transform(c, lambda x: x.cast("string")))
     return found.select("file_id", "chunk_id", "text", "character_count", listed("page_numbers").alias("pages"), F.concat_ws(",", "block_ids").alias("block_ids"))
 
 
 @query
 def chunk_stats(spark, sf_dir):
-    return chunks.stats(chunks.chunks(lines(spark, sf_dir)))
+    return chunks.stats(chunked(lines(spark, sf_dir)))
 
 
 @query
 def chunk_totals(spark, sf_dir):
-    return chunks.totals(chunks.chunks(lines(spark, sf_dir)))
+    return chunks.totals(chunked(lines(spark, sf_dir)))
 
 
 @query
 def point_ids(spark, sf_dir):
-    return chunks.chunks(lines(spark, sf_dir)).select("doc_id", "chunk_id", T.uuid5(F.concat_ws(":", F.col("doc_id").cast("string"), "chunk_id")).alias("point_id"))
+    return chunked(lines(spark, sf_dir)).select("doc_id", "chunk_id", T.uuid5(F.concat_ws(":", F.col("doc_id").cast("string"), "chunk_id")).alias("point_id"))
 
 
 @query
@@ -443,10 +454,34 @@ def status_update(spark, sf_dir):
     return registry.changed(old, new, "doc_id")
 
 
+@query
+def upserted_documents(spark, sf_dir):
+    """The documents put into a table of upserts, then those with a label again, in their last form, twice under one number."""
+    docs, path = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.lit(0).alias("version")), store.shared_folder(spark)
+    changed = docs.join(read(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id").select("doc_id", F.concat("text", F.lit("!")).alias("text"), "lang", (F.col("quality") + 1).cast("int").alias("version"))
+    for batch, df in ((0, docs), (1, changed), (1, docs.withColumn("version", F.lit(9)))):
+        upserts.upsert(df, path, batch)
+    return upserts.current(spark, path, "doc_id long, text string, lang string, version int", "doc_id").select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"), "lang", "version")
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("value"))
+
+
 @query
 def latest_status(spark, sf_dir):
-    events = read(spark, sf_dir, "events").select("user_id", "event_id", "event_type", F.when(F.col("event_id") % 3 == 0, F.col("value")).alias("value"))
-    return registry.latest(events, "user_id", "event_id", ["event_type", "value"])
+    return registry.latest(events(spark, sf_dir), "user_id", "event_id", ["event_type", "value"])
+
+
+@query
+def latest_status_stream(spark, sf_dir):
+    """The same rows from a stream of the events out of order, in four files, one a micro-batch."""
+    folder = store.shared_folder(spark)
+    events(spark, sf_dir).repartition(4, F.xxhash64("event_id")).write.parquet(f"{folder}/events")
+    fields = {"event_type": "string", "value": "double"}
+    stream = spark.readStream.schema("user_id long, event_id long, event_type string, value double").option("maxFilesPerTrigger", 1).parquet(f"{folder}/events")
+    lifecycle.followed(lifecycle.lifecycle(stream, "user_id", "event_id", fields), f"{folder}/table", f"{folder}/state").awaitTermination()
+    return upserts.current(spark, f"{folder}/table", "user_id long, event_id long, event_type string, value double, final boolean", "user_id", "event_id").drop("final")
 
 
 def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -458,8 +493,8 @@ def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def upload_intake(spark, sf_dir):
-    found = registry.intake(uploads(spark, sf_dir), ["History", "Anthropology"])
-    path = registry.upload_path("uploads", F.col("classification"), F.col("doc_id").cast("string"))
+    found = registry.intake(uploads(spark, sf_dir), list(SETTINGS.classes))
+    path = registry.upload_path(SETTINGS.upload_folder, F.col("classification"), F.col("doc_id").cast("string"))
     place = registry.collection(F.col("classification"), {"History": "history_chunks", "Anthropology": "anthropology_chunks"})
     return found.select("doc_id", "error", F.when(F.col("error").isNull(), path).alias("path"), place.alias("collection"))
 
@@ -474,7 +509,7 @@ def engine_route(spark, sf_dir):
 
 @query
 def ingest_stats(spark, sf_dir):
-    found = chunks.chunks(lines(spark, sf_dir).where("doc_id % 5 <> 0")).withColumn("file_id", F.col("doc_id").cast("string"))
+    found = chunked(lines(spark, sf_dir).where("doc_id % 5 <> 0")).withColumn("file_id", F.col("doc_id").cast("string"))
     files_ = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("file_id"))
     wet = registry.ingest_stats(files_, found).withColumn("run", F.lit("run"))
     return wet.unionByName(registry.ingest_stats(files_, found, dry_run=True).withColumn("run", F.lit("dry")))
@@ -487,7 +522,7 @@ def failed_files(spark, sf_dir):
 
 @query
 def batch_progress(spark, sf_dir):
-    return registry.progress(lines(spark, sf_dir).select(F.col("file_id").alias("path")).distinct())
+    return registry.progress(read(spark, sf_dir, "documents").select(F.concat_ws("/", "source", F.format_string("%d.pdf", "doc_id")).alias("path")))
 
 
 @query
@@ -542,20 +577,23 @@ def synthesized(text):
 
 @query
 def query_synthesis(spark, sf_dir):
-    found = chunks.chunks(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
+    found = chunked(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
     place = F.format_string("%012d/%s", "doc_id", "chunk_id").alias("c")
     return found.select(synthesized(F.col("text")).alias("query"), place).where("query is not null").groupBy("query").agg(F.min("c").alias("expected"))
 
 
 @query
 def retrieval_report(spark, sf_dir):
-    """(query, rank): the place of each synthesized query's chunk among the ten nearest chunks, 0 if it isn't there."""
-    found = chunks.chunks(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
-    number = (F.col("doc_id") * 100_000 + F.col("chunk_no")).cast("long")
+    """(query, rank): the place of each synthesized query's chunk among the ten nearest chunks, 0 if it isn't there.
+
+    A chunk's number holds its document's in the upper bits and its own in the lower 31.
+    """
+    found = chunked(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
+    number = F.shiftleft(F.col("doc_id"), 31) + F.col("chunk_no")
     own = vectors.embedded(found.select(number.alias("vec_id"), F.lit(0).alias("label"), "text"))
     asked = query_synthesis(spark, sf_dir).withColumn("vec_id", -1 - plants.part("query", 1 << 31))
     parts = F.split("expected", "/chk_")
-    asked = asked.withColumn("target", parts[0].cast("long") * 100_000 + parts[1].cast("long"))
+    asked = asked.withColumn("target", F.shiftleft(parts[0].cast("long"), 31) + parts[1].cast("long"))
     queries = vectors.embedded(asked.withColumn("label", F.lit(0)), "query")
     columns = ["vec_id", "label", F.col("vector").alias("embedding")]
     near = vectors.nearest(queries.select(*columns), own.select(*columns)).select(F.col("query_id").alias("vec_id"), F.col("vec_id").alias("target"), "rank")
@@ -567,6 +605,11 @@ def ner_counts(spark, sf_dir):
     return entities.label_counts(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
 
 
+@query
+def ner_frequencies(spark, sf_dir):
+    return entities.frequencies(entities.with_entities(B.blocks(plants.planted(read(spark, sf_dir, "documents")))))
+
+
 @query
 def ner_spans(spark, sf_dir):
     found = entities.with_entities(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
@@ -675,16 +718,17 @@ def audit_report(spark, sf_dir):
 @query
 def batch_checks(spark, sf_dir):
     found, df, _ = audited(spark, sf_dir)
-    counts = chunks.chunks(lines(spark, sf_dir)).groupBy("file_id").agg(F.count("*").alias("chunk_count")).where(plants.part("file_id", 4) != 0)
+    counts = chunked(lines(spark, sf_dir)).groupBy("file_id").agg(F.count("*").alias("chunk_count")).where(plants.part("file_id", 4) != 0)
     return audit.batch_checks(found, df, counts)
 
 
 @query
 def scan_type(spark, sf_dir):
-    """Pages of whole documents; in every third file the pages hold a watermark alone."""
+    """Pages of whole documents; in every third file the pages hold a watermark alone, in every other third newlines."""
     place = B.blocks(read(spark, sf_dir, "documents").withColumn("text", F.lit("")))
     d = place.drop("text", "seq").join(read(spark, sf_dir, "documents").select("doc_id", "lang", "text"), "doc_id")
-    text = F.when(plants.part("file_id", 3) == 0, F.col("lang")).otherwise(F.coalesce("text", F.lit("")))
+    text = F.when(plants.part("file_id", 3) == 0, F.col("lang")).when(plants.part("file_id", 3) == 1, F.repeat(F.lit("\n"), F.lit(200)))
+    text = text.otherwise(F.coalesce("text", F.lit("")))
     return files.scanned(d.groupBy("file_id", "page_num").agg(F.array_join(F.array_sort(F.collect_list(text)), " ").alias("text")))
 
 
@@ -702,6 +746,12 @@ def html_blocks(spark, sf_dir):
     return html.html_blocks(read(spark, sf_dir, "pages"))
 
 
+@query
+def html_elements(spark, sf_dir):
+    """The blocks of web pages through the data source."""
+    return elements.read_elements(spark, f"{sf_dir}/pages.parquet")
+
+
 @query
 def json_blocks(spark, sf_dir):
     """Whole documents as a model's answers: an array of their lines, or one object for a document of one line."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from leafworks.functions import patterns as P
 from leafworks.plans.planted import PLANTS
-from leafworks.sources.html import BLOCK_TAG
+from leafworks.sources.html import BLOCK_TAG, SPACE_TAG
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -197,7 +197,7 @@ ORACLE_SQL |= {
       WHEN r > 200 AND g > 180 AND b < 150 AND r - b > 60 THEN 'yellow_callout' WHEN b > 180 AND b - r > 30
       AND b - g > 20 THEN 'blue_callout' END AS highlight
       FROM (SELECT doc_id, doc_id % 10 * 28 + 3 AS r, doc_id // 10 % 10 * 28 + 3 AS g, doc_id // 100 % 10 * 28 + 3 AS b FROM documents)""",
-    "block_background": f"""WITH {BOXED}, few AS (SELECT * FROM boxed WHERE seq < 42), spots AS (SELECT file_id, page_num, x0 * 2 - 5 - k AS x,
+    "block_background": f"""WITH {BOXED}, few AS (SELECT * FROM boxed), spots AS (SELECT file_id, page_num, x0 * 2 - 5 - k AS x,
       1684 - (y0 + 6) * 2 AS y, (length(text) * 7 + k * 40) % 256 AS r,
         (length(text) * 11 + k * 40) % 256 AS g, (length(text) * 13 + k * 40) % 256 AS b FROM few, range(3) t(k)),
       c AS (SELECT f.doc_id, f.seq, CAST(floor(median(s.r)) AS INTEGER) AS r, CAST(floor(median(s.g)) AS INTEGER) AS g,
@@ -287,8 +287,8 @@ ORACLE_SQL |= {
       WHEN 'History' THEN 'history_chunks' WHEN 'Anthropology' THEN 'anthropology_chunks' END AS collection FROM e""",
     "registry_response": """SELECT event_id AS document_id, event_type AS status, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS created_at, strftime(ts,
       '%Y-%m-%dT%H:%M:%S') AS updated_at FROM events""",
-    "batch_progress": f"""WITH {LINES} SELECT file_id AS path, format('[{{}}/{{}}]', row_number() OVER (ORDER BY file_id), count(*) OVER ()) AS label
-      FROM (SELECT DISTINCT file_id FROM lines)""",
+    "batch_progress": """SELECT path, format('[{}/{}]', row_number() OVER (ORDER BY path), count(*) OVER ()) AS label
+      FROM (SELECT source || '/' || doc_id || '.pdf' AS path FROM documents)""",
     "status_funnel": """SELECT CASE WHEN quality IS NULL THEN 'registered' WHEN quality = 0 THEN 'failed' WHEN toxic = 1 THEN 'extracted'
       ELSE 'ingested' END AS status, count(*) AS n
       FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1""",
@@ -296,7 +296,8 @@ ORACLE_SQL |= {
       FROM pages),
       p AS (SELECT page_id, CAST(generate_subscripts(a, 1) - 1 AS INTEGER) AS seq, unnest(a) AS part FROM m),
       t AS (SELECT page_id, seq, lower(regexp_extract(part, '^([A-Za-z0-9]+)\\x02', 1)) AS tag,
-      trim(regexp_replace(regexp_replace(regexp_replace(part, '^[^\\x02]*\\x02', ''), '<[^<>]*>', '', 'g'), '[ \\t\\r\\n]+', ' ', 'g')) AS text
+      trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(part, '^[^\\x02]*\\x02', ''), {q(SPACE_TAG)}, ' ', 'g'), '<[^<>]*>', '', 'g'),
+      '[ \\t\\r\\n]+', ' ', 'g')) AS text
       FROM p)
       SELECT page_id, seq, CASE tag WHEN 'h1' THEN 'heading' WHEN 'p' THEN 'paragraph' WHEN 'li' THEN 'list_item' WHEN 'nav' THEN 'header'
       WHEN 'footer' THEN 'footer' END AS type, text
@@ -336,7 +337,7 @@ ORACLE_SQL |= {
       AND len(list_intersect(a.w, b.w)) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))) >= CASE
       WHEN {' OR '.join(f"contains(a.low, {q(w)})" for w in P.SAME_TOPIC_WORDS)} THEN 0.5 ELSE 0.8 END)""",
     "covered_blocks": f"""WITH {BOXED}, d AS (SELECT file_id, page_num, x0 AS a0, y0 - 20 AS b0, x0 + CASE WHEN seq % 15 = 0 THEN 600
-      ELSE 200 END AS a1, y1 + CASE WHEN seq % 15 = 0 THEN 60 ELSE -5 END AS b1 FROM boxed WHERE seq % 10 = 0),
+      ELSE 200 END AS a1, y1 + CASE WHEN seq % 15 = 0 THEN 60 ELSE 1 END AS b1 FROM boxed WHERE seq % 10 = 0),
       r AS (SELECT * FROM d WHERE (a1 - a0) * (b1 - b0) < 0.05 * CASE WHEN page_num % 2 = 0 THEN 595 ELSE 612 END * 842)
       SELECT doc_id, seq FROM boxed b WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.file_id = b.file_id AND r.page_num = b.page_num
       AND greatest(least(b.x1, a1) - greatest(b.x0, a0), 0) * greatest(least(b.y1, b1) - greatest(b.y0, b0),
@@ -484,11 +485,11 @@ EVALUATED = f"""{AUDITED}, {COVERED.replace('FRAME', 'kept')}, counts AS (SELECT
     1 AS high, 0 AS medium, 0 AS low, 0.0::DOUBLE AS score FROM files WHERE NOT there),
   rated AS (SELECT *, rating IN ('Excellent', 'Good') AS ready FROM (SELECT *, CASE WHEN score >= 90 THEN 'Excellent' WHEN score >= 75 THEN 'Good'
       WHEN score >= 55 THEN 'Fair' ELSE 'Poor' END AS rating FROM scored))"""
-SCANNED = f"""p AS (SELECT file_id, page_num, string_agg(CASE WHEN {PART('file_id', 3)} = 0 THEN lang ELSE text END, ' ') AS text FROM
+SCANNED = f"""p AS (SELECT file_id, page_num, string_agg(CASE {PART('file_id', 3)} WHEN 0 THEN lang WHEN 1 THEN repeat(chr(10), 200) ELSE text END, ' ') AS text FROM
     (SELECT concat(source, '-', doc_id // 2000) AS file_id, CAST(doc_id % 2000 // 20 + 1 AS INTEGER) AS page_num, lang, coalesce(text, '') AS text
       FROM documents) GROUP BY 1, 2),
   n AS (SELECT *, greatest(max(page_num) OVER (PARTITION BY file_id) // 8, 1) AS step FROM p),
-  scans AS (SELECT file_id, avg(length(trim(text))) < 150 AS scanned FROM n WHERE (page_num - 1 - step // 2) % step = 0 AND (page_num - 1) // step < 8
+  scans AS (SELECT file_id, avg(length({strip('text')})) < 150 AS scanned FROM n WHERE (page_num - 1 - step // 2) % step = 0 AND (page_num - 1) // step < 8
       GROUP BY 1)"""
 INGESTED = f"""{CHUNKS}, c AS (SELECT doc_id, count(*) AS n FROM chunks WHERE doc_id % 5 <> 0 GROUP BY 1), f AS
       (SELECT CAST(d.doc_id AS VARCHAR) AS file_id, coalesce(c.n, 0) AS chunks FROM documents d LEFT JOIN c USING (doc_id)),
@@ -514,7 +515,7 @@ ORACLE_SQL |= {
     "query_synthesis": f"""WITH {chunked(PLANTED)} SELECT query, min(c) AS expected FROM (SELECT CASE {RULES} END AS query, format('{{:012d}}/{{}}',
       doc_id, chunk_id) AS c FROM chunks) WHERE query IS NOT NULL GROUP BY 1""",
     "retrieval_report": f"""WITH {chunked(PLANTED)},
-      own AS (SELECT doc_id * 100000 + CAST(substr(chunk_id, 5) AS BIGINT) AS vec_id, format('{{:012d}}/{{}}', doc_id, chunk_id) AS c, text FROM chunks),
+      own AS (SELECT doc_id * 2147483648 + CAST(substr(chunk_id, 5) AS BIGINT) AS vec_id, format('{{:012d}}/{{}}', doc_id, chunk_id) AS c, text FROM chunks),
       asked AS (SELECT query, min(c) AS c FROM (SELECT CASE {RULES} END AS query, c FROM own) WHERE query IS NOT NULL GROUP BY 1),
       bags AS (SELECT k, place, count(*) AS n FROM (SELECT k, {PART('w', 64)} AS place FROM (SELECT k, unnest(string_split_regex(lower(t), '[\\x20\\x09-\\x0D]+')) AS w
         FROM (SELECT c AS k, text AS t FROM own UNION ALL SELECT query, query FROM asked)) WHERE w <> '') GROUP BY 1, 2),
@@ -602,3 +603,9 @@ ORACLE_SQL |= {
     "document_json": f"""WITH {PASSES} SELECT file_id || '.pdf' AS file_name,
       count(*) FILTER (NOT is_boilerplate) OVER (PARTITION BY file_id) AS content_blocks, doc_id, seq, type, text, is_boilerplate FROM done""",
 }
+ORACLE_SQL |= {
+    "html_elements": ORACLE_SQL["html_blocks"],
+    "latest_status_stream": ORACLE_SQL["latest_status"],
+    "upserted_documents": """SELECT d.doc_id, md5(CASE WHEN l.doc_id IS NULL THEN coalesce(text, '') ELSE coalesce(text || '!', '') END) AS text_md5, lang,
+      CASE WHEN l.doc_id IS NULL THEN 0 ELSE CAST(quality + 1 AS INTEGER) END AS version FROM documents d LEFT JOIN labels l USING (doc_id)""",
+}

@@ -265,7 +265,7 @@ def test_covering_rectangles(spark):
 def test_html_keeps_text_inside_inner_tags(spark):
     html_text = '<nav><ul><li><a href="/x">one</a></li></ul></nav><p class="c">a <b>b</b> c<br>d <P>next</p> loose<h1>T</h1><footer>end</footer><pre>no</pre>'
     found = html.html_blocks(spark.createDataFrame([(1, html_text), (2, None), (3, "")], "page_id long, html string")).orderBy("seq").collect()
-    assert [(r.type, r.text) for r in found] == [("list_item", "one"), ("paragraph", "a b cd"), ("paragraph", "next"), ("heading", "T"), ("footer", "end")]
+    assert [(r.type, r.text) for r in found] == [("list_item", "one"), ("paragraph", "a b c d"), ("paragraph", "next"), ("heading", "T"), ("footer", "end")]
 
 
 def test_fences(spark):
@@ -398,7 +398,7 @@ def test_files(spark, tmp_path):
     found = {re.sub(".*/", "", r.path): r.errors for r in files.validated(files.with_heads(listed)).collect()}
     assert found == {"a.pdf": [], "b.pdf": ["header"], "c.pdf": ["empty"], "d.txt": ["extension"]}
     assert files.listed(spark, f"file://{tmp_path}/nothing").count() == 0
-    assert [re.sub(".*/", "", r.path) for r in files.files(spark, f"file://{tmp_path}/in").collect()] == ["a.pdf", "b.pdf"]
+    assert [re.sub(".*/", "", r.path) for r in files.files(spark, f"file://{tmp_path}/in").orderBy("path").collect()] == ["a.pdf", "b.pdf"]
     rows = spark.createDataFrame([("x.txt", 0, b"", None), ("y.pdf", 2 << 27, b"%PDF-", 3), ("z.pdf", 9, b"%PDF-", 0), ("zz.pdf", 9, None, None)], "path string, length long, head binary, page_count int")
     assert [r.errors for r in files.validated(rows).orderBy("path").collect()] == [["empty"], ["size"], ["no_pages"], ["unreadable"]]
 
