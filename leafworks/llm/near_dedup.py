@@ -41,6 +41,8 @@ BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
 #: 64-bit words of parity bits that a set gets for the exact join.
 PARITY_WORDS = 16
+#: Members that a hub's text is sent to at a time, on average.
+MEMBERS = 256
 #: Odd multiplier of the rolling sums, its inverse, and multipliers that mix hashes (fixed values).
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -155,14 +157,16 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     out[bins[first]] = shingles[first]
     empty = np.flatnonzero(~full)
     if len(empty):
-        # The first attempt at which a full bin is looked at.
-        tried = 64
-        hits = full[_LOOK[:tried, empty]]
-        if not hits.any(axis=0).all():
-            tried = len(_LOOK)
-            hits = full[_LOOK[:tried, empty]]
-        at = hits.argmax(axis=0)
-        source = np.where(hits.any(axis=0), _LOOK[at, empty], bins[0])
+        # The first attempt at which a full bin is looked at; attempts go on for the bins that are still empty.
+        at, source, left, tried = np.zeros(len(empty), np.int64), np.full(len(empty), bins[0]), np.arange(len(empty)), 0
+        step = max(8, BINS // len(first))
+        while len(left) and tried < len(_LOOK):
+            look = _LOOK[tried : tried + step, empty[left]]
+            hits = full[look]
+            k = hits.argmax(axis=0)
+            hit = hits[k, np.arange(len(left))]
+            at[left[hit]], source[left[hit]] = tried + k[hit], look[k[hit], np.flatnonzero(hit)]
+            left, tried = left[~hit], tried + step
         out[empty] = mixed(out[source] + (at.astype(np.uint64) + np.uint64(1)) * np.uint64(BASE))
     return out
 
@@ -223,7 +227,11 @@ def star_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 def confirmed(pairs: DataFrame, held: DataFrame, percent: int, words: int) -> DataFrame:
     """(hub, member) of the pairs whose full sets are similar enough. held: (node, v), one row a node; v is a text,
-    or the sorted array of its shingles."""
+    or the sorted array of its shingles.
+
+    A hub's members are dealt in blocks of MEMBERS on average, and its own v goes once to each block, so a hub of very
+    many members is neither copied to all of them nor one task's.
+    """
     texts = held.schema["v"].dataType.simpleString() == "string"
 
     def sets_of(column: pa.Array) -> list[np.ndarray]:
@@ -232,19 +240,29 @@ def confirmed(pairs: DataFrame, held: DataFrame, percent: int, words: int) -> Da
         return [v.values.to_numpy() for v in column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, one = None, None  # a block's hub comes before its members, which may go on in the next batch
         for b in batches:
-            hubs, members = b.column(0).to_numpy(), b.column(1).to_numpy()
-            keep, last, one = np.zeros(len(hubs), bool), None, None
-            for i, (h, other) in enumerate(zip(hubs, sets_of(b.column(3)), strict=True)):
+            hubs, members = b.column(0).to_pylist(), b.column(3).to_pylist()
+            keep = []
+            for i, (h, member, own) in enumerate(zip(hubs, members, sets_of(b.column(4)), strict=True)):
+                if member is None:
+                    last, one = h, own
+                    continue
                 if h != last:
-                    last, one = h, sets_of(b.column(2).slice(i, 1))[0]
-                both = np.intersect1d(one, other, assume_unique=True).size
-                keep[i] = 100 * both >= percent * (len(one) + len(other) - both)
-            yield pa.RecordBatch.from_arrays([pa.array(hubs[keep]), pa.array(members[keep])], names=["hub", "member"])
-
-    with_member = pairs.select("hub", "member").join(held.select(F.col("node").alias("member"), F.col("v").alias("mv")), "member")
-    with_both = with_member.join(held.select(F.col("node").alias("hub"), F.col("v").alias("hv")), "hub")
-    return with_both.select("hub", "member", "hv", "mv").mapInArrow(run, "hub long, member long")
+                    raise ValueError(f"members of {h} without their hub")
+                both = np.intersect1d(one, own, assume_unique=True).size
+                if 100 * both >= percent * (len(one) + len(own) - both):
+                    keep.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array([hubs[i] for i in keep], pa.int64()), pa.array([members[i] for i in keep], pa.int64())], names=["hub", "member"])
+
+    n = pairs.groupBy("hub").agg(F.ceil(F.count("*") / MEMBERS).cast("long").alias("blocks"))
+    block = F.pmod(F.xxhash64("member"), F.col("blocks")).cast("int").alias("block")
+    dealt = pairs.select("hub", "member").join(n, "hub").select("hub", block, F.lit(1).alias("side"), "member")
+    held = held.select("node", "v")
+    members = dealt.join(held, F.col("member") == F.col("node")).drop("node")
+    hubs = n.select("hub", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("block")).join(held, F.col("hub") == F.col("node"))
+    hubs = hubs.select("hub", "block", F.lit(0).alias("side"), F.lit(None).cast("long").alias("member"), "v")
+    return members.unionByName(hubs).repartition("hub", "block").sortWithinPartitions("hub", "block", "side").mapInArrow(run, "hub long, member long")
 
 
 def open_nodes(members: DataFrame, joined: DataFrame) -> DataFrame:
@@ -342,14 +360,14 @@ def linked(reps: DataFrame, sketched: DataFrame, percent: int, words: int) -> Da
     pairs = written(star_pairs(members, percent))
     ends = members.select("node").distinct().join(reps.select("node", "row"), "node")
     held = written(sketched.select("row", F.col("t").alias("v")).join(ends, "row").select("node", "v"))
-    best = pairs.groupBy("member").agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("hub")).select("hub", "member")
+    best = written(pairs.groupBy("member").agg(F.max_by("hub", F.struct("shared", -F.col("hub"))).alias("hub")).select("hub", "member"))
     links = written(confirmed(best, held, percent, words))
     joined = written(components(links))
     rest = pairs.join(best, ["hub", "member"], "left_anti")
     for end in ("hub", "member"):
         rest = rest.join(joined.select(F.col("node").alias(end), F.col("component").alias(f"{end}_of")), end, "left")
     rest = written(rest.where(F.coalesce("hub_of", "hub") != F.coalesce("member_of", "member")).select("hub", "member"))
-    discard(pairs, joined)
+    discard(pairs, best, joined)
     both = written(links.unionByName(confirmed(rest, held, percent, words)))
     discard(links, rest)
     nodes = open_nodes(members, components(both))
