@@ -9,7 +9,9 @@
 2. Only suspected repeats (keys in the merged twice-filter) are shuffled: as 128-bit hashes with their document,
    counted exactly and given the document that keeps them. Counting combines in each task first. Lines of very
    many rows, of which there can only be a few, are joined apart from the others.
-3. The lines to drop are gathered by document and joined to the documents, which are rewritten.
+3. The lines to drop are gathered by document. A third filter, of the documents that lose lines, goes to the scan:
+   documents that it doesn't name are handed on where they are read, only the others move to meet their lines and are
+   rewritten.
 
 The filters are sized by the number of lines, BITS_PER_LINE bits each, so that few keys of one document get
 through; MAX_BITS bounds what is broadcast (128 MB). Beyond about 60 million lines (some 40 GB of text) they fill up and let more lines
@@ -19,16 +21,16 @@ through to the exact count; they never change the result.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leafworks.llm.shared import BLANK_CHARS, free, small_batches, text_or_empty, written
+from leafworks.llm.shared import BLANK_CHARS, discard, free, small_batches, text_or_empty, written
 
 MIN_BITS, MAX_BITS, BITS_PER_LINE = 1 << 21, 1 << 30, 16
 SEGMENT_BITS = 1 << 21
@@ -154,6 +156,37 @@ def whole_filter(found: dict[int, bytes], bits: int) -> np.ndarray:
     return out
 
 
+def member_filter(keys: DataFrame) -> tuple[dict[int, bytes], int]:
+    """A filter of the keys (a, b: two hashes) that names all of them and few others, and its size; keys are distinct."""
+    n = keys.count()
+    bits = min(MAX_BITS, max(MIN_BITS, 1 << (BITS_PER_LINE * n - 1).bit_length()))
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            pairs = np.stack([b.column(c).to_numpy().view(np.uint64) for c in range(2)], axis=1)
+            for s, once, twice in segments([p.tobytes() for p in pairs], bits):
+                yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([once]), pa.array([twice])], names=["segment", "once", "twice"])
+
+    shape = "segment int, once binary, twice binary"
+    parts = keys.select("a", "b").mapInArrow(build, shape)
+    whole = parts.repartition(max(1, bits // SEGMENT_BITS), "segment").sortWithinPartitions("segment").mapInPandas(merged, shape)
+    return {r.segment: bytes(r.once) for r in whole.select("segment", "once").collect()}, bits  # MAX_BITS / 8 bytes at most
+
+
+def named_by(docs: DataFrame, found: dict[int, bytes], bits: int) -> Callable[[Column, Column], Column]:
+    """Whether the filter names a row, by its key's two hashes, which alone go to Python."""
+    shared = docs.sparkSession.sparkContext.broadcast(found)
+
+    @F.arrow_udf("boolean")
+    def named(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        whole = whole_filter(shared.value, bits)
+        for a, b in parts:
+            pairs = np.stack([x.to_numpy().view(np.uint64) for x in (a, b)], axis=1)
+            yield pa.array(has(whole, positions(pairs, bits)) if len(pairs) else np.zeros(0, bool))
+
+    return named
+
+
 def hot_apart(found: DataFrame, repeated: DataFrame, total: int) -> DataFrame:
     """found joined with repeated by line: the few lines of very many rows against a broadcast list."""
     hot = repeated.where(F.col("n") >= max(1000, int(total * HOT_SHARE)))
@@ -194,11 +227,15 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_cha
     found = written(texts.mapInArrow(suspects, f"id {kind}, h long, line binary"))
     repeated = found.groupBy("line").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
     lost = hot_apart(found, repeated, found.count()).where(~F.col("id").eqNullSafe(F.col("keeper")))
-    lost = lost.groupBy("id", "h").agg(F.collect_set("line").alias("lines"))
+    lost = written(lost.groupBy("id", "h").agg(F.collect_set("line").alias("lines")))
+    discard(found)
+    row_key = lambda i, h: (F.xxhash64(i, h), F.xxhash64(h, i, F.lit(1)))
+    a, b = row_key("id", "h")
+    named = named_by(docs, *member_filter(lost.select(a.alias("a"), b.alias("b"))))(*row_key(F.col(key), F.xxhash64(text_or_empty(text))))
     own_id, own_hash, own_lines = free("_id", docs), free("_h", docs), free("_lines", docs)
     lost = lost.withColumnsRenamed({"id": own_id, "h": own_hash, "lines": own_lines})
     same = F.col(key).eqNullSafe(F.col(own_id)) & (F.xxhash64(text_or_empty(text)) == F.col(own_hash))
-    joined = docs.join(lost, same, "left").drop(own_id, own_hash)
+    joined = docs.where(named).join(lost, same, "left").drop(own_id, own_hash)
     at = joined.columns.index(text)
     schema = docs.select("*", F.lit(0).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped")).schema
 
@@ -219,4 +256,7 @@ def line_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", min_cha
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=[*b.schema.names[:-1], "n_lines", "n_dropped"])
 
-    return joined.mapInArrow(rewrite, schema)
+    whole = text_or_empty(text)
+    breaks = (F.length(whole) - F.length(F.replace(whole, F.lit("\n"), F.lit("")))).cast("long")
+    rest = docs.where(~named).withColumns({text: whole, "n_lines": breaks + 1, "n_dropped": F.lit(0).cast("long")})
+    return rest.unionByName(joined.mapInArrow(rewrite, schema))
