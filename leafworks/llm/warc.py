@@ -3,8 +3,9 @@
 1. Headers only (digest, size, id) are shuffled by payload digest; each digest's smallest id becomes the response,
    the others revisit it. The minimum is combined in each task first, so a digest that a third of all pages
    share moves a row a task.
-2. Revisit decisions are joined to the pages, and each task writes archives with fresh headers into the shared
-   folder: responses with payload, revisits without. A file is written under a name of its own attempt, and only
+2. Revisits are written from their headers, and responses where their payload is read: filters tell the scan which
+   pages are revisits (see resolved()), so payloads don't move. Each task writes archives with fresh headers into the
+   shared folder: responses with payload, revisits without. A file is written under a name of its own attempt, and only
    the files that the manifest lists count, so a task that is lost and run again leaves nothing double.
 3. Reading parses the files record by record (each is a gzip member of its own), and joins revisit records to
    the originals they refer to.
@@ -24,6 +25,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from leafworks.llm.line_dedup import member_filter, named_by
 from leafworks.llm.shared import scratch, small_batches, written
 
 #: Bytes of compressed records after which a task begins the next file.
@@ -62,12 +64,12 @@ def from_line(value: bytes) -> str:
     return unquote(value.decode(), errors="strict")
 
 
-def record(page_id: int | None, uri: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
+def record(page_id: int | None, uri: str | None, payload: bytes, refers_to: int | None, revisit: bool, sha1: bytes | None = None) -> bytes:
     head = [
         (b"WARC-Type", b"revisit" if revisit else b"response"),
         (b"WARC-Record-ID", record_id(page_id)),
         (b"WARC-Date", b"1970-01-01T00:00:00Z"),
-        (b"WARC-Payload-Digest", b"sha1:" + digest(payload).encode()),
+        (b"WARC-Payload-Digest", b"sha1:" + (base64.b32encode(sha1) if sha1 else digest(payload).encode())),
     ]
     if page_id is not None:
         head.append((b"WARC-Page-ID", b"%d" % page_id))
@@ -96,19 +98,36 @@ def parsed(stream: io.BufferedIOBase) -> Iterator[tuple[dict[bytes, bytes], byte
 
 
 def resolved(pages: DataFrame, min_bytes: int = 0, key: str = "page_id", html: str = "html") -> DataFrame:
-    """(page_id, uri, html, refers_to, revisit) of each page: which one is a response and which revisits it."""
+    """(page_id, uri, html, sha1, refers_to, revisit) of each page: which one is a response and which revisits it. Only
+    responses have an html, only revisits a sha1.
+
+    Headers are written once, without payloads: ids, addresses, digests and sizes. Digests meet there, so revisits are
+    known and come from their headers alone. A filter of the revisits goes to the scan of the pages: what it doesn't
+    name is a response and stays where it is read. Of the few that it names by chance a second filter is made, and only
+    pages that both name move, to be told from revisits by their key.
+    """
     uri = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
     pages = pages.select(F.col(key).cast("long").alias("page_id"), uri.alias("uri"), F.coalesce(F.col(html), F.lit("")).alias("html"))
+    pages = pages.withColumn("h", F.xxhash64("html"))
     size = F.octet_length("html")
-    keyed = pages.withColumn("sha1", F.when(size >= min_bytes, F.unhex(F.sha1("html"))))
-    headers = keyed.where(size >= min_bytes).select("page_id", "sha1", size.alias("size"))
+    headers = written(pages.select("page_id", "uri", "h", F.when(size >= min_bytes, F.unhex(F.sha1("html"))).alias("sha1"), size.alias("size")))
     # A null id comes after all others.
-    first = headers.groupBy("sha1", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    revisits = headers.join(first, ["sha1", "size"]).where(~F.col("page_id").eqNullSafe(F.col("first")))
-    revisits = revisits.groupBy("page_id", "sha1").agg(F.first("first").alias("first")).withColumnsRenamed({"page_id": "_id", "sha1": "_sha1"})
-    # By id and digest: rows that repeat an id with another payload are told apart.
-    joined = keyed.join(revisits, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("sha1") == F.col("_sha1")), "left")
-    return joined.select("page_id", "uri", "html", F.col("first").alias("refers_to"), F.col("_sha1").isNotNull().alias("revisit"))
+    same = headers.where("sha1 IS NOT NULL")
+    first = same.groupBy("sha1", "size").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    revisits = same.join(first, ["sha1", "size"]).where(~F.col("page_id").eqNullSafe(F.col("first")))
+    revisits = written(revisits.select("page_id", "uri", "h", "sha1", F.col("first").alias("refers_to")))
+    # By id and a hash of the payload: rows that repeat an id with another payload are told apart.
+    a, b = F.xxhash64("page_id", "h"), F.xxhash64("h", "page_id", F.lit(1))
+    keys = revisits.select("page_id", "h", a.alias("a"), b.alias("b")).distinct()
+    one = named_by(pages, *member_filter(keys))(a, b)
+    by_chance = written(headers.where(one).select("page_id", "h", a.alias("a"), b.alias("b")).distinct().join(keys.select("a", "b"), ["a", "b"], "left_anti"))
+    two = named_by(pages, *member_filter(by_chance))(a, b)
+    moved = pages.where(one).where(two).withColumns({"a": a, "b": b}).join(by_chance.select("a", "b"), ["a", "b"], "left_semi")
+    sure = pages.where(~one).unionByName(moved.drop("a", "b"))
+    none = {"sha1": F.lit(None).cast("binary"), "refers_to": F.lit(None).cast("long"), "revisit": F.lit(False)}
+    columns = ["page_id", "uri", "html", "sha1", "refers_to", "revisit"]
+    found = revisits.withColumns({"html": F.lit(None).cast("string"), "revisit": F.lit(True)})
+    return sure.withColumns(none).select(*columns).unionByName(found.select(*columns))
 
 
 def write_archives(pages: DataFrame, min_bytes: int = 0, key: str = "page_id", html: str = "html", level: int = 3) -> DataFrame:
@@ -127,12 +146,12 @@ def write_archives(pages: DataFrame, min_bytes: int = 0, key: str = "page_id", h
         fs, base = opened(folder)
         out, name, n, size, done = None, "", 0, 0, []
         for b in batches:
-            for page_id, uri, text, refers_to, revisit in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for page_id, uri, text, sha1, refers_to, revisit in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if out is None:
                     fs.create_dir(base, recursive=True)
                     name, n, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
                     out = fs.open_output_stream(f"{base}/{name}", compression=None)
-                data = gzip.compress(record(page_id, uri, text.encode(), refers_to, revisit), level, mtime=0)
+                data = gzip.compress(record(page_id, uri, (text or "").encode(), refers_to, revisit, sha1), level, mtime=0)
                 out.write(data)
                 n, size = n + 1, size + len(data)
                 if size >= FILE_BYTES:
