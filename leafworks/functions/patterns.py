@@ -207,6 +207,9 @@ QUERY_RULES = [
     (("any", ["Vedic, Epic and Puranic culture"]), "Overview of Vedic, Epic and Puranic culture of India"),
 ]
 
+# The questions that are asked where no chunk gives one, of the first and the second chunk.
+DEFAULT_QUERIES = ["Where was the Indus Valley Civilization located?", "What is the scientific study of human cultures and biology?"]
+
 
 def any_of(patterns: list[str]) -> str:
     """One pattern that matches where any of the given ones does."""

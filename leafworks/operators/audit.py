@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafworks.functions import patterns as P
 from leafworks.functions import text as T
 from leafworks.operators import blocks as B
 from leafworks.operators import sequences
+from leafworks.operators.registry import numbered
+from leafworks.sources.store import written
 
+RATINGS = ["Excellent", "Good", "Fair", "Poor"]
 RULES = ["valid_json", "has_metadata", "has_blocks", "pages_valid", "types_valid", "texts_filled", "tagged", "tables_valid", "has_entities"]
 
 
@@ -60,6 +65,7 @@ def evaluated(files: DataFrame, df: DataFrame, tables: DataFrame) -> DataFrame:
     files: file_id, there, expected (pages), corrupt, file_name, extracted_at. df: blocks with boxes, type,
     is_boilerplate, was_corrected, entities. tables: file_id, page_num, table_id, rows.
     """
+    df, tables = written(df), written(tables)  # six questions are asked of them: what they come from runs once
     found = files.where("there")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
     bad, text = F.coalesce("is_boilerplate", F.lit(False)), F.coalesce("text", F.lit(""))
@@ -83,12 +89,19 @@ def evaluated(files: DataFrame, df: DataFrame, tables: DataFrame) -> DataFrame:
     high = issue(F.col("missing_pages") != "") + issue((F.col("content_blocks") == 0) & (F.col("expected") > 0))
     medium = issue(F.col("ocr_errors") > 0) + issue(F.col("duplicates") > 0)
     low = issue(F.col("unmerged") > 0) + issue(F.col("placeholder_boxes") > 0)
-    out = out.withColumns({"high": high, "medium": medium, "low": low})
+    named = {
+        "Completeness (High)": F.col("missing_pages") != "", "Continuity (Low)": F.col("unmerged") > 0, "OCR Errors (Medium)": F.col("ocr_errors") > 0,
+        "Duplicate Content (Medium)": F.col("duplicates") > 0, "Data Integrity (Low)": F.col("placeholder_boxes") > 0,
+        "Readability (High)": (F.col("content_blocks") == 0) & (F.col("expected") > 0),
+    }
+    issues = F.concat_ws(", ", *(F.when(c, n) for n, c in named.items()))
+    out = out.withColumns({"high": high, "medium": medium, "low": low, "issues": issues})
     out = out.withColumn("score", confidence(F.col("coverage_pct"), F.col("passed"), F.col("high"), F.col("medium"), F.col("low")))
     out = out.drop("expected", "missing_pages")
     lost = files.where("NOT there").select("file_id")
     kinds = dict(out.dtypes)
-    lost = lost.select("file_id", *(F.lit(1 if n == "high" else 0).cast(kinds[n]).alias(n) for n in out.columns if n != "file_id"))
+    empty = {"high": 1, "issues": "Completeness (High)"}
+    lost = lost.select("file_id", *(F.lit(empty.get(n, 0)).cast(kinds[n]).alias(n) for n in out.columns if n != "file_id"))
     both = out.unionByName(lost).withColumn("rating", rating(F.col("score")))
     return both.withColumn("ready", F.col("rating").isin("Excellent", "Good"))
 
@@ -96,7 +109,7 @@ def evaluated(files: DataFrame, df: DataFrame, tables: DataFrame) -> DataFrame:
 def ratings(found: DataFrame, by: Column) -> DataFrame:
     """Counts by rating, mean score and coverage, sums and readiness per folder, with a TOTAL row. by: a file's folder."""
     rolled = found.withColumn("folder", by).rollup("folder").agg(
-        F.count("*").alias("documents"), *(F.count_if(F.col("rating") == r).alias(r.lower()) for r in ("Excellent", "Good", "Fair", "Poor")),
+        F.count("*").alias("documents"), *(F.count_if(F.col("rating") == r).alias(r.lower()) for r in RATINGS),
         F.count_if("ready").alias("ready"), T.half_even(F.avg(F.col("score").cast("decimal(12,1)")), 1).alias("mean_score"),
         T.half_even(F.avg(F.col("coverage_pct").cast("decimal(12,2)")), 1).alias("mean_coverage"),
         *(F.sum(n).alias(n) for n in ("total_blocks", "content_blocks", "corrected_blocks", "entity_count")), F.grouping("folder").alias("g"),
@@ -110,6 +123,43 @@ def report(found: DataFrame) -> DataFrame:
     return found.select("file_id", F.concat(F.lit("| "), cells, F.lit(" |")).alias("line"))
 
 
+def sections(found: DataFrame) -> DataFrame:
+    """(part, place, line): the report on a corpus, from evaluated(): a summary, the ratings with their shares, the issues
+    by dimension and severity with the files that have them, and a numbered table row for each file."""
+    percent = lambda a, b: T.half_even(100 * a / F.greatest(b, F.lit(1)), 1).cast("string")
+    text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+    mean = lambda c, kind: T.half_even(F.coalesce(F.avg(F.col(c).cast(kind)), F.lit(0)), 1)
+    sums = found.agg(
+        F.count("*").alias("n"), F.count_if("ready").alias("ready"), mean("score", "decimal(12,1)").alias("score"), mean("coverage_pct", "decimal(12,2)").alias("coverage"),
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("total_blocks", "content_blocks", "corrected_blocks", "entity_count")),
+        *(F.count_if(F.col("rating") == r).alias(r) for r in RATINGS),
+    )
+    n = F.col("n")
+    lines = [
+        text("Files: ", n), text("Mean confidence: ", F.col("score"), "%"), text("Mean coverage: ", F.col("coverage"), "%"),
+        text("Ready: ", F.col("ready"), " of ", n, " (", percent(F.col("ready"), n), "%)"),
+        text("Blocks: ", F.col("total_blocks"), ", content: ", F.col("content_blocks"), ", corrected: ", F.col("corrected_blocks")), text("Entities: ", F.col("entity_count")),
+    ]
+    shares = [text(f"| {r} | ", F.col(r), " | ", percent(F.col(r), n), "% |") for r in RATINGS]
+    out = [sums.select(F.lit(part).alias("part"), F.posexplode(F.array(*x)).alias("place", "line")) for part, x in ((1, lines), (2, shares))]
+    issues = found.select(F.explode(F.split("issues", ", ")).alias("issue")).where("issue <> ''").groupBy("issue").agg(F.count("*").alias("files"))
+    place = F.row_number().over(Window.orderBy("issue"))  # six kinds at most
+    out.append(issues.select(F.lit(3).alias("part"), (place - 1).alias("place"), text("| ", F.col("issue"), " | ", F.col("files"), " |").alias("line")))
+    rows = numbered(found, "file_id", into="place")
+    cells = F.concat_ws(" | ", F.col("place").cast("string"), "file_id", F.concat(F.col("coverage_pct").cast("string"), F.lit("%")), F.concat(F.col("passed").cast("string"), F.lit("/9")),
+                        F.concat(F.col("score").cast("string"), F.lit("%")), "rating", F.when(F.col("ready"), "yes").otherwise("no"))
+    out.append(rows.select(F.lit(4).alias("part"), (F.col("place") - 1).alias("place"), F.concat(F.lit("| "), cells, F.lit(" |")).alias("line")))
+    return reduce(DataFrame.unionByName, (x.withColumn("place", F.col("place").cast("long")) for x in out))
+
+
+def write_report(found: DataFrame, path: str) -> None:
+    """Writes sections() as Markdown lines in text files whose names are in the report's order."""
+    heads = {1: "# Summary", 2: "# Ratings", 3: "# Issues", 4: "# Files"}
+    title = F.create_map(*(F.lit(x) for kv in heads.items() for x in kv))
+    titled = found.unionByName(found.select("part").distinct().select("part", F.lit(-1).cast("long").alias("place"), title[F.col("part")].alias("line")))
+    titled.repartitionByRange("part", "place").sortWithinPartitions("part", "place").select("line").write.mode("overwrite").text(path)
+
+
 def batch_checks(files: DataFrame, df: DataFrame, chunk_counts: DataFrame) -> DataFrame:
     """(file_id, checked, issue): the failed checks of each file of a batch; pages in an issue are ten at most.
 

@@ -68,18 +68,18 @@ def sentences_merged(df: DataFrame) -> DataFrame:
 
     Looking past boilerplate is looking at the blocks without it; boilerplate stays where it is.
     """
-    by, order = ["file_id"], ["page_num", "doc_id", "seq"]
-    bad = boilerplate(df)
+    by, order = ["file_id", "_bad"], ["page_num", "doc_id", "seq"]
     before = F.col("was_corrected") if "was_corrected" in df.columns else F.lit(False)
-    df = df.withColumn("was_corrected", before)
-    w = in_file()
+    # Boilerplate is a partition of its own, in which nothing is joined: one window, and no second reading of df.
+    df = df.withColumns({"was_corrected": before, "_bad": boilerplate(df)})
+    w = Window.partitionBy(*by).orderBy(*order)
     text, after = F.regexp_replace("text", r"(?U)\s+$", ""), F.regexp_replace(F.lead("text").over(w), r"(?U)^\s+", "")
     next_page = (F.lead("type").over(w) == "paragraph") & (F.lead("page_num").over(w) == F.col("page_num") + 1)
-    links = (F.col("type") == "paragraph") & next_page & (text != "") & ~text.rlike(P.SENTENCE_END) & (after != "") & ~after.rlike("^[A-Z‘“]")
-    out = greedy_pairs(df.where(~bad), links, by, order).withColumn("_next", F.lead("text").over(w))
+    links = ~F.col("_bad") & (F.col("type") == "paragraph") & next_page & (text != "") & ~text.rlike(P.SENTENCE_END) & (after != "") & ~after.rlike("^[A-Z‘“]")
+    out = greedy_pairs(df, links, by, order).withColumn("_next", F.lead("text").over(w))
     merged = F.concat_ws(" ", text, F.regexp_replace("_next", r"(?U)^\s+", ""))
     out = out.withColumns({"text": F.when(F.col("joins"), merged).otherwise(F.col("text")), "was_corrected": F.col("was_corrected") | F.col("joins")})
-    return out.where(~F.col("taken")).drop("joins", "taken", "_next").unionByName(df.where(bad))
+    return out.where(~F.col("taken")).drop("joins", "taken", "_next", "_bad")
 
 
 def unmerged_splits(df: DataFrame) -> DataFrame:
@@ -110,6 +110,15 @@ def blank_markers(df: DataFrame) -> DataFrame:
     return pages.where("blank").select("file_id", "page_num", F.lit("blank_page").alias("type"), F.lit("").alias("text"))
 
 
+def with_blank_markers(df: DataFrame) -> DataFrame:
+    """df with a marker for each page of blank_markers(), and position: the place in the file, blocks in their order and a
+    page's marker after its blocks. Markers aren't boilerplate and have no other columns than file, page, type and text."""
+    marked = {"_marker": F.lit(1), "is_boilerplate": F.lit(False)}
+    both = df.withColumn("_marker", F.lit(0)).unionByName(blank_markers(df).withColumns(marked), allowMissingColumns=True)
+    w = Window.partitionBy("file_id").orderBy("page_num", "_marker", "doc_id", "seq")
+    return both.withColumn("position", F.row_number().over(w)).drop("_marker")
+
+
 def page_extents(df: DataFrame, least: int = 100) -> DataFrame:
     """(file_id, page_num, min_x, max_x, width): from the leftmost to the rightmost edge of a page's boxes."""
     page = df.groupBy("file_id", "page_num").agg(F.min("x0").alias("min_x"), F.max("x1").alias("max_x"))

@@ -5,14 +5,17 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafworks.functions import patterns as P
 from leafworks.sources.store import written
 
 #: Queries that meet the candidates of a slice at a time, rows of a slice, pivots at most.
@@ -237,6 +240,37 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 10) -> DataFrame
     return top(one.unionByName(two).unionByName(blank), k)
 
 
+def synthesized(text: Column) -> Column:
+    """The retrieval query that a chunk's words stand for, null for none; the first rule that applies."""
+    has = lambda w: F.lower(text).contains(w[1:]) if w[0] == "~" else text.contains(w)
+    q = F.when(F.lit(False), "")
+    for (how, words), found in P.QUERY_RULES:
+        q = q.when(reduce(and_ if how == "all" else or_, [has(w) for w in words]), found)
+    return q
+
+
+def asked(chunks: DataFrame, place: str, text: str = "text") -> DataFrame:
+    """(query, expected): each query that some chunk stands for, and the first such chunk by place. Where none does, the two
+    default queries, which ask for the first and the second chunk, or the first one again."""
+    found = chunks.select(synthesized(F.col(text)).alias("query"), F.col(place).alias("c")).where("query IS NOT NULL").groupBy("query").agg(F.min("c").alias("expected"))
+    if found.isEmpty():
+        first = [r.c for r in chunks.select(F.col(place).alias("c")).orderBy("c").limit(2).collect()]
+        rows = [(q, first[min(k, len(first) - 1)]) for k, q in enumerate(P.DEFAULT_QUERIES) if first]
+        return chunks.sparkSession.createDataFrame(rows, f"query string, expected {chunks.schema[place].dataType.simpleString()}")
+    return found
+
+
+def retrieved(chunks: DataFrame, queries: DataFrame, encode: Callable[[DataFrame, str], DataFrame], k: int = 10) -> DataFrame:
+    """(query, expected, rank): the place of each query's chunk among the k nearest chunks, 0 if it isn't there.
+    chunks: place (long), text; queries: query, expected (a place); encode: adds vector to a frame, given its text column."""
+    own = encode(chunks.select(F.col("place").alias("vec_id"), F.lit(0).alias("label"), "text"), "text")
+    numbers = written(queries.select("query", "expected", (-1 - F.pmod(F.xxhash64("query"), F.lit(1 << 62))).alias("vec_id")))
+    sides = (encode(numbers.withColumn("label", F.lit(0)), "query"), own)
+    near = nearest(*(s.select("vec_id", "label", F.col("vector").alias("embedding")) for s in sides), k)
+    near = near.select(F.col("query_id").alias("vec_id"), F.col("vec_id").alias("expected"), "rank")
+    return numbers.join(near, ["vec_id", "expected"], "left").select("query", "expected", F.coalesce("rank", F.lit(0)).alias("rank"))
+
+
 def first_hits(found: DataFrame, queries: DataFrame) -> DataFrame:
     """(query_id, rank): the first neighbour with the query's label, 0 for none."""
     hits = found.where("label = query_label").groupBy("query_id").agg(F.min("rank").alias("rank"))

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -343,6 +341,14 @@ def blank_markers(spark, sf_dir):
     return sequences.blank_markers(processed(spark, sf_dir).withColumn("is_boilerplate", short))
 
 
+@query
+def blank_marked(spark, sf_dir):
+    """Blocks with the markers of blank pages among them."""
+    short = F.col("is_boilerplate") | (F.length("text") < 60)
+    found = sequences.with_blank_markers(processed(spark, sf_dir).withColumn("is_boilerplate", short))
+    return found.select("file_id", "page_num", "doc_id", "seq", "type", "position")
+
+
 def recognised(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents' lines as recognised lines with places on a page of 1000 x 1400 pixels."""
     df = B.blocks(plants.planted(read(spark, sf_dir, "documents")))
@@ -565,39 +571,33 @@ def embedding_misfits(spark, sf_dir):
     return vectors.misfits(cut, 64, "embedding").select("vec_id")
 
 
-def synthesized(text):
-    """The retrieval query that a chunk's words stand for, null for none; the first rule that applies."""
-    has = lambda w: F.lower(text).contains(w[1:]) if w[0] == "~" else text.contains(w)
-    q = F.when(F.lit(False), "")
-    for (how, words), found in P.QUERY_RULES:
-        hits = [has(w) for w in words]
-        q = q.when(reduce(and_ if how == "all" else or_, hits), found)
-    return q
+def placed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks with their place as a number: the document's in the upper bits, the chunk's own in the lower 31."""
+    found = chunked(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
+    return found.select((F.shiftleft(F.col("doc_id"), 31) + F.col("chunk_no")).alias("place"), "text")
 
 
 @query
 def query_synthesis(spark, sf_dir):
-    found = chunked(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
-    place = F.format_string("%012d/%s", "doc_id", "chunk_id").alias("c")
-    return found.select(synthesized(F.col("text")).alias("query"), place).where("query is not null").groupBy("query").agg(F.min("c").alias("expected"))
+    found = vectors.asked(placed_chunks(spark, sf_dir), "place")
+    return found.select("query", F.format_string("%012d/chk_%04d", F.shiftright("expected", 31), F.col("expected").bitwiseAND((1 << 31) - 1)).alias("expected"))
+
+
+def retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = store.written(placed_chunks(spark, sf_dir))
+    return vectors.retrieved(found, vectors.asked(found, "place"), vectors.embedded)
 
 
 @query
 def retrieval_report(spark, sf_dir):
-    """(query, rank): the place of each synthesized query's chunk among the ten nearest chunks, 0 if it isn't there.
+    """(query, rank): the place of each synthesized query's chunk among the ten nearest chunks, 0 if it isn't there."""
+    return retrieval(spark, sf_dir).select("query", "rank")
 
-    A chunk's number holds its document's in the upper bits and its own in the lower 31.
-    """
-    found = chunked(B.blocks(plants.planted(read(spark, sf_dir, "documents"))))
-    number = F.shiftleft(F.col("doc_id"), 31) + F.col("chunk_no")
-    own = vectors.embedded(found.select(number.alias("vec_id"), F.lit(0).alias("label"), "text"))
-    asked = query_synthesis(spark, sf_dir).withColumn("vec_id", -1 - plants.part("query", 1 << 31))
-    parts = F.split("expected", "/chk_")
-    asked = asked.withColumn("target", F.shiftleft(parts[0].cast("long"), 31) + parts[1].cast("long"))
-    queries = vectors.embedded(asked.withColumn("label", F.lit(0)), "query")
-    columns = ["vec_id", "label", F.col("vector").alias("embedding")]
-    near = vectors.nearest(queries.select(*columns), own.select(*columns)).select(F.col("query_id").alias("vec_id"), F.col("vec_id").alias("target"), "rank")
-    return asked.join(near, ["vec_id", "target"], "left").select("query", F.coalesce("rank", F.lit(0)).alias("rank"))
+
+@query
+def retrieval_measures(spark, sf_dir):
+    """One row a model: the measures of its lists for the synthesized queries."""
+    return vectors.measures(retrieval(spark, sf_dir)).select(F.lit("hashed words").alias("model"), F.lit(64).alias("dims"), "*")
 
 
 @query
@@ -715,6 +715,11 @@ def audit_report(spark, sf_dir):
     return audit.report(audit.evaluated(*audited(spark, sf_dir)))
 
 
+@query
+def corpus_report(spark, sf_dir):
+    return audit.sections(audit.evaluated(*audited(spark, sf_dir)))
+
+
 @query
 def batch_checks(spark, sf_dir):
     found, df, _ = audited(spark, sf_dir)
@@ -756,10 +761,12 @@ def html_elements(spark, sf_dir):
 def json_blocks(spark, sf_dir):
     """Whole documents as a model's answers: an array of their lines, or one object for a document of one line."""
     kind = F.when(F.col("seq") % 3 != 0, F.when(F.col("seq") % 5 == 0, "footer").otherwise("list_item"))
-    block = F.struct("seq", F.struct(kind.alias("type"), "text", (F.col("seq") % 5 == 0).alias("is_boilerplate")).alias("b"))
+    box = F.when(F.col("seq") % 4 == 0, F.array(F.col("seq").cast("double"), F.lit(1.5), F.lit(2.0), F.lit(3.0))).alias("bbox")
+    block = F.struct("seq", F.struct(kind.alias("type"), "text", box, (F.col("seq") % 5 == 0).alias("is_boilerplate")).alias("b"))
     d = lines(spark, sf_dir).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(block), lambda a, b: a["seq"] - b["seq"]), lambda x: x["b"]).alias("bs"))
     raw = F.when(F.size("bs") == 1, F.to_json(F.get("bs", F.lit(0)))).otherwise(F.concat(F.lit("```json\n"), F.to_json("bs"), F.lit("\n```")))
-    return files.normalized_blocks(d.select("doc_id", raw.alias("raw")), "raw")
+    found = files.normalized_blocks(d.select("doc_id", raw.alias("raw")), "raw")
+    return found.withColumn("bbox", F.concat_ws(",", F.transform("bbox", lambda x: x.cast("decimal(12,1)").cast("string")))).drop("entities")
 
 
 @query
@@ -767,8 +774,11 @@ def document_json(spark, sf_dir):
     """Files' nested documents, written as JSON and read back."""
     df = processed(spark, sf_dir)
     named = df.select("file_id").distinct().select("file_id", F.concat("file_id", F.lit(".pdf")).alias("file_name"), F.lit("2024-01-01").alias("extracted_at"))
-    shape = """document_metadata struct<file_name:string>, extraction_summary struct<content_blocks:long>,
-      text_blocks array<struct<doc_id:long,seq:int,type:string,text:string,is_boilerplate:boolean>>"""
-    read_back = files.assembled(df, named).select("file_id", F.from_json("document", shape).alias("d"))
-    rows = read_back.select("d.document_metadata.file_name", "d.extraction_summary.content_blocks", F.explode("d.text_blocks").alias("b"))
-    return rows.select("file_name", "content_blocks", "b.*")
+    shape = """document_metadata struct<file_name:string>, extraction_summary struct<content_blocks:long,table_count:long,image_count:long,total_ner_entities:long>,
+      text_blocks array<struct<doc_id:long,seq:int,type:string,text:string,is_boilerplate:boolean>>, tables array<struct<rows:array<array<string>>>>"""
+    digits = F.when(F.col("text").rlike("[0-9]"), F.array(F.struct(F.lit("n").alias("text"), F.lit("NUMBER").alias("label"))))
+    images = df.where("type = 'heading'").select("file_id", "page_num", F.concat_ws("-", "doc_id", "seq").alias("filename"))
+    whole = files.assembled(df.withColumn("entities", digits), named, few_tables(spark, sf_dir).withColumn("caption", F.lit("")), images)
+    read_back = whole.select("file_id", F.from_json("document", shape).alias("d"))
+    rows = read_back.select("d.document_metadata.file_name", "d.extraction_summary.*", F.size("d.tables").alias("tables"), F.explode("d.text_blocks").alias("b"))
+    return rows.select("file_name", "content_blocks", "table_count", "image_count", "total_ner_entities", "tables", "b.*")

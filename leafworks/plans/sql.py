@@ -476,13 +476,17 @@ EVALUATED = f"""{AUDITED}, {COVERED.replace('FRAME', 'kept')}, counts AS (SELECT
     LEFT JOIN ({CONTAMINATED.replace('FRAME', 'kept')}) USING (file_id) LEFT JOIN {UNMERGED.replace('FRAME', 'kept2')} USING (file_id) WHERE f.there),
   issues AS (SELECT *, CAST(missing_pages <> '' AS INTEGER) + CAST(content_blocks = 0 AND expected > 0 AS INTEGER) AS high,
       CAST(ocr_errors > 0 AS INTEGER) + CAST(duplicates > 0 AS INTEGER) AS medium,
-    CAST(unmerged > 0 AS INTEGER) + CAST(placeholder_boxes > 0 AS INTEGER) AS low FROM merged),
+    CAST(unmerged > 0 AS INTEGER) + CAST(placeholder_boxes > 0 AS INTEGER) AS low,
+    concat_ws(', ', CASE WHEN missing_pages <> '' THEN 'Completeness (High)' END, CASE WHEN unmerged > 0 THEN 'Continuity (Low)' END,
+      CASE WHEN ocr_errors > 0 THEN 'OCR Errors (Medium)' END, CASE WHEN duplicates > 0 THEN 'Duplicate Content (Medium)' END,
+      CASE WHEN placeholder_boxes > 0 THEN 'Data Integrity (Low)' END, CASE WHEN content_blocks = 0 AND expected > 0 THEN 'Readability (High)' END) AS issues
+    FROM merged),
   scored AS (SELECT * EXCLUDE (expected, missing_pages), greatest(0.0::DOUBLE, least(100.0::DOUBLE,
       CAST(round_even(CAST(100 - 0.3::DOUBLE * (100 - coverage_pct) - 2.2::DOUBLE * (9 - passed) - 15 * high - 5 * medium - 2 * low AS DECIMAL(20,
       8)), 1) AS DOUBLE))) AS score FROM issues
     UNION ALL BY NAME SELECT file_id, 0.0::DOUBLE AS coverage_pct, 0 AS passed,
       {', '.join(f'0 AS {n}' for n in COUNTS)},
-    1 AS high, 0 AS medium, 0 AS low, 0.0::DOUBLE AS score FROM files WHERE NOT there),
+    1 AS high, 0 AS medium, 0 AS low, 'Completeness (High)' AS issues, 0.0::DOUBLE AS score FROM files WHERE NOT there),
   rated AS (SELECT *, rating IN ('Excellent', 'Good') AS ready FROM (SELECT *, CASE WHEN score >= 90 THEN 'Excellent' WHEN score >= 75 THEN 'Good'
       WHEN score >= 55 THEN 'Fair' ELSE 'Poor' END AS rating FROM scored))"""
 SCANNED = f"""p AS (SELECT file_id, page_num, string_agg(CASE {PART('file_id', 3)} WHEN 0 THEN lang WHEN 1 THEN repeat(chr(10), 200) ELSE text END, ' ') AS text FROM
@@ -599,11 +603,39 @@ ORACLE_SQL |= {
       FROM labels) l USING (doc_id)""",
     "json_blocks": f"""WITH {LINES} SELECT doc_id, seq AS block_no, format('blk_p{{:04d}}_{{:03d}}', doc_id, seq + 1) AS block_id, CASE
       WHEN seq % 3 = 0 THEN 'paragraph' WHEN seq % 5 = 0 THEN 'footer' ELSE 'list_item' END AS type, line AS text, seq % 5 = 0 AS is_boilerplate,
-      CASE WHEN seq % 5 = 0 AND seq % 3 <> 0 THEN 'footer' END AS boilerplate_type FROM lines WHERE line <> ''""",
-    "document_json": f"""WITH {PASSES} SELECT file_id || '.pdf' AS file_name,
-      count(*) FILTER (NOT is_boilerplate) OVER (PARTITION BY file_id) AS content_blocks, doc_id, seq, type, text, is_boilerplate FROM done""",
+      CASE WHEN seq % 5 = 0 AND seq % 3 <> 0 THEN 'footer' END AS boilerplate_type, CAST(doc_id AS INTEGER) AS page_num, false AS was_corrected,
+      'vlm' AS source, CASE WHEN seq % 4 = 0 THEN seq || '.0,1.5,2.0,3.0' ELSE '0.0,0.0,612.0,792.0' END AS bbox FROM lines WHERE line <> ''""",
+    "document_json": f"""WITH {PASSES}, {TAB} SELECT file_id || '.pdf' AS file_name,
+      count(*) FILTER (NOT is_boilerplate) OVER (PARTITION BY file_id) AS content_blocks, coalesce(n, 0) AS table_count,
+      count(*) FILTER (type = 'heading') OVER (PARTITION BY file_id) AS image_count,
+      count(*) FILTER (regexp_matches(text, '[0-9]')) OVER (PARTITION BY file_id) AS total_ner_entities, CAST(coalesce(n, 0) AS INTEGER) AS tables,
+      doc_id, seq, type, text, is_boilerplate FROM done LEFT JOIN (SELECT file_id, count(*) AS n FROM tab GROUP BY 1) USING (file_id)""",
 }
+RANKED = ORACLE_SQL["retrieval_report"].replace("SELECT a.query, coalesce(r.rank, 0) AS rank FROM asked", "SELECT coalesce(r.rank, 0) AS rank FROM asked")
+SHARE = "CAST(round_even(CAST(100 * {} / greatest(n, 1) AS DECIMAL(20, 8)), 1) AS DOUBLE)"
+REPORT = f"""totals AS (SELECT count(*) AS n, count(*) FILTER (ready) AS ready, CAST(round_even(CAST(avg(score) AS DECIMAL(20, 5)), 1) AS DOUBLE) AS score,
+    CAST(round_even(CAST(avg(coverage_pct) AS DECIMAL(20, 6)), 1) AS DOUBLE) AS coverage,
+    {', '.join(f'sum({n}) AS {n}' for n in ('total_blocks', 'content_blocks', 'corrected_blocks', 'entity_count'))},
+    {', '.join(f"count(*) FILTER (rating = '{r}') AS {r}" for r in ('Excellent', 'Good', 'Fair', 'Poor'))} FROM rated),
+  heads AS (SELECT 1 AS part, unnest(['Files: ' || n, 'Mean confidence: ' || score || '%', 'Mean coverage: ' || coverage || '%',
+      'Ready: ' || ready || ' of ' || n || ' (' || {SHARE.format('ready')} || '%)',
+      'Blocks: ' || total_blocks || ', content: ' || content_blocks || ', corrected: ' || corrected_blocks, 'Entities: ' || entity_count]) AS line,
+      unnest(range(6)) AS place FROM totals
+    UNION ALL SELECT 2, unnest([{', '.join(f"'| {r} | ' || {r} || ' | ' || {SHARE.format(r)} || '% |'" for r in ('Excellent', 'Good', 'Fair', 'Poor'))}]),
+      unnest(range(4)) FROM totals),
+  kinds AS (SELECT issue, count(*) AS files FROM (SELECT unnest(string_split(issues, ', ')) AS issue FROM rated) WHERE issue <> '' GROUP BY 1)"""
 ORACLE_SQL |= {
+    "retrieval_measures": f"""SELECT 'hashed words' AS model, 64 AS dims, count(*) AS queries, round(avg(CASE WHEN rank > 0 THEN 1 / rank ELSE 0 END), 6) AS mrr,
+      round(avg(CASE WHEN rank BETWEEN 1 AND 5 THEN 1 / log2(rank + 1) ELSE 0 END), 6) AS ndcg5, round(avg(CAST(rank BETWEEN 1 AND 5 AS INTEGER)), 6) AS recall5,
+      round(avg(CAST(rank BETWEEN 1 AND 10 AS INTEGER)), 6) AS recall10 FROM ({RANKED})""",
+    "corpus_report": f"""WITH {EVALUATED}, {REPORT} SELECT part, place, line FROM heads
+      UNION ALL SELECT 3, row_number() OVER (ORDER BY issue) - 1, '| ' || issue || ' | ' || files || ' |' FROM kinds
+      UNION ALL SELECT 4, row_number() OVER (ORDER BY file_id) - 1, '| ' || row_number() OVER (ORDER BY file_id) || ' | ' || file_id || ' | ' || coverage_pct ||
+      '% | ' || passed || '/9 | ' || score || '% | ' || rating || ' | ' || CASE WHEN ready THEN 'yes' ELSE 'no' END || ' |' FROM rated""",
+    "blank_marked": f"""WITH {PASSES}, m AS (SELECT file_id, page_num FROM done GROUP BY 1, 2
+      HAVING bool_and(is_boilerplate OR length(text) < 60 OR type IN ('header', 'footer', 'toc_page_number'))),
+      b AS (SELECT file_id, page_num, doc_id, seq, type, 0 AS marker FROM done UNION ALL SELECT file_id, page_num, NULL, NULL, 'blank_page', 1 FROM m)
+      SELECT file_id, page_num, doc_id, seq, type, CAST(row_number() OVER (PARTITION BY file_id ORDER BY page_num, marker, doc_id, seq) AS INTEGER) AS position FROM b""",
     "html_elements": ORACLE_SQL["html_blocks"],
     "latest_status_stream": ORACLE_SQL["latest_status"],
     "upserted_documents": """SELECT d.doc_id, md5(CASE WHEN l.doc_id IS NULL THEN coalesce(text, '') ELSE coalesce(text || '!', '') END) AS text_md5, lang,

@@ -103,20 +103,36 @@ def write_documents(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def assembled(df: DataFrame, files: DataFrame) -> DataFrame:
-    """(file_id, document): each file's nested document with its metadata, summary and blocks in order. df: file_id,
-    page_num, doc_id, seq, type, text, is_boilerplate, was_corrected; files: file_id, file_name, extracted_at."""
+def assembled(df: DataFrame, files: DataFrame, tables: DataFrame | None = None, images: DataFrame | None = None) -> DataFrame:
+    """(file_id, document): each file's nested document with its metadata, summary, blocks, tables and images in order.
+
+    df: file_id, page_num, doc_id, seq, type, text, is_boilerplate, was_corrected, and entities where they were looked for.
+    files: file_id, file_name, extracted_at. tables: file_id, page_num, table_id, caption, headers, rows, row_count,
+    column_count. images: file_id, page_num, filename. The summary counts all of these; a file without blocks is left out.
+    """
     bad = F.coalesce("is_boilerplate", F.lit(False))
-    block = F.struct("page_num", "doc_id", "seq", "type", "text", "is_boilerplate", "was_corrected")
+    has = "entities" in df.columns
+    block = F.struct("page_num", "doc_id", "seq", "type", "text", "is_boilerplate", "was_corrected", *(["entities"] if has else []))
+    entities = F.sum(F.coalesce(F.size("entities"), F.lit(0))) if has else F.lit(0)
     parts = df.groupBy("file_id").agg(
         F.struct(
             F.count("*").alias("total_blocks"), F.count_if(~bad).alias("content_blocks"), F.count_if(bad).alias("boilerplate_blocks"),
-            F.count_if(F.coalesce("was_corrected", F.lit(False))).alias("corrected_blocks"),
-        ).alias("extraction_summary"),
+            F.count_if(F.coalesce("was_corrected", F.lit(False))).alias("corrected_blocks"), entities.cast("long").alias("total_ner_entities"),
+        ).alias("counts"),
         F.array_sort(F.collect_list(block)).alias("text_blocks"),
     )
     meta = files.select("file_id", F.struct("file_name", "extracted_at").alias("document_metadata"))
-    return parts.join(meta, "file_id").select("file_id", F.to_json(F.struct("document_metadata", "extraction_summary", "text_blocks")).alias("document"))
+    table = F.struct("page_num", "table_id", "caption", "headers", "rows", "row_count", "column_count")
+    for name, frame, shape in (("tables", tables, table), ("page_images", images, F.struct("page_num", "filename"))):
+        if frame is None:
+            parts = parts.withColumn(name, F.array().cast("array<struct<page_num:int>>"))
+        else:
+            listed = frame.groupBy("file_id").agg(F.array_sort(F.collect_list(shape)).alias(f"_{name}"))
+            parts = parts.join(listed, "file_id", "left").withColumn(name, F.coalesce(f"_{name}", F.array())).drop(f"_{name}")
+    totals = {"table_count": F.size("tables"), "image_count": F.size("page_images")}
+    summary = F.struct("counts.*", *(n.alias(c) for c, n in totals.items())).alias("extraction_summary")
+    whole = parts.join(meta, "file_id").select("file_id", "document_metadata", summary, "text_blocks", "tables", "page_images")
+    return whole.select("file_id", F.to_json(F.struct("document_metadata", "extraction_summary", "text_blocks", "tables", "page_images")).alias("document"))
 
 
 def write_chunks(found: DataFrame, path: str) -> None:
@@ -144,18 +160,27 @@ def exploded_chunks(found: DataFrame) -> DataFrame:
     )
 
 
-def normalized_blocks(df: DataFrame, raw: str) -> DataFrame:
-    """(doc_id, block_no, block_id, type, text, is_boilerplate, boilerplate_type) from a model's answer: a JSON array of
-    blocks, or one block, perhaps between code fences. Elements that are no objects, or have no text, are left out;
-    numbers are those of the answer."""
+#: The box of a block whose answer gives none, and the source of a model's blocks.
+WHOLE_PAGE, MODEL_SOURCE = (0.0, 0.0, 612.0, 792.0), "vlm"
+
+
+def normalized_blocks(df: DataFrame, raw: str, page: str = "doc_id", source: str = MODEL_SOURCE) -> DataFrame:
+    """(doc_id, block_no, block_id, page_num, type, text, bbox, is_boilerplate, boilerplate_type, was_corrected, entities,
+    source) from a model's answer about a page: a JSON array of blocks, or one block, perhaps between code fences.
+
+    Elements that are no objects, or have no text, are left out; numbers are those of the answer. A block without a box,
+    or with null, has that of a whole page; none is corrected or has entities yet. page: the column of the page's number.
+    """
     c = T.without_fences(F.col(raw))
     text = F.when(c.startswith("["), c).otherwise(F.concat(F.lit("["), c, F.lit("]")))
-    parts = df.select("doc_id", F.posexplode(F.from_json(text, "array<string>")).alias("block_no", "part"))
-    rows = parts.withColumn("b", F.from_json("part", "type string, text string, is_boilerplate boolean"))
+    parts = df.select("doc_id", F.col(page).cast("int").alias("page_num"), F.posexplode(F.from_json(text, "array<string>")).alias("block_no", "part"))
+    rows = parts.withColumn("b", F.from_json("part", "type string, text string, bbox array<double>, is_boilerplate boolean"))
     rows = rows.where(T.strip(F.col("b.text")) != "")
     bad = F.coalesce("b.is_boilerplate", F.lit(False))
     return rows.select(
-        "doc_id", "block_no", F.format_string("blk_p%04d_%03d", F.col("doc_id"), F.col("block_no") + 1).alias("block_id"),
+        "doc_id", "block_no", F.format_string("blk_p%04d_%03d", F.col("page_num"), F.col("block_no") + 1).alias("block_id"), "page_num",
         F.coalesce("b.type", F.lit("paragraph")).alias("type"), T.strip(F.col("b.text")).alias("text"),
-        bad.alias("is_boilerplate"), F.when(bad, F.col("b.type")).alias("boilerplate_type"),
+        F.coalesce("b.bbox", F.array(*(F.lit(x) for x in WHOLE_PAGE))).alias("bbox"),
+        bad.alias("is_boilerplate"), F.when(bad, F.col("b.type")).alias("boilerplate_type"), F.lit(False).alias("was_corrected"),
+        F.array().cast("array<struct<text:string,label:string,start:int,end:int>>").alias("entities"), F.lit(source).alias("source"),
     )

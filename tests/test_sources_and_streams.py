@@ -11,7 +11,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from leafworks.operators import blocks, entities, registry, sequences, vectors
+from leafworks.operators import audit, blocks, entities, registry, sequences, vectors
 from leafworks.plans import catalog
 from leafworks.sources import elements, files, html, packed, store, upserts
 from leafworks.streaming import lifecycle
@@ -276,3 +276,76 @@ def test_queries_keep_and_drop_rows(spark):
     whole = catalog.lines(spark, data).count()
     assert 0 < catalog.QUERIES["covered_blocks"](spark, data).count() < whole
     assert {r.scanned for r in catalog.QUERIES["scan_type"](spark, data).collect()} == {True, False}
+
+
+def test_queries_of_chunks(spark):
+    texts = [
+        ("the Polity and its Source", 0), ("Source alone", None), ("Kingship", 1), ("a Viking", 1), ("Taxation", 2), ("TAX", 2), ("an Epic", 3), ("Mahabharata and Svara or accent", 3),
+        ("Sanskrit language", 4), ("Dichotomy of Veda", 5), ("it is divided into", 5), ("Vedavyasa", 6), ("a heap", 6), ("Vedic, Epic and Puranic culture", 3), ("", None), (None, None),
+    ]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "place long, text string")
+    found = {r.place: r.q for r in df.select("place", vectors.synthesized(F.col("text")).alias("q")).collect()}
+    queries = [q for _, q in catalog.P.QUERY_RULES]
+    assert [found[k] for k in range(len(texts))] == [None if rule is None else queries[rule] for _, rule in texts]
+    first = {}
+    for k, (_, rule) in enumerate(texts):
+        if rule is not None:
+            first.setdefault(queries[rule], k)
+    assert {r.query: r.expected for r in vectors.asked(df, "place").collect()} == first
+    plain = df.where("text = 'Source alone' OR text = '' OR text IS NULL")
+    assert [tuple(r) for r in vectors.asked(plain, "place").collect()] == [(catalog.P.DEFAULT_QUERIES[0], 1), (catalog.P.DEFAULT_QUERIES[1], 14)]
+    assert [r.expected for r in vectors.asked(plain.where("place = 1"), "place").collect()] == [1, 1] and vectors.asked(plain.where("false"), "place").count() == 0
+    # A chunk that is its query's own words comes first; one without a word of it isn't found.
+    words = spark.createDataFrame([(1, f"{queries[1]} king"), (2, "nothing of it"), (3, "zz Taxation zz")], "place long, text string")
+    ranks = {r.query: r["rank"] for r in vectors.retrieved(words, vectors.asked(words, "place"), vectors.embedded).collect()}
+    assert ranks[queries[1]] == 1 and set(ranks) == {queries[1], queries[2]}
+    measured = vectors.measures(vectors.retrieved(words, vectors.asked(words, "place").where("expected = 1"), vectors.embedded)).first()
+    assert (measured.queries, measured.mrr, measured.recall5) == (1, 1.0, 1.0)
+
+
+def test_report_in_sections(spark, tmp_path):
+    shape = "file_id string, total_blocks long, content_blocks long, corrected_blocks long, entity_count long, coverage_pct double, passed int, score double, rating string, ready boolean, issues string"
+    rows = [("b/1", 10, 8, 2, 3, 100.0, 9, 95.0, "Excellent", True, ""), ("a/2", 5, 5, 0, 1, 50.0, 8, 60.0, "Fair", False, "Completeness (High), Continuity (Low)"), ("c", 0, 0, 0, 0, 0.0, 0, 0.0, "Poor", False, "Completeness (High)")]
+    found = audit.sections(spark.createDataFrame(rows, shape))
+    lines = defaultdict(list)
+    for r in found.orderBy("part", "place").collect():
+        lines[r.part].append(r.line)
+    assert lines[1] == ["Files: 3", "Mean confidence: 51.7%", "Mean coverage: 50.0%", "Ready: 1 of 3 (33.3%)", "Blocks: 15, content: 13, corrected: 2", "Entities: 4"]
+    assert lines[2] == ["| Excellent | 1 | 33.3% |", "| Good | 0 | 0.0% |", "| Fair | 1 | 33.3% |", "| Poor | 1 | 33.3% |"]
+    assert lines[3] == ["| Completeness (High) | 2 |", "| Continuity (Low) | 1 |"]
+    assert lines[4] == ["| 1 | a/2 | 50.0% | 8/9 | 60.0% | Fair | no |", "| 2 | b/1 | 100.0% | 9/9 | 95.0% | Excellent | yes |", "| 3 | c | 0.0% | 0/9 | 0.0% | Poor | no |"]
+    audit.write_report(found, f"file://{tmp_path}/report")
+    text = "".join((tmp_path / "report" / f).read_text() for f in sorted(os.listdir(tmp_path / "report")) if f.startswith("part"))
+    assert text.splitlines() == [x for part, head in ((1, "# Summary"), (2, "# Ratings"), (3, "# Issues"), (4, "# Files")) for x in (head, *lines[part])]
+    empty = {(r.part, r.place): r.line for r in audit.sections(spark.createDataFrame([], shape)).collect()}
+    assert empty[1, 0] == "Files: 0" and empty[1, 3] == "Ready: 0 of 0 (0.0%)" and len(empty) == 10
+
+
+def test_markers_stand_after_their_page(spark):
+    rows = [("f", 1, 0, 0, "paragraph", "x", False), ("f", 2, 1, 0, "header", "h", None), ("f", 2, 1, 1, "paragraph", "b", True), ("f", 4, 2, 0, "paragraph", "y", None), ("g", 7, 3, 0, "footer", "z", False)]
+    df = spark.createDataFrame(rows, "file_id string, page_num int, doc_id long, seq int, type string, text string, is_boilerplate boolean")
+    found = [(r.file_id, r.page_num, r.type, r.doc_id) for r in sequences.with_blank_markers(df).orderBy("file_id", "position").collect()]
+    assert found == [("f", 1, "paragraph", 0), ("f", 2, "header", 1), ("f", 2, "paragraph", 1), ("f", 2, "blank_page", None), ("f", 4, "paragraph", 2), ("g", 7, "footer", 3), ("g", 7, "blank_page", None)]
+
+
+def test_boxes_and_sources_of_answers(spark):
+    raw = '[{"text": "a", "bbox": [1, 2.5, 3, 4]}, {"text": "b"}, {"text": "c", "bbox": null}]'
+    df = spark.createDataFrame([(5, 12, raw)], "doc_id long, page int, raw string")
+    found = files.normalized_blocks(df, "raw", "page", "other").orderBy("block_no").collect()
+    assert [(r.block_id, r.page_num, r.bbox, r.was_corrected, r.entities, r.source) for r in found] == [
+        ("blk_p0012_001", 12, [1.0, 2.5, 3.0, 4.0], False, [], "other"), ("blk_p0012_002", 12, [0.0, 0.0, 612.0, 792.0], False, [], "other"), ("blk_p0012_003", 12, [0.0, 0.0, 612.0, 792.0], False, [], "other"),
+    ]
+
+
+def test_whole_documents(spark):
+    blocks_ = [("f", 1, 0, 0, "paragraph", "x", False, True, ["e"]), ("f", 2, 1, 0, "footer", "2", True, None, None), ("g", 1, 3, 0, "paragraph", "y", None, False, ["a", "b"])]
+    df = spark.createDataFrame(blocks_, "file_id string, page_num int, doc_id long, seq int, type string, text string, is_boilerplate boolean, was_corrected boolean, entities array<string>")
+    named = spark.createDataFrame([("f", "f.pdf", "t"), ("g", "g.pdf", "t")], "file_id string, file_name string, extracted_at string")
+    tables = spark.createDataFrame([("f", 2, "tbl_002", "", ["h"], [["a"], ["b"]], 2, 1), ("f", 1, "tbl_001", "c", ["h"], [["z"]], 1, 1)], "file_id string, page_num int, table_id string, caption string, headers array<string>, rows array<array<string>>, row_count int, column_count int")
+    images = spark.createDataFrame([("g", 1, "p1.png")], "file_id string, page_num int, filename string")
+    found = {r.file_id: json.loads(r.document) for r in files.assembled(df, named, tables, images).collect()}
+    assert found["f"]["extraction_summary"] == {"total_blocks": 2, "content_blocks": 1, "boilerplate_blocks": 1, "corrected_blocks": 1, "total_ner_entities": 1, "table_count": 2, "image_count": 0}
+    assert [t["table_id"] for t in found["f"]["tables"]] == ["tbl_001", "tbl_002"] and found["f"]["page_images"] == [] and found["f"]["tables"][1]["rows"] == [["a"], ["b"]]
+    assert found["g"]["page_images"] == [{"page_num": 1, "filename": "p1.png"}] and found["g"]["tables"] == [] and found["g"]["extraction_summary"]["total_ner_entities"] == 2
+    plain = {r.file_id: json.loads(r.document) for r in files.assembled(df.drop("entities"), named).collect()}
+    assert plain["f"]["extraction_summary"]["table_count"] == 0 and plain["f"]["tables"] == []
