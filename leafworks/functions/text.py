@@ -163,8 +163,26 @@ def without_fences(c: Column) -> Column:
 
 
 def half_even(c: Column, digits: int) -> Column:
-    """Rounded, ties to the even digit, as a double."""
-    return F.bround(c.cast("decimal(20,8)"), digits).cast("double")
+    """A double rounded to some digits by its exact binary value, as a double: 2.675 is a little less than it seems and
+    gives 2.67; only what is a tie exactly, like 2.5 or 0.125, goes to the even digit.
+
+    The value times the power of ten is taken as a sum of two doubles without any error: the product and what its
+    rounding lost (by splitting both factors in halves). Where the product looks like a tie the lost part decides.
+    """
+    power, split = 10.0**digits, 134217729.0
+    high = power * split - (power * split - power)
+    low = power - high
+
+    def rounded(x: Column) -> Column:
+        product = x * power
+        x_high = x * split - (x * split - x)
+        lost = ((x_high * high - product) + x_high * low + (x - x_high) * high) + (x - x_high) * low
+        near = F.rint(product)
+        tie = F.abs(product - near) == 0.5
+        exact = F.when(tie & (lost > 0), product + 0.5).when(tie & (lost < 0), product - 0.5).otherwise(near)
+        return F.when(F.abs(product) < 2.0**52, exact / power).otherwise(x)
+
+    return F.transform(F.array(c.cast("double")), rounded)[0]  # a lambda gives the value a name: it is computed once
 
 
 def uuid4() -> Column:

@@ -25,6 +25,18 @@ def norm(c: str) -> str:
     return f"lower(trim(regexp_replace({c}, '[\\s\\x0B\\x{{85}}\\p{{Z}}]+', ' ', 'g')))"
 
 
+def rounded(x: str, digits: int) -> str:
+    """x rounded by its exact binary value, ties to even: the product with the power of ten and what its rounding lost."""
+    m, k = 10.0**digits, 134217729.0
+    mh = m * k - (m * k - m)
+    v, h = "v[1]", "v[2]"
+    lost = f"((({h} * {mh}::DOUBLE - v[3]) + {h} * {m - mh}::DOUBLE + ({v} - {h}) * {mh}::DOUBLE) + ({v} - {h}) * {m - mh}::DOUBLE)"
+    tie = "abs(v[3] - round_even(v[3], 0)) = 0.5"
+    exact = f"CASE WHEN {tie} AND {lost} > 0 THEN v[3] + 0.5::DOUBLE WHEN {tie} AND {lost} < 0 THEN v[3] - 0.5::DOUBLE ELSE round_even(v[3], 0) END / {m}::DOUBLE"
+    parts = f"list_transform([CAST({x} AS DOUBLE)], lambda x: [x, x * {k}::DOUBLE - (x * {k}::DOUBLE - x), x * {m}::DOUBLE])"
+    return f"list_transform({parts}, lambda v: CASE WHEN abs(v[3]) < {2.0**52}::DOUBLE THEN {exact} ELSE v[1] END)[1]"
+
+
 def isin(c: str, values: list[str]) -> str:
     return f"{c} IN ({', '.join(map(q, values))})"
 
@@ -89,8 +101,8 @@ COVERED = """seen AS (SELECT file_id, list_distinct(list(page_num)) AS seen FROM
       page_num FROM tab) GROUP BY 1),
   covered AS (SELECT e.file_id, expected, CAST(len(coalesce(seen, [])) AS INTEGER) AS covered,
     array_to_string(list_filter(range(1, expected + 1), lambda x: NOT list_contains(coalesce(seen, []), x)), ',') AS missing_pages,
-    CAST(round_even(CAST(100 * len(coalesce(seen, [])) / expected AS DECIMAL(20, 8)), 2) AS DOUBLE) AS coverage_pct FROM expected e LEFT
-      JOIN seen USING (file_id))"""
+    ROUNDED AS coverage_pct FROM expected e LEFT
+      JOIN seen USING (file_id))""".replace("ROUNDED", rounded("100 * len(coalesce(seen, [])) / expected", 2))
 STATS = """SELECT file_id, page_num, CAST(sum(length(text)) AS BIGINT) AS chars, count(*) FILTER (NOT is_boilerplate) AS content_blocks,
   CAST(coalesce(max(length(text)) FILTER (NOT is_boilerplate), 0) AS INTEGER) AS longest FROM FRAME GROUP BY 1, 2"""
 _W = "OVER (PARTITION BY file_id, page_num ORDER BY doc_id, seq)"
@@ -482,8 +494,7 @@ EVALUATED = f"""{AUDITED}, {COVERED.replace('FRAME', 'kept')}, counts AS (SELECT
       CASE WHEN placeholder_boxes > 0 THEN 'Data Integrity (Low)' END, CASE WHEN content_blocks = 0 AND expected > 0 THEN 'Readability (High)' END) AS issues
     FROM merged),
   scored AS (SELECT * EXCLUDE (expected, missing_pages), greatest(0.0::DOUBLE, least(100.0::DOUBLE,
-      CAST(round_even(CAST(100 - 0.3::DOUBLE * (100 - coverage_pct) - 2.2::DOUBLE * (9 - passed) - 15 * high - 5 * medium - 2 * low AS DECIMAL(20,
-      8)), 1) AS DOUBLE))) AS score FROM issues
+      {rounded("100 - 0.3::DOUBLE * (100 - coverage_pct) - 2.2::DOUBLE * (9 - passed) - 15 * high - 5 * medium - 2 * low", 1)})) AS score FROM issues
     UNION ALL BY NAME SELECT file_id, 0.0::DOUBLE AS coverage_pct, 0 AS passed,
       {', '.join(f'0 AS {n}' for n in COUNTS)},
     1 AS high, 0 AS medium, 0 AS low, 'Completeness (High)' AS issues, 0.0::DOUBLE AS score FROM files WHERE NOT there),
@@ -590,8 +601,8 @@ ORACLE_SQL |= {
         UNION ALL SELECT file_id, 11, 'no chunks', ok AND chunked AND chunk_n = 0 FROM j) WHERE hit""",
     "rating_rollup": f"""WITH {EVALUATED} SELECT CASE WHEN grouping(folder) = 1 THEN 'TOTAL' ELSE folder END AS folder, count(*) AS documents,
       count(*) FILTER (rating = 'Excellent') AS excellent, count(*) FILTER (rating = 'Good') AS good, count(*) FILTER (rating = 'Fair') AS fair,
-      count(*) FILTER (rating = 'Poor') AS poor, count(*) FILTER (ready) AS ready, CAST(round_even(CAST(avg(score) AS DECIMAL(20, 5)),
-      1) AS DOUBLE) AS mean_score, CAST(round_even(CAST(avg(coverage_pct) AS DECIMAL(20, 6)), 1) AS DOUBLE) AS mean_coverage,
+      count(*) FILTER (rating = 'Poor') AS poor, count(*) FILTER (ready) AS ready, {rounded("CAST(avg(score) AS DECIMAL(20, 5))", 1)} AS mean_score,
+      {rounded("CAST(avg(coverage_pct) AS DECIMAL(20, 6))", 1)} AS mean_coverage,
       {', '.join(f'CAST(sum({n}) AS BIGINT) AS {n}' for n in ('total_blocks', 'content_blocks', 'corrected_blocks', 'entity_count'))} FROM (SELECT *,
       left(file_id, 4) AS folder FROM rated) GROUP BY ROLLUP (folder)""",
     "scan_type": f"WITH {SCANNED} SELECT * FROM scans",
@@ -612,16 +623,15 @@ ORACLE_SQL |= {
       doc_id, seq, type, text, is_boilerplate FROM done LEFT JOIN (SELECT file_id, count(*) AS n FROM tab GROUP BY 1) USING (file_id)""",
 }
 RANKED = ORACLE_SQL["retrieval_report"].replace("SELECT a.query, coalesce(r.rank, 0) AS rank FROM asked", "SELECT coalesce(r.rank, 0) AS rank FROM asked")
-SHARE = "CAST(round_even(CAST(100 * {} / greatest(n, 1) AS DECIMAL(20, 8)), 1) AS DOUBLE)"
-REPORT = f"""totals AS (SELECT count(*) AS n, count(*) FILTER (ready) AS ready, CAST(round_even(CAST(avg(score) AS DECIMAL(20, 5)), 1) AS DOUBLE) AS score,
-    CAST(round_even(CAST(avg(coverage_pct) AS DECIMAL(20, 6)), 1) AS DOUBLE) AS coverage,
+REPORT = f"""totals AS (SELECT count(*) AS n, count(*) FILTER (ready) AS ready, {rounded("CAST(avg(score) AS DECIMAL(20, 5))", 1)} AS score,
+    {rounded("CAST(avg(coverage_pct) AS DECIMAL(20, 6))", 1)} AS coverage,
     {', '.join(f'sum({n}) AS {n}' for n in ('total_blocks', 'content_blocks', 'corrected_blocks', 'entity_count'))},
     {', '.join(f"count(*) FILTER (rating = '{r}') AS {r}" for r in ('Excellent', 'Good', 'Fair', 'Poor'))} FROM rated),
   heads AS (SELECT 1 AS part, unnest(['Files: ' || n, 'Mean confidence: ' || score || '%', 'Mean coverage: ' || coverage || '%',
-      'Ready: ' || ready || ' of ' || n || ' (' || {SHARE.format('ready')} || '%)',
+      'Ready: ' || ready || ' of ' || n || ' (' || {rounded('100 * ready / greatest(n, 1)', 1)} || '%)',
       'Blocks: ' || total_blocks || ', content: ' || content_blocks || ', corrected: ' || corrected_blocks, 'Entities: ' || entity_count]) AS line,
       unnest(range(6)) AS place FROM totals
-    UNION ALL SELECT 2, unnest([{', '.join(f"'| {r} | ' || {r} || ' | ' || {SHARE.format(r)} || '% |'" for r in ('Excellent', 'Good', 'Fair', 'Poor'))}]),
+    UNION ALL SELECT 2, unnest([{', '.join(f"'| {r} | ' || {r} || ' | ' || {rounded(f'100 * {r} / greatest(n, 1)', 1)} || '% |'" for r in ('Excellent', 'Good', 'Fair', 'Poor'))}]),
       unnest(range(4)) FROM totals),
   kinds AS (SELECT issue, count(*) AS files FROM (SELECT unnest(string_split(issues, ', ')) AS issue FROM rated) WHERE issue <> '' GROUP BY 1)"""
 ORACLE_SQL |= {

@@ -12,7 +12,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from leafworks.operators import audit, blocks, entities, registry, sequences, vectors
-from leafworks.plans import catalog
+from leafworks.functions import text as T
+from leafworks.plans import catalog, sql
 from leafworks.sources import elements, files, html, packed, store, upserts
 from leafworks.streaming import lifecycle
 
@@ -349,3 +350,18 @@ def test_whole_documents(spark):
     assert found["g"]["page_images"] == [{"page_num": 1, "filename": "p1.png"}] and found["g"]["tables"] == [] and found["g"]["extraction_summary"]["total_ner_entities"] == 2
     plain = {r.file_id: json.loads(r.document) for r in files.assembled(df.drop("entities"), named).collect()}
     assert plain["f"]["extraction_summary"]["table_count"] == 0 and plain["f"]["tables"] == []
+
+
+def test_rounding_by_the_binary_value(spark):
+    r = random.Random(7)
+    values = [2.675, 2.665, 0.125, 0.375, 2.5, 3.5, -2.5, 1.005, 0.285, 95.85, 66.67, 33.335, 1e17, -0.045, 0.0, 5e-324, 1.5e15, 99.95, 0.15, 0.25, 0.35, float("inf"), 52.25, 4503599627370497.5]
+    values += [r.uniform(-1000, 1000) for _ in range(5000)] + [round(r.uniform(0, 100), 3) for _ in range(5000)] + [r.randrange(10**6) / 8 for _ in range(2000)] + [(2 * r.randrange(10**5) + 1) / 200 for _ in range(5000)]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "k int, v double")
+    for digits in (0, 1, 2, 3):
+        found = {x.k: x.y for x in df.select("k", T.half_even(F.col("v"), digits).alias("y")).collect()}
+        assert [found[k] for k in range(len(values))] == [v if v == float("inf") else round(v, digits) for v in values]
+    assert spark.range(1).select(T.half_even(F.lit(None), 1).alias("y")).first().y is None
+    duckdb = pytest.importorskip("duckdb")
+    few = values[:21] + values[22:3000]
+    rows = duckdb.connect().execute(f"SELECT {sql.rounded('x', 2)} FROM (SELECT unnest(?::DOUBLE[]) AS x)", [few]).fetchall()
+    assert [x for (x,) in rows] == [round(v, 2) for v in few]
