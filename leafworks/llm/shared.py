@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
 import uuid
 import weakref
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,20 +63,37 @@ def written(df: DataFrame) -> DataFrame:
     path = scratch(spark)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    _written[id(out)] = (weakref.ref(out), path)
+    _written[next(_numbers)] = (weakref.ref(out), path)
     return out
 
 
-#: The folders of written frames that are still there.
+#: The folders of written frames that are still there, in the order of writing.
 _written: dict[int, tuple[weakref.ref, str]] = {}
+_numbers = itertools.count()
+
+
+@contextmanager
+def scratch_of(keep: Callable[[], DataFrame | None] = lambda: None) -> Iterator[None]:
+    """Deletes what is written within, but for the frame that keep() gives at the end: what a stage leaves behind once
+    its result is written."""
+    before = set(_written)
+    yield
+    kept = keep()
+    for number in set(_written) - before:
+        frame = _written[number][0]()
+        if frame is None:
+            deleted(_written.pop(number)[1], SparkSession.getActiveSession())
+        elif frame is not kept:
+            discard(frame)
+
+
+def deleted(path: str, spark: SparkSession) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def discard(*frames: DataFrame) -> None:
     """Deletes the folders of written frames that nothing will read again, as a later one was written from them."""
     for df in frames:
-        ref, path = _written.get(id(df), (None, ""))
-        if ref is not None and ref() is df:
-            del _written[id(df)]
-            spark = df.sparkSession
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        for number in [k for k, (ref, _) in _written.items() if ref() is df]:
+            deleted(_written.pop(number)[1], df.sparkSession)

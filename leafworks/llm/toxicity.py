@@ -29,10 +29,10 @@ from pyspark.sql import functions as F
 
 from leafworks.llm.shared import small_batches, text_or_empty, written
 
-MAX_EXAMPLES, MAX_FEATURES = 12_000, 2_000
+MAX_EXAMPLES, MAX_FEATURES = 12_000, 4_000
 #: A feature is kept if this many examples hold it (or this share of them, if more) and it is this many times as
 #: frequent in one label as in the other.
-MIN_EXAMPLES, MIN_SHARE, MIN_RATIO = 5, 1 / 1500, 25.0
+MIN_EXAMPLES, MIN_SHARE, MIN_RATIO = 5, 1 / 1500, 3.0
 BLOCK, NEIGHBOURS = 32, 15
 PREFIXES = (3, 4, 5, 6)
 #: Punctuation removed at the ends of words.

@@ -25,7 +25,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafworks.llm.line_dedup import member_filter, named_by
+from leafworks.llm.line_dedup import without_keys
 from leafworks.llm.shared import scratch, small_batches, written
 
 #: Bytes of compressed records after which a task begins the next file.
@@ -102,9 +102,8 @@ def resolved(pages: DataFrame, min_bytes: int = 0, key: str = "page_id", html: s
     responses have an html, only revisits a sha1.
 
     Headers are written once, without payloads: ids, addresses, digests and sizes. Digests meet there, so revisits are
-    known and come from their headers alone. A filter of the revisits goes to the scan of the pages: what it doesn't
-    name is a response and stays where it is read. Of the few that it names by chance a second filter is made, and only
-    pages that both name move, to be told from revisits by their key.
+    known and come from their headers alone. All other pages are responses, and stay where they are read, but for a few
+    (see line_dedup.without_keys()).
     """
     uri = F.col("url") if "url" in pages.columns else F.lit(None).cast("string")
     pages = pages.select(F.col(key).cast("long").alias("page_id"), uri.alias("uri"), F.coalesce(F.col(html), F.lit("")).alias("html"))
@@ -118,12 +117,7 @@ def resolved(pages: DataFrame, min_bytes: int = 0, key: str = "page_id", html: s
     revisits = written(revisits.select("page_id", "uri", "h", "sha1", F.col("first").alias("refers_to")))
     # By id and a hash of the payload: rows that repeat an id with another payload are told apart.
     a, b = F.xxhash64("page_id", "h"), F.xxhash64("h", "page_id", F.lit(1))
-    keys = revisits.select("page_id", "h", a.alias("a"), b.alias("b")).distinct()
-    one = named_by(pages, *member_filter(keys))(a, b)
-    by_chance = written(headers.where(one).select("page_id", "h", a.alias("a"), b.alias("b")).distinct().join(keys.select("a", "b"), ["a", "b"], "left_anti"))
-    two = named_by(pages, *member_filter(by_chance))(a, b)
-    moved = pages.where(one).where(two).withColumns({"a": a, "b": b}).join(by_chance.select("a", "b"), ["a", "b"], "left_semi")
-    sure = pages.where(~one).unionByName(moved.drop("a", "b"))
+    sure = without_keys(pages, revisits.select(a.alias("a"), b.alias("b")).distinct(), a, b, headers)
     none = {"sha1": F.lit(None).cast("binary"), "refers_to": F.lit(None).cast("long"), "revisit": F.lit(False)}
     columns = ["page_id", "uri", "html", "sha1", "refers_to", "revisit"]
     found = revisits.withColumns({"html": F.lit(None).cast("string"), "revisit": F.lit(True)})

@@ -546,9 +546,9 @@ def plain_scores(texts, labels):
     scored = []
     for f, n in in_all.items():
         p, q = (in_bad[f] + 0.5) / bad, (n - in_bad[f] + 0.5) / good
-        if n >= 5 and abs(math.log(p / q)) >= math.log(25):
+        if n >= 5 and abs(math.log(p / q)) >= math.log(toxicity.MIN_RATIO):
             scored.append((-abs(p - q) * abs(math.log(p / q)), f))
-    kept = [f for _, f in sorted(scored)[:2000]]
+    kept = [f for _, f in sorted(scored)[: toxicity.MAX_FEATURES]]
     df = Counter(f for t in texts for f in held[t])
     idf = {f: math.log((1 + len(texts)) / (1 + df[f])) + 1 for f in kept}
 
@@ -675,3 +675,87 @@ def test_pipeline(spark, docs, empty, tmp_path):
     packed = corpus_pipeline.run(spark, str(tmp_path))
     clean = {r.doc_id for r in table.where("toxic = 0").collect()}
     assert len(clean ^ {r.doc_id for r in packed.collect()}) <= 6
+
+
+def test_rows_without_keys_of_a_list(spark):
+    """Equal to an anti-join, with a filter so small that it names many rows by chance."""
+    rows = spark.range(0, 20_000, 1, 5).select(F.when(F.col("id") % 97 > 0, F.col("id")).alias("doc_id"), F.lit("clash").alias("_a"), F.lit("clash").alias("a"))
+    a, b = F.xxhash64("doc_id"), F.xxhash64("doc_id", F.lit(1))
+    for ids in ("doc_id % 3 = 0", "doc_id IS NULL", "false", "true"):
+        gone = rows.where(ids).select(a.alias("a"), b.alias("b")).distinct()
+        found = line_dedup.without_keys(rows, gone, a, b)
+        assert found.columns == rows.columns and by_rows(found, "doc_id") == by_rows(rows.where(f"NOT coalesce({ids}, false)"), "doc_id")
+
+
+def test_by_chance_named_rows_stay(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "MIN_BITS", 1 << 21)
+    monkeypatch.setattr(line_dedup, "BITS_PER_LINE", 1)
+    rows = spark.range(0, 4_000_000, 1, 4).select(F.col("id").alias("doc_id"))
+    a, b = F.xxhash64("doc_id"), F.xxhash64("doc_id", F.lit(1))
+    gone = rows.where("doc_id % 2 = 0").select(a.alias("a"), b.alias("b"))
+    one = line_dedup.named_by(rows, *line_dedup.member_filter(gone))(a, b)
+    assert rows.where(one).count() > 2_500_000  # so half a million by chance, at least
+    found = line_dedup.without_keys(rows, gone, a, b)
+    assert found.count() == 2_000_000 and found.where("doc_id % 2 = 0").isEmpty()
+
+
+def test_scratch_of_a_stage_goes(spark):
+    from pathlib import Path
+
+    from leafworks.llm import shared
+
+    out, first = None, shared.written(spark.range(3).toDF("x"))
+    held = set(shared._written)
+    with shared.scratch_of(lambda: out):
+        inner = shared.written(spark.range(5).toDF("x"))
+        shared.written(spark.range(7).toDF("x"))
+        out = shared.written(inner.where("x > 2"))
+    paths = {k: Path(p.removeprefix("file://")) for k, (_, p) in shared._written.items()}
+    assert len(set(paths) - held) == 1 and out.count() == 2 and first.count() == 3 and all(p.is_dir() for p in paths.values())
+    path = paths[max(paths)]
+    shared.discard(out)
+    assert not path.exists()
+
+
+LONG = [" ".join(f"w{k % 5000}" for k in range(300_000)), "x" * 2_000_000, "a line that comes again and again\n" * 60_000, "\n" * 2_000_000, " \t" * 1_000_000, "漢字 " * 700_000]
+
+
+def test_texts_of_two_megabytes(spark, tmp_path):
+    """Whole texts through line dedup, near dedup, exact dedup, quality rules, chats, toxicity, archives and the pipeline."""
+    texts = [*enumerate([*LONG, LONG[2], LONG[0] + " more"])]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    key, holders = (lambda x: x.strip(BLANKS).translate(LOWER)), defaultdict(set)
+    for i, t in texts:
+        for k in {key(x) for x in t.split("\n")}:
+            holders[k].add(i)
+    lines = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in line_dedup.line_dedup(df, min_docs=2).collect()}
+    for i, t in texts:
+        rows = t.split("\n")
+        kept = [x for x in rows if len(key(x)) < 20 or len(holders[key(x)]) < 2 or max(holders[key(x)]) == i]
+        assert lines[i] == ("\n".join(kept), len(rows), len(rows) - len(kept))
+    near = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(df).collect()}
+    sets = {i: shingles(t) for i, t in texts}
+    assert {i: n for i, (n, _) in near.items()} == {i: len(s) for i, s in sets.items()}
+    assert {i: c for i, (_, c) in near.items()} == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 2, 7: 0}
+    exact = {r.doc_id: (r.keep_id, r.group_size, r.text_sha256) for r in exact_dedup.exact_dedup(df).collect()}
+    for i, t in texts:
+        assert exact[i] == (2 if i in (2, 6) else 3 if i in (3, 4) else i, 2 if i in (2, 3, 4, 6) else 1, hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", t).encode()).hexdigest())
+    rules = {r.doc_id: (r.n_words, r.word_chars, r.n_dup_lines, r.n_repeat_words) for r in quality.measured(df).collect()}
+    assert rules == {i: (m[0], m[1], m[3], m[4]) for i, t in texts for m in [base_measures(t)]}
+    turns = spark.createDataFrame([(i, k, r, t) for i, t in texts for k, r in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
+    chats = {r.conv_id: (r.n_turns, r.loss_chars, r.loss_sha256) for r in chat.read_back(chat.format_chats(turns)).collect()}
+    assert chats == {i: (2, len(t), hashlib.sha256(t.encode()).hexdigest()) for i, t in texts}
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in texts], "doc_id long, toxic int")
+    assert {r.doc_id for r in toxicity.scores(df, labels, F.lit(True)).collect() if 0 <= r.score <= 1} == {i for i, _ in texts}
+    pages = warc.with_originals(warc.read_archives(warc.write_archives(df.select(F.col("doc_id").alias("page_id"), F.col("text").alias("html")))))
+    first = {}
+    for i, t in texts:
+        first.setdefault(t, i)
+    digest = lambda t: base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()
+    assert {(r.page_id, r.payload_bytes, r.payload_digest, r.refers_to) for r in pages.collect()} == {(i, len(t.encode()), digest(t), None if first[t] == i else first[t]) for i, t in texts}
+    labels.withColumn("toxic", F.lit(0)).write.parquet(str(tmp_path / "labels.parquet"))
+    df.select("doc_id", "text", F.lit("en").alias("lang"), F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars")).write.parquet(str(tmp_path / "documents.parquet"))
+    packed = corpus_pipeline.run(spark, str(tmp_path)).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    kept = [i for i, t in texts if not plain_rules(t)]
+    assert {r.doc_id: r.n for r in packed} == {i: len(library.encode(texts[i][1], add_special_tokens=False).ids) + 1 for i in kept if near[i][1] == i}
