@@ -14,15 +14,16 @@ from pyspark.sql import functions as F
 
 from leafworks.llm import line_dedup, near_dedup, packing, quality, toxicity
 from leafworks.llm.queries import training_fold
-from leafworks.llm.shared import free, written
+from leafworks.llm.shared import discard, scratch_of, written
 
 TOXIC_FROM = 0.5
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs but for the rows whose doc_id is in ids."""
-    own = free("_id", docs)
-    return docs.join(ids.select(F.col("doc_id").alias(own)), F.col("doc_id").eqNullSafe(F.col(own)), "left_anti")
+    """docs but for the rows whose doc_id is in ids, null included; the texts of others stay where they are read."""
+    a, b = F.xxhash64("doc_id"), F.xxhash64("doc_id", F.lit(1))
+    gone = written(ids.select(a.alias("a"), b.alias("b")).distinct())
+    return line_dedup.without_keys(docs, gone, a, b, docs.select("doc_id"))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -89,10 +90,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages applied to the documents of sf_dir, each result written before the next stage reads it."""
+    """All stages applied to the documents of sf_dir, each result written before the next stage reads it. What a stage
+    has written besides, and the result before it, are deleted then; the last stage's remains are read by the result."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = written(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        before = docs
+        with scratch_of(lambda: docs):  # noqa: B023
+            docs = written(stage(spark, before, sf_dir))
+        discard(before)
+    return STAGES[-1][1](spark, docs, sf_dir)
