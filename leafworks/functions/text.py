@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
@@ -66,6 +67,66 @@ def replaced(c: Column, pairs: list[tuple[str, str]], together: int = 12) -> Col
     return c
 
 
+class Replacer:
+    """Patterns replaced in turn, after one pass of an automaton over the plain characters that each pattern starts with.
+
+    The automaton (Aho-Corasick) names the patterns whose characters occur, at a word's edge where the pattern asks for
+    one; only those are tried, in their order. A replacement can make another pattern's characters, so the pass is made
+    again on a text that changed, for the patterns after that one. Most texts are read once and no pattern is tried.
+    """
+
+    def __init__(self, pairs: list[tuple[str, str]]) -> None:
+        import ahocorasick
+
+        self.rules = [(re.compile(p), to) for p, to in pairs]
+        self.whole = [(p.startswith(r"\b"), p == rf"\b{re.escape(literal(p))}\b") for p, _ in pairs]
+        self.automaton, held, self.folded = ahocorasick.Automaton(), {}, []
+        for k, (p, _) in enumerate(pairs):
+            if p.startswith("(?i)"):
+                self.folded.append((literal(p[4:]).lower(), k))
+            else:
+                held.setdefault(literal(p), []).append(k)
+        if "" in held:
+            raise ValueError(f"no plain characters at the start of {pairs[held[''][0]][0]}")
+        for word, rules in held.items():
+            self.automaton.add_word(word, (len(word), rules))
+        self.automaton.make_automaton()
+
+    def candidates(self, text: str, after: int) -> list[int]:
+        word = lambda k: 0 <= k < len(text) and (text[k].isalnum() or text[k] == "_")
+        found = set()
+        for end, (size, rules) in self.automaton.iter(text):
+            for k in rules:
+                if k > after and k not in found and (not self.whole[k][0] or word(end - size) != word(end - size + 1)) and (not self.whole[k][1] or word(end) != word(end + 1)):
+                    found.add(k)
+        if self.folded:
+            low = text.lower()
+            found |= {k for start, k in self.folded if k > after and start in low}
+        return sorted(found)
+
+    def replaced(self, text: str) -> str:
+        todo = self.candidates(text, -1)
+        while todo:
+            k, *todo = todo
+            pattern, to = self.rules[k]
+            new = pattern.sub(to, text)
+            if new != text:
+                text, todo = new, self.candidates(new, k)
+        return text
+
+
+def replaced_by_automaton(c: Column, pairs: list[tuple[str, str]]) -> Column:
+    """replaced() for many patterns without groups that start with plain characters; in Arrow batches."""
+
+    @F.arrow_udf("string")
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = Replacer(pairs)
+        for texts in parts:
+            yield pa.array([None if t is None else own.replaced(t) for t in texts.to_pylist()], pa.string())
+
+    return run(c)
+
+
 def characters(c: Column) -> Column:
     """Look-alike characters, ligatures and private glyphs as plain ones: single ones in one pass, then the others."""
     single = [(a, b) for a, b in P.CHARACTERS if len(b) <= 1]
@@ -84,7 +145,7 @@ def spaces(c: Column) -> Column:
 def basic_correction(c: Column) -> Column:
     """Characters, line breaks in words, abbreviations, confused and split words, spaces; in this order."""
     c = joined_breaks(characters(c))
-    return strip_result(spaces(replaced(c, [*P.DOMAIN_TERMS, *P.CONFUSIONS, *P.SPLIT_WORDS])))
+    return strip_result(spaces(replaced_by_automaton(c, [*P.DOMAIN_TERMS, *P.CONFUSIONS, *P.SPLIT_WORDS])))
 
 
 def urls(c: Column) -> Column:
@@ -123,7 +184,7 @@ def corrected(df: DataFrame, name: str = "text", into: str = "corrected") -> Dat
     """Adds the text after all rules of correction: the basic ones, repeated words, split diacritics, web addresses, running
     headers and emphasis. Rules that few texts need are tried only on those that hold one of their words."""
     c = joined_breaks(characters(F.col(name)))
-    c = replaced(c, [*P.DOMAIN_TERMS, *P.CONFUSIONS, *P.SPLIT_WORDS])
+    c = replaced_by_automaton(c, [*P.DOMAIN_TERMS, *P.CONFUSIONS, *P.SPLIT_WORDS])
     df = df.withColumn(into, F.regexp_replace(c, r"(?iU)\b([a-zA-Z]{3,})\s+\1\b", "$1"))
     c = F.col(into)
     df = df.withColumn(into, spaces(F.when(c.rlike(f"[{P.DIACRITICS}]"), diacritics(c)).otherwise(c)))

@@ -365,3 +365,19 @@ def test_rounding_by_the_binary_value(spark):
     few = values[:21] + values[22:3000]
     rows = duckdb.connect().execute(f"SELECT {sql.rounded('x', 2)} FROM (SELECT unnest(?::DOUBLE[]) AS x)", [few]).fetchall()
     assert [x for (x,) in rows] == [round(v, 2) for v in few]
+
+
+def test_replacing_by_an_automaton():
+    rules = [*T.P.DOMAIN_TERMS, *T.P.CONFUSIONS, *T.P.SPLIT_WORDS]
+    own, r = T.Replacer(rules), random.Random(8)
+    parts = ["thal", "il", "lo", "V  ol.", "V\nolume", "S hah", "U.P.S.C.a", "C.E.", "B.C.E.x", "MIDDLEeastern", "easten", "easte'n", "Sull kut", "{ho", "cial", "é", "_", " ", " ", "-", "x", "SOCIAL SCIENCE - PART 1 ", "Perso  -  Islamic", "thls", "I'he"]
+    for _ in range(3000):
+        text = want = "".join(r.choice(parts) for _ in range(r.randint(0, 12)))
+        for p, to in rules:
+            want = re.sub(p, to, want)
+        assert own.replaced(text) == want
+    # What a replacement makes can be another pattern's word.
+    chain = T.Replacer([("ab", "cd"), ("cde", "fg"), ("ab", "never"), (r"\bfg\b", "done")])
+    assert chain.replaced("abe") == "done" and chain.replaced("xabe") == "xfg" and chain.replaced("") == ""
+    with pytest.raises(ValueError):
+        T.Replacer([(r"\d+", "x")])
