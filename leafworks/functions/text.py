@@ -34,13 +34,44 @@ def has_any(c: Column, words: list[str]) -> Column:
     return reduce(lambda a, b: a | b, (c.contains(w) for w in words))
 
 
+def core(pattern: str) -> str:
+    """The longest plain characters, in lower case, that each match of a pattern holds; empty if none are certain."""
+    runs, run, depth, k = [], "", 0, 0
+    pattern = pattern.removeprefix("(?i)")
+    while k < len(pattern):
+        ch, plain = pattern[k], None
+        if ch == "\\":
+            k += 1
+            plain = None if pattern[k].isalnum() else pattern[k]
+        elif ch == "[":
+            k = re.compile(r"\[\^?\]?(?:\\.|[^\]\\])*\]").match(pattern, k).end() - 1
+        elif ch in "()":
+            depth += 1 if ch == "(" else -1
+        elif ch == "|" and not depth:
+            return ""
+        elif ch in "*?{":  # what is before it need not be there
+            run = run[:-1]
+            k = pattern.index("}", k) if ch == "{" else k
+        elif ch not in "^$.+|":
+            plain = ch
+        if plain and not depth:
+            run += plain
+        else:
+            runs, run = [*runs, run], ""
+        k += 1
+    return max([*runs, run], key=len).lower()
+
+
 def matches(c: Column, found: list[str]) -> Column:
     """Whether one of the patterns is found. Those that begin at the start of the text share one start, so the engine
-    tries them there alone and not at each character."""
+    tries them there alone and not at each character. Others are tried on texts that hold characters which their matches
+    must have."""
     start = re.compile(r"^(\(\?i\))?\^")
     fixed, free = [start.sub(r"\1", p) for p in found if start.match(p)], [p for p in found if not start.match(p)]
+    sure, unsure = [p for p in free if core(p)], [p for p in free if not core(p)]
     parts = [c.rlike(f"^(?:{P.any_of(fixed)})")] if fixed else []
-    return reduce(lambda a, b: a | b, [*parts, c.rlike(P.any_of(free))] if free else parts)
+    parts += [has_any(F.lower(c), sorted({core(p) for p in sure})) & c.rlike(P.any_of(sure))] if sure else []
+    return reduce(lambda a, b: a | b, [*parts, c.rlike(P.any_of(unsure))] if unsure else parts)
 
 
 def literal(pattern: str) -> str:

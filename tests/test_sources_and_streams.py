@@ -381,3 +381,14 @@ def test_replacing_by_an_automaton():
     assert chain.replaced("abe") == "done" and chain.replaced("xabe") == "xfg" and chain.replaced("") == ""
     with pytest.raises(ValueError):
         T.Replacer([(r"\d+", "x")])
+
+
+def test_what_each_match_holds(spark):
+    cases = {r"(?i)all\s+rights?\s+reserved": "reserved", r"(?i)www\.[a-z0-9\-]+\.[a-z]{2,}": "www.", r"(?i)https?://[a-z]+\.jstor\.org/stable/": ".jstor.org/stable/", r"\.{4,}\s*\d+\s*$": "", "a|bc": "", "x(ab|c)+de?f": "x", "ab+c": "ab", r"[\]ab]cd": "cd", r"(?i)call\s*/?s*whatsapp\s*:": "whatsapp"}
+    assert {p: T.core(p) for p in cases} == cases
+    lists = (T.P.COPYRIGHT, T.P.BIBLIOGRAPHY, T.P.TOC, T.P.HEADER, T.P.FOOTER, T.P.HEADINGS)
+    lines = ["All Rights reserved", "COPYRIGHT (c) 2001", "for internal  use only", "Do not copy", "no part of this document may be", "see WWW.a-b.in now", "e-mail: x", "email: a@b", "call s whatsapp: +91 98765 43210", "Contact: +91 98765 43210", "HTTPS://DOI.org/1", "x http://abc.JSTOR.org/stable/", "Modern  Asian Studies", "the journal of asian studies.", "Doe, Jane. 2001.", "a ..... 7", "reserved", "Chapter 3", "", "not", "İ www.é"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(lines)], "k int, t string")
+    for patterns in lists:
+        found = df.select("k", T.matches(F.col("t"), patterns).alias("a"), F.col("t").rlike(T.P.any_of(patterns)).alias("b")).collect()
+        assert [r.k for r in found if r.a] == [r.k for r in found if r.b]
