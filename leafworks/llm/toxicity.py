@@ -34,6 +34,8 @@ MAX_EXAMPLES, MAX_FEATURES = 12_000, 4_000
 #: frequent in one label as in the other.
 MIN_EXAMPLES, MIN_SHARE, MIN_RATIO = 5, 1 / 1500, 3.0
 BLOCK, NEIGHBOURS = 32, 15
+#: Blocks that a query looks at before it asks which others it needs.
+FIRST_BLOCKS = 4
 PREFIXES = (3, 4, 5, 6)
 #: Punctuation removed at the ends of words.
 EDGES = ".,;:!?\"'()[]{}<>*&%$#-_/"
@@ -163,6 +165,8 @@ class Index:
             for f, x in zip(features, self.weights(features, counts), strict=True):
                 held[f].setdefault(at // BLOCK, []).append((at % BLOCK, float(x)))
         self.postings = [{k: (np.array([e[0] for e in x]), np.array([e[1] for e in x])) for k, x in blocks.items()} for blocks in held]
+        joined = lambda b: (np.concatenate([k * BLOCK + x[0] for k, x in b.items()]), np.concatenate([x[1] for x in b.values()]))
+        self.flat = [joined(b) if b else (np.zeros(0, np.int64), np.zeros(0)) for b in self.postings]
         self.heads = [(np.array([*b], np.int64), np.array([x[1].max() for x in b.values()])) for b in self.postings]
         self.steps: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
@@ -179,29 +183,43 @@ class Index:
             bounds[blocks] += w * most
         order = np.flatnonzero(bounds)
         order = order[np.argsort(-bounds[order], kind="stable")]
-        best: list[tuple[float, int, int]] = []
-        least = -1.0
-        for block in order.tolist():
-            if bounds[block] < least - 1e-9:
-                break
-            sims = np.zeros(BLOCK)
+        # The blocks of the highest bounds one by one; what they hold tells which others can hold a nearer entry.
+        first = order[:FIRST_BLOCKS]
+        sims = np.zeros((len(first), BLOCK))
+        for own, block in zip(sims, first.tolist(), strict=True):
             for f, w in zip(features, weights, strict=True):
                 if entry := self.postings[f].get(block):
-                    sims[entry[0]] += w * entry[1]
-            for h in np.flatnonzero((sims > 0) & (sims >= least - 1e-9)).tolist():
-                at = block * BLOCK + h
-                n = int(self.sizes[at]) - (without[1] if at == without[0] else 0)
-                if n:
-                    best.append((round(float(sims[h]), 12), at, n))
-            best.sort(key=lambda x: (-x[0], x[1]))
-            total = 0
-            for s, _, n in best:
-                total += n
-                if total >= k:
-                    least = s
-                    best = [x for x in best if x[0] >= least]
-                    break
-        return best
+                    own[entry[0]] += w * entry[1]
+        ids, sims = (first[:, None] * BLOCK + np.arange(BLOCK)).ravel(), sims.ravel()
+        # An entry is one example at least, so the k-th best entry (of all but one) is as near as the k-th best example, or less.
+        least = np.partition(sims, len(sims) - k - 1)[len(sims) - k - 1] if len(sims) > k else 0.0
+        rest = order[FIRST_BLOCKS:]
+        rest = rest[bounds[rest] >= least - 1e-9]
+        if len(rest):
+            whole = np.zeros((self.n_blocks, BLOCK))
+            flat = whole.ravel()
+            for f, w in zip(features, weights, strict=True):
+                at, x = self.flat[f]
+                flat[at] += w * x
+            more = (rest[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            ids, sims = np.concatenate([ids, more]), np.concatenate([sims, whole[rest].ravel()])
+        ids, sims = self.best(ids, sims, k, without)
+        return list(zip(sims.tolist(), ids.tolist(), (self.sizes[ids] - np.where(ids == without[0], without[1], 0)).tolist(), strict=True))
+
+    def best(self, ids: np.ndarray, sims: np.ndarray, k: int, without: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        """Of entries and their similarities the nearest that hold k examples, with all that are as near as the last, in order."""
+        hit = np.flatnonzero(sims > 0)
+        if len(hit) > 4 * k:
+            hit = hit[sims[hit] >= np.partition(sims[hit], len(hit) - 2 * k)[len(hit) - 2 * k] - 1e-9]
+        ids, sims = ids[hit], np.round(sims[hit], 12)
+        n = self.sizes[ids] - np.where(ids == without[0], without[1], 0)
+        order = np.lexsort((ids, -sims))
+        order = order[n[order] > 0]
+        upto = np.cumsum(n[order])
+        last = int(np.searchsorted(upto, k))
+        if last < len(order):
+            order = order[sims[order] >= sims[order[last]]]
+        return ids[order], sims[order]
 
     def vote(self, found: list[tuple[float, int, int]], less: tuple[int, int] = (-1, 0)) -> float:
         """The share of toxic neighbours, weighted by similarity, a fifth of a vote of the prior added. less: an
