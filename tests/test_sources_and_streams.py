@@ -11,7 +11,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from leafworks.operators import audit, blocks, entities, registry, sequences, vectors
+from leafworks.operators import audit, blocks, chunks, entities, registry, sequences, vectors
 from leafworks.functions import text as T
 from leafworks.plans import catalog, sql
 from leafworks.sources import elements, files, html, packed, store, upserts
@@ -392,3 +392,13 @@ def test_what_each_match_holds(spark):
     for patterns in lists:
         found = df.select("k", T.matches(F.col("t"), patterns).alias("a"), F.col("t").rlike(T.P.any_of(patterns)).alias("b")).collect()
         assert [r.k for r in found if r.a] == [r.k for r in found if r.b]
+
+
+def test_chunks_of_a_long_document(spark):
+    """100,000 blocks of one document, in seconds; each block is in a chunk, chunks overlap by the end of the one before."""
+    df = spark.range(100_000).select(F.lit("f").alias("file_id"), (F.col("id") / 1000).cast("int").alias("page_num"), F.lit(0).cast("long").alias("doc_id"), F.col("id").cast("int").alias("seq"), F.concat(F.lit(" some words of line "), F.repeat(F.lit("w"), 60), F.col("id").cast("string")).alias("text"))
+    found = chunks.chunks(df).orderBy("chunk_no").collect()
+    assert [k for r in found for k in r.block_ids] == [*range(100_000)] and len(found) > 9000
+    assert all(b.text.startswith(a.text[-200:].strip()) and b.character_count <= 1300 for a, b in zip(found, found[1:]))
+    assert [c["text"] for c in chunks.fold([{"seq": k, "text": t, "page_num": None} for k, t in enumerate(["ab", "c d", "efgh"])], 4, 2)] == ["ab", "c d", "d efgh"]
+    assert chunks.fold([], 4, 2) == [] and [c["text"] for c in chunks.fold([{"seq": 0, "text": "abcdef", "page_num": 3}, {"seq": 1, "text": "g", "page_num": 2}], 4, 0)] == ["abcdef", "g"]
