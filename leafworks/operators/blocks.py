@@ -13,10 +13,15 @@ PAGE_HEIGHT = 842
 FILE_DOCS, PAGE_DOCS = 2000, 20
 
 
+def file_of() -> Column:
+    """The file of a document, by its source and id."""
+    return F.concat_ws("-", "source", F.floor(F.col("doc_id") / FILE_DOCS).cast("string")).alias("file_id")
+
+
 def blocks(documents: DataFrame) -> DataFrame:
     """(file_id, page_num, doc_id, seq, text): a block per line; 20 files share the pages in turn."""
     place = F.pmod("doc_id", F.lit(FILE_DOCS))
-    file_id = F.concat_ws("-", "source", F.floor(F.col("doc_id") / FILE_DOCS).cast("string")).alias("file_id")
+    file_id = file_of()
     page_num = (F.floor(place / PAGE_DOCS) + 1).cast("int").alias("page_num")
     lines = F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("seq", "text")
     return documents.select(file_id, page_num, "doc_id", lines)
@@ -90,15 +95,17 @@ def repeating(df: DataFrame, min_pages: int = 3, below: int = 120) -> DataFrame:
     return short.groupBy("file_id", "line").agg(F.countDistinct("page_num").alias("pages")).where(F.col("pages") >= min_pages)
 
 
-def summary(df: DataFrame, tables: DataFrame) -> DataFrame:
-    """A row per file: all, content, boilerplate and corrected blocks, tables, and code points."""
+def summary(df: DataFrame, tables: DataFrame, images: DataFrame) -> DataFrame:
+    """A row per file: all, content, boilerplate and corrected blocks, tables, images, and code points."""
     bad = boilerplate(df)
     counts = df.groupBy("file_id").agg(
         F.count("*").alias("total_blocks"), F.count_if(~bad).alias("content_blocks"), F.count_if(bad).alias("boilerplate_blocks"),
         F.count_if(F.coalesce("was_corrected", F.lit(False))).alias("corrected_blocks"), F.sum(F.length("text")).cast("long").alias("chars"),
     )
-    found = tables.groupBy("file_id").agg(F.count("*").alias("table_count"))
-    return counts.join(found, "file_id", "left").withColumn("table_count", F.coalesce("table_count", F.lit(0).cast("long")))
+    for name, frame in (("table_count", tables), ("image_count", images)):
+        found = frame.groupBy("file_id").agg(F.count("*").alias(name))
+        counts = counts.join(found, "file_id", "left").withColumn(name, F.coalesce(name, F.lit(0).cast("long")))
+    return counts
 
 
 def page_stats(df: DataFrame) -> DataFrame:

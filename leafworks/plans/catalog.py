@@ -74,9 +74,15 @@ def few_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.numbered(lined_tables(spark, sf_dir))
 
 
+def images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An image a document, as wide as its text is long modulo 150, with its length in bytes times ten."""
+    n = F.length(F.coalesce("text", F.lit("")))
+    return read(spark, sf_dir, "documents").select(B.file_of(), "doc_id", (n % 150).alias("width"), (n % 97).alias("height"), (n * 10).alias("bytes"))
+
+
 @query
 def block_summary(spark, sf_dir):
-    return B.summary(processed(spark, sf_dir), lined_tables(spark, sf_dir))
+    return B.summary(processed(spark, sf_dir), lined_tables(spark, sf_dir), B.figures(images(spark, sf_dir)))
 
 
 @query
@@ -236,10 +242,7 @@ def placeholder_boxes(spark, sf_dir):
 
 @query
 def page_figures(spark, sf_dir):
-    """Images as wide as a text is long modulo 150, with its length in bytes times ten."""
-    n = F.length(F.coalesce("text", F.lit("")))
-    images = read(spark, sf_dir, "documents").select("doc_id", (n % 150).alias("width"), (n % 97).alias("height"), (n * 10).alias("bytes"))
-    return B.figures(images)
+    return B.figures(images(spark, sf_dir)).drop("file_id")
 
 
 @query
@@ -777,8 +780,8 @@ def document_json(spark, sf_dir):
     shape = """document_metadata struct<file_name:string>, extraction_summary struct<content_blocks:long,table_count:long,image_count:long,total_ner_entities:long>,
       text_blocks array<struct<doc_id:long,seq:int,type:string,text:string,is_boilerplate:boolean>>, tables array<struct<rows:array<array<string>>>>"""
     digits = F.when(F.col("text").rlike("[0-9]"), F.array(F.struct(F.lit("n").alias("text"), F.lit("NUMBER").alias("label"))))
-    images = df.where("type = 'heading'").select("file_id", "page_num", F.concat_ws("-", "doc_id", "seq").alias("filename"))
-    whole = files.assembled(df.withColumn("entities", digits), named, few_tables(spark, sf_dir).withColumn("caption", F.lit("")), images)
+    renders = df.where("type = 'heading'").select("file_id", "page_num", F.concat_ws("-", "doc_id", "seq").alias("filename"))
+    whole = files.assembled(df.withColumn("entities", digits), named, few_tables(spark, sf_dir).withColumn("caption", F.lit("")), renders)
     read_back = whole.select("file_id", F.from_json("document", shape).alias("d"))
     rows = read_back.select("d.document_metadata.file_name", "d.extraction_summary.*", F.size("d.tables").alias("tables"), F.explode("d.text_blocks").alias("b"))
     return rows.select("file_name", "content_blocks", "table_count", "image_count", "total_ner_entities", "tables", "b.*")
