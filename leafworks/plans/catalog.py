@@ -518,8 +518,10 @@ def engine_route(spark, sf_dir):
 
 @query
 def ingest_stats(spark, sf_dir):
-    found = chunked(lines(spark, sf_dir).where("doc_id % 5 <> 0")).withColumn("file_id", F.col("doc_id").cast("string"))
+    """A batch of documents, and of pages that nothing was chunked of."""
+    found = chunked(lines(spark, sf_dir)).withColumn("file_id", F.col("doc_id").cast("string"))
     files_ = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("file_id"))
+    files_ = files_.unionByName(read(spark, sf_dir, "pages").select(F.concat(F.lit("page-"), "page_id").alias("file_id")))
     wet = registry.ingest_stats(files_, found).withColumn("run", F.lit("run"))
     return wet.unionByName(registry.ingest_stats(files_, found, dry_run=True).withColumn("run", F.lit("dry")))
 
@@ -681,9 +683,9 @@ def table_row_rescue(spark, sf_dir):
 
 
 def audited(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(files, blocks, tables) of an audit: files that are lost, broken or unnamed, blocks without tags, entities or
-    with whole-page boxes, tables without rows."""
-    df = gappy(processed(spark, sf_dir))
+    """(files, blocks, tables) of an audit: files that are lost, broken, unnamed or lack their last page, blocks without
+    tags, entities or with whole-page boxes, tables without rows."""
+    df = processed(spark, sf_dir)
     mark = plants.part("file_id", 1 << 32)
     found = expected_pages(spark, sf_dir).withColumns({
         "there": mark % 11 != 0, "corrupt": mark % 13 == 0, "file_name": F.when(mark % 7 != 0, F.col("file_id")), "extracted_at": F.lit("2024-01-01T00:00:00+00:00"),
