@@ -39,7 +39,8 @@ FIRST_BLOCKS = 4
 PREFIXES = (3, 4, 5, 6)
 #: Punctuation removed at the ends of words.
 EDGES = ".,;:!?\"'()[]{}<>*&%$#-_/"
-CACHE_ENTRIES = 300_000
+#: Words that a worker remembers the kept features of.
+CACHE_ENTRIES = 100_000
 
 
 def features_of(word: str) -> tuple[str, ...]:
@@ -160,14 +161,18 @@ class Index:
         self.sizes = np.array([len(e) for e in self.entries], np.int64)
         self.toxic = np.array([sum(r[2] for r in e) for e in self.entries], np.int64)
         self.n_blocks = -(-len(self.entries) // BLOCK)
-        held: list[dict[int, list[tuple[int, float]]]] = [{} for _ in idf]
+        held: list[tuple[list[int], list[float]]] = [([], []) for _ in idf]
         for at, (features, counts) in enumerate(self.vectors):
             for f, x in zip(features, self.weights(features, counts), strict=True):
-                held[f].setdefault(at // BLOCK, []).append((at % BLOCK, float(x)))
-        self.postings = [{k: (np.array([e[0] for e in x]), np.array([e[1] for e in x])) for k, x in blocks.items()} for blocks in held]
-        joined = lambda b: (np.concatenate([k * BLOCK + x[0] for k, x in b.items()]), np.concatenate([x[1] for x in b.values()]))
-        self.flat = [joined(b) if b else (np.zeros(0, np.int64), np.zeros(0)) for b in self.postings]
-        self.heads = [(np.array([*b], np.int64), np.array([x[1].max() for x in b.values()])) for b in self.postings]
+                held[f][0].append(at)
+                held[f][1].append(float(x))
+        #: Of each feature the entries that hold it, in order, and its weights there; of each block of entries with some, its
+        #: number, where it starts in these, and the largest weight. Plain arrays: small, and quick to send.
+        self.flat = [(np.array(at, np.int32), np.array(x)) for at, x in held]
+        self.heads = []
+        for at, x in self.flat:
+            blocks, starts = np.unique(at // BLOCK, return_index=True)
+            self.heads.append((blocks, np.append(starts, len(at)), np.maximum.reduceat(x, starts) if len(x) else x))
         self.steps: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     def weights(self, features: list[int], counts: list[int]) -> np.ndarray:
@@ -179,17 +184,20 @@ class Index:
         of all that are as similar as the last of them. without: an entry, and how many of its examples don't count."""
         bounds = np.zeros(self.n_blocks)
         for f, w in zip(features, weights, strict=True):
-            blocks, most = self.heads[f]
+            blocks, _, most = self.heads[f]
             bounds[blocks] += w * most
         order = np.flatnonzero(bounds)
         order = order[np.argsort(-bounds[order], kind="stable")]
         # The blocks of the highest bounds one by one; what they hold tells which others can hold a nearer entry.
         first = order[:FIRST_BLOCKS]
         sims = np.zeros((len(first), BLOCK))
-        for own, block in zip(sims, first.tolist(), strict=True):
-            for f, w in zip(features, weights, strict=True):
-                if entry := self.postings[f].get(block):
-                    own[entry[0]] += w * entry[1]
+        for f, w in zip(features, weights, strict=True):
+            (blocks, starts, _), (at, x) = self.heads[f], self.flat[f]
+            places = np.searchsorted(blocks, first)
+            for own, block, place in zip(sims, first.tolist(), places.tolist(), strict=True):
+                if place < len(blocks) and blocks[place] == block:
+                    part = slice(starts[place], starts[place + 1])
+                    own[at[part] - block * BLOCK] += w * x[part]
         ids, sims = (first[:, None] * BLOCK + np.arange(BLOCK)).ravel(), sims.ravel()
         # An entry is one example at least, so the k-th best entry (of all but one) is as near as the k-th best example, or less.
         least = np.partition(sims, len(sims) - k - 1)[len(sims) - k - 1] if len(sims) > k else 0.0
