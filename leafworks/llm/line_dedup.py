@@ -39,6 +39,8 @@ PROBES = 2
 CHUNK_KEYS = 1 << 21
 #: A line of this share of the suspects' rows, or more, is joined apart; so there are 1 / HOT_SHARE such lines at most.
 HOT_SHARE = 1e-4
+#: Keys that are broadcast themselves at most, some 10 MB.
+BROADCAST_KEYS = 100_000
 #: A-Z to a-z, for keys.
 LOWER = {c: c + 32 for c in range(65, 91)}
 
@@ -190,15 +192,18 @@ def named_by(docs: DataFrame, found: dict[int, bytes], bits: int) -> Callable[[C
 def without_keys(rows: DataFrame, gone: DataFrame, a: Column, b: Column, narrow: DataFrame | None = None) -> DataFrame:
     """The rows whose key (a, b: two hashes) isn't among the distinct keys of gone; whole rows hardly move.
 
-    A filter of gone goes to the scan: rows that it doesn't name stay where they are read. Of the few others that it names
-    by chance a second filter is made, and only rows that both name move, to be told apart by their keys. narrow: rows
-    with the columns that a and b need, if these can be had for less than rows.
+    Up to BROADCAST_KEYS keys go to the scan themselves. Of more a filter goes there: rows that it doesn't name stay where
+    they are read. Of the few others that it names by chance a second filter is made, and only rows that both name move,
+    to be told apart by their keys. narrow: rows with the columns that a and b need, if these can be had for less than rows.
     """
+    own_a, own_b = free("_a", rows), free("_b", rows)
+    if gone.count() <= BROADCAST_KEYS:
+        keys = gone.select(F.col("a").alias(own_a), F.col("b").alias(own_b))
+        return rows.withColumns({own_a: a, own_b: b}).join(F.broadcast(keys), [own_a, own_b], "left_anti").drop(own_a, own_b)
     one = named_by(rows, *member_filter(gone))(a, b)
     narrow = rows if narrow is None else narrow
     by_chance = written(narrow.where(one).select(a.alias("a"), b.alias("b")).distinct().join(gone.select("a", "b"), ["a", "b"], "left_anti"))
     two = named_by(rows, *member_filter(by_chance))(a, b)
-    own_a, own_b = free("_a", rows), free("_b", rows)
     few = by_chance.withColumnsRenamed({"a": own_a, "b": own_b})
     moved = rows.where(one).where(two).withColumns({own_a: a, own_b: b}).join(few, [own_a, own_b], "left_semi")
     return rows.where(~one).unionByName(moved.drop(own_a, own_b))

@@ -677,8 +677,10 @@ def test_pipeline(spark, docs, empty, tmp_path):
     assert len(clean ^ {r.doc_id for r in packed.collect()}) <= 6
 
 
-def test_rows_without_keys_of_a_list(spark):
-    """Equal to an anti-join, with a filter so small that it names many rows by chance."""
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_rows_without_keys_of_a_list(spark, monkeypatch, most):
+    """Equal to an anti-join, by filters and by the keys themselves."""
+    monkeypatch.setattr(line_dedup, "BROADCAST_KEYS", most)
     rows = spark.range(0, 20_000, 1, 5).select(F.when(F.col("id") % 97 > 0, F.col("id")).alias("doc_id"), F.lit("clash").alias("_a"), F.lit("clash").alias("a"))
     a, b = F.xxhash64("doc_id"), F.xxhash64("doc_id", F.lit(1))
     for ids in ("doc_id % 3 = 0", "doc_id IS NULL", "false", "true"):
