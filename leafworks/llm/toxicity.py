@@ -41,6 +41,8 @@ PREFIXES = (3, 4, 5, 6)
 EDGES = ".,;:!?\"'()[]{}<>*&%$#-_/"
 #: Words that a worker remembers the kept features of.
 CACHE_ENTRIES = 100_000
+#: Vectors that a worker remembers the neighbours of, some 5 KB each.
+SEEN_ENTRIES = 2_000
 
 
 def features_of(word: str) -> tuple[str, ...]:
@@ -308,7 +310,7 @@ def scores(docs: DataFrame, labels: DataFrame, trained: Column, key: str = "doc_
             for f, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 same = (*f, *n)
                 if same not in seen:
-                    if len(seen) > 20_000:
+                    if len(seen) > SEEN_ENTRIES:
                         seen.clear()
                     near = index.nearest(f, index.weights(f, n)) if f else []
                     seen[same] = index.score(near), [{"example": a, "similarity": s, "toxic": y} for a, s, y in index.evidence(near)]
