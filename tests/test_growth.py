@@ -15,3 +15,9 @@ def test_chunks_bound_their_batches(spark):
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     df = spark.createDataFrame([(k, n, f"line {n}") for k in range(30) for n in range(3)], "doc_id long, seq int, text string").withColumn("file_id", F.lit("f"))
     assert chunks.chunks(df).count() == 30 and batch_rows(spark) <= 1024
+
+
+def test_correction_bounds_its_batches(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = spark.range(5).select(T.basic_correction(F.concat(F.lit("thls "), F.col("id").cast("string"))).alias("t"))
+    assert found.count() == 5 and batch_rows(spark) <= 1024
