@@ -21,3 +21,21 @@ def test_correction_bounds_its_batches(spark):
     spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     found = spark.range(5).select(T.basic_correction(F.concat(F.lit("thls "), F.col("id").cast("string"))).alias("t"))
     assert found.count() == 5 and batch_rows(spark) <= 1024
+
+
+def test_cells_are_large_enough_for_their_visits(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "FEW_PIVOTS", 8, raising=False)
+    monkeypatch.setattr(vectors, "CELL_ROWS", 400, raising=False)
+    m = np.random.default_rng(2).normal(size=(2000, 16))
+    df = spark.createDataFrame([(k, 0, m[k].tolist()) for k in range(2000)], "vec_id long, label int, embedding array<double>").repartition(3)
+    queries = df.where("vec_id % 50 = 0")
+    _, own = vectors.cells(df, 16)
+    assert len(own.pivots) <= 8
+    least = queries.withColumn("least", F.lit(-1.0))
+    assert vectors.visits(queries, own, 16, 10, True).count() + vectors.visits(least, own, 16, 10, False).count() <= 8 * 40
+    units = m / np.linalg.norm(m, axis=1, keepdims=True)
+    found = {(x.query_id, x["rank"]): (x.vec_id, x.score) for x in vectors.nearest(queries, df).collect()}
+    for q in range(0, 2000, 50):
+        scores = np.round(units @ units[q], 6)
+        order = [j for j in np.lexsort((np.arange(2000), -scores)) if j != q][:10]
+        assert [found[q, n + 1] for n in range(10)] == [(j, scores[j]) for j in order]
