@@ -39,3 +39,19 @@ def test_cells_are_large_enough_for_their_visits(spark, monkeypatch):
         scores = np.round(units @ units[q], 6)
         order = [j for j in np.lexsort((np.arange(2000), -scores)) if j != q][:10]
         assert [found[q, n + 1] for n in range(10)] == [(j, scores[j]) for j in order]
+
+
+def test_retrieval_encodes_each_chunk_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def encode(df, text):
+        def run(t):
+            seen.add(1)
+            return [float(len(t)), 1.0]
+
+        return df.withColumn("vector", F.udf(run, "array<double>")(F.col(text)))
+
+    words = spark.createDataFrame([(k, f"chunk {k} of a text") for k in range(60)], "place long, text string").repartition(3)
+    queries = spark.createDataFrame([("a query", 5)], "query string, expected long")
+    assert vectors.retrieved(words, queries, encode).count() == 1
+    assert seen.value < 60 + 10
