@@ -171,10 +171,11 @@ def normalized_blocks(df: DataFrame, raw: str, page: str = "doc_id", source: str
     Elements that are no objects, or have no text, are left out; numbers are those of the answer. A block without a box,
     or with null, has that of a whole page; none is corrected or has entities yet. page: the column of the page's number.
     """
-    c = T.without_fences(F.col(raw))
-    text = F.when(c.startswith("["), c).otherwise(F.concat(F.lit("["), c, F.lit("]")))
-    parts = df.select("doc_id", F.col(page).cast("int").alias("page_num"), F.posexplode(F.from_json(text, "array<string>")).alias("block_no", "part"))
-    rows = parts.withColumn("b", F.from_json("part", "type string, text string, bbox array<double>, is_boilerplate boolean"))
+    listed = lambda c: F.when(c.startswith("["), c).otherwise(F.concat(F.lit("["), c, F.lit("]")))
+    text = T.named(T.without_fences(F.col(raw)), listed)
+    block = lambda x: F.from_json(x, "type string, text string, bbox array<double>, is_boilerplate boolean")
+    found = F.transform(F.from_json(text, "array<string>"), block)  # before the rows: a filter of rows would parse them again
+    rows = df.select("doc_id", F.col(page).cast("int").alias("page_num"), F.posexplode(found).alias("block_no", "b"))
     rows = rows.where(T.strip(F.col("b.text")) != "")
     bad = F.coalesce("b.is_boilerplate", F.lit(False))
     return rows.select(

@@ -55,3 +55,16 @@ def test_retrieval_encodes_each_chunk_once(spark):
     queries = spark.createDataFrame([("a query", 5)], "query string, expected long")
     assert vectors.retrieved(words, queries, encode).count() == 1
     assert seen.value < 60 + 10
+
+
+def test_fences_look_at_a_costly_text_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def costly(k):
+        seen.add(1)
+        return [" ```json\n[1]\n``` ", "```x```", "``` \n\n a ```", "plain"][k % 4]
+
+    found = spark.range(40).select("id", T.without_fences(F.udf(costly, "string")(F.col("id").cast("int"))).alias("t"))
+    assert {r.t for r in found.collect()} == {"[1]", "```x", "a", "plain"}
+    json = F.concat(F.lit("```json\n"), F.to_json(F.array(F.col("id"))), F.lit("\n```"))
+    assert spark.range(3).select(T.without_fences(json))._jdf.queryExecution().optimizedPlan().toString().count("to_json") == 1
