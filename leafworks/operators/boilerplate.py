@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafworks.functions import patterns as P
 from leafworks.functions import text as T
-from leafworks.operators.blocks import PAGE_HEIGHT, repeating
+from leafworks.operators.blocks import PAGE_HEIGHT
 
 #: Classes of blocks that are content all the same.
 CONTENT_CLASSES = ["exercise_heading", "bibliography"]
@@ -35,10 +35,13 @@ def tag(df: DataFrame) -> DataFrame:
 
 def with_repeats(df: DataFrame) -> DataFrame:
     """Pass two: short lines on three pages of a file are headers or footers, unless they have a class already."""
-    found = repeating(df).select("file_id", "line", F.lit(True).alias("_repeats"))
-    free = F.col("boilerplate_type").isNull() & F.col("_repeats").isNotNull()
+    short = (F.length("line") > 0) & (F.length("line") < 120) & F.col("file_id").isNotNull()
+    # Windows and no join: blocks that lie in their file's partition already stay where they are.
+    pages = F.size(F.collect_set(F.when(short, F.col("page_num"))).over(Window.partitionBy("file_id", "line")))
+    df = df.withColumn("_pages", pages)
+    free = F.col("boilerplate_type").isNull() & F.coalesce(short & (F.col("_pages") >= 3), F.lit(False))
     kind = F.when(free, "repeating_header_footer").otherwise(F.col("boilerplate_type"))
-    return df.join(found, ["file_id", "line"], "left").withColumns({"is_boilerplate": F.col("is_boilerplate") | free, "boilerplate_type": kind}).drop("_repeats")
+    return df.withColumns({"is_boilerplate": F.col("is_boilerplate") | free, "boilerplate_type": kind}).drop("_pages")
 
 
 def with_types(df: DataFrame) -> DataFrame:
@@ -50,17 +53,22 @@ def with_types(df: DataFrame) -> DataFrame:
 
 def toc_pages(df: DataFrame) -> DataFrame:
     """(file_id, page_num) of pages with a long paragraph that holds three of the table-of-contents words."""
+    return df.where(toc_paragraph()).select("file_id", "page_num").distinct()
+
+
+def toc_paragraph() -> Column:
     low = F.lower("text")
     hits = sum(low.contains(w).cast("int") for w in P.TOC_WORDS)
-    return df.where((F.col("type") == "paragraph") & (F.length(low) > 200) & (hits >= 3)).select("file_id", "page_num").distinct()
+    return (F.col("type") == "paragraph") & (F.length(low) > 200) & (hits >= 3)
 
 
 def with_toc_numbers(df: DataFrame) -> DataFrame:
     """Pass four: boilerplate numbers on pages of a table of contents are its page numbers."""
-    pages = toc_pages(df).withColumn("_toc", F.lit(True))
-    hit = F.col("_toc").isNotNull() & F.col("is_boilerplate") & F.col("line").rlike(r"^\d{1,4}$")
+    toc = F.bool_or(F.coalesce(toc_paragraph(), F.lit(False))).over(Window.partitionBy("file_id", "page_num"))
+    df = df.withColumn("_toc", toc & F.col("file_id").isNotNull() & F.col("page_num").isNotNull())
+    hit = F.col("_toc") & F.col("is_boilerplate") & F.col("line").rlike(r"^\d{1,4}$")
     kinds = {c: F.when(hit, "toc_page_number").otherwise(F.col(c)) for c in ("boilerplate_type", "type")}
-    return df.join(pages, ["file_id", "page_num"], "left").withColumns(kinds).drop("_toc")
+    return df.withColumns(kinds).drop("_toc")
 
 
 def processed(df: DataFrame) -> DataFrame:

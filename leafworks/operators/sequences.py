@@ -102,21 +102,32 @@ def colour_runs(df: DataFrame, colour: Column) -> DataFrame:
     return df.withColumn("box_id", F.when(F.col("highlight_type").isNotNull(), F.format_string("box_p%d_%03d", "page_num", "_n"))).drop("_n")
 
 
+def page_empty(df: DataFrame) -> Column:
+    """Whether a block leaves its page blank."""
+    return boilerplate(df) | F.coalesce(F.col("type").isin("header", "footer", "toc_page_number"), F.lit(False))
+
+
 def blank_markers(df: DataFrame) -> DataFrame:
     """(file_id, page_num, type, text): a marker for each page whose blocks are all boilerplate, headers, footers or
     page numbers of a table of contents."""
-    empty = boilerplate(df) | F.coalesce(F.col("type").isin("header", "footer", "toc_page_number"), F.lit(False))
-    pages = df.groupBy("file_id", "page_num").agg(F.bool_and(empty).alias("blank"))
+    pages = df.groupBy("file_id", "page_num").agg(F.bool_and(page_empty(df)).alias("blank"))
     return pages.where("blank").select("file_id", "page_num", F.lit("blank_page").alias("type"), F.lit("").alias("text"))
 
 
 def with_blank_markers(df: DataFrame) -> DataFrame:
     """df with a marker for each page of blank_markers(), and position: the place in the file, blocks in their order and a
     page's marker after its blocks. Markers aren't boilerplate and have no other columns than file, page, type and text."""
-    marked = {"_marker": F.lit(1), "is_boilerplate": F.lit(False)}
-    both = df.withColumn("_marker", F.lit(0)).unionByName(blank_markers(df).withColumns(marked), allowMissingColumns=True)
+    page = Window.partitionBy("file_id", "page_num")
+    last = F.row_number().over(page.orderBy(F.desc("doc_id"), F.desc("seq"))) == 1
+    df = df.withColumns({"_blank": F.bool_and(page_empty(df)).over(page) & last})
+    # A blank page's last block gives two rows, itself and the marker: df is read once and moves once.
+    both = df.withColumn("_marker", F.explode(F.when(F.col("_blank"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    marked = {"type": F.lit("blank_page"), "text": F.lit(""), "is_boilerplate": F.lit(False)}
+    marker = F.col("_marker") == 1
+    own = {c: F.when(~marker, F.col(c)) for c in df.columns if c not in ("file_id", "page_num", "_blank")}
+    own |= {c: F.when(marker, v).otherwise(F.col(c)) if c in df.columns else F.when(marker, v) for c, v in marked.items()}
     w = Window.partitionBy("file_id").orderBy("page_num", "_marker", "doc_id", "seq")
-    return both.withColumn("position", F.row_number().over(w)).drop("_marker")
+    return both.withColumns(own).drop("_blank").withColumn("position", F.row_number().over(w)).drop("_marker")
 
 
 def page_extents(df: DataFrame, least: int = 100) -> DataFrame:

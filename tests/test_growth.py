@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from leafworks.functions import text as T
 from leafworks.operators import chunks, vectors
+from leafworks.plans import catalog
 
 
 def batch_rows(spark):
@@ -68,3 +69,14 @@ def test_fences_look_at_a_costly_text_once(spark):
     assert {r.t for r in found.collect()} == {"[1]", "```x", "a", "plain"}
     json = F.concat(F.lit("```json\n"), F.to_json(F.array(F.col("id"))), F.lit("\n```"))
     assert spark.range(3).select(T.without_fences(json))._jdf.queryExecution().optimizedPlan().toString().count("to_json") == 1
+
+
+def moves(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_blocks_of_whole_files_move_once(spark, tmp_path):
+    spark.createDataFrame([(k, f"s{k % 3}", f"a line {k % 7}\nanother one {k}", "en") for k in range(200)], "doc_id long, source string, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("boilerplate_tag", "blank_marked"):
+        found = catalog.QUERIES[name](spark, str(tmp_path))
+        assert moves(found) == 1 and found.count() > 800
