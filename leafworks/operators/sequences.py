@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -196,14 +199,19 @@ def page_reorder(df: DataFrame, widths: DataFrame | None = None, width: float =
 def page_dedup(pages: DataFrame, topic_words: list[str], back: int = 4, shortest: int = 60) -> DataFrame:
     """(file_id, page_num, text) without pages that repeat one of the `back` pages before them: word sets alike to
     0.8, or to 0.5 where the page holds a topic word. Short pages are not compared."""
-    text = T.normalized(F.col("text"))
-    ranked = pages.withColumn("rn", F.row_number().over(Window.partitionBy("file_id").orderBy("page_num"))).withColumn("low", text)
-    sets = ranked.where(F.length("low") >= shortest).select("file_id", "page_num", "rn", "low", F.array_distinct(F.split("low", " ")).alias("words"))
-    before = sets.select("file_id", F.explode(F.array(*(F.col("rn") + k for k in range(1, back + 1)))).alias("rn"), F.col("words").alias("other"))
-    pairs = sets.join(before, ["file_id", "rn"])
-    alike = F.size(F.array_intersect("words", "other")) / F.size(F.array_union("words", "other"))
-    gone = pairs.where((alike >= 0.8) | ((alike >= 0.5) & T.has_any(F.col("low"), topic_words))).select("file_id", "page_num").distinct()
-    return pages.join(gone, ["file_id", "page_num"], "left_anti")
+    # A file's pages move once; what a page is compared with comes from the rows before it.
+    low = pages.repartition("file_id").withColumn("_low", T.normalized(F.col("text")))
+    low = low.withColumn("_words", F.when(F.length("_low") >= shortest, F.array_distinct(F.split("_low", " "))))
+    w = Window.partitionBy("file_id").orderBy("page_num")
+    topic = T.has_any(F.col("_low"), topic_words)
+    alike = lambda other: F.size(F.array_intersect("_words", other)) / F.size(F.array_union("_words", other))
+    near = lambda other: T.named(alike(other), lambda x: (x >= 0.8) | ((x >= 0.5) & F.col("_topic")))
+    low = low.withColumns({"_topic": topic} | {f"_b{k}": F.lag("_words", k).over(w) for k in range(1, back + 1)})
+    both = lambda k: F.col("_words").isNotNull() & F.col(f"_b{k}").isNotNull()
+    gone = reduce(or_, [F.when(both(k), near(F.col(f"_b{k}"))).otherwise(F.lit(False)) for k in range(1, back + 1)])
+    known = F.col("file_id").isNotNull() & F.col("page_num").isNotNull()
+    low = low.select(*pages.columns, (F.coalesce(gone, F.lit(False)) & known).alias("_gone"))
+    return low.withColumn("_gone", F.bool_or("_gone").over(Window.partitionBy("file_id", "page_num"))).where("NOT _gone").drop("_gone")
 
 
 def white_rects(rects: DataFrame, sizes: DataFrame, width: float = 612, height: float = 842) -> DataFrame:

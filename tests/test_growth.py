@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from leafworks.functions import text as T
-from leafworks.operators import chunks, vectors
+from leafworks.operators import chunks, sequences, vectors
 from leafworks.plans import catalog
 
 
@@ -80,3 +80,11 @@ def test_blocks_of_whole_files_move_once(spark, tmp_path):
     for name in ("boilerplate_tag", "blank_marked"):
         found = catalog.QUERIES[name](spark, str(tmp_path))
         assert moves(found) == 1 and found.count() > 800
+
+
+def test_page_dedup_moves_files_once(spark):
+    words = [" ".join(f"w{(k // 3) * 20 + n}" for n in range(20)) for k in range(30)]
+    df = spark.createDataFrame([("f", k, words[k]) for k in range(30)] + [("g", 0, words[0]), ("g", 1, "short")], "file_id string, page_num long, text string")
+    found = sequences.page_dedup(df, ["topic"])
+    assert {(r.file_id, r.page_num) for r in found.collect()} == {("f", k) for k in range(0, 30, 3)} | {("g", 0), ("g", 1)}
+    assert moves(sequences.page_dedup(df, ["topic"])) == 1
