@@ -1,7 +1,8 @@
 """The lifecycle of documents as a stateful stream: the latest value of each field a key, whatever the order of events.
 
 State is one row a key: of each field the time of its last value that isn't null, and the value. An event changes a field
-only if it isn't older than that, so any order gives the same state. With a time column a timer closes a key once the
+only if it isn't older than that, so any order gives the same state. Without a time column that is a running maximum, which
+Spark's own aggregation keeps: no key costs a call of Python. With a time column a timer closes a key once the
 watermark has passed its last event by `idle`: until then late events count; after it the key's row is final and its state
 is gone, so the state holds open keys alone. Events older than the watermark are left out by Spark, as with all windows.
 """
@@ -13,10 +14,12 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from leafworks.sources.upserts import UpsertSink
+from leafworks.operators.registry import latest
+from leafworks.sources.upserts import upsert
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Before all times.
@@ -24,9 +27,9 @@ NONE = -(1 << 63)
 
 
 class Lifecycle(StatefulProcessor):
-    """fields: name -> type; order: a column of whole numbers; time: a timestamp column, or None for no timers."""
+    """fields: name -> type; order: a column of whole numbers; time: a timestamp column."""
 
-    def __init__(self, key: str, order: str, fields: dict[str, str], time: str | None, idle_ms: int) -> None:
+    def __init__(self, key: str, order: str, fields: dict[str, str], time: str, idle_ms: int) -> None:
         self.key, self.order, self.fields, self.time, self.idle_ms = key, order, fields, time, idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -48,13 +51,11 @@ class Lifecycle(StatefulProcessor):
                     new = int(last[self.order].iloc[0]), last[f].max()
                     if held[2 * k + 1] is None or new > (held[2 * k], held[2 * k + 1]):
                         held[2 * k], held[2 * k + 1] = new[0], new[1].item() if hasattr(new[1], "item") else new[1]
-            if self.time:
-                held[1] = max(held[1], part[self.time].max().value // 1_000_000)
+            held[1] = max(held[1], part[self.time].max().value // 1_000_000)
         self.state.update(tuple(held))
-        if self.time:
-            for timer in list(self.handle.listTimers()):
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(held[1] + self.idle_ms)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(held[1] + self.idle_ms)
         yield self.row(key, held, False)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
@@ -74,17 +75,23 @@ def lifecycle(events: DataFrame, key: str, order: str, fields: dict[str, str], t
     """
     kinds = dict(events.dtypes)
     known = events.where(f"`{key}` IS NOT NULL AND `{order}` IS NOT NULL")
-    if time:
-        known = known.withWatermark(time, late)
+    if not time:
+        cast = known.withColumns({f: F.col(f"`{f}`").cast(kind) for f, kind in fields.items()})
+        return latest(cast, key, order, list(fields)).withColumn("final", F.lit(False))
+    known = known.withWatermark(time, late)
     shape = f"`{key}` {kinds[key]}, `{order}` {kinds[order]}, {', '.join(f'`{f}` {kind}' for f, kind in fields.items())}, final boolean"
-    processor, mode = Lifecycle(key, order, fields, time, idle_ms), "EventTime" if time else "None"
-    return known.groupBy(key).transformWithStateInPandas(processor, outputStructType=shape, outputMode="append", timeMode=mode)
+    processor = Lifecycle(key, order, fields, time, idle_ms)
+    return known.groupBy(key).transformWithStateInPandas(processor, outputStructType=shape, outputMode="update", timeMode="EventTime")
 
 
 def followed(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Runs a stream of lifecycle() over what there is, each micro-batch put into the table of upserts at path. Under the
-    same checkpoint a later run goes on where this one ended, with the state that it left."""
+    """Runs a stream of lifecycle() over what there is, each micro-batch put into the table of upserts at path, once
+    under its number, also if it is run again. Under the same checkpoint a later run goes on where this one ended, with the
+    state that it left."""
     spark = changes.sparkSession
-    spark.dataSource.register(UpsertSink)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    return changes.writeStream.format("upserts").outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+
+    def put(batch: DataFrame, number: int) -> None:
+        upsert(batch, path, number)
+
+    return changes.writeStream.foreachBatch(put).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

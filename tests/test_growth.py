@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from leafworks.functions import text as T
 from leafworks.operators import chunks, sequences, vectors
 from leafworks.plans import catalog
+from leafworks.sources import upserts
+from leafworks.streaming import lifecycle
 
 
 def batch_rows(spark):
@@ -88,3 +90,25 @@ def test_page_dedup_moves_files_once(spark):
     found = sequences.page_dedup(df, ["topic"])
     assert {(r.file_id, r.page_num) for r in found.collect()} == {("f", k) for k in range(0, 30, 3)} | {("g", 0), ("g", 1)}
     assert moves(sequences.page_dedup(df, ["topic"])) == 1
+
+
+def test_lifecycle_without_timers_calls_no_python(spark, tmp_path):
+    shape, path, big = "k long, at long, n long, x double", f"file://{tmp_path}", 2**53 + 1
+    for rows in ([(1, 1, big, 1.0), (1, 2, None, float("nan"))], [(1, 0, 7, 2.0), (2, 5, None, None)]):
+        spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    changes = lifecycle.lifecycle(stream, "k", "at", {"n": "long", "x": "double"})
+    plan = changes._jdf.queryExecution().analyzed().toString()
+    assert "Aggregate" in plan and "TransformWithState" not in plan
+    lifecycle.followed(changes, f"{path}/table", f"{path}/state").awaitTermination()
+    found = upserts.current(spark, f"{path}/table", f"{shape}, final boolean", "k", "at").collect()
+    assert {r.k: (r.at, r.n, str(r.x), r.final) for r in found} == {1: (2, big, "nan", False), 2: (5, None, "None", False)}
+
+
+def test_upserts_take_a_stream_of_plain_rows(spark, tmp_path):
+    spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string").coalesce(1).write.parquet(f"{tmp_path}/in")
+    spark.dataSource.register(upserts.UpsertSink)
+    for _ in range(2):  # the second run finds nothing new
+        stream = spark.readStream.schema("k long, v string").parquet(f"{tmp_path}/in")
+        stream.writeStream.format("upserts").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start(f"{tmp_path}/table").awaitTermination()
+    assert sorted(map(tuple, upserts.current(spark, f"{tmp_path}/table", "k long, v string", "k").collect())) == [(1, "a"), (2, "b")]
