@@ -15,7 +15,9 @@ An island has a bounded number of pieces, so all of it fits a task at every size
 
 from __future__ import annotations
 
+import itertools
 import random
+import re
 import zlib
 from array import array
 from bisect import bisect_left, bisect_right
@@ -35,18 +37,24 @@ CAPACITY = 1024
 END_ID = 2
 ISLAND_PIECES = 8192
 POPULATION, GENERATIONS, ELITE_BINS = 6, 6, 512
+#: Islands that a task breeds one after another, where there are more of them than shuffle partitions.
+ISLANDS_A_TASK = 4
 CACHE_ENTRIES = 300_000
 #: Above this code point the Unicode tables of two regular expression engines may differ.
 COMMON = "\u0530"
+RARE = re.compile(f"[{COMMON}-\U0010ffff]")
+#: Characters that no engine takes for white space, and the places before a space that stands after one.
+SOLID = re.compile("[\\w!-~\xa1-\u052f]")
+CUT = re.compile(f"(?<={SOLID.pattern})(?= )")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, deal long"
 
 
 class TokenIds:
     """The ids that the tokenizers library gives for a byte-level BPE file, as packed little-endian 32-bit numbers.
 
-    Texts are cut before single spaces, where the pattern always begins a match; the ids of a cut part are kept in
-    a bounded cache and come from the same vocabulary as ranks. Texts with other white space next to a space are
-    encoded whole; characters beyond the common ones and special strings go to the tokenizers library.
+    Texts of common characters are encoded whole from the same vocabulary as ranks. Characters beyond them go to the
+    tokenizers library with what stands around them up to a single space after a solid character, where the pattern always
+    begins a match; the ids of such stretches are kept in a bounded cache. Texts with special strings go to it whole.
     """
 
     def __init__(self, json_path: str, rank_path: str, pattern: str) -> None:
@@ -57,38 +65,37 @@ class TokenIds:
         self.library.no_padding()
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.rank_path, self.pattern = rank_path, pattern
-        self.parts: dict[str, bytes | None] = {}
+        self.stretches: dict[str, bytes] = {}
 
-    def whole(self, text: str) -> bytes:
-        if text and max(text) < COMMON:
-            return array("I", encode(text, self.rank_path, self.pattern)).tobytes()
+    def common(self, text: str) -> bytes:
+        return array("I", encode(text, self.rank_path, self.pattern)).tobytes()
+
+    def by_library(self, text: str) -> bytes:
         return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def part(self, part: str) -> bytes | None:
-        """ids of " " + part; None where the part can't be taken alone."""
-        if not part or part[0].isspace() or part[-1].isspace():
-            ids = None
-        else:
-            ids = self.whole(f" {part}")
-        if len(part) <= 64:
-            if len(self.parts) >= CACHE_ENTRIES:
-                self.parts.clear()
-            self.parts[part] = ids
+    def stretch(self, text: str) -> bytes:
+        ids = self.stretches.get(text)
+        if ids is None:
+            ids = self.by_library(text)
+            if len(text) <= 64:
+                if len(self.stretches) >= CACHE_ENTRIES:
+                    self.stretches.clear()
+                self.stretches[text] = ids
         return ids
 
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.specials):
-            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        first, *rest = text.split(" ")
-        if not first or first[-1].isspace():
-            return self.whole(text)
-        known, out = self.parts.get, [self.whole(first)]
-        for p in rest:
-            ids = known(p) or self.part(p)
-            if ids is None:
-                return self.whole(text)
-            out.append(ids)
-        return b"".join(out)
+            return self.by_library(text)
+        out, at = [], 0
+        while not text.isascii() and (rare := RARE.search(text, at)):
+            start = text.rfind(" ", at, rare.start())
+            while start > at and not SOLID.match(text, start - 1):
+                start = text.rfind(" ", at, start)
+            end = CUT.search(text, rare.end())
+            start, end = max(start, at), end.start() if end else len(text)
+            out += self.common(text[at:start]), self.stretch(text[start:end])
+            at = end
+        return b"".join([*out, self.common(text[at:])])
 
 
 @lru_cache(maxsize=2)
@@ -189,14 +196,17 @@ class Island:
     def inject(self, strong: list[list[int]], base: list[list[int]]) -> list[list[int]]:
         """base with the bins of strong put in whole: bins that lose a piece to them are taken apart, and what
         they still hold is put back by best fit."""
-        left, bins = Counter(self.counts), []
-        for source in (strong, base):
-            for b in source:
-                need = Counter(b)
-                if all(left[w] >= n for w, n in need.items()):
-                    left.subtract(need)
-                    bins.append(list(b))
-        return best_fit([*left.elements()], bins, self.capacity)
+        left, bins = dict(self.counts), []
+        for b in itertools.chain(strong, base):
+            for k, w in enumerate(b):
+                if not left.get(w):
+                    for x in b[:k]:
+                        left[x] += 1
+                    break
+                left[w] -= 1
+            else:
+                bins.append(list(b))
+        return best_fit([w for w, n in left.items() for _ in range(n)], bins, self.capacity)
 
     def well_filled(self, bins: list[list[int]]) -> list[list[int]]:
         share = self.random.uniform(0.2, 0.6)
@@ -273,9 +283,12 @@ def packed(found: DataFrame, capacity: int = CAPACITY, island_pieces: int = ISLA
         frame["offset"] = offsets
         return frame.drop(columns=["deal", "island"])
 
-    bins = dealt.select("island", "length").groupBy("island").applyInPandas(first_epoch, "island int, own boolean, lengths array<int>")
+    # A number of tasks that isn't merged again by bytes: pieces are small rows, their islands long work.
+    partitions = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(islands, max(partitions, -(-islands // ISLANDS_A_TASK)))
+    bins = dealt.select("island", "length").repartition(tasks, "island").groupBy("island").applyInPandas(first_epoch, "island int, own boolean, lengths array<int>")
     out = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    placed = dealt.groupBy("island").cogroup(written(bins).groupBy("island")).applyInPandas(second_epoch, out)
+    placed = dealt.repartition(tasks, "island").groupBy("island").cogroup(written(bins).repartition(tasks, "island").groupBy("island")).applyInPandas(second_epoch, out)
     # Sequences of islands have numbers from 0, those of whole pieces have negative ones.
     whole = found.where(F.col("length") >= capacity).withColumns({"sequence_id": -1 - F.col("deal"), "offset": F.lit(0).cast("long")})
     return placed.unionByName(whole.drop("deal"))

@@ -335,6 +335,28 @@ def test_islands_hold_as_many_pieces(spark):
     assert sum(islands) == 3200 and len(islands) == 16 and max(islands) < 300 and min(islands) > 100
 
 
+def test_packing_encodes_common_texts_whole(monkeypatch):
+    seen, encode, r = [], packing.encode, random.Random(4)
+    monkeypatch.setattr(packing, "encode", lambda t, *a: seen.append(t) or encode(t, *a))
+    json_path = public_tokenizers.path("byte_bpe_50k.json")
+    ids_of, library = packing.TokenIds(json_path, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN), Tokenizer.from_file(json_path)
+    same = lambda t: array.array("I", ids_of(t)).tolist() == library.encode(t, add_special_tokens=False).ids
+    assert same(" ".join(f"w\u00f6rd{k}," for k in range(1000))) and len(seen) == 1
+    assert same(" ".join(f"word{k}" for k in range(1000)) + " \u201cquoted\u201d " + " ".join(f"word{k}" for k in range(1000))) and len(seen) <= 3
+    atoms = [" ", " ", "  ", "\n", "\x1c", "\x85", "\xa0", "\u180e", "\u200b", "\u3000", "ab", "x1", "!?", "'s", "\u2014", "\u201cq\u201d", "\u00e9", "\u0301", "\u052f", "\u0530", "\u6f22", "\u0939\u093f", "\U0001f600"]
+    for _ in range(500):
+        assert same("".join(r.choice(atoms) for _ in range(r.randint(1, 30))))
+
+
+def test_islands_are_bred_in_several_tasks(spark, monkeypatch):
+    """Rows of a few bytes aren't merged into one task: an island is long work. 40 islands of 50 pieces, 4 shuffle partitions."""
+    rows = spark.range(0, 2000, 1, 4).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "300 + id % 7 AS length", "0L AS ids_crc32", "id AS deal")
+    wrote, written = [], packing.written
+    monkeypatch.setattr(packing, "written", lambda df: wrote.append(written(df)) or wrote[-1])
+    assert packing.packed(rows, island_pieces=50, generations=1).count() == 2000
+    assert len(wrote[0].inputFiles()) > 4
+
+
 def test_exact_dedup(docs, empty):
     groups, strip = defaultdict(list), lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
     for i, t in TEXTS:
